@@ -208,3 +208,67 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value, props
         FROM events""",
 }
+
+
+def _claims_sql() -> str:
+    k = "o_orderkey"
+    status = f"""CASE {k} % 5 WHEN 0 THEN 'SUBMITTED' WHEN 1 THEN 'PAID' WHEN 2 THEN 'DENIED'
+                 WHEN 3 THEN 'PENDING' ELSE 'ADJUSTED' END"""
+    allowed = f"CASE WHEN {k} % 20 < 17 THEN c * 85 // 100 END"
+    submitted = f"o_orderdate + to_seconds({k} % 86400)"
+    return f"""
+      WITH o AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS c FROM orders),
+           s AS (SELECT *, {status} AS st, {allowed} AS al FROM o)
+      SELECT {k} AS claim_id, 10000 + o_custkey AS member_id,
+             1 + ({k} * 7919) % 5000 AS provider_id,
+             lpad(CAST(({k} * 104729) % 10000000000 AS VARCHAR), 10, '0') AS provider_npi,
+             'PLN-' || lpad(CAST(1 + o_custkey % 400 AS VARCHAR), 4, '0') AS plan_code,
+             CASE {k} % 4 WHEN 0 THEN 'PREVENTIVE' WHEN 1 THEN 'BASIC' WHEN 2 THEN 'MAJOR'
+                  ELSE 'ORTHODONTIC' END AS claim_type,
+             'D' || lpad(CAST({k} % 10000 AS VARCHAR), 4, '0') AS procedure_code,
+             CASE WHEN {k} % 5 < 2 THEN NULL
+                  ELSE lpad(CAST(1 + {k} % 32 AS VARCHAR), 2, '0') END AS tooth_number,
+             CASE WHEN {k} % 5 >= 3 THEN NULL
+                  ELSE CASE {k} % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'O' WHEN 2 THEN 'D'
+                       WHEN 3 THEN 'B' ELSE 'L' END END AS tooth_surface,
+             'K' || lpad(CAST({k} % 100000 AS VARCHAR), 5, '0') AS diagnosis_code,
+             o_orderdate AS service_date,
+             {submitted} AS submitted_at,
+             st AS claim_status,
+             c AS billed_cents,
+             al AS allowed_cents,
+             CASE WHEN st = 'PAID' THEN coalesce(al, c) * 80 // 100 ELSE 0 END AS paid_cents,
+             c - coalesce(al, c) AS member_resp_cents,
+             CASE WHEN st = 'DENIED' THEN 'denied: code ' || lpad(CAST({k} % 97 AS VARCHAR), 2, '0')
+                  END AS denial_reason,
+             CASE WHEN {k} % 10 < 3 THEN NULL
+                  WHEN {k} % 100 < 33 THEN ''
+                  WHEN {k} % 100 < 40 THEN 'note "' || CAST({k} AS VARCHAR) || '", with, commas'
+                  ELSE 'note ' || CAST({k} AS VARCHAR) END AS payer_note,
+             {k} % 20 = 0 AS is_emergency,
+             {submitted} AS updated_at
+      FROM s"""
+
+
+ORACLE_SQL.update({
+    "csv_round_trip": "SELECT * FROM documents",
+    "csv_round_trip_pages": "SELECT * FROM pages",
+    "csv_round_trip_conversations": "SELECT * FROM conversations",
+    "csv_codecs": """
+        SELECT event_id, ts, value, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS amount,
+               upper(hex(props)) AS props_hex, event_type = 'error' AS is_error,
+               CASE WHEN event_type = 'view' THEN NULL WHEN event_type = 'click' THEN ''
+                    ELSE '  ' || props || chr(10) END AS note,
+               strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
+               user_id + event_id AS ids_sum
+        FROM events""",
+    "positional_csv": "SELECT * FROM orders",
+    "parquet_staging": "SELECT * FROM conversations",
+    "hwm_job": "SELECT * FROM orders",
+    "stream_job": SNAP + f"SELECT {NEW_COLS} FROM orders_new",
+    "stream_consume": fx.with_ctes("events_feed") + f"""
+        SELECT {', '.join(EVENT_COLS)}, _cdc_action, consume_id AS _cdc_commit_day, _cdc_is_update
+        FROM events_feed""",
+    "jdbc_upsert": ORACLE_SQL["upsert_keep_extra"],
+    "claims_generator": _claims_sql(),
+})

@@ -11,6 +11,7 @@ from ..session import configure
 
 def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .catalog import QUERIES
+    from .catalog_io import IO_QUERIES
 
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +21,10 @@ def registered_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__doc__ = fn.__doc__
         return run
 
-    return {name: wrap(fn) for name, fn in QUERIES.items()}
+    return {name: wrap(fn) for name, fn in {**QUERIES, **IO_QUERIES}.items()}
 
 
 def oracle_queries() -> dict[str, str]:
-    from .catalog import QUERIES
     from .oracle import ORACLE_SQL
-    return {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}
+    names = registered_queries()
+    return {k: v for k, v in ORACLE_SQL.items() if k in names}

@@ -32,6 +32,7 @@ def build_session(master: str = "local[*]", app: str = "sluice",
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g"))
     for k, v in {**SESSION_CONF, **extra}.items():
         b = b.config(k, v)

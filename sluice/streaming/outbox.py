@@ -109,7 +109,7 @@ class OutboxStore:
         ensure_dir(self.path)
 
     def rows(self) -> DataFrame | None:
-        if not fs.exists(self.spark, self.rows_path):
+        if not fs.partition_values(self.spark, self.rows_path, CONSUME):
             return None
         return self.spark.read.parquet(self.rows_path)
 
