@@ -72,6 +72,16 @@ def split_actions(net: DataFrame, keys: Sequence[str],
     return upserts, deletes
 
 
+def net_delete_keys(feed: DataFrame, keys: Sequence[str], consume_col: str = CONSUME,
+                    action_col: str = ACTION, order_cols: Sequence[str] = ()) -> DataFrame:
+    """Keys whose net change is a DELETE, reduced over only the key, consume,
+    order and action columns (the scan reads nothing else)."""
+    keys = list(keys)
+    narrow = feed.select(*keys, consume_col, *order_cols, action_col)
+    net = net_change(narrow, keys, consume_col, action_col, order_cols)
+    return net.where(F.col(action_col) == "DELETE").select(*keys)
+
+
 def replay(feed: DataFrame, keys: Sequence[str], consume_col: str = CONSUME,
            action_col: str = ACTION, order_cols: Sequence[str] = ()) -> DataFrame:
     """Final state of the keys a feed touches: the last change per key, dropping

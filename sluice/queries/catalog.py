@@ -16,7 +16,7 @@ from ..functions.columns import lower_cols, nan_to_null
 from ..operators import keys as K
 from ..operators import merge as M
 from ..operators import reconcile as R
-from ..operators.netchange import ACTION, CONSUME, IS_UPDATE, LOADED_AT, net_change, split_actions
+from ..operators.netchange import CONSUME, net_change, net_delete_keys, split_actions
 from ..operators.order import key_order
 from ..plans.planner import hwm_rows
 from ..sources.scan import Watermark, define_view, hwm_ceiling
@@ -133,7 +133,7 @@ def net_upserts(spark, sf):
 
 
 def net_deletes(spark, sf):
-    return split_actions(net_change(fx.events_feed(spark, sf), ["user_id"]), ["user_id"])[1]
+    return net_delete_keys(fx.events_feed(spark, sf), ["user_id"])
 
 
 def _snapshot_net(spark, sf):

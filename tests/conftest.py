@@ -1,0 +1,31 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from sluice.session import build_session
+    s = build_session("local[8]", shuffle_partitions=8)
+    # Tests set their own shared folder only because none is configured here.
+    if not s.conf.get("spark.checkpoint.dir", None):
+        d = tempfile.mkdtemp(prefix="sluice-test-")
+        s.conf.set("spark.checkpoint.dir", d)
+        s.sparkContext.setCheckpointDir(d)
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def scratch(spark):
+    from sluice.session import work_path
+    return work_path(spark, "test")
