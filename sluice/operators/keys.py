@@ -35,12 +35,24 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(cond)
 
 
+def key_problems(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One aggregation finds both NULL and duplicate keys (reads key columns only)."""
+    keys = list(keys)
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
+    return (df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+            .where((F.col("n_rows") > 1) | has_null)
+            .select(*keys, "n_rows", has_null.alias("null_key")))
+
+
 def check_keys(df: DataFrame, keys: Sequence[str], case_insensitive: bool = False) -> None:
-    """Raise before writing when the key is not usable; one job per check,
-    each stops at the first offending row."""
-    if not null_keys(df, keys).isEmpty():
-        raise ValueError(f"NULL values in key columns {list(keys)}")
-    if not duplicate_keys(df, keys).isEmpty():
+    """Raise before writing when the key is not usable (one job; it stops at the
+    first offending key)."""
+    bad = key_problems(df, keys).first()
+    if bad is not None:
+        if bad["null_key"]:
+            raise ValueError(f"NULL values in key columns {list(keys)}")
         raise ValueError(f"duplicate keys in {list(keys)}")
     if case_insensitive:
         for k in keys:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.keys import check_keys
+from ..session import work_path
 from ..sinks import staging
 from ..spec import SyncSpec
 from ..streaming.consume import consume_to_outbox
@@ -79,19 +80,25 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
         upserts = plan.upserts
         if spec.keys and check_key_quality:
             check_keys(upserts, spec.keys)
+        stage_base = None
         if spec.staging != "direct":
+            root = (spec.stage_path or work_path(spark, "stage")).rstrip("/")
+            stage_base = f"{root}/{run_id}"
             upserts, plan.deletes = staging.stage_round_trip(
-                spark, upserts, plan.deletes, spec.staging, spec.stage_path, run_id,
-                keep=spec.keep_files)
+                spark, upserts, plan.deletes, spec.staging, root, run_id)
         counted, obs = staging.observed(upserts, "written")
+        deletes, del_obs = (staging.observed(plan.deletes, "deleted") if plan.deletes is not None
+                            else (None, None))
         version = sink.publish(
-            upserts=counted, deletes=plan.deletes,
+            upserts=counted, deletes=deletes,
             truncate=plan.truncate, append=spec.mode == "append", on_match=spec.on_match,
             state=plan.new_state, ack=plan.ack, expected_version=base_version,
             run={"summary": plan.summary})
         summary["rows_written"] = int(obs.get.get("n", 0) or 0)
-        if plan.deletes is not None:
-            summary["rows_deleted"] = plan.deletes.count()
+        if del_obs is not None:
+            summary["rows_deleted"] = int(del_obs.get.get("n", 0) or 0)
+        if stage_base and not spec.keep_files:
+            staging.remove_stage(spark, stage_base)
         if spec.capture == "stream":
             store.acknowledge(plan.ack, spec.target)
             store.purge(spec.target, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),

@@ -187,3 +187,50 @@ IO_QUERIES = {
     "claims_generator": claims_generator,
 }
 
+
+
+# ---------------------------------------------------------------- more codecs and writes
+
+def exclude_replace(spark, sf):
+    """``SELECT * EXCLUDE (props) REPLACE (upper(event_type) AS event_type)``."""
+    from ..functions.columns import exclude, replace
+    e = read_table(spark, sf, "events")
+    return replace(exclude(e, ["props"]), {"event_type": F.upper("event_type")})
+
+
+def semi_structured(spark, sf):
+    """JSON text → Variant → staged as JSON text in CSV → Variant; field read back."""
+    e = read_table(spark, sf, "events").select("event_id", F.parse_json("props").alias("props"))
+    path = work_path(spark, "csv", "variant")
+    staging.write_csv(e, path)
+    back = staging.read_csv(spark, path, e.schema)
+    return back.select("event_id", F.variant_get("props", "$.k", "int").alias("k"),
+                       F.to_json("props").alias("props_json"))
+
+
+def zoned_timestamp(spark, sf):
+    """Instants (session zone UTC) staged with an explicit offset and read back."""
+    e = read_table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    path = work_path(spark, "csv", "zoned")
+    staging.write_csv(e, path)
+    back = staging.read_csv(spark, path, e.schema)
+    return back.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts_utc"),
+                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX").alias("ts_text"))
+
+
+def staged_delete(spark, sf):
+    """Bulk delete from a staged key file, decoded with the same codec as upserts."""
+    from ..operators.merge import delete_by_key
+    o = read_table(spark, sf, "orders")
+    gone = o.where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < fx.ts(fx.ARCHIVE_BEFORE)))
+    _, keys = staging.stage_round_trip(spark, None, gone.select("o_orderkey"), "csv",
+                                       work_path(spark, "stage"), "run")
+    return delete_by_key(o, keys, ["o_orderkey"])
+
+
+IO_QUERIES.update({
+    "exclude_replace": exclude_replace,
+    "semi_structured": semi_structured,
+    "zoned_timestamp": zoned_timestamp,
+    "staged_delete": staged_delete,
+})

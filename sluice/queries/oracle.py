@@ -272,3 +272,14 @@ ORACLE_SQL.update({
     "jdbc_upsert": ORACLE_SQL["upsert_keep_extra"],
     "claims_generator": _claims_sql(),
 })
+
+ORACLE_SQL.update({
+    "exclude_replace": "SELECT event_id, ts, user_id, upper(event_type) AS event_type, value FROM events",
+    "semi_structured": """
+        SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+               CAST(json(props) AS VARCHAR) AS props_json FROM events""",
+    "zoned_timestamp": """
+        SELECT event_id, ts AS ts_utc, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || 'Z' AS ts_text
+        FROM events""",
+    "staged_delete": ORACLE_SQL["delete_by_key"],
+})

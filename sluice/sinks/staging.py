@@ -130,10 +130,12 @@ def write_parquet(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECOR
     df.write.mode("overwrite").option("maxRecordsPerFile", str(max_records)).parquet(path)
 
 
-def stage_round_trip(spark: SparkSession, upserts: DataFrame, deletes: DataFrame | None,
-                     fmt: str, stage_root: str | None, run_id: str,
-                     keep: bool = False) -> tuple[DataFrame, DataFrame | None]:
-    """Write ``<stage>/<run>/{upsert,delete}`` and return typed readers of them."""
+def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: DataFrame | None,
+                     fmt: str, stage_root: str | None, run_id: str
+                     ) -> tuple[DataFrame | None, DataFrame | None]:
+    """Write ``<stage>/<run>/{upsert,delete}`` and return typed readers of them.
+    The folder is removed by the caller after a successful publish (kept after
+    a failure, or when asked to keep files)."""
     from ..session import work_path
     base = f"{stage_root.rstrip('/')}/{run_id}" if stage_root else work_path(spark, "stage")
     out = []

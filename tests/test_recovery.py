@@ -149,3 +149,18 @@ def test_upsert_keeps_target_only_columns(spark, scratch):
     job.run(spark, SyncSpec("src", "tgt", mode="upsert", keys=["id"]),
             spark.createDataFrame([(1, "A"), (3, "C")], "id long, v string"), table)
     assert sorted(map(tuple, table.read().collect())) == [(1, "A", 100), (2, "b", 200), (3, "C", None)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_staged_run_cleans_up_after_success(spark, scratch, fmt):
+    table = NativeTable(spark, f"{scratch}/t", keys=["id"], buckets=4)
+    stage = f"{scratch}/stage"
+    spec = SyncSpec("src", "tgt", mode="upsert", keys=["id"], staging=fmt, stage_path=stage)
+    s = job.run(spark, spec, after(spark, "stream"), table)
+    assert s["status"] == "ok" and s["rows_written"] == 7
+    assert fs.list_names(spark, stage) == []
+    keep = SyncSpec("src", "tgt", mode="upsert", keys=["id"], staging=fmt, stage_path=stage,
+                    keep_files=True)
+    job.run(spark, keep, after(spark, "stream"), table)
+    assert len(fs.list_names(spark, stage)) == 1
+    assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, after(spark, "stream").collect()))

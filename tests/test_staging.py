@@ -20,6 +20,7 @@ SCHEMA = T.StructType([
     T.StructField("b", T.BinaryType()),
     T.StructField("d", T.DateType()),
     T.StructField("arr", T.ArrayType(T.LongType())),
+    T.StructField("ltz", T.TimestampType()),
 ])
 
 TEXTS = [None, "", "__NULL__x", "Zoë Müller — São Paulo 東京 ✓",
@@ -40,7 +41,9 @@ def rows():
                     dt.datetime.fromisoformat(TSS[i]) if TSS[i] else None, TEXTS[i],
                     None if i == 0 else (i % 2 == 0), FLOATS[i],
                     None if i == 0 else bytes([i, 0, 255]), None if i == 0 else dt.date(1, 1, i),
-                    None if i == 0 else [i, None, -i]))
+                    None if i == 0 else [i, None, -i],
+                    None if i == 0 else dt.datetime(2026, 3, 29, 1, 30, i, i * 1000,
+                                                    tzinfo=dt.timezone.utc)))
     return out
 
 
@@ -60,6 +63,8 @@ def test_fidelity_round_trip(spark, scratch, fmt):
         for a, b in zip(r, g):
             if isinstance(a, (bytes, bytearray)):
                 b = bytes(b)
+            if isinstance(a, dt.datetime) and a.tzinfo is not None:
+                a = a.astimezone(dt.timezone.utc).replace(tzinfo=None)
             assert same(a, b), (fmt, r[0], a, b)
 
 
@@ -82,3 +87,12 @@ def test_csv_bad_text_fails_typed_cast(spark, scratch):
     staging.write_csv(src, scratch)
     with pytest.raises(Exception):
         staging.read_csv(spark, scratch, T.StructType([T.StructField("id", T.LongType())])).collect()
+
+
+def test_variant_round_trip(spark, scratch):
+    src = spark.sql("""SELECT id, parse_json(j) AS v FROM VALUES
+        (1, '{"a": [1, null, "x"], "b": {"c": 1.5}}'), (2, 'null'), (3, NULL) AS t(id, j)""")
+    for fmt in ("csv", "parquet"):
+        up, _ = staging.stage_round_trip(spark, src, None, fmt, f"{scratch}/{fmt}", fmt)
+        got = {r.id: r.j for r in up.selectExpr("id", "to_json(v) AS j").collect()}
+        assert got == {1: '{"a":[1,null,"x"],"b":{"c":1.5}}', 2: "null", 3: None}, fmt
