@@ -34,6 +34,7 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("mode", T.StringType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("rows_deleted", T.LongType()),
+    T.StructField("consumes_purged", T.LongType()),
     T.StructField("version", T.LongType()),
     T.StructField("seconds", T.DoubleType()),
     T.StructField("message", T.StringType()),
@@ -55,7 +56,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
     run_id = uuid.uuid4().hex
     summary = {"run_id": run_id, "source": spec.source, "target": spec.target,
                "capture": spec.capture, "staging": spec.staging, "mode": spec.mode,
-               "rows_written": 0, "rows_deleted": 0, "version": None, "message": ""}
+               "rows_written": 0, "rows_deleted": 0, "consumes_purged": 0, "version": None,
+               "message": ""}
     try:
         base_version = sink.version()
         if spec.capture == "none":
@@ -101,8 +103,10 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             staging.remove_stage(spark, stage_base)
         if spec.capture == "stream":
             store.acknowledge(plan.ack, spec.target)
-            store.purge(spec.target, now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-                        spec.outbox_retention_days)
+            purged = store.purge(spec.target,
+                                 now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
+                                 spec.outbox_retention_days)
+            summary["consumes_purged"] = len(purged)
         summary.update(status="ok", version=version, message=plan.summary)
         return summary
     except Exception as e:
