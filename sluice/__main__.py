@@ -43,7 +43,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--keep-files", action="store_true")
     p.add_argument("--batch-rows", type=int)
     p.add_argument("--on-match", choices=("update", "replace"), default="update")
-    p.add_argument("--buckets", type=int, default=64, help="buckets of a new native table")
+    p.add_argument("--buckets", type=int, default=None,
+                   help="buckets of a new native table (default: sized from the first load)")
     p.add_argument("--run-log", help="folder of the run log (one row per run)")
     return p.parse_args(argv)
 

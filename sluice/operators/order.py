@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 
 
 def key_order(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Without ``partitions`` the range count follows the shuffle settings and
+    AQE coalesces it to the data size."""
     keys = list(keys)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)

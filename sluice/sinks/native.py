@@ -44,13 +44,39 @@ def bucket_of(keys: Sequence[str], n: int):
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(n))
 
 
+def auto_buckets(df: DataFrame, bucket_bytes: int) -> int:
+    """Bucket count for a new table from Spark's size estimate of its first
+    load (a power of two, so later tables can be compared bucket by bucket)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = 1
+    while n * bucket_bytes < size and n < (1 << 20):
+        n *= 2
+    return max(n, 2)
+
+
 class NativeTable:
+    """A keyed table folder. ``buckets`` applies when the table is created
+    (``None``: sized from the first load, ``bucket_bytes`` per bucket); an
+    existing table always uses the keys and bucket count of its manifest."""
+
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (),
-                 buckets: int = 16):
+                 buckets: int | None = 16, bucket_bytes: int = 512 << 20,
+                 max_records_per_file: int = 10_000_000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
-        self.n = int(buckets)
+        self.n = int(buckets) if buckets else None
+        self.bucket_bytes = bucket_bytes
+        self.max_records = max_records_per_file
+        m = self.manifest()
+        if m is not None:
+            self._adopt(m)
+
+    def _adopt(self, m: dict) -> None:
+        if self.keys and m["keys"] and list(m["keys"]) != self.keys:
+            raise ValueError(f"table {self.root} is keyed by {m['keys']}, not {self.keys}")
+        self.keys = list(m["keys"])
+        self.n = int(m["n_buckets"])
 
     # -------------------------------------------------------------- reading
 
@@ -97,13 +123,14 @@ class NativeTable:
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:
         """Write rows bucketed; returns {bucket: [path]} of what was written."""
         out = f"{self.root}/data/{run_id}"
+        w_opts = {"maxRecordsPerFile": str(self.max_records)}
         if self.keys:
             rows = df.withColumn(BUCKET, bucket_of(self.keys, self.n))
-            rows.write.mode("overwrite").partitionBy(BUCKET).parquet(out)
+            rows.write.mode("overwrite").options(**w_opts).partitionBy(BUCKET).parquet(out)
             pre = f"{BUCKET}="
             return {n[len(pre):]: [f"{out}/{n}"]
                     for n in fs.list_names(self.spark, out) if n.startswith(pre)}
-        df.write.mode("overwrite").parquet(out)
+        df.write.mode("overwrite").options(**w_opts).parquet(out)
         return {KEYLESS: [out]}
 
     def publish(self, upserts: DataFrame | None = None, deletes: DataFrame | None = None,
@@ -116,6 +143,10 @@ class NativeTable:
         """
         base_v = self.version() if expected_version == -1 else expected_version
         base = self.manifest(base_v) if base_v is not None else None
+        if base is not None:
+            self._adopt(base)
+        elif self.n is None:
+            self.n = auto_buckets(upserts, self.bucket_bytes) if self.keys else 1
         run_id = f"r{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         if base is not None:
             schema = T.StructType.fromJson(base["schema"])

@@ -194,3 +194,22 @@ def test_stream_run_purges_and_logs(spark, scratch):
     s = run_once(spark, "stream", scratch, table, new, feed.schema)
     assert (s["rows_written"], s["rows_deleted"], s["consumes_purged"]) == (4, 2, 1)
     assert OutboxStore(spark, f"{scratch}/outbox").rows() is None
+
+
+def test_existing_table_keeps_its_buckets(spark, scratch):
+    df = spark.createDataFrame([(i, "a") for i in range(50)], "id long, v string")
+    NativeTable(spark, scratch, keys=["id"], buckets=4).publish(upserts=df)
+    other = NativeTable(spark, scratch, keys=["id"], buckets=32)   # ignored: table exists
+    assert other.n == 4
+    other.publish(upserts=spark.createDataFrame([(7, "b")], "id long, v string"))
+    got = dict(map(tuple, other.read().collect()))
+    assert len(got) == 50 and got[7] == "b"
+    with pytest.raises(ValueError, match="keyed by"):
+        NativeTable(spark, scratch, keys=["v"])
+
+
+def test_auto_buckets_from_size(spark, scratch):
+    t = NativeTable(spark, scratch, keys=["id"], buckets=None, bucket_bytes=64 << 10)
+    t.publish(upserts=spark.range(200_000).selectExpr("id", "repeat('x', 20) AS v"))
+    assert t.n >= 8 and t.manifest()["n_buckets"] == t.n
+    assert t.read().count() == 200_000
