@@ -167,6 +167,29 @@ def jdbc_upsert(spark, sf):
     return spark.read.parquet(path)
 
 
+def jdbc_stream_job(spark, sf):
+    """Stream capture into a JDBC table: upserts and deletes of the snapshot
+    feed applied in one transaction on an in-process Derby database."""
+    root = work_path(spark, "jdbc", "stream")
+    url = derby_memory_url()
+    keys = ["o_orderkey"]
+    sink = JdbcSink(spark, url, "orders_t", keys=keys)
+    cols = ", ".join(f"{q(c.split()[0])} {' '.join(c.split()[1:])}"
+                     for c in ORDERS_DDL.split(", ") if not c.startswith("o_note"))
+    sink.execute(f"CREATE TABLE {q('orders_t')} ({cols})")
+    old = fx.orders_old(spark, sf)
+    job.run(spark, SyncSpec("orders_old", "orders_t", mode="append"), old, sink)
+    feed = snapshot_diff(old, fx.orders_new(spark, sf), keys)
+    _write_change_log(spark, feed, f"{root}/change_log", files=4)
+    spec = SyncSpec("orders", "orders_t", capture="stream", mode="upsert", keys=keys,
+                    change_log=f"{root}/change_log", outbox=f"{root}/outbox")
+    for _ in range(2):
+        job.run(spark, spec, feed, sink, change_log_schema=feed.schema)
+    path = f"{root}/result"
+    sink.read().write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- generator
 
 def claims_generator(spark, sf):
@@ -184,6 +207,7 @@ IO_QUERIES = {
     "stream_job": stream_job,
     "stream_consume": stream_consume,
     "jdbc_upsert": jdbc_upsert,
+    "jdbc_stream_job": jdbc_stream_job,
     "claims_generator": claims_generator,
 }
 

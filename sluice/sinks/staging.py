@@ -98,12 +98,16 @@ def csv_decode(text: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECORDS,
-              compression: str | None = None) -> None:
-    w = csv_encode(df).write.mode("overwrite").options(**CSV_OPTIONS)
+              compression: str | None = None) -> int:
+    """Write staged CSV files in parallel; returns the row count (counted
+    during the write, no extra pass)."""
+    counted, obs = observed(csv_encode(df), "csv_rows")
+    w = counted.write.mode("overwrite").options(**CSV_OPTIONS)
     w = w.option("maxRecordsPerFile", str(max_records))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
+    return int(obs.get.get("n", 0) or 0)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -126,8 +130,10 @@ def read_positional_csv(spark: SparkSession, path: str, names: list[str],
     return raw.select(*cols)
 
 
-def write_parquet(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECORDS) -> None:
-    df.write.mode("overwrite").option("maxRecordsPerFile", str(max_records)).parquet(path)
+def write_parquet(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECORDS) -> int:
+    counted, obs = observed(df, "parquet_rows")
+    counted.write.mode("overwrite").option("maxRecordsPerFile", str(max_records)).parquet(path)
+    return int(obs.get.get("n", 0) or 0)
 
 
 def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: DataFrame | None,
