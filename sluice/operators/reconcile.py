@@ -68,10 +68,12 @@ def left_diff(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
     ``null_safe=False`` reproduces ``a.x <> b.x`` (a NULL on either side never
     counts as a difference); ``True`` uses ``NOT (a.x <=> b.x)``."""
+    from ..sources.snapshot import one_per_key
     keys = list(keys)
     cols = [c for c in a.columns if c not in keys]
-    bb = b.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in cols],
-                  F.lit(True).alias("_b_hit"))
+    bb = one_per_key(b.select(*keys, F.struct(*[F.col(c).alias(f"_b_{c}") for c in cols],
+                                              F.lit(True).alias("_b_hit")).alias("_b")),
+                     keys, "_b", "compared table").select(*keys, "_b.*")
     j = a.join(bb, keys, "left")
     differs = F.col("_b_hit").isNull()
     for c in cols:
@@ -89,6 +91,21 @@ def row_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return only_a.unionByName(only_b)
 
 
+def row_diff_counts(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Multiset difference as distinct rows with their surplus count (``n_rows``)
+    and ``side``. One partial aggregation over both inputs; unlike a
+    row-by-row ``EXCEPT ALL`` it never replicates the copies of a hot row in a
+    single task."""
+    cols = a.columns
+    both = (a.select(*cols, F.lit(1).alias("_s"))
+            .unionByName(b.select(*cols, F.lit(-1).alias("_s"))))
+    g = both.groupBy(*cols).agg(F.sum("_s").cast("long").alias("_d"))
+    return (g.where(F.col("_d") != 0)
+            .select(*cols, F.when(F.col("_d") > 0, F.lit("source_only"))
+                    .otherwise(F.lit("target_only")).alias("side"),
+                    F.abs("_d").alias("n_rows")))
+
+
 def orphan_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target keys that no longer exist in the source (missed deletes of hwm)."""
     keys = list(keys)

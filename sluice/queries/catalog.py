@@ -291,6 +291,13 @@ def row_diff(spark, sf):
     return R.row_diff(fx.orders_old(spark, sf), fx.orders_new(spark, sf))
 
 
+def row_diff_counts(spark, sf):
+    # Every line's (order, return flag) against the same pairs delivered with
+    # duplicates collapsed: each repeated pair is reported with its surplus.
+    a = read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    return R.row_diff_counts(a, a.dropDuplicates())
+
+
 # ---------------------------------------------------------------- normalisation (B1, B2)
 
 def lower_cols_q(spark, sf):
@@ -350,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "left_diff": left_diff,
     "left_diff_null_safe": left_diff_null_safe,
     "row_diff": row_diff,
+    "row_diff_counts": row_diff_counts,
     "lower_cols": lower_cols_q,
     "nan_to_null": nan_to_null_q,
 }

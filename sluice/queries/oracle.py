@@ -202,6 +202,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT *, 'source_only' AS side FROM (SELECT * FROM orders_old EXCEPT ALL SELECT * FROM nn)
         UNION ALL
         SELECT *, 'target_only' AS side FROM (SELECT * FROM nn EXCEPT ALL SELECT * FROM orders_old)""",
+    "row_diff_counts": """
+        WITH a AS (SELECT l_orderkey, l_returnflag FROM lineitem),
+             b AS (SELECT DISTINCT l_orderkey, l_returnflag FROM a),
+             d AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+        SELECT l_orderkey, l_returnflag, 'source_only' AS side, CAST(count(*) AS BIGINT) AS n_rows
+        FROM d GROUP BY l_orderkey, l_returnflag""",
     "lower_cols": "SELECT * FROM orders",
     "nan_to_null": """
         SELECT event_id, ts, user_id, event_type,

@@ -52,3 +52,17 @@ def test_merge_has_no_single_partition_exchange(spark):
 def test_key_order_is_range_partitioned_not_global_sort(spark):
     p = plan(C.full_load(spark, SF01))
     assert "rangepartitioning" in p.lower() and "SinglePartition" not in p
+
+
+def test_snapshot_diff_reduces_per_key_without_extra_exchange(spark):
+    p = plan(C.snapshot_diff_q(spark, SF01))
+    assert p.count("Exchange hashpartitioning") == 2   # one per snapshot, reused by the join
+
+
+def test_snapshot_diff_refuses_duplicate_keys(spark):
+    import pytest
+    from sluice.sources.snapshot import snapshot_diff
+    old = spark.createDataFrame([(1, "a"), (1, "b")], "id long, v string")
+    new = spark.createDataFrame([(1, "a")], "id long, v string")
+    with pytest.raises(Exception, match="duplicate key"):
+        snapshot_diff(old, new, ["id"]).collect()
