@@ -168,24 +168,7 @@ class NativeTable:
                 for b, ps in self._write(conform(upserts), run_id).items():
                     buckets[b] = buckets.get(b, []) + ps
         else:
-            touched_df = None
-            for d in (upserts, deletes):
-                if d is not None:
-                    k = d.select(bucket_of(self.keys, self.n).cast("string").alias("b"))
-                    touched_df = k if touched_df is None else touched_df.unionByName(k)
-            # At most n distinct values: bounded by the bucket count, not the data.
-            touched = sorted({r["b"] for r in touched_df.distinct().collect()}) if touched_df else []
-            if touched:
-                current = self.read(base_v, touched)
-                merged = M.apply_changes(
-                    current.repartition(self.n, *self.keys),
-                    upserts.repartition(self.n, *self.keys) if upserts is not None else None,
-                    deletes.repartition(self.n, *self.keys) if deletes is not None else None,
-                    self.keys, on_match)
-                written = self._write(merged, run_id)
-                for b in touched:
-                    buckets.pop(b, None)
-                buckets.update(written)
+            buckets = self._merge(base_v, buckets, upserts, deletes, on_match, run_id)
 
         manifest = {
             "version": (base_v or 0) + 1,
@@ -203,6 +186,83 @@ class NativeTable:
             raise ConcurrentPublish(f"version {manifest['version']} of {self.root} exists")
         return manifest["version"]
 
+    def _merge(self, base_v: int, buckets: dict[str, list[str]], upserts: DataFrame | None,
+               deletes: DataFrame | None, on_match: str, run_id: str) -> dict[str, list[str]]:
+        """Keyed change against the touched buckets only.
+
+        A bucket is rewritten only if the change matches a key it already holds
+        (update or delete). A bucket that only receives new keys keeps its
+        files and gets the new rows as one more file — inserts never rewrite
+        old data. Which keys already exist is found with a semi-join on the key
+        columns alone (a narrow columnar scan of the touched buckets).
+        """
+        b_col = bucket_of(self.keys, self.n).cast("string")
+        parts = [d.select(b_col.alias("b")) for d in (upserts, deletes) if d is not None]
+        if not parts:
+            return buckets
+        touched_df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        # At most n distinct values: bounded by the bucket count, not the data.
+        touched = sorted({r["b"] for r in touched_df.distinct().collect()})
+        if not touched:
+            return buckets
+        existing = self.read(base_v, touched).select(*self.keys)
+        hits = [d.select(*self.keys).join(existing, self.keys, "left_semi").select(b_col.alias("b"))
+                for d in (upserts, deletes) if d is not None]
+        hit_df = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
+        rewrite = sorted({r["b"] for r in hit_df.distinct().collect()})
+        append_only = [b for b in touched if b not in rewrite]
+
+        in_rewrite = b_col.isin(rewrite) if rewrite else F.lit(False)
+        pieces = []
+        if rewrite:
+            current = self.read(base_v, rewrite)
+            pieces.append(M.apply_changes(
+                current.repartition(self.n, *self.keys),
+                upserts.where(in_rewrite).repartition(self.n, *self.keys) if upserts is not None else None,
+                deletes.where(in_rewrite).repartition(self.n, *self.keys) if deletes is not None else None,
+                self.keys, on_match))
+        if append_only and upserts is not None:
+            schema = T.StructType.fromJson(self.manifest(base_v)["schema"])
+            new_rows = M.truncate_load(self.spark.createDataFrame([], schema),
+                                       upserts.where(~in_rewrite))
+            pieces.append(new_rows.repartition(self.n, *self.keys))
+        out = dict(buckets)
+        if pieces:
+            rows = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
+            written = self._write(rows, run_id)
+            for b in rewrite:
+                out.pop(b, None)
+                if b in written:
+                    out[b] = written[b]
+            for b in append_only:
+                if b in written:
+                    out[b] = out.get(b, []) + written[b]
+        else:
+            for b in rewrite:   # only deletes, and they emptied nothing new
+                out.pop(b, None)
+        return out
+
+    def compact(self, min_files: int = 4) -> int | None:
+        """Rewrite buckets that gathered ``min_files`` or more files (appended
+        inserts) into one file each; returns the new version, or None."""
+        m = self.manifest()
+        if m is None:
+            return None
+        many = [b for b, ps in m["buckets"].items() if len(ps) >= min_files]
+        if not many:
+            return None
+        run_id = f"c{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        written = self._write(self.read(m["version"], many).repartition(self.n, *self.keys), run_id)
+        buckets = {b: ps for b, ps in m["buckets"].items() if b not in many}
+        buckets.update({b: written[b] for b in many if b in written})
+        new = {**m, "version": m["version"] + 1, "buckets": buckets,
+               "run": {"run_id": run_id, "summary": f"compacted {len(many)} buckets"}}
+        if not fs.create_exclusive(self.spark, self._manifest_path(new["version"]),
+                                   json.dumps(new, indent=1, default=str)):
+            fs.delete(self.spark, f"{self.root}/data/{run_id}")
+            raise ConcurrentPublish(f"version {new['version']} of {self.root} exists")
+        return new["version"]
+
     def _spread(self, df: DataFrame) -> DataFrame:
         return df.repartition(self.n, *self.keys) if self.keys else df
 

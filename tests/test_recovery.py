@@ -213,3 +213,26 @@ def test_auto_buckets_from_size(spark, scratch):
     t.publish(upserts=spark.range(200_000).selectExpr("id", "repeat('x', 20) AS v"))
     assert t.n >= 8 and t.manifest()["n_buckets"] == t.n
     assert t.read().count() == 200_000
+
+
+def test_inserts_append_without_rewriting_and_compact(spark, scratch):
+    t = NativeTable(spark, scratch, keys=["id"], buckets=4)
+    t.publish(upserts=spark.createDataFrame([(i, "a") for i in range(40)], "id long, v string"))
+    before_paths = t.manifest()["buckets"]
+    # New keys only: every touched bucket keeps its old file and gains one.
+    t.publish(upserts=spark.createDataFrame([(i, "n") for i in range(100, 140)], "id long, v string"))
+    after_paths = t.manifest()["buckets"]
+    for b, ps in before_paths.items():
+        assert after_paths[b][:len(ps)] == ps and len(after_paths[b]) == len(ps) + 1
+    # An update rewrites only the bucket holding the key.
+    t.publish(upserts=spark.createDataFrame([(5, "u")], "id long, v string"))
+    changed = [b for b in after_paths if t.manifest()["buckets"].get(b) != after_paths[b]]
+    assert len(changed) == 1 and len(t.manifest()["buckets"][changed[0]]) == 1
+    got = dict(map(tuple, t.read().collect()))
+    assert len(got) == 80 and got[5] == "u" and got[120] == "n"
+    # A delete of a key that does not exist changes nothing but the version.
+    t.publish(deletes=spark.createDataFrame([(999,)], "id long"))
+    assert t.read().count() == 80
+    v = t.compact(min_files=2)
+    assert v is not None and all(len(ps) == 1 for ps in t.manifest()["buckets"].values())
+    assert dict(map(tuple, t.read().collect())) == got
