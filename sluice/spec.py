@@ -24,6 +24,8 @@ _IDENT = r"[A-Za-z_][A-Za-z0-9_$]*"
 _PART = rf"(?:{_IDENT}|`[^`]+`)"
 _TABLE_RE = re.compile(rf"^{_PART}(?:\.{_PART}){{0,2}}$")
 _COLUMN_RE = re.compile(rf"^{_IDENT}$")
+# A lookback is a plain interval literal, e.g. "INTERVAL 2 DAYS".
+_LOOKBACK_RE = re.compile(r"^INTERVAL\s+\d+\s+(DAY|HOUR|MINUTE|SECOND)S?$", re.IGNORECASE)
 # A staging location is a path or URI without quotes, spaces or semicolons.
 _STAGE_RE = re.compile(r"^[A-Za-z0-9_./:@~%+=-]+$")
 
@@ -73,6 +75,8 @@ class SyncSpec:
                 return f"{label} {value!r} is not a valid name"
         if self.stage_path is not None and not _STAGE_RE.match(self.stage_path):
             return f"stage_path {self.stage_path!r} is not a valid name"
+        if self.lookback is not None and not _LOOKBACK_RE.match(self.lookback.strip()):
+            return f"lookback {self.lookback!r} is not a valid interval"
         for k in self.keys:
             if not is_column_name(k):
                 return f"key {k!r} is not a valid column name"

@@ -37,11 +37,17 @@ def test_invalid_combinations(kw, message):
     dict(keys=["id)--"]),
     dict(capture="hwm", mode="upsert", keys=["id"], hwm_col="u OR 1=1"),
     dict(staging="csv", stage_path="/s'; rm -rf x"),
+    dict(capture="hwm", mode="upsert", keys=["id"], hwm_col="u", lookback="1) OR (1=1"),
 ])
 def test_identifiers_rejected(kw):
     assert "not a valid" in spec(**kw).validate()
 
 
+def test_lookback_interval_accepted():
+    assert spec(capture="hwm", mode="upsert", keys=["id"], hwm_col="u",
+                lookback="INTERVAL 2 DAYS").validate() is None
+
+
 def test_quoted_names_and_stage_paths_accepted():
     assert spec(source="db.`My Schema`.t", target="dbo.t", staging="csv",
                 stage_path="s3a://bucket/sub-dir/x").validate() is None
