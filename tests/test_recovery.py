@@ -236,3 +236,21 @@ def test_inserts_append_without_rewriting_and_compact(spark, scratch):
     v = t.compact(min_files=2)
     assert v is not None and all(len(ps) == 1 for ps in t.manifest()["buckets"].values())
     assert dict(map(tuple, t.read().collect())) == got
+
+
+def test_jdbc_publish_compare_and_swap(spark):
+    from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url
+    url = derby_memory_url()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    a = JdbcSink(spark, url, "t", keys=["id"])
+    a.execute(create_table_sql("t", df.schema, ["id"]).replace("VARCHAR(32672)", "VARCHAR(20)"))
+    assert a.version() is None
+    assert a.publish(upserts=df, state={"w": 1}) == 1
+    b = JdbcSink(spark, url, "t", keys=["id"])
+    base = b.version()
+    a.publish(upserts=spark.createDataFrame([(1, "A")], "id long, v string"), expected_version=base)
+    with pytest.raises(ConcurrentPublish):
+        b.publish(upserts=spark.createDataFrame([(2, "B")], "id long, v string"),
+                  expected_version=base)
+    assert sorted(map(tuple, a.read().collect())) == [(1, "A"), (2, "b")]
+    assert a.version() == 2 and a.state() == {"w": 1}
