@@ -67,15 +67,11 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
         else:
             store = OutboxStore(spark, spec.outbox)
             consume_to_outbox(spark, spec.change_log, change_log_schema or source.schema, store)
-            rows = store.rows()
+            # Acknowledged with the data (sink) even if the ledger write was lost.
+            window, ids = store.pending_window(spec.target, also_acked=sink.acked())
             plan = None
-            if rows is not None:
-                ledger = store.ledger()
-                done = sink.acked()
-                if done:  # acknowledged with the data but the ledger write was lost
-                    ledger = ledger.unionByName(store.spark.createDataFrame(
-                        [(spec.target, int(c), None) for c in done], ledger.schema))
-                plan = planner.plan_stream(rows, ledger, spec, order_cols=_order_cols(rows))
+            if window is not None:
+                plan = planner.plan_pending(window, ids, spec, order_cols=_order_cols(window))
         if plan is None:
             summary.update(status="no_changes", version=base_version)
             return summary

@@ -118,6 +118,23 @@ class OutboxStore:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
 
+    def consume_ids(self) -> list[int]:
+        return sorted(fs.partition_values(self.spark, self.rows_path, CONSUME))
+
+    def acked_ids(self, target: str) -> set[int]:
+        return {r[CONSUME] for r in acked_consumes(self.ledger(), target).collect()}
+
+    def pending_window(self, target: str, also_acked=()) -> tuple[DataFrame | None, list[int]]:
+        """Rows of the pending consumes (not acknowledged for ``target``), read
+        through a partition filter so delivered consumes are never scanned.
+        The id lists are bounded by the number of retained consumes."""
+        done = self.acked_ids(target) | {int(a) for a in also_acked}
+        ids = [c for c in self.consume_ids() if c not in done]
+        if not ids:
+            return None, []
+        rows = self.spark.read.parquet(self.rows_path).where(F.col(CONSUME).isin(ids))
+        return rows, ids
+
     def write_consume(self, feed: DataFrame, consume_id: int, loaded_at=None) -> None:
         """Write one consume; replaying the same id rewrites only its partition."""
         loaded_at = loaded_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

@@ -66,3 +66,16 @@ def test_snapshot_diff_refuses_duplicate_keys(spark):
     new = spark.createDataFrame([(1, "a")], "id long, v string")
     with pytest.raises(Exception, match="duplicate key"):
         snapshot_diff(old, new, ["id"]).collect()
+
+
+def test_pending_outbox_read_prunes_partitions(spark, scratch):
+    from sluice.streaming.outbox import OutboxStore
+    store = OutboxStore(spark, scratch)
+    feed = spark.createDataFrame([(1, "INSERT")], "id long, _cdc_action string")
+    for c in range(3):
+        store.write_consume(feed, c)
+    store.acknowledge([0, 1], "t")
+    window, ids = store.pending_window("t")
+    assert ids == [2]
+    assert "PartitionFilters: [isnotnull(consume_id" in plan(window)
+    assert [r.consume_id for r in window.select("consume_id").collect()] == [2]
