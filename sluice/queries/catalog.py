@@ -107,6 +107,11 @@ def snapshot_diff_q(spark, sf):
     return snapshot_diff(fx.orders_old(spark, sf), fx.orders_new(spark, sf), ORDER_KEY)
 
 
+def snapshot_diff_bucketed(spark, sf):
+    return snapshot_diff(fx.orders_old(spark, sf), fx.orders_new(spark, sf), ORDER_KEY,
+                         prefilter_buckets=64)
+
+
 def changes_between_q(spark, sf):
     return changes_between(fx.events_feed(spark, sf), "ts", "2024-01-10 00:00:00",
                            "2024-01-17 00:00:00")
@@ -327,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "row_count_and_latest": row_count_and_latest,
     "changed_recently": changed_recently,
     "snapshot_diff": snapshot_diff_q,
+    "snapshot_diff_bucketed": snapshot_diff_bucketed,
     "changes_between": changes_between_q,
     "change_feed": change_feed,
     "net_change": net_change_q,

@@ -288,5 +288,6 @@ ORACLE_SQL.update({
         SELECT event_id, ts AS ts_utc, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || 'Z' AS ts_text
         FROM events""",
     "staged_delete": ORACLE_SQL["delete_by_key"],
+    "snapshot_diff_bucketed": ORACLE_SQL["snapshot_diff"],
     "jdbc_stream_job": ORACLE_SQL["stream_job"],
 })

@@ -79,3 +79,19 @@ def test_pending_outbox_read_prunes_partitions(spark, scratch):
     assert ids == [2]
     assert "PartitionFilters: [isnotnull(consume_id" in plan(window)
     assert [r.consume_id for r in window.select("consume_id").collect()] == [2]
+
+
+def test_bucket_prefilter_skips_equal_buckets(spark):
+    from sluice.sources.snapshot import differing_buckets, snapshot_diff
+    old = spark.createDataFrame([(i, "v", None) for i in range(200)], "id long, v string, w string")
+    new = old.where("id != 7").union(spark.createDataFrame([(500, "n", None)], old.schema))
+    new = new.selectExpr("id", "CASE WHEN id = 9 THEN NULL ELSE v END AS v", "w")
+    diff = differing_buckets(old, new, ["id"], 32)
+    assert 1 <= len(diff) <= 3          # only the buckets of ids 7, 9 and 500
+    full = sorted(map(tuple, snapshot_diff(old, new, ["id"]).collect()), key=repr)
+    pre = sorted(map(tuple, snapshot_diff(old, new, ["id"], prefilter_buckets=32).collect()), key=repr)
+    assert full == pre and len(full) == 4
+    # Swapped NULLs between two columns are still seen as a change.
+    a = spark.createDataFrame([(1, None, "x")], "id long, v string, w string")
+    b = spark.createDataFrame([(1, "x", None)], "id long, v string, w string")
+    assert differing_buckets(a, b, ["id"], 4) != []
