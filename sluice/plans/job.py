@@ -92,9 +92,13 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             truncate=plan.truncate, append=spec.mode == "append", on_match=spec.on_match,
             state=plan.new_state, ack=plan.ack, expected_version=base_version,
             run={"summary": plan.summary})
-        summary["rows_written"] = int(obs.get.get("n", 0) or 0)
-        if del_obs is not None:
-            summary["rows_deleted"] = int(del_obs.get.get("n", 0) or 0)
+        counts = getattr(sink, "last_counts", None)
+        if counts is not None:   # the sink counted what it staged
+            summary["rows_written"], summary["rows_deleted"] = counts["written"], counts["deleted"]
+        else:
+            summary["rows_written"] = int(obs.get.get("n", 0) or 0)
+            if del_obs is not None:
+                summary["rows_deleted"] = int(del_obs.get.get("n", 0) or 0)
         if stage_base and not spec.keep_files:
             staging.remove_stage(spark, stage_base)
         if spec.capture == "stream":

@@ -254,3 +254,14 @@ def test_jdbc_publish_compare_and_swap(spark):
                   expected_version=base)
     assert sorted(map(tuple, a.read().collect())) == [(1, "A"), (2, "b")]
     assert a.version() == 2 and a.state() == {"w": 1}
+
+
+def test_jdbc_run_counts_rows(spark):
+    from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url
+    url = derby_memory_url()
+    src = after(spark, "stream")
+    sink = JdbcSink(spark, url, "r", keys=["id"], max_connections=3)
+    sink.execute(create_table_sql("r", src.schema, ["id"]).replace("VARCHAR(32672)", "VARCHAR(20)"))
+    s = job.run(spark, SyncSpec("src", "r", mode="upsert", keys=["id"]), src, sink)
+    assert s["rows_written"] == 7 and s["version"] == 1
+    assert sorted(map(tuple, sink.read().collect())) == sorted(map(tuple, src.collect()))
