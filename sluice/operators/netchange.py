@@ -66,7 +66,7 @@ def net_change(feed: DataFrame, keys: Sequence[str], consume_col: str = CONSUME,
 def split_actions(net: DataFrame, keys: Sequence[str],
                   action_col: str = ACTION) -> tuple[DataFrame, DataFrame]:
     """Upserts (full rows without CDC columns) and deletes (key columns only)."""
-    cdc = [c for c in net.columns if c in CDC_COLUMNS or c == action_col]
+    cdc = [c for c in net.columns if c.startswith("_cdc_") or c in CDC_COLUMNS or c == action_col]
     upserts = net.where(F.col(action_col) == "INSERT").drop(*cdc)
     deletes = net.where(F.col(action_col) == "DELETE").select(*keys)
     return upserts, deletes

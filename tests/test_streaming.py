@@ -62,3 +62,23 @@ def test_new_checkpoint_on_non_empty_outbox_refused(spark, scratch):
     fs.delete(spark, f"{scratch}/outbox/_checkpoint")
     with pytest.raises(RuntimeError, match="checkpoint is missing"):
         consume_to_outbox(spark, log, schema, store)
+
+
+def test_raw_log_with_sequence_reduces_sequence_first(spark, scratch):
+    """Several actions of one key inside one consume: the last by sequence wins,
+    so an INSERT followed by a DELETE deletes."""
+    from sluice.plans import job
+    from sluice.sinks.native import NativeTable
+    from sluice.spec import SyncSpec
+    table = NativeTable(spark, f"{scratch}/t", keys=["id"], buckets=2)
+    table.publish(upserts=spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"))
+    cols = "id long, v string, _cdc_action string, _cdc_is_update boolean, _cdc_commit_seq long"
+    log = spark.createDataFrame([(1, "x", "INSERT", False, 1), (1, "x", "DELETE", False, 2),
+                                 (3, "y", "INSERT", False, 3), (3, "y", "DELETE", False, 4),
+                                 (3, "z", "INSERT", False, 5)], cols)
+    log.coalesce(1).write.parquet(f"{scratch}/log")
+    spec = SyncSpec("src", "t", capture="stream", mode="upsert", keys=["id"],
+                    change_log=f"{scratch}/log", outbox=f"{scratch}/outbox")
+    s = job.run(spark, spec, log, table, change_log_schema=log.schema)
+    assert (s["rows_written"], s["rows_deleted"]) == (1, 1)
+    assert sorted(map(tuple, table.read().collect())) == [(2, "b"), (3, "z")]
