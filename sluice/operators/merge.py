@@ -89,8 +89,18 @@ def apply_changes(target: DataFrame, upserts: DataFrame | None, deletes: DataFra
 
 
 def apply_net_change(target: DataFrame, net: DataFrame, keys: Sequence[str],
-                     on_match: str = "update", action_col: str = ACTION) -> DataFrame:
-    """Apply a reduced feed (one row per key with INSERT/DELETE)."""
+                     on_match: str = "update", action_col: str = ACTION,
+                     materialize: bool = True) -> DataFrame:
+    """Apply a reduced feed (one row per key with INSERT/DELETE).
+
+    The net change is referenced by the delete keys, the touched keys and the
+    new rows; Spark would recompute its whole lineage (often a diff of two
+    snapshots) for each. ``materialize`` checkpoints it once to the shared
+    folder (``spark.checkpoint.dir``) so every reference reads that instead."""
+    if materialize:
+        from ..session import checkpoint_dir
+        checkpoint_dir(net.sparkSession)
+        net = net.checkpoint(eager=True)
     cdc = [c for c in net.columns if c.startswith("_cdc_") or c == "consume_id"]
     upserts = net.where(F.col(action_col) == "INSERT").drop(*cdc)
     deletes = net.where(F.col(action_col) == "DELETE").select(*keys)
