@@ -27,6 +27,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    fs, p = _fs(spark, src)
+    jvm = spark.sparkContext._jvm
+    return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

@@ -103,6 +103,7 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             staging.remove_stage(spark, stage_base)
         if spec.capture == "stream":
             store.acknowledge(plan.ack, spec.target)
+            store.compact_ledger()
             purged = store.purge(spec.target,
                                  now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                                  spec.outbox_retention_days)

@@ -33,7 +33,9 @@ def build_session(master: str = "local[*]", app: str = "sluice",
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         # Checkpoints of lineage cuts are removed once no DataFrame needs them.
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**SESSION_CONF, **extra}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

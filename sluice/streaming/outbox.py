@@ -152,6 +152,25 @@ class OutboxStore:
         rows = [(target, int(c), acked_at) for c in window_ids]
         self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append").parquet(self.ledger_path)
 
+    def compact_ledger(self, max_files: int = 64) -> bool:
+        """Fold the ledger's per-run files into one once there are many.
+
+        The folded file is moved in first and the old files removed after, so
+        a crash in between leaves duplicate ledger rows (harmless: acknowledged
+        ids are read as a set), never missing ones."""
+        old = [n for n in fs.list_names(self.spark, self.ledger_path) if n.endswith(".parquet")]
+        if len(old) < max_files:
+            return False
+        tmp = f"{self.path}/ledger_compact"
+        self.ledger().coalesce(1).write.mode("overwrite").parquet(tmp)
+        for n in fs.list_names(self.spark, tmp):
+            if n.endswith(".parquet"):
+                fs.rename(self.spark, f"{tmp}/{n}", f"{self.ledger_path}/compact-{n}")
+        for n in old:
+            fs.delete(self.spark, f"{self.ledger_path}/{n}")
+        fs.delete(self.spark, tmp)
+        return True
+
     def purge(self, target: str, now, retention_days: int) -> list[int]:
         """Delete delivered partitions older than the retention; returns their ids."""
         rows = self.rows()

@@ -82,3 +82,13 @@ def test_raw_log_with_sequence_reduces_sequence_first(spark, scratch):
     s = job.run(spark, spec, log, table, change_log_schema=log.schema)
     assert (s["rows_written"], s["rows_deleted"]) == (1, 1)
     assert sorted(map(tuple, table.read().collect())) == [(2, "b"), (3, "z")]
+
+
+def test_ledger_compaction_keeps_every_ack(spark, scratch):
+    store = OutboxStore(spark, scratch)
+    for c in range(5):
+        store.acknowledge([c], "t")
+    assert store.compact_ledger(max_files=3)
+    assert store.acked_ids("t") == {0, 1, 2, 3, 4}
+    from sluice import fs
+    assert len([n for n in fs.list_names(spark, store.ledger_path) if n.endswith(".parquet")]) == 1
