@@ -84,6 +84,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             stage_base = f"{root}/{run_id}"
             upserts, plan.deletes = staging.stage_round_trip(
                 spark, upserts, plan.deletes, spec.staging, root, run_id)
+        # Consumes below the oldest one still in the outbox can never be pending again.
+        ack_floor = {"ack_floor": min(store.consume_ids())} if spec.capture == "stream" else {}
         counted, obs = staging.observed(upserts, "written")
         deletes, del_obs = (staging.observed(plan.deletes, "deleted") if plan.deletes is not None
                             else (None, None))
@@ -91,7 +93,7 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             upserts=counted, deletes=deletes,
             truncate=plan.truncate, append=spec.mode == "append", on_match=spec.on_match,
             state=plan.new_state, ack=plan.ack, expected_version=base_version,
-            run={"summary": plan.summary})
+            run={"summary": plan.summary}, **ack_floor)
         counts = getattr(sink, "last_counts", None)
         if counts is not None:   # the sink counted what it staged
             summary["rows_written"], summary["rows_deleted"] = counts["written"], counts["deleted"]

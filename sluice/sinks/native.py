@@ -140,7 +140,7 @@ class NativeTable:
     def publish(self, upserts: DataFrame | None = None, deletes: DataFrame | None = None,
                 truncate: bool = False, append: bool = False, on_match: str = "update",
                 state: dict | None = None, ack: Sequence[int] = (), run: dict | None = None,
-                expected_version: int | None = -1) -> int:
+                expected_version: int | None = -1, ack_floor: int | None = None) -> int:
         """Apply a change and commit it with the progress; returns the new version.
 
         ``expected_version=-1`` means "the version current when publish starts".
@@ -181,7 +181,9 @@ class NativeTable:
             "n_buckets": self.n,
             "buckets": buckets,
             "state": state if state is not None else (base or {}).get("state", {}),
-            "acked": sorted(set((base or {}).get("acked", [])) | {int(a) for a in ack}),
+            # Ids below the floor were purged after being acknowledged: forget them.
+            "acked": sorted(a for a in set((base or {}).get("acked", [])) | {int(a) for a in ack}
+                            if ack_floor is None or a >= ack_floor),
             "run": {"run_id": run_id, **(run or {})},
         }
         if not fs.create_exclusive(self.spark, self._manifest_path(manifest["version"]),

@@ -92,3 +92,20 @@ def test_ledger_compaction_keeps_every_ack(spark, scratch):
     assert store.acked_ids("t") == {0, 1, 2, 3, 4}
     from sluice import fs
     assert len([n for n in fs.list_names(spark, store.ledger_path) if n.endswith(".parquet")]) == 1
+
+
+def test_acked_ids_are_pruned_below_the_outbox(spark, scratch):
+    from sluice.plans import job
+    from sluice.sinks.native import NativeTable
+    from sluice.spec import SyncSpec
+    table = NativeTable(spark, f"{scratch}/t", keys=["id"], buckets=2)
+    table.publish(upserts=spark.createDataFrame([(0, "a")], "id long, v string"))
+    spec = SyncSpec("src", "t", capture="stream", mode="upsert", keys=["id"],
+                    change_log=f"{scratch}/log", outbox=f"{scratch}/outbox")
+    for i in range(1, 4):
+        write_log(spark, f"{scratch}/log", [(i, f"v{i}", "INSERT", False)])
+        s = job.run(spark, spec, spark.createDataFrame([], SCHEMA), table,
+                    change_log_schema=spark.createDataFrame([], SCHEMA).schema)
+        assert s["status"] == "ok"
+    assert len(table.acked()) <= 1
+    assert sorted(r.id for r in table.read().collect()) == [0, 1, 2, 3]
