@@ -109,3 +109,12 @@ def test_acked_ids_are_pruned_below_the_outbox(spark, scratch):
         assert s["status"] == "ok"
     assert len(table.acked()) <= 1
     assert sorted(r.id for r in table.read().collect()) == [0, 1, 2, 3]
+
+
+def test_processing_time_trigger_consumes_until_stopped(spark, scratch):
+    log = f"{scratch}/log"
+    schema = spark.createDataFrame([], SCHEMA).schema
+    write_log(spark, log, [(i, "a", "INSERT", False) for i in range(3)])
+    store = OutboxStore(spark, f"{scratch}/outbox")
+    new = consume_to_outbox(spark, log, schema, store, processing_time="1 second", timeout_s=6)
+    assert new and store.rows().count() == 3
