@@ -6,11 +6,13 @@ Layout under the table folder::
                                   state, acked, run}
     data/<run id>/_bucket=<b>/   Parquet files written by one publish
 
-A publish writes only the buckets the change touches, then creates the next
-manifest *exclusively*; that create is the compare-and-swap: data, watermark
-and acknowledged consumes become visible together or not at all, and of two
-concurrent runs exactly one wins (the other raises ``ConcurrentPublish`` and
-publishes nothing). Readers list the manifest and read the paths it names.
+A publish rewrites only the buckets whose keys the change matches (updates,
+deletes); buckets that only receive new keys get one more file. It then
+creates the next manifest *exclusively*. That create is the compare-and-swap:
+data, watermark and acknowledged consumes become visible together or not at
+all, and of two concurrent runs exactly one wins (the other raises
+``ConcurrentPublish`` and publishes nothing). Readers list the manifest and
+read the paths it names.
 
 Bucket ids are ``pmod(hash(keys), n)`` — the same function Spark's hash
 partitioner applies — and both sides of the merge are repartitioned into
