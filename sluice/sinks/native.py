@@ -2,7 +2,7 @@
 
 Layout under the table folder::
 
-    _manifest/v0000000001.json   {version, schema, keys, buckets: {b: [paths]},
+    _manifest/v0000000001.json   {version, schema, keys, buckets: {b: [run ids]},
                                   state, acked, run}
     data/<run id>/_bucket=<b>/   Parquet files written by one publish
 
@@ -12,7 +12,8 @@ creates the next manifest *exclusively*. That create is the compare-and-swap:
 data, watermark and acknowledged consumes become visible together or not at
 all, and of two concurrent runs exactly one wins (the other raises
 ``ConcurrentPublish`` and publishes nothing). Readers list the manifest and
-read the paths it names.
+read the files it names. A bucket's entry lists run ids only (its folder is
+``data/<run id>/_bucket=<b>``), so the manifest stays small with many buckets.
 
 Bucket ids are ``pmod(hash(keys), n)`` — the same function Spark's hash
 partitioner applies — and both sides of the merge are repartitioned into
@@ -108,6 +109,10 @@ class NativeTable:
         m = self.manifest()
         return [] if m is None else m.get("acked", [])
 
+    def _path(self, run_id: str, bucket: str) -> str:
+        base = f"{self.root}/data/{run_id}"
+        return base if bucket == KEYLESS else f"{base}/{BUCKET}={bucket}"
+
     def read(self, version: int | None = None, buckets: Sequence[str] | None = None) -> DataFrame:
         m = self.manifest(version)
         if m is None:
@@ -115,7 +120,7 @@ class NativeTable:
         schema = T.StructType.fromJson(m["schema"])
         chosen = m["buckets"] if buckets is None else {b: m["buckets"][b] for b in buckets
                                                        if b in m["buckets"]}
-        paths = [p for ps in chosen.values() for p in ps]
+        paths = [self._path(r, b) for b, runs in chosen.items() for r in runs]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -123,7 +128,7 @@ class NativeTable:
     # -------------------------------------------------------------- writing
 
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:
-        """Write rows bucketed; returns {bucket: [path]} of what was written."""
+        """Write rows bucketed; returns {bucket: [run id]} of what was written."""
         out = f"{self.root}/data/{run_id}"
         w_opts = {"maxRecordsPerFile": str(self.max_records)}
         if self.keys:
@@ -134,10 +139,10 @@ class NativeTable:
                     .sortWithinPartitions(BUCKET, *self.keys))
             rows.write.mode("overwrite").options(**w_opts).partitionBy(BUCKET).parquet(out)
             pre = f"{BUCKET}="
-            return {n[len(pre):]: [f"{out}/{n}"]
+            return {n[len(pre):]: [run_id]
                     for n in fs.list_names(self.spark, out) if n.startswith(pre)}
         df.write.mode("overwrite").options(**w_opts).parquet(out)
-        return {KEYLESS: [out]}
+        return {KEYLESS: [run_id]}
 
     def publish(self, upserts: DataFrame | None = None, deletes: DataFrame | None = None,
                 truncate: bool = False, append: bool = False, on_match: str = "update",
@@ -282,9 +287,8 @@ class NativeTable:
         live = set()
         for i in range(max(1, v - keep_versions + 1), v + 1):
             m = self.manifest(i)
-            for ps in m["buckets"].values():
-                for p in ps:
-                    live.add(p.split("/data/")[1].split("/")[0])
+            for runs in m["buckets"].values():
+                live.update(runs)
         gone = []
         for name in fs.list_names(self.spark, f"{self.root}/data"):
             if name not in live:
