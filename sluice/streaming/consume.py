@@ -30,14 +30,18 @@ class StaleFeed(RuntimeError):
 
 def consume_to_outbox(spark: SparkSession, change_log: str, schema: T.StructType,
                       outbox: OutboxStore, max_files_per_trigger: int | None = None,
-                      processing_time: str | None = None, timeout_s: float | None = None) -> list[int]:
+                      processing_time: str | None = None, timeout_s: float | None = None,
+                      max_file_age: str = "36500d") -> list[int]:
     """Move every pending change-log row into the outbox; returns new consume ids."""
     ckpt = f"{outbox.path}/_checkpoint"
     if not fs.exists(spark, ckpt) and outbox.rows() is not None:
         raise RuntimeError("outbox holds rows but its checkpoint is missing; "
                            "a new checkpoint would reuse consume ids")
     before = set(fs.partition_values(spark, outbox.rows_path, "consume_id"))
-    reader = spark.readStream.schema(schema)
+    # The file source would skip files older than maxFileAge (7 days by default)
+    # relative to the newest file seen; a late-arriving change file must still
+    # be delivered, so the age limit is lifted.
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(change_log)
