@@ -127,3 +127,21 @@ def test_hot_key_holding_a_third_of_the_log(spark):
     assert len(hot) == 1 and (hot[0].v, hot[0]._cdc_action) == (last[1], last[2])
     feed = feed_per_consume(log, ["k"], "seq")
     assert feed.where("k = 0").count() <= 2 * (n // 1000)
+
+
+def test_plan_stream_over_outbox_dataframes(spark):
+    from sluice.plans.planner import plan_stream
+    from sluice.spec import SyncSpec
+    from sluice.streaming.outbox import LEDGER_SCHEMA
+    cols = "id long, v string, _cdc_action string, consume_id long"
+    rows = spark.createDataFrame([(1, "a", "INSERT", 1), (2, "b", "INSERT", 2),
+                                  (1, "a", "DELETE", 3), (3, "c", "INSERT", 3)], cols)
+    ledger = spark.createDataFrame([("t", 1, None)], LEDGER_SCHEMA)
+    spec = SyncSpec("s", "t", capture="stream", mode="upsert", keys=["id"],
+                    change_log="/l", outbox="/o")
+    plan = plan_stream(rows, ledger, spec)
+    assert plan.ack == [2, 3]
+    assert sorted(map(tuple, plan.upserts.collect())) == [(2, "b"), (3, "c")]
+    assert [r.id for r in plan.deletes.collect()] == [1]
+    assert plan_stream(rows, spark.createDataFrame(
+        [("t", c, None) for c in (1, 2, 3)], LEDGER_SCHEMA), spec) is None
