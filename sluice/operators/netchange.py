@@ -72,6 +72,18 @@ def split_actions(net: DataFrame, keys: Sequence[str],
     return upserts, deletes
 
 
+def check_ties(feed: DataFrame, keys: Sequence[str], consume_col: str = CONSUME,
+               action_col: str = ACTION, order_cols: Sequence[str] = ()) -> None:
+    """Raise when two changes of a key share consume, order and action: the
+    net change would then pick one arbitrarily. One partial aggregation."""
+    grp = [*keys, consume_col, *order_cols, action_col]
+    tie = (feed.select(*grp).groupBy(*grp).agg(F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") > 1).first())
+    if tie is not None:
+        raise ValueError(f"ambiguous change order for key {[tie[k] for k in keys]}: "
+                         f"{tie['n']} changes share consume/order/action; add an order column")
+
+
 def net_delete_keys(feed: DataFrame, keys: Sequence[str], consume_col: str = CONSUME,
                     action_col: str = ACTION, order_cols: Sequence[str] = ()) -> DataFrame:
     """Keys whose net change is a DELETE, reduced over only the key, consume,

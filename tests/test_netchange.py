@@ -145,3 +145,12 @@ def test_plan_stream_over_outbox_dataframes(spark):
     assert [r.id for r in plan.deletes.collect()] == [1]
     assert plan_stream(rows, spark.createDataFrame(
         [("t", c, None) for c in (1, 2, 3)], LEDGER_SCHEMA), spec) is None
+
+
+def test_ambiguous_changes_are_refused(spark):
+    from sluice.operators.netchange import check_ties
+    feed = spark.createDataFrame([(1, "a", "INSERT", 1), (1, "b", "INSERT", 1)],
+                                 "id long, v string, _cdc_action string, consume_id long")
+    with pytest.raises(ValueError, match="ambiguous"):
+        check_ties(feed, ["id"])
+    check_ties(feed.withColumn("seq", F.monotonically_increasing_id()), ["id"], order_cols=["seq"])
