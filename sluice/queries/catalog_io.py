@@ -190,6 +190,21 @@ def jdbc_stream_job(spark, sf):
     return spark.read.parquet(path)
 
 
+def composite_key_upsert(spark, sf):
+    """Upsert on a two-column key through the native sink: later turns of each
+    conversation replace stale text and add the turns the target lacked."""
+    root = work_path(spark, "native", "composite")
+    keys = ["conv_id", "turn"]
+    conv = read_table(spark, sf, "conversations")
+    stale = (conv.where(F.col("turn") <= 3)
+             .withColumn("text", F.when(F.col("turn") >= 2, F.lit("stale")).otherwise(F.col("text"))))
+    table = NativeTable(spark, f"{root}/conv_t", keys=keys, buckets=8)
+    job.run(spark, SyncSpec("conv_v1", "conv_t", keys=keys), stale, table)
+    job.run(spark, SyncSpec("conversations", "conv_t", mode="upsert", keys=keys),
+            conv.where(F.col("turn") >= 2), table)
+    return table.read()
+
+
 # ---------------------------------------------------------------- generator
 
 def claims_generator(spark, sf):
@@ -208,6 +223,7 @@ IO_QUERIES = {
     "stream_consume": stream_consume,
     "jdbc_upsert": jdbc_upsert,
     "jdbc_stream_job": jdbc_stream_job,
+    "composite_key_upsert": composite_key_upsert,
     "claims_generator": claims_generator,
 }
 

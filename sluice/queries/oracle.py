@@ -290,4 +290,5 @@ ORACLE_SQL.update({
     "staged_delete": ORACLE_SQL["delete_by_key"],
     "snapshot_diff_bucketed": ORACLE_SQL["snapshot_diff"],
     "jdbc_stream_job": ORACLE_SQL["stream_job"],
+    "composite_key_upsert": "SELECT * FROM conversations",
 })
