@@ -83,7 +83,7 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             root = (spec.stage_path or work_path(spark, "stage")).rstrip("/")
             stage_base = f"{root}/{run_id}"
             upserts, plan.deletes = staging.stage_round_trip(
-                spark, upserts, plan.deletes, spec.staging, root, run_id)
+                spark, upserts, plan.deletes, spec.staging, root, run_id, keys=spec.keys)
         # Consumes below the oldest one still in the outbox can never be pending again.
         ack_floor = {"ack_floor": min(store.consume_ids())} if spec.capture == "stream" else {}
         counted, obs = staging.observed(upserts, "written")

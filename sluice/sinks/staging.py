@@ -137,11 +137,15 @@ def write_parquet(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECOR
 
 
 def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: DataFrame | None,
-                     fmt: str, stage_root: str | None, run_id: str
+                     fmt: str, stage_root: str | None, run_id: str, keys=()
                      ) -> tuple[DataFrame | None, DataFrame | None]:
     """Write ``<stage>/<run>/{upsert,delete}`` and return typed readers of them.
-    The folder is removed by the caller after a successful publish (kept after
-    a failure, or when asked to keep files)."""
+
+    With ``keys`` the staged files are key-clustered (range partitions, sorted
+    inside), so whoever loads them reads key ranges in order. The folder is
+    removed by the caller after a successful publish (kept after a failure,
+    or when asked to keep files)."""
+    from ..operators.order import key_order
     from ..session import work_path
     base = f"{stage_root.rstrip('/')}/{run_id}" if stage_root else work_path(spark, "stage")
     out = []
@@ -149,6 +153,8 @@ def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: Da
         if df is None:
             out.append(None)
             continue
+        if keys:
+            df = key_order(df, keys)
         path = f"{base}/{part}"
         if fmt == "csv":
             write_csv(df, path)
