@@ -10,11 +10,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def key_order(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Without ``partitions`` the range count follows the shuffle settings and
-    AQE coalesces it to the data size."""
+    AQE coalesces it to the data size.
+
+    A range partitioner cannot split one key value, so a key holding a third
+    of the rows would land in one task; a hash of the whole row as the last
+    range column spreads such a key over neighbouring partitions while the
+    overall key order is kept (rows are sorted by the keys inside each)."""
     keys = list(keys)
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tb")
+    by = [*[F.col(k) for k in keys], tiebreak]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     return ranged.sortWithinPartitions(*keys)

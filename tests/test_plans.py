@@ -95,3 +95,17 @@ def test_bucket_prefilter_skips_equal_buckets(spark):
     a = spark.createDataFrame([(1, None, "x")], "id long, v string, w string")
     b = spark.createDataFrame([(1, "x", None)], "id long, v string, w string")
     assert differing_buckets(a, b, ["id"], 4) != []
+
+
+def test_key_order_spreads_a_hot_key(spark):
+    from pyspark.sql import functions as F
+    from sluice.operators.order import key_order
+    df = spark.range(60_000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("k"),
+                                    F.col("id").alias("v"))
+    out = key_order(df, ["k"], partitions=8)
+    sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) < 20_000 * 0.9     # the hot key is split
+    parts = out.select(F.spark_partition_id().alias("p"), "k").groupBy("p").agg(
+        F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("p").collect()
+    for a, b in zip(parts, parts[1:]):
+        assert a.hi <= b.lo                                   # global key order holds
