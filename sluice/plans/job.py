@@ -76,14 +76,15 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             summary.update(status="no_changes", version=base_version)
             return summary
         upserts = plan.upserts
-        if spec.keys and check_key_quality:
-            check_keys(upserts, spec.keys)
+        keys = [k.lower() for k in spec.keys] if spec.lower_cols else list(spec.keys)
+        if keys and check_key_quality:
+            check_keys(upserts, keys)
         stage_base = None
         if spec.staging != "direct":
             root = (spec.stage_path or work_path(spark, "stage")).rstrip("/")
             stage_base = f"{root}/{run_id}"
             upserts, plan.deletes = staging.stage_round_trip(
-                spark, upserts, plan.deletes, spec.staging, root, run_id, keys=spec.keys)
+                spark, upserts, plan.deletes, spec.staging, root, run_id, keys=keys)
         # Consumes below the oldest one still in the outbox can never be pending again.
         ack_floor = {"ack_floor": min(store.consume_ids())} if spec.capture == "stream" else {}
         counted, obs = staging.observed(upserts, "written")

@@ -265,3 +265,12 @@ def test_jdbc_run_counts_rows(spark):
     s = job.run(spark, SyncSpec("src", "r", mode="upsert", keys=["id"]), src, sink)
     assert s["rows_written"] == 7 and s["version"] == 1
     assert sorted(map(tuple, sink.read().collect())) == sorted(map(tuple, src.collect()))
+
+
+def test_lower_cols_run_with_upper_case_source(spark, scratch):
+    src = spark.createDataFrame([(1, "a", T0), (2, "b", T0)], "ID long, V string, UPDATED_AT timestamp_ntz")
+    table = NativeTable(spark, scratch, keys=["id"], buckets=2)
+    spec = SyncSpec("src", "tgt", capture="hwm", mode="upsert", keys=["ID"], hwm_col="UPDATED_AT",
+                    lower_cols=True)
+    s = job.run(spark, spec, src, table)
+    assert s["rows_written"] == 2 and table.read().columns == ["id", "v", "updated_at"]
