@@ -30,6 +30,8 @@ from . import fixtures as fx
 def _csv_round_trip(spark, sf, table):
     src = read_table(spark, sf, table)
     path = work_path(spark, "csv", table)
+    # Documents run to ~20,000 words: 200 per file keeps files near 20 MB, so a
+    # multiLine (unsplittable) CSV stage still reads in parallel.
     staging.write_csv(src, path, max_records=200)
     return staging.read_csv(spark, path, src.schema)
 
