@@ -34,6 +34,7 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("mode", T.StringType()),
     T.StructField("rows_written", T.LongType()),
     T.StructField("rows_deleted", T.LongType()),
+    T.StructField("rows_consumed", T.LongType()),
     T.StructField("consumes_purged", T.LongType()),
     T.StructField("version", T.LongType()),
     T.StructField("seconds", T.DoubleType()),
@@ -56,7 +57,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
     run_id = uuid.uuid4().hex
     summary = {"run_id": run_id, "source": spec.source, "target": spec.target,
                "capture": spec.capture, "staging": spec.staging, "mode": spec.mode,
-               "rows_written": 0, "rows_deleted": 0, "consumes_purged": 0, "version": None,
+               "rows_written": 0, "rows_deleted": 0, "rows_consumed": 0, "consumes_purged": 0,
+               "version": None,
                "message": ""}
     try:
         base_version = sink.version()
@@ -66,7 +68,10 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             plan = planner.plan_hwm(source, spec, sink.state())
         else:
             store = OutboxStore(spark, spec.outbox)
-            consume_to_outbox(spark, spec.change_log, change_log_schema or source.schema, store)
+            new_ids = consume_to_outbox(spark, spec.change_log, change_log_schema or source.schema,
+                                        store)
+            if new_ids:   # row counts of the new partitions come from Parquet footers
+                summary["rows_consumed"] = store.rows().where(F.col("consume_id").isin(new_ids)).count()
             # Acknowledged with the data (sink) even if the ledger write was lost.
             window, ids = store.pending_window(spec.target, also_acked=sink.acked())
             plan = None

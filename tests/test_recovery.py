@@ -193,6 +193,7 @@ def test_stream_run_purges_and_logs(spark, scratch):
     feed.write.parquet(f"{scratch}/log")
     s = run_once(spark, "stream", scratch, table, new, feed.schema)
     assert (s["rows_written"], s["rows_deleted"], s["consumes_purged"]) == (4, 2, 1)
+    assert s["rows_consumed"] == feed.count()
     assert OutboxStore(spark, f"{scratch}/outbox").rows() is None
 
 
