@@ -92,6 +92,17 @@ def parquet_staging(spark, sf):
 def hwm_job(spark, sf):
     """Full load of the old snapshot, then two hwm runs (the second finds
     nothing) against the current table, through the native sink."""
+    return _hwm_runs(spark, sf)[0].read()
+
+
+def run_log(spark, sf):
+    """The run log of the hwm scenario: one row per run (deterministic columns)."""
+    root = _hwm_runs(spark, sf)[1]
+    return (job.read_run_log(spark, f"{root}/_runs")
+            .select("capture", "mode", "status", "rows_written", "rows_deleted"))
+
+
+def _hwm_runs(spark, sf):
     root = work_path(spark, "native", "hwm")
     table = NativeTable(spark, f"{root}/orders_t", keys=["o_orderkey"], buckets=8)
     fx.orders_old(spark, sf).createOrReplaceTempView("orders_v1")
@@ -102,7 +113,7 @@ def hwm_job(spark, sf):
                     hwm_col="o_orderdate", hwm_start=fx.HWM_START)
     for _ in range(2):
         job.run(spark, spec, spark.table("orders_now"), table, run_log=f"{root}/_runs")
-    return table.read()
+    return table, root
 
 
 def _write_change_log(spark, feed, path, files: int):
@@ -221,6 +232,7 @@ IO_QUERIES = {
     "positional_csv": positional_csv,
     "parquet_staging": parquet_staging,
     "hwm_job": hwm_job,
+    "run_log": run_log,
     "stream_job": stream_job,
     "stream_consume": stream_consume,
     "jdbc_upsert": jdbc_upsert,

@@ -291,4 +291,13 @@ ORACLE_SQL.update({
     "snapshot_diff_bucketed": ORACLE_SQL["snapshot_diff"],
     "jdbc_stream_job": ORACLE_SQL["stream_job"],
     "composite_key_upsert": "SELECT * FROM conversations",
+    "run_log": fx.with_ctes("orders_old") + f"""
+        SELECT 'none' AS capture, 'truncate' AS mode, 'ok' AS status,
+               CAST(count(*) AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS rows_deleted
+        FROM orders_old
+        UNION ALL
+        SELECT 'hwm', 'upsert', 'ok', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT)
+        FROM orders WHERE o_orderdate > {HWM}
+        UNION ALL
+        SELECT 'hwm', 'upsert', 'no_changes', CAST(0 AS BIGINT), CAST(0 AS BIGINT)""",
 })
