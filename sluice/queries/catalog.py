@@ -244,6 +244,11 @@ def duplicate_keys(spark, sf):
     return K.duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def key_problems(spark, sf):
+    """The pre-write guard's single aggregation: NULL and duplicate keys."""
+    return K.key_problems(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
 def _merged_customer_names(spark, sf):
     c = read_table(spark, sf, "customer")
     second = c.where((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 0))
@@ -355,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "upsert_replace": upsert_replace,
     "delete_by_key": delete_by_key,
     "duplicate_keys": duplicate_keys,
+    "key_problems": key_problems,
     "case_colliding_keys": case_colliding_keys,
     "null_keys": null_keys,
     "reconcile_metrics": reconcile_metrics,

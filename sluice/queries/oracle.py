@@ -164,6 +164,11 @@ ORACLE_SQL: dict[str, str] = {
     "duplicate_keys": """
         SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
         GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "key_problems": """
+        SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n_rows,
+               (l_orderkey IS NULL OR l_linenumber IS NULL) AS null_key
+        FROM lineitem GROUP BY l_orderkey, l_linenumber
+        HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""",
     "case_colliding_keys": """
         WITH names AS (SELECT c_name FROM customer
                        UNION ALL SELECT upper(c_name) FROM customer
