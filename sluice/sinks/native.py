@@ -125,6 +125,15 @@ class NativeTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def read_for(self, keys_df: DataFrame, version: int | None = None) -> DataFrame:
+        """Rows for the given keys, reading only the buckets that can hold
+        them (bucket pruning for lookups; the bucket list is bounded by n)."""
+        if not self.keys:
+            return self.read(version).join(keys_df, list(keys_df.columns), "left_semi")
+        b = bucket_of(self.keys, self.n).cast("string").alias("b")
+        wanted = sorted({r["b"] for r in keys_df.select(*self.keys).select(b).distinct().collect()})
+        return self.read(version, wanted).join(keys_df.select(*self.keys), self.keys, "left_semi")
+
     # -------------------------------------------------------------- writing
 
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:

@@ -275,3 +275,12 @@ def test_lower_cols_run_with_upper_case_source(spark, scratch):
                     lower_cols=True)
     s = job.run(spark, spec, src, table)
     assert s["rows_written"] == 2 and table.read().columns == ["id", "v", "updated_at"]
+
+
+def test_read_for_reads_only_the_keys_buckets(spark, scratch):
+    t = NativeTable(spark, scratch, keys=["id"], buckets=16)
+    t.publish(upserts=spark.createDataFrame([(i, f"v{i}") for i in range(500)], "id long, v string"))
+    got = t.read_for(spark.createDataFrame([(7,), (9,), (1000,)], "id long"))
+    assert sorted(map(tuple, got.collect())) == [(7, "v7"), (9, "v9")]
+    files = got.inputFiles()
+    assert 1 <= len(files) <= 3      # two or three buckets, not sixteen
