@@ -47,16 +47,19 @@ class Watermark:
         return Watermark(dtype.simpleString(), str(value))
 
 
-def hwm_ceiling(df: DataFrame, col: str, watermark: Watermark | None = None) -> Watermark | None:
-    """``MAX(col)`` [above the watermark]; None means nothing to send.
+def hwm_ceiling(df: DataFrame, col: str, watermark: Watermark | None = None,
+                lookback: str | None = None) -> Watermark | None:
+    """``MAX(col)`` [above the watermark, widened by ``lookback``]; None means
+    nothing to send.
 
     One partial + final aggregate; the scan only reads ``col`` and Parquet
-    row groups whose max is below the watermark are skipped.
+    row groups whose max is below the bound are skipped.
     """
     dtype = df.schema[col].dataType
     rows = df.select(col)
     if watermark is not None:
-        rows = rows.where(F.col(col) > watermark.lit())
+        lower = watermark.lit() - F.expr(lookback) if lookback else watermark.lit()
+        rows = rows.where(F.col(col) > lower)
     value = rows.agg(F.max(col).cast("string").alias("c")).first()["c"]
     return None if value is None else Watermark(dtype.simpleString(), value)
 

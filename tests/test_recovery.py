@@ -284,3 +284,19 @@ def test_read_for_reads_only_the_keys_buckets(spark, scratch):
     assert sorted(map(tuple, got.collect())) == [(7, "v7"), (9, "v9")]
     files = got.inputFiles()
     assert 1 <= len(files) <= 3      # two or three buckets, not sixteen
+
+
+def test_hwm_late_commit_missed_then_caught_by_lookback(spark, scratch):
+    t1, t2, t3 = (T0 + dt.timedelta(minutes=m) for m in (1, 2, 3))
+    table = NativeTable(spark, scratch, keys=["id"], buckets=2)
+    spec = SyncSpec("src", "tgt", capture="hwm", mode="upsert", keys=["id"], hwm_col="updated_at")
+    # Row 2 was stamped at t2 but its transaction commits after row 3 (t3) was read.
+    job.run(spark, spec, spark.createDataFrame([(1, "a", t1), (3, "c", t3)], COLS), table)
+    late = spark.createDataFrame([(1, "a", t1), (2, "b", t2), (3, "c", t3)], COLS)
+    assert job.run(spark, spec, late, table)["status"] == "no_changes"     # missed (reference behaviour)
+    assert sorted(r.id for r in table.read().collect()) == [1, 3]
+    wide = SyncSpec("src", "tgt", capture="hwm", mode="upsert", keys=["id"], hwm_col="updated_at",
+                    lookback="INTERVAL 5 MINUTES")
+    s = job.run(spark, wide, late, table)          # nothing newer arrived: still re-sends the window
+    assert s["status"] == "ok" and sorted(r.id for r in table.read().collect()) == [1, 2, 3]
+    assert table.state()["src -> tgt"]["watermark"]["value"].startswith("2026-01-01 00:03:00")
