@@ -46,6 +46,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--buckets", type=int, default=None,
                    help="buckets of a new native table (default: sized from the first load)")
     p.add_argument("--run-log", help="folder of the run log (one row per run)")
+    p.add_argument("--replay-key", help="append mode: replaying this key replaces its earlier rows")
     return p.parse_args(argv)
 
 
@@ -84,7 +85,7 @@ def main(argv=None, spark=None) -> int:
         path = a.target_path or f"{checkpoint_dir(spark)}/sluice/tables/{a.target}"
         sink = NativeTable(spark, path, keys=spec.keys, buckets=a.buckets)
     try:
-        summary = job.run(spark, spec, source, sink, run_log=a.run_log)
+        summary = job.run(spark, spec, source, sink, run_log=a.run_log, replay_key=a.replay_key)
     except ConcurrentPublish as e:
         print(json.dumps({"status": "conflict", "message": str(e)}))
         return EXIT_CONFLICT

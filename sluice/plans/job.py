@@ -50,8 +50,12 @@ def _log(spark: SparkSession, path: str | None, row: dict) -> None:
 
 def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
         run_log: str | None = None, change_log_schema: T.StructType | None = None,
-        check_key_quality: bool = True, now=None) -> dict:
-    """One delivery run; returns its summary row (also appended to ``run_log``)."""
+        check_key_quality: bool = True, now=None, replay_key: str | None = None) -> dict:
+    """One delivery run; returns its summary row (also appended to ``run_log``).
+
+    ``replay_key`` (e.g. a scheduler's logical date) makes an append run
+    idempotent on the native sink: replaying the same key replaces the rows
+    that key appended before instead of adding them again."""
     spec.checked()
     started = time.time()
     run_id = uuid.uuid4().hex
@@ -99,7 +103,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             upserts=counted, deletes=deletes,
             truncate=plan.truncate, append=spec.mode == "append", on_match=spec.on_match,
             state=plan.new_state, ack=plan.ack, expected_version=base_version,
-            run={"summary": plan.summary}, **ack_floor)
+            run={"summary": plan.summary}, **ack_floor,
+            **({"replay_key": replay_key} if replay_key else {}))
         counts = getattr(sink, "last_counts", None)
         if counts is not None:   # the sink counted what it staged
             summary["rows_written"], summary["rows_deleted"] = counts["written"], counts["deleted"]

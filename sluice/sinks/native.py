@@ -156,7 +156,8 @@ class NativeTable:
     def publish(self, upserts: DataFrame | None = None, deletes: DataFrame | None = None,
                 truncate: bool = False, append: bool = False, on_match: str = "update",
                 state: dict | None = None, ack: Sequence[int] = (), run: dict | None = None,
-                expected_version: int | None = -1, ack_floor: int | None = None) -> int:
+                expected_version: int | None = -1, ack_floor: int | None = None,
+                replay_key: str | None = None) -> int:
         """Apply a change and commit it with the progress; returns the new version.
 
         ``expected_version=-1`` means "the version current when publish starts".
@@ -184,6 +185,12 @@ class NativeTable:
             if upserts is not None:
                 buckets = self._write(self._spread(conform(upserts)), run_id)
         elif append or not self.keys:
+            # An append replayed under the same key first drops the files that
+            # key appended before, so a retried append never duplicates rows.
+            earlier = (base or {}).get("appends", {}).get(replay_key) if replay_key else None
+            if earlier:
+                buckets = {b: [r for r in runs if r != earlier] for b, runs in buckets.items()}
+                buckets = {b: runs for b, runs in buckets.items() if runs}
             if upserts is not None:
                 for b, ps in self._write(conform(upserts), run_id).items():
                     buckets[b] = buckets.get(b, []) + ps
@@ -201,6 +208,8 @@ class NativeTable:
             "acked": sorted(a for a in set((base or {}).get("acked", [])) | {int(a) for a in ack}
                             if ack_floor is None or a >= ack_floor),
             "run": {"run_id": run_id, **(run or {})},
+            "appends": {**(base or {}).get("appends", {}),
+                        **({replay_key: run_id} if replay_key and append else {})},
         }
         if not fs.create_exclusive(self.spark, self._manifest_path(manifest["version"]),
                                    json.dumps(manifest, indent=1, default=str)):
