@@ -102,6 +102,13 @@ def run_log(spark, sf):
             .select("capture", "mode", "status", "rows_written", "rows_deleted"))
 
 
+def table_changes(spark, sf):
+    """Change feed of the native table between its first load and its final
+    version, read from the buckets whose files differ."""
+    table = _hwm_runs(spark, sf)[0]
+    return table.changes(1)
+
+
 def _hwm_runs(spark, sf):
     root = work_path(spark, "native", "hwm")
     table = NativeTable(spark, f"{root}/orders_t", keys=["o_orderkey"], buckets=8)
@@ -233,6 +240,7 @@ IO_QUERIES = {
     "parquet_staging": parquet_staging,
     "hwm_job": hwm_job,
     "run_log": run_log,
+    "table_changes": table_changes,
     "stream_job": stream_job,
     "stream_consume": stream_consume,
     "jdbc_upsert": jdbc_upsert,

@@ -134,6 +134,20 @@ class NativeTable:
         wanted = sorted({r["b"] for r in keys_df.select(*self.keys).select(b).distinct().collect()})
         return self.read(version, wanted).join(keys_df.select(*self.keys), self.keys, "left_semi")
 
+    def changes(self, from_version: int, to_version: int | None = None) -> DataFrame:
+        """Change feed between two versions of this table (INSERT / DELETE /
+        update pairs, like ``snapshot_diff``). Buckets whose file lists are
+        equal in both manifests cannot differ, so only the others are read."""
+        from ..sources.snapshot import snapshot_diff
+        if not self.keys:
+            raise ValueError("changes between versions need a keyed table")
+        a = self.manifest(from_version)["buckets"]
+        b = self.manifest(to_version)["buckets"]
+        differ = sorted(k for k in set(a) | set(b) if a.get(k) != b.get(k))
+        old = self.read(from_version, differ)
+        new = self.read(to_version, differ)
+        return snapshot_diff(old, new.select(*old.columns), self.keys)
+
     # -------------------------------------------------------------- writing
 
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:
