@@ -14,7 +14,7 @@ from ..operators.netchange import CONSUME, LOADED_AT
 from ..plans import job
 from ..session import work_path
 from ..sinks import staging
-from ..sinks.jdbc import JdbcSink, derby_memory_url, q
+from ..sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url, q
 from ..sinks.native import NativeTable
 from ..sources.generator import claims_from_orders
 from ..sources.snapshot import snapshot_diff
@@ -225,6 +225,25 @@ def composite_key_upsert(spark, sf):
     return table.read()
 
 
+def jdbc_source_hwm(spark, sf):
+    """hwm window read from a database table: 8 parallel key-range readers,
+    the window predicate pushed into each range query."""
+    from ..plans.planner import hwm_rows
+    from ..sources.jdbc_source import read_jdbc_table
+    from ..sources.scan import Watermark
+    url = derby_memory_url()
+    o = fx.orders(spark, sf)
+    sink = JdbcSink(spark, url, "orders_src", keys=["o_orderkey"])
+    sink.execute(create_table_sql("orders_src", o.schema, ["o_orderkey"])
+                 .replace("VARCHAR(32672)", "VARCHAR(64)"))
+    o.write.format("jdbc").option("url", url).option("dbtable", q("orders_src")).mode("append").save()
+    src = read_jdbc_table(spark, url, "orders_src", partition_col="o_orderkey", num_partitions=8)
+    window = hwm_rows(src, "o_orderdate", Watermark("timestamp_ntz", fx.HWM_START))
+    path = work_path(spark, "jdbc", "source_window")
+    window.write.parquet(path)       # materialised before the in-memory database goes away
+    return spark.read.parquet(path)
+
+
 # ---------------------------------------------------------------- generator
 
 def claims_generator(spark, sf):
@@ -245,6 +264,7 @@ IO_QUERIES = {
     "stream_consume": stream_consume,
     "jdbc_upsert": jdbc_upsert,
     "jdbc_stream_job": jdbc_stream_job,
+    "jdbc_source_hwm": jdbc_source_hwm,
     "composite_key_upsert": composite_key_upsert,
     "claims_generator": claims_generator,
 }

@@ -296,6 +296,7 @@ ORACLE_SQL.update({
     "snapshot_diff_bucketed": ORACLE_SQL["snapshot_diff"],
     "jdbc_stream_job": ORACLE_SQL["stream_job"],
     "composite_key_upsert": "SELECT * FROM conversations",
+    "jdbc_source_hwm": ORACLE_SQL["hwm_window"],
     "table_changes": fx.with_ctes("orders_old") + diff_sql("orders_old", "orders", ["o_orderkey"], ORDER_COLS),
     "run_log": fx.with_ctes("orders_old") + f"""
         SELECT 'none' AS capture, 'truncate' AS mode, 'ok' AS status,

@@ -109,3 +109,18 @@ def test_key_order_spreads_a_hot_key(spark):
         F.min("k").alias("lo"), F.max("k").alias("hi")).orderBy("p").collect()
     for a, b in zip(parts, parts[1:]):
         assert a.hi <= b.lo                                   # global key order holds
+
+
+def test_jdbc_source_is_partitioned_and_pushes_the_window(spark):
+    from pyspark.sql import functions as F
+    from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url, q
+    from sluice.sources.jdbc_source import read_jdbc_table
+    url = derby_memory_url()
+    df = spark.range(1000).selectExpr("id", "id * 2 AS v")
+    JdbcSink(spark, url, "src", keys=["id"]).execute(create_table_sql("src", df.schema, ["id"]))
+    df.write.format("jdbc").option("url", url).option("dbtable", q("src")).mode("append").save()
+    src = read_jdbc_table(spark, url, "src", partition_col="id", num_partitions=4)
+    assert src.rdd.getNumPartitions() == 4
+    w = src.where(F.col("v") > 1500)
+    assert "PushedFilters: [*IsNotNull(v), *GreaterThan(v,1500)]" in plan(w)
+    assert w.count() == 249
