@@ -25,6 +25,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="sluice", description="keyed change delivery on Spark")
     p.add_argument("--source", required=True, help="source table or view name")
     p.add_argument("--source-path", help="Parquet folder to register as --source")
+    p.add_argument("--source-jdbc-url", help="read --source as a table of this JDBC database")
+    p.add_argument("--source-partition-col", help="numeric column splitting the JDBC read")
+    p.add_argument("--source-partitions", type=int, default=16, help="parallel JDBC readers")
     p.add_argument("--target", required=True, help="target name (native: also its folder name)")
     p.add_argument("--target-path", help="native table folder (default <work>/<target>)")
     p.add_argument("--jdbc-url", help="deliver into a JDBC table instead of a native table")
@@ -77,7 +80,12 @@ def main(argv=None, spark=None) -> int:
     configure(spark)
     if a.source_path:
         spark.read.parquet(a.source_path).createOrReplaceTempView(a.source)
-    source = spark.table(a.source)
+    if a.source_jdbc_url:
+        from .sources.jdbc_source import read_jdbc_table
+        source = read_jdbc_table(spark, a.source_jdbc_url, a.source, a.source_partition_col,
+                                 a.source_partitions)
+    else:
+        source = spark.table(a.source)
     if a.jdbc_url:
         sink = JdbcSink(spark, a.jdbc_url, a.target, keys=spec.keys,
                         batch_rows=a.batch_rows or 10_000)

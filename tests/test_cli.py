@@ -27,3 +27,17 @@ def test_hwm_runs_then_nothing_to_send(spark, scratch, capsys):
     assert second["status"] == "no_changes"
     t = NativeTable(spark, f"{scratch}/orders_t", keys=["o_orderkey"])
     assert t.read().count() == first["rows_written"]
+
+
+def test_jdbc_source_into_native_target(spark, scratch, capsys):
+    from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url, q
+    url = derby_memory_url()
+    df = spark.range(300).selectExpr("id", "cast(id AS string) AS v")
+    JdbcSink(spark, url, "src", keys=["id"]).execute(
+        create_table_sql("src", df.schema, ["id"]).replace("VARCHAR(32672)", "VARCHAR(20)"))
+    df.write.format("jdbc").option("url", url).option("dbtable", q("src")).mode("append").save()
+    args = ["--source", "src", "--source-jdbc-url", url, "--source-partition-col", "id",
+            "--source-partitions", "3", "--target", "t", "--target-path", f"{scratch}/t",
+            "--mode", "upsert", "--key-cols", "id", "--buckets", "2"]
+    assert main(args, spark=spark) == EXIT_OK
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows_written"] == 300
