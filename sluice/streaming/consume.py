@@ -33,6 +33,8 @@ def consume_to_outbox(spark: SparkSession, change_log: str, schema: T.StructType
                       processing_time: str | None = None, timeout_s: float | None = None,
                       max_file_age: str = "36500d") -> list[int]:
     """Move every pending change-log row into the outbox; returns new consume ids."""
+    if not fs.exists(spark, change_log):
+        return []          # nothing has been published to the change log yet
     ckpt = f"{outbox.path}/_checkpoint"
     if not fs.exists(spark, ckpt) and outbox.rows() is not None:
         raise RuntimeError("outbox holds rows but its checkpoint is missing; "

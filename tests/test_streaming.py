@@ -118,3 +118,9 @@ def test_processing_time_trigger_consumes_until_stopped(spark, scratch):
     store = OutboxStore(spark, f"{scratch}/outbox")
     new = consume_to_outbox(spark, log, schema, store, processing_time="1 second", timeout_s=6)
     assert new and store.rows().count() == 3
+
+
+def test_missing_change_log_means_nothing_to_consume(spark, scratch):
+    store = OutboxStore(spark, f"{scratch}/outbox")
+    assert consume_to_outbox(spark, f"{scratch}/no_log_yet",
+                             spark.createDataFrame([], SCHEMA).schema, store) == []
