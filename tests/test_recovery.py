@@ -314,3 +314,19 @@ def test_append_replayed_under_same_key_does_not_duplicate(spark, scratch):
     assert sorted(r.id for r in table.read().collect()) == [1, 2, 3, 4]
     job.run(spark, spec, day1, table)                                  # no key: plain append
     assert table.read().count() == 6
+
+
+def test_jdbc_text_key_upsert_and_delete(spark):
+    from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url
+    url = derby_memory_url()
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "code string, n long")
+    sink = JdbcSink(spark, url, "codes", keys=["code"])
+    sink.execute(create_table_sql("codes", df.schema, ["code"]).replace("VARCHAR(32672)", "VARCHAR(8)"))
+    sink.publish(upserts=df)
+    sink.publish(upserts=spark.createDataFrame([("b", 20), ("d", 4)], df.schema),
+                 deletes=spark.createDataFrame([("a",)], "code string"))
+    assert sorted(map(tuple, sink.read().collect()), key=repr) == \
+        [("b", 20), ("c", None), ("d", 4)]
+    sink.publish(upserts=spark.createDataFrame([("x", 9)], df.schema), truncate=True)
+    assert [tuple(r) for r in sink.read().collect()] == [("x", 9)]
+    assert sink.version() == 3
