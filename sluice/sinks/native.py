@@ -28,7 +28,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -195,9 +195,22 @@ class NativeTable:
             # Columns are matched by name; target-only columns get NULL.
             return M.truncate_load(self.spark.createDataFrame([], schema), df)
 
+        int_key = (len(self.keys) == 1 and isinstance(
+            schema[self.keys[0]].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)))
+        bound = None if (base is None or truncate) else base.get("key_bound")
+
+        def with_bound(df: DataFrame) -> DataFrame:
+            # The written rows' max key is observed during the write itself.
+            nonlocal key_obs
+            if not int_key:
+                return df
+            key_obs = Observation("key_bound")
+            return df.observe(key_obs, F.max(self.keys[0]).alias("m"))
+
+        key_obs = None
         if truncate or base is None:
             if upserts is not None:
-                buckets = self._write(self._spread(conform(upserts)), run_id)
+                buckets = self._write(self._spread(with_bound(conform(upserts))), run_id)
         elif append or not self.keys:
             # An append replayed under the same key first drops the files that
             # key appended before, so a retried append never duplicates rows.
@@ -206,16 +219,24 @@ class NativeTable:
                 buckets = {b: [r for r in runs if r != earlier] for b, runs in buckets.items()}
                 buckets = {b: runs for b, runs in buckets.items() if runs}
             if upserts is not None:
-                for b, ps in self._write(conform(upserts), run_id).items():
+                for b, ps in self._write(with_bound(conform(upserts)), run_id).items():
                     buckets[b] = buckets.get(b, []) + ps
         else:
-            buckets = self._merge(base_v, buckets, upserts, deletes, on_match, run_id)
+            buckets, delta_max = self._merge(base_v, buckets, upserts, deletes, on_match, run_id)
+            if int_key and delta_max is not None:
+                bound = delta_max if bound is None else max(bound, delta_max)
+        if key_obs is not None:
+            m = key_obs.get.get("m")
+            if m is not None:
+                bound = m if bound is None else max(bound, m)
 
         manifest = {
             "version": (base_v or 0) + 1,
             "schema": json.loads(schema.json()),
             "keys": self.keys,
             "n_buckets": self.n,
+            # Upper bound of the single integral key: larger keys are new.
+            "key_bound": bound if int_key else None,
             "buckets": buckets,
             "state": state if state is not None else (base or {}).get("state", {}),
             # Ids below the floor were purged after being acknowledged: forget them.
@@ -232,7 +253,8 @@ class NativeTable:
         return manifest["version"]
 
     def _merge(self, base_v: int, buckets: dict[str, list[str]], upserts: DataFrame | None,
-               deletes: DataFrame | None, on_match: str, run_id: str) -> dict[str, list[str]]:
+               deletes: DataFrame | None, on_match: str, run_id: str
+               ) -> tuple[dict[str, list[str]], int | None]:
         """Keyed change against the touched buckets only.
 
         A bucket is rewritten only if the change matches a key it already holds
@@ -242,20 +264,44 @@ class NativeTable:
         columns alone (a narrow columnar scan of the touched buckets).
         """
         b_col = bucket_of(self.keys, self.n).cast("string")
-        parts = [d.select(b_col.alias("b")) for d in (upserts, deletes) if d is not None]
+        kcol, bound = self._key_bound_col(base_v)
+        key_val = F.col(kcol) if kcol else F.lit(None).cast("long")
+
+        def tagged(d: DataFrame, is_delete: bool) -> DataFrame:
+            # A row needs an existence check unless its key lies above the
+            # table's key bound (then it cannot exist yet).
+            check = (F.lit(True) if is_delete or bound is None
+                     else F.coalesce(~(key_val > F.lit(bound)), F.lit(True)))
+            return d.select(b_col.alias("b"), check.alias("chk"), key_val.alias("k"))
+
+        parts = [tagged(d, dl) for d, dl in ((upserts, False), (deletes, True)) if d is not None]
         if not parts:
-            return buckets
-        touched_df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        # At most n distinct values: bounded by the bucket count, not the data.
-        touched = sorted({r["b"] for r in touched_df.distinct().collect()})
+            return buckets, None
+        tags = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        # One row per touched bucket: bounded by the bucket count, not the data.
+        per = tags.groupBy("b").agg(F.max(F.col("chk").cast("int")).alias("chk"),
+                                    F.max("k").alias("k")).collect()
+        touched = sorted(r["b"] for r in per)
         if not touched:
-            return buckets
-        existing = self.read(base_v, touched).select(*self.keys)
-        hits = [d.select(*self.keys).join(existing, self.keys, "left_semi").select(b_col.alias("b"))
-                for d in (upserts, deletes) if d is not None]
-        hit_df = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
-        rewrite = sorted({r["b"] for r in hit_df.distinct().collect()})
+            return buckets, None
+        delta_max = max((r["k"] for r in per if r["k"] is not None), default=None)
+        check = sorted(r["b"] for r in per if r["chk"])
+        rewrite = []
+        if check:
+            existing = self.read(base_v, check).select(*self.keys)
+            hits = []
+            for d, dl in ((upserts, False), (deletes, True)):
+                if d is None:
+                    continue
+                cand = d.select(*self.keys)
+                if not dl and bound is not None:
+                    cand = cand.where(~(F.col(kcol) > F.lit(bound)))
+                hits.append(cand.join(existing, self.keys, "left_semi").select(b_col.alias("b")))
+            hit_df = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
+            rewrite = sorted({r["b"] for r in hit_df.distinct().collect()})
         append_only = [b for b in touched if b not in rewrite]
+        self.last_merge = {"touched": len(touched), "checked": len(check),
+                           "rewritten": len(rewrite), "appended": len(append_only)}
 
         in_rewrite = b_col.isin(rewrite) if rewrite else F.lit(False)
         pieces = []
@@ -285,7 +331,7 @@ class NativeTable:
         else:
             for b in rewrite:   # only deletes, and they emptied nothing new
                 out.pop(b, None)
-        return out
+        return out, delta_max
 
     def compact(self, min_files: int = 4) -> int | None:
         """Rewrite buckets that gathered ``min_files`` or more files (appended
@@ -308,6 +354,17 @@ class NativeTable:
             raise ConcurrentPublish(f"version {new['version']} of {self.root} exists")
         return new["version"]
 
+    def _key_bound_col(self, version: int | None) -> tuple[str | None, int | None]:
+        """The single integral key column and the table's upper bound on it
+        (None when the key is composite or not integral)."""
+        m = self.manifest(version) if version is not None else None
+        if len(self.keys) != 1 or m is None:
+            return None, None
+        f = T.StructType.fromJson(m["schema"])[self.keys[0]]
+        if not isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+            return None, None
+        return self.keys[0], m.get("key_bound")
+
     def _spread(self, df: DataFrame) -> DataFrame:
         return df.repartition(self.n, *self.keys) if self.keys else df
 

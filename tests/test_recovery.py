@@ -330,3 +330,22 @@ def test_jdbc_text_key_upsert_and_delete(spark):
     sink.publish(upserts=spark.createDataFrame([("x", 9)], df.schema), truncate=True)
     assert [tuple(r) for r in sink.read().collect()] == [("x", 9)]
     assert sink.version() == 3
+
+
+def test_key_bound_skips_existence_check_for_new_increasing_ids(spark, scratch):
+    t = NativeTable(spark, scratch, keys=["id"], buckets=4)
+    t.publish(upserts=spark.createDataFrame([(i, "a") for i in range(100)], "id long, v string"))
+    assert t.manifest()["key_bound"] == 99
+    t.publish(upserts=spark.createDataFrame([(i, "n") for i in range(100, 150)], "id long, v string"))
+    assert t.last_merge["checked"] == 0 and t.last_merge["rewritten"] == 0
+    assert t.manifest()["key_bound"] == 149
+    # A mix: one update below the bound is checked and rewrites only its bucket.
+    t.publish(upserts=spark.createDataFrame([(5, "u"), (200, "z")], "id long, v string"))
+    assert t.last_merge["checked"] == 1 and t.last_merge["rewritten"] == 1
+    got = dict(map(tuple, t.read().collect()))
+    assert len(got) == 151 and got[5] == "u" and got[200] == "z" and got[120] == "n"
+    # Deletes are always checked; the bound only ever errs high, never low.
+    t.publish(deletes=spark.createDataFrame([(200,)], "id long"))
+    assert 200 not in dict(map(tuple, t.read().collect()))
+    t.publish(upserts=spark.createDataFrame([(200, "again")], "id long, v string"))
+    assert dict(map(tuple, t.read().collect()))[200] == "again" and t.read().count() == 151
