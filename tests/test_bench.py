@@ -1,0 +1,22 @@
+"""bench.py prints exactly one JSON line with the fields the driver records."""
+
+import json
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def test_bench_prints_one_json_line(tmp_path):
+    env = {**os.environ, "BENCH_SF_DIR": "/root/testdata/sf0.001", "BENCH_CPUS": "4",
+           "BENCH_CLAIMS_ROWS": "20000", "BENCH_JDBC_ROWS": "2000"}
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env,
+                         capture_output=True, text=True, timeout=900, cwd=tmp_path)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [ln for ln in out.stdout.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec"
+    assert d["sf"] == "0.001" and d["value"] > 0 and d["queries"]
+    assert d["claims_increment_rows"] == d["claims_expected_increment_rows"]
