@@ -134,6 +134,24 @@ class NativeTable:
         wanted = sorted({r["b"] for r in keys_df.select(*self.keys).select(b).distinct().collect()})
         return self.read(version, wanted).join(keys_df.select(*self.keys), self.keys, "left_semi")
 
+    def history(self) -> DataFrame:
+        """One row per version (version, run id, run summary, buckets, key
+        bound, state as JSON) read from the manifests: the table's delivery log."""
+        v = self.version()
+        rows = []
+        for i in range(1, (v or 0) + 1):
+            try:
+                m = self.manifest(i)
+            except Exception:   # a version whose manifest was vacuumed
+                continue
+            run = m.get("run", {})
+            rows.append((int(m["version"]), run.get("run_id"), run.get("summary"),
+                         len(m["buckets"]), m.get("key_bound"),
+                         json.dumps(m.get("state", {}), sort_keys=True)))
+        return self.spark.createDataFrame(
+            rows, "version long, run_id string, summary string, buckets int, "
+                  "key_bound long, state string")
+
     def changes(self, from_version: int, to_version: int | None = None) -> DataFrame:
         """Change feed between two versions of this table (INSERT / DELETE /
         update pairs, like ``snapshot_diff``). Buckets whose file lists are

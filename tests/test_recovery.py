@@ -349,3 +349,13 @@ def test_key_bound_skips_existence_check_for_new_increasing_ids(spark, scratch):
     assert 200 not in dict(map(tuple, t.read().collect()))
     t.publish(upserts=spark.createDataFrame([(200, "again")], "id long, v string"))
     assert dict(map(tuple, t.read().collect()))[200] == "again" and t.read().count() == 151
+
+
+def test_history_lists_every_version(spark, scratch):
+    table = NativeTable(spark, scratch, keys=["id"], buckets=2)
+    spec = SyncSpec("src", "tgt", capture="hwm", mode="upsert", keys=["id"], hwm_col="updated_at")
+    job.run(spark, spec, before(spark), table)
+    job.run(spark, spec, after(spark, "hwm"), table)
+    h = table.history().orderBy("version").collect()
+    assert [r.version for r in h] == [1, 2]
+    assert "hwm window" in h[1].summary and '"src -> tgt"' in h[1].state
