@@ -116,7 +116,7 @@ def test_processing_time_trigger_consumes_until_stopped(spark, scratch):
     schema = spark.createDataFrame([], SCHEMA).schema
     write_log(spark, log, [(i, "a", "INSERT", False) for i in range(3)])
     store = OutboxStore(spark, f"{scratch}/outbox")
-    new = consume_to_outbox(spark, log, schema, store, processing_time="1 second", timeout_s=6)
+    new = consume_to_outbox(spark, log, schema, store, processing_time="1 second", timeout_s=15)
     assert new and store.rows().count() == 3
 
 
