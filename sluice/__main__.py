@@ -50,6 +50,10 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="buckets of a new native table (default: sized from the first load)")
     p.add_argument("--run-log", help="folder of the run log (one row per run)")
     p.add_argument("--replay-key", help="append mode: replaying this key replaces its earlier rows")
+    p.add_argument("--compact-min-files", type=int,
+                   help="native target: after the run, fold buckets with this many files")
+    p.add_argument("--vacuum-keep", type=int,
+                   help="native target: after the run, delete data not named by the newest N versions")
     return p.parse_args(argv)
 
 
@@ -100,6 +104,11 @@ def main(argv=None, spark=None) -> int:
     except Exception as e:  # the run log holds the failure row
         print(json.dumps({"status": "failed", "message": f"{type(e).__name__}: {e}"}))
         return EXIT_FAILED
+    if isinstance(sink, NativeTable) and summary.get("status") == "ok":
+        if a.compact_min_files:
+            summary["compacted_version"] = sink.compact(a.compact_min_files)
+        if a.vacuum_keep:
+            summary["vacuumed_runs"] = len(sink.vacuum(a.vacuum_keep))
     print(json.dumps(summary, default=str))
     return EXIT_OK
 

@@ -41,3 +41,21 @@ def test_jdbc_source_into_native_target(spark, scratch, capsys):
             "--mode", "upsert", "--key-cols", "id", "--buckets", "2"]
     assert main(args, spark=spark) == EXIT_OK
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows_written"] == 300
+
+
+def test_maintenance_after_append_runs(spark, scratch, capsys):
+    src = f"{scratch}/src"
+    spark.range(50).selectExpr("id", "cast(id AS string) AS v").write.parquet(src)
+    base = ["--source", "m_src", "--source-path", src, "--target", "m", "--target-path",
+            f"{scratch}/m", "--key-cols", "id", "--buckets", "2"]
+    assert main(base + ["--mode", "truncate"], spark=spark) == EXIT_OK
+    for i in range(2):
+        spark.range(100 + 10 * i, 110 + 10 * i).selectExpr("id", "'x' AS v").write.mode("overwrite").parquet(src)
+        assert main(base + ["--mode", "upsert"], spark=spark) == EXIT_OK
+    spark.range(120, 130).selectExpr("id", "'y' AS v").write.mode("overwrite").parquet(src)
+    assert main(base + ["--mode", "upsert", "--compact-min-files", "2", "--vacuum-keep", "1"],
+                spark=spark) == EXIT_OK
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["compacted_version"] is not None and out["vacuumed_runs"] >= 1
+    t = NativeTable(spark, f"{scratch}/m", keys=["id"])
+    assert t.read().count() == 80 and all(len(r) == 1 for r in t.manifest()["buckets"].values())
