@@ -109,9 +109,9 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
         if counts is not None:   # the sink counted what it staged
             summary["rows_written"], summary["rows_deleted"] = counts["written"], counts["deleted"]
         else:
-            summary["rows_written"] = int(obs.get.get("n", 0) or 0)
+            summary["rows_written"] = int(staging.observed_value(obs, "n", 0))
             if del_obs is not None:
-                summary["rows_deleted"] = int(del_obs.get.get("n", 0) or 0)
+                summary["rows_deleted"] = int(staging.observed_value(del_obs, "n", 0))
         if stage_base and not spec.keep_files:
             staging.remove_stage(spark, stage_base)
         if spec.capture == "stream":

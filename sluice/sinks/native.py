@@ -244,7 +244,8 @@ class NativeTable:
             if int_key and delta_max is not None:
                 bound = delta_max if bound is None else max(bound, delta_max)
         if key_obs is not None:
-            m = key_obs.get.get("m")
+            from .staging import observed_value
+            m = observed_value(key_obs, "m")
             if m is not None:
                 bound = m if bound is None else max(bound, m)
 

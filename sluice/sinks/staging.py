@@ -47,6 +47,17 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
 
 
+def observed_value(obs: Observation, name: str = "n", default=None):
+    """Metric of an Observation; a write that produced no rows may leave the
+    observation without a row, which Spark reports as an error: read as
+    ``default`` then."""
+    try:
+        v = obs.get.get(name)
+    except Exception:
+        return default
+    return default if v is None else v
+
+
 def _nested(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ArrayType, T.StructType, T.MapType))
 
@@ -107,7 +118,7 @@ def write_csv(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECORDS,
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
-    return int(obs.get.get("n", 0) or 0)
+    return int(observed_value(obs, "n", 0))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -133,7 +144,7 @@ def read_positional_csv(spark: SparkSession, path: str, names: list[str],
 def write_parquet(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECORDS) -> int:
     counted, obs = observed(df, "parquet_rows")
     counted.write.mode("overwrite").option("maxRecordsPerFile", str(max_records)).parquet(path)
-    return int(obs.get.get("n", 0) or 0)
+    return int(observed_value(obs, "n", 0))
 
 
 def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: DataFrame | None,

@@ -359,3 +359,18 @@ def test_history_lists_every_version(spark, scratch):
     h = table.history().orderBy("version").collect()
     assert [r.version for r in h] == [1, 2]
     assert "hwm window" in h[1].summary and '"src -> tgt"' in h[1].state
+
+
+def test_empty_table_keeps_its_schema(spark, scratch):
+    t = NativeTable(spark, scratch, keys=["id"], buckets=2)
+    t.publish(upserts=before(spark).limit(0))           # a schema copy, no rows
+    assert t.read().count() == 0 and t.read().columns == ["id", "v", "updated_at"]
+    t.publish(upserts=before(spark))
+    t.publish(deletes=before(spark).select("id"))       # deletes empty every bucket
+    assert t.read().count() == 0 and t.schema() == before(spark).schema
+
+
+def test_full_load_of_an_empty_source(spark, scratch):
+    table = NativeTable(spark, scratch, keys=["id"], buckets=2)
+    s = job.run(spark, SyncSpec("src", "tgt", keys=["id"]), before(spark).limit(0), table)
+    assert s["status"] == "ok" and s["rows_written"] == 0 and table.read().count() == 0
