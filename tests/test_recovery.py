@@ -374,3 +374,15 @@ def test_full_load_of_an_empty_source(spark, scratch):
     table = NativeTable(spark, scratch, keys=["id"], buckets=2)
     s = job.run(spark, SyncSpec("src", "tgt", keys=["id"]), before(spark).limit(0), table)
     assert s["status"] == "ok" and s["rows_written"] == 0 and table.read().count() == 0
+
+
+def test_jdbc_publish_with_empty_upserts_and_deletes(spark):
+    from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url
+    url = derby_memory_url()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    sink = JdbcSink(spark, url, "e", keys=["id"])
+    sink.execute(create_table_sql("e", df.schema, ["id"]).replace("VARCHAR(32672)", "VARCHAR(8)"))
+    sink.publish(upserts=df)
+    sink.publish(upserts=df.limit(0), deletes=spark.createDataFrame([(1,)], "id long"))
+    assert [tuple(r) for r in sink.read().collect()] == [(2, "b")]
+    assert sink.last_counts == {"written": 0, "deleted": 1}
