@@ -35,6 +35,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--mode", choices=MODES, default="truncate")
     p.add_argument("--key-cols", nargs="*", default=[])
     p.add_argument("--lower-cols", action="store_true")
+    p.add_argument("--nan-to-null", action="store_true", help="store float NaN as NULL")
     p.add_argument("--hwm-col")
     p.add_argument("--hwm-start")
     p.add_argument("--lookback", help="interval literal, e.g. 'INTERVAL 1 DAY'")
@@ -63,7 +64,7 @@ def spec_from(a: argparse.Namespace) -> SyncSpec:
                     hwm_start=a.hwm_start, lookback=a.lookback, change_log=a.change_log,
                     outbox=a.outbox, outbox_retention_days=a.outbox_retention_days,
                     staging=a.staging, stage_path=a.stage_path, keep_files=a.keep_files,
-                    batch_rows=a.batch_rows, on_match=a.on_match)
+                    batch_rows=a.batch_rows, on_match=a.on_match, nan_to_null=a.nan_to_null)
 
 
 def main(argv=None, spark=None) -> int:

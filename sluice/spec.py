@@ -66,6 +66,7 @@ class SyncSpec:
     keep_files: bool = False
     batch_rows: int | None = None
     on_match: str = "update"             # update (keep target-only columns) | replace
+    nan_to_null: bool = False            # store float NaN as NULL (what a database keeps)
 
     def validate(self) -> str | None:
         for label, value, ok in (("source", self.source, is_table_name),

@@ -386,3 +386,10 @@ def test_jdbc_publish_with_empty_upserts_and_deletes(spark):
     sink.publish(upserts=df.limit(0), deletes=spark.createDataFrame([(1,)], "id long"))
     assert [tuple(r) for r in sink.read().collect()] == [(2, "b")]
     assert sink.last_counts == {"written": 0, "deleted": 1}
+
+
+def test_nan_to_null_option(spark, scratch):
+    table = NativeTable(spark, scratch, keys=["id"], buckets=2)
+    src = spark.createDataFrame([(1, float("nan")), (2, 1.5)], "id long, x double")
+    job.run(spark, SyncSpec("src", "tgt", keys=["id"], nan_to_null=True), src, table)
+    assert dict(map(tuple, table.read().collect())) == {1: None, 2: 1.5}
