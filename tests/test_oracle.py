@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF01
 from oracle_check import compare, duck
+from sluice.queries.registry import oracle_queries, registered_queries
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registered_queries()
+ORACLE = oracle_queries()
 
 
 @pytest.fixture(scope="module")
