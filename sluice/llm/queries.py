@@ -7,9 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, sharding
+from . import licences, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
 from .common import prepare, table
 
+#: Where the tokenizer's file lies; every operator takes its path as a parameter.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The key of the registered query. Real use passes a secret of its own.
+PSEUDONYM_KEY = b"registered query, not a secret"
+
+
+def op1_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = mil.score(docs, mil.fit(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", mil.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and where."""
+    prepare(spark)
+    return pseudonyms.with_pseudonyms(table(spark, sf_dir, "documents"), PSEUDONYM_KEY).select("doc_id", "text", "pii")
+
 
 def op3_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards, uniformly shuffled (law ``rows``)."""
@@ -20,6 +40,36 @@ def op3_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page. A page carries the label of the
+    document with its number; low quality and toxic ones are to be blocked."""
+    prepare(spark)
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    marks = labels.groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    labelled = pages.join(marks, F.col("page_id") == F.col("doc_id")).select("url", (F.col("bad") == 1).alias("blocked"))
+    return url_rules.judge(pages.select("page_id", "url"), labelled).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+def op5_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licence sentences and recognised licences of every document."""
+    prepare(spark)
+    return licences.scan(table(spark, sf_dir, "documents")).select("doc_id", "sentence_ids", "line_ids", "licences")
+
+
+def op6_balanced_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    prepare(spark)
+    return posting_lists.search(table(spark, sf_dir, "embeddings"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    prepare(spark)
+    out = pieces.encode_documents(table(spark, sf_dir, "documents"), SENTENCEPIECE_MODEL)
+    return out.select("doc_id", F.size("ids").alias("n_ids"), "ids", "round_trip")
+
+
 def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     prepare(spark)
@@ -28,6 +78,12 @@ def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, for 5-grams and 0.8."""
+    prepare(spark)
+    return ngram_join.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of", "n_links")
+
+
 def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     prepare(spark)
@@ -36,8 +92,10 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_hypergeometric_shards, op8_risk_controlled_rules, op10_pareto_mix)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_attention_mil, op2_feistel_pseudonyms, op3_hypergeometric_shards, op4_association_url_rules,
+    op5_licence_sentences, op6_balanced_posting_lists, op7_sentencepiece, op8_risk_controlled_rules,
+    op9_ngram_jaccard_join, op10_pareto_mix)}
 
 ORACLES: dict[str, str] = {
     "op8_risk_controlled_rules": quality_rules.SQL,

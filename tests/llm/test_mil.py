@@ -1,0 +1,88 @@
+"""The classifier: gradient, attention, held-out accuracy, odd tables."""
+
+from llm_tables import docs, odd  # noqa: F401
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from sluice.llm import mil as M
+from sluice.llm.common import prepare
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_whole_text_is_encoded():
+    text = " ".join(f"w{i}" for i in range(1000))
+    assert M.encode(text).shape == (round(1000 / M.PASSAGE_WORDS), M.WIDTH)
+    tail = text + " " + "###!! " * 64
+    assert not np.allclose(M.encode(text)[-1], M.encode(tail)[-1])
+    assert M.encode(None).shape == M.encode("").shape == M.encode(" \n").shape == (1, M.WIDTH)
+
+
+def loss(model, x, starts, y, weight):
+    p = model.forward(x, starts)["p"]
+    return -(weight * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / weight.sum()
+
+
+def test_gradient():
+    rng = np.random.default_rng(0)
+    bags = [rng.normal(size=(n, M.WIDTH)) for n in (1, 3, 5, 2)]
+    y, weight = np.array([0., 1, 1, 0]), np.array([1., 2, 1, .5])
+    model = M.train(bags, y, weight, epochs=1)
+    x, starts = np.concatenate(bags), np.array([0, 1, 4, 9])
+    grads = M._gradient(model, model.forward(x, starts), y, weight, starts)
+    for k, g in grads.items():
+        w = model.weights[k]
+        for place in [tuple(rng.integers(0, s) for s in w.shape) for _ in range(3)]:
+            old, h = float(w[place]), 1e-5
+            values = []
+            for v in (old + h, old - h):
+                w = np.array(w)
+                w[place] = v
+                model.weights[k] = w
+                values.append(loss(model, x, starts, y, weight))
+            w = np.array(w)
+            w[place] = old
+            model.weights[k] = w
+            assert (values[0] - values[1]) / (2 * h) == pytest.approx(float(g[place]), abs=1e-6)
+
+
+def test_attention_finds_the_telling_passage():
+    rng = np.random.default_rng(1)
+    y = np.array([i % 2 for i in range(400)], dtype=float)
+    bags = [rng.normal(size=(40, M.WIDTH)) * 0.1 for _ in y]
+    for bag, v in zip(bags, y):
+        bag[0, 3:8] += 1 - v  # one passage in forty tells
+    model = M.train(bags, y, np.ones(400), epochs=40)
+    a = [model.forward(b, np.zeros(1, dtype=int))["a"][0] for b, v in zip(bags, y) if v == 0]
+    assert np.mean(a) > 4 / 40
+
+
+def test_held_out_accuracy(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = E.queries()["op1_attention_mil"](spark, SF)
+    assert got.dtypes[:4] == [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")]
+    rows = got.join(labels, "doc_id").filter("held_out").select("quality", "score", "predicted").toPandas()
+    assert (rows["quality"] == rows["predicted"]).mean() > 0.97
+    assert rows[rows["quality"] == 0]["predicted"].mean() < 0.1
+
+
+def test_held_out_labels_are_not_learned(spark, docs):
+    prepare(spark)
+    df = docs([(i, f"text {i} " + "## " * (i % 2)) for i in range(60)])
+    labels = df.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    flipped = labels.withColumn("quality", F.when(M.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    score = lambda l: {r["doc_id"]: r["score"] for r in M.score(df, M.fit(df, l)).collect()}
+    assert score(labels) == score(flipped)
+
+
+def test_odd_rows(spark, odd, docs):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert M.fit(odd, none) == 0.5
+    some = spark.createDataFrame([(1, 1), (3, 1), (None, 0), (5, None)], "doc_id long, quality int")
+    assert M.fit(odd, some) == 1.0
+    out = M.score(odd, M.fit(odd, spark.createDataFrame([(1, 0), (3, 1), (4, 1), (6, 0)], "doc_id long, quality int")))
+    rows = out.collect()
+    assert len(rows) == 10 and all(0 <= r["score"] <= 1 for r in rows) and out.columns.count("score") == 1
+    assert M.score(docs([]), 0.5).collect() == []
