@@ -284,3 +284,22 @@ def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text", **op
             .join(stay, F.col("row_key") == F.col("stay"))
             .withColumn("nth", nth).filter("nth = 1 or not once"))
     return rows.select(*unpacked(rows, docs.columns))
+
+
+#: DuckDB SQL for ``classes`` on ``documents``: all pairs that share a gram, compared exactly.
+SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS gram
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n, md5(string_agg(gram, chr(10) ORDER BY gram)) AS grams FROM g GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+           FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+         WHERE c >= 0.8 * (nx.n + ny.n - c) - 1e-9),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+class AS (SELECT x AS doc_id, min(y) AS class_id FROM reach GROUP BY x),
+links AS (SELECT x AS doc_id, count(*) AS n_links FROM link GROUP BY x)
+SELECT doc_id, class_id, coalesce(min(n.doc_id) OVER (PARTITION BY grams, grams IS NULL AND doc_id IS NOT NULL), doc_id) AS copy_of,
+       coalesce(n_links, 0)::BIGINT AS n_links
+FROM class LEFT JOIN n USING (doc_id) LEFT JOIN links USING (doc_id)"""

@@ -98,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op9_ngram_jaccard_join, op10_pareto_mix)}
 
 ORACLES: dict[str, str] = {
+    "op4_association_url_rules": url_rules.SQL,
     "op8_risk_controlled_rules": quality_rules.SQL,
+    "op9_ngram_jaccard_join": ngram_join.SQL,
     "op10_pareto_mix": mixing.SQL,
 }

@@ -86,7 +86,7 @@ def cell_sizes(rows: int, shards: int, blocks: int) -> np.ndarray:
 
 
 def shuffle_to_shards(df: DataFrame, shards: int, seed: int = 1,
-                      block_rows: int = 200_000) -> DataFrame:
+                      block_rows: int = 20_000) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0
     in each shard): a uniformly random arrangement whose shard sizes differ by
     one row at most.

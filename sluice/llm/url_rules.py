@@ -130,3 +130,39 @@ def judge(pages: DataFrame, labelled: DataFrame, key: str = "page_id", url: str
     mined = F.when(F.col("rule_id").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return out.select(F.col("key").alias(key), "host", "path", F.col("fixed.rule").alias("rule"),
                       F.coalesce("fixed.verdict", mined).alias("verdict"), "rule_id", "confidence")
+
+
+def _sql(min_support: float = 0.002, min_confidence: float = 0.8, min_count: int = 20) -> str:
+    """DuckDB SQL for the verdicts on ``pages``: every subset of the tokens of
+    every labelled URL is counted, in place of FP-growth."""
+    fixed = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))" for _, h, p in fixed]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, fixed))
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, fixed))
+    plain = "regexp_replace({}, '[0-9]+', '#', 'g')"
+    tagged = lambda tag, xs: f"list_transform(list_filter({xs}, lambda x: x <> ''), lambda x: '{tag}' || {plain.format('x')})"
+    return rf"""
+WITH u AS (
+  SELECT page_id, url,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query FROM pages),
+t AS (SELECT *, CASE WHEN contains(url, '://') THEN list_distinct(list_concat(
+        {tagged('h=', "string_split(host, '.')")}, {tagged('t=', "[string_split(host, '.')[-1]]")},
+        {tagged('p=', "string_split(path, '/')")},
+        {tagged('f=', "[regexp_extract(string_split(path, '/')[-1], '[.]([A-Za-z0-9]{1,8})$', 1)]")},
+        {tagged('q=', "list_transform(string_split(query, '&'), lambda x: string_split(x, '=')[1])")})) ELSE [] END AS tokens FROM u),
+mark AS (SELECT doc_id, max((quality = 0 OR toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+bag AS (SELECT list_sort(tokens) AS tokens, bad FROM t JOIN mark ON doc_id = page_id WHERE url IS NOT NULL AND bad IS NOT NULL),
+distinct_bag AS (SELECT tokens, sum(bad) AS bad, count(*) AS n FROM bag GROUP BY tokens),
+subset AS (SELECT list_filter(tokens, lambda x, i: (mask >> (i - 1)) & 1 = 1) AS items, bad, n
+           FROM (SELECT *, unnest(range(1, (1::BIGINT << len(tokens)))) AS mask FROM distinct_bag)),
+rules AS (SELECT items FROM subset GROUP BY items
+          HAVING sum(bad) >= ceil(least(1.0, greatest({min_support}, {min_count} / (SELECT count(*) FROM bag)::DOUBLE))
+                                  * (SELECT count(*) FROM bag)) AND sum(bad) / sum(n)::DOUBLE >= {min_confidence})
+SELECT page_id, host, path, CASE {rule} END AS rule,
+       CASE {verdict} WHEN EXISTS (SELECT 1 FROM rules WHERE list_has_all(t.tokens, rules.items)) THEN 'block' ELSE 'allow' END AS verdict
+FROM t"""
+
+
+SQL = _sql()
