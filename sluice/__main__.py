@@ -1,13 +1,11 @@
 """Command line: one delivery run.
 
-    python -m sluice --source db.claims --target /lake/claims --key-cols claim_id \
-        --capture hwm --mode upsert --hwm-col updated_at
+    python -m sluice --source db.claims --target claims --target-path /lake/claims \
+        --key-cols claim_id --capture hwm --mode upsert --hwm-col updated_at
 
 The source is a catalog table or view, or (``--source-path``) a Parquet folder
 registered under the ``--source`` name. The target is a native table folder
-(default) or a JDBC table (``--jdbc-url``). Exit codes: 0 done or nothing to
-send, 1 failed (nothing published, rerun), 2 invalid options, 3 another run
-published first (nothing published).
+(``--target-path``) or a JDBC table (``--jdbc-url``).
 """
 
 from __future__ import annotations
@@ -18,7 +16,11 @@ import sys
 
 from .spec import MODES, STAGINGS, SyncSpec
 
-EXIT_OK, EXIT_FAILED, EXIT_USAGE, EXIT_CONFLICT = 0, 1, 2, 3
+# What a scheduler reads from the process.
+#   0 done or nothing to send    1 failed, nothing published
+#   2 invalid options            3 another run published first
+#   4 published, but the bookkeeping after it failed
+DONE, FAILED, INVALID, OVERTAKEN, UNSAVED = 0, 1, 2, 3, 4
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -29,7 +31,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--source-partition-col", help="numeric column splitting the JDBC read")
     p.add_argument("--source-partitions", type=int, default=16, help="parallel JDBC readers")
     p.add_argument("--target", required=True, help="target name (native: also its folder name)")
-    p.add_argument("--target-path", help="native table folder (default <work>/<target>)")
+    p.add_argument("--target-path", help="native table folder")
     p.add_argument("--jdbc-url", help="deliver into a JDBC table instead of a native table")
     p.add_argument("--capture", choices=("none", "hwm", "stream"), default="none")
     p.add_argument("--mode", choices=MODES, default="truncate")
@@ -41,6 +43,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--lookback", help="interval literal, e.g. 'INTERVAL 1 DAY'")
     p.add_argument("--change-log", help="append-only change-log folder (stream)")
     p.add_argument("--outbox", help="outbox folder (stream)")
+    p.add_argument("--order-cols", nargs="*", default=[],
+                   help="columns of the change log that order the changes of a key")
     p.add_argument("--outbox-retention-days", type=int, default=0)
     p.add_argument("--staging", choices=STAGINGS, default="direct")
     p.add_argument("--stage-path")
@@ -51,10 +55,6 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="buckets of a new native table (default: sized from the first load)")
     p.add_argument("--run-log", help="folder of the run log (one row per run)")
     p.add_argument("--replay-key", help="append mode: replaying this key replaces its earlier rows")
-    p.add_argument("--compact-min-files", type=int,
-                   help="native target: after the run, fold buckets with this many files")
-    p.add_argument("--vacuum-keep", type=int,
-                   help="native target: after the run, delete data not named by the newest N versions")
     return p.parse_args(argv)
 
 
@@ -62,7 +62,7 @@ def spec_from(a: argparse.Namespace) -> SyncSpec:
     return SyncSpec(source=a.source, target=a.target, capture=a.capture, mode=a.mode,
                     keys=list(a.key_cols or []), lower_cols=a.lower_cols, hwm_col=a.hwm_col,
                     hwm_start=a.hwm_start, lookback=a.lookback, change_log=a.change_log,
-                    outbox=a.outbox, outbox_retention_days=a.outbox_retention_days,
+                    outbox=a.outbox, order_cols=list(a.order_cols), outbox_retention_days=a.outbox_retention_days,
                     staging=a.staging, stage_path=a.stage_path, keep_files=a.keep_files,
                     batch_rows=a.batch_rows, on_match=a.on_match, nan_to_null=a.nan_to_null)
 
@@ -70,14 +70,18 @@ def spec_from(a: argparse.Namespace) -> SyncSpec:
 def main(argv=None, spark=None) -> int:
     a = parse_args(argv)
     spec = spec_from(a)
-    err = spec.validate()
-    if err:
-        print(f"invalid options: {err}", file=sys.stderr)
-        return EXIT_USAGE
+    found = spec.problems()
+    if bool(a.target_path) == bool(a.jdbc_url):
+        found.append("give either --target-path or --jdbc-url")
+    if a.replay_key and (a.jdbc_url or a.mode != "append"):
+        found.append("--replay-key: only appends into a native table can be replayed")
+    if found:
+        print("invalid options: " + "; ".join(found), file=sys.stderr)
+        return INVALID
     from pyspark.sql import SparkSession
 
     from .plans import job
-    from .session import checkpoint_dir, configure
+    from .session import configure
     from .sinks.jdbc import JdbcSink
     from .sinks.native import ConcurrentPublish, NativeTable
 
@@ -95,23 +99,21 @@ def main(argv=None, spark=None) -> int:
         sink = JdbcSink(spark, a.jdbc_url, a.target, keys=spec.keys,
                         batch_rows=a.batch_rows or 10_000)
     else:
-        path = a.target_path or f"{checkpoint_dir(spark)}/sluice/tables/{a.target}"
-        sink = NativeTable(spark, path, keys=spec.keys, buckets=a.buckets)
+        sink = NativeTable(spark, a.target_path, keys=[k.lower() for k in spec.keys] if spec.lower_cols
+                           else spec.keys, buckets=a.buckets)
     try:
         summary = job.run(spark, spec, source, sink, run_log=a.run_log, replay_key=a.replay_key)
     except ConcurrentPublish as e:
-        print(json.dumps({"status": "conflict", "message": str(e)}))
-        return EXIT_CONFLICT
+        print(json.dumps({"status": job.CONFLICT, "message": str(e)}))
+        return OVERTAKEN
+    except job.BookkeepingFailed as e:
+        print(json.dumps({"status": job.UNSAVED, "message": str(e)}))
+        return UNSAVED
     except Exception as e:  # the run log holds the failure row
-        print(json.dumps({"status": "failed", "message": f"{type(e).__name__}: {e}"}))
-        return EXIT_FAILED
-    if isinstance(sink, NativeTable) and summary.get("status") == "ok":
-        if a.compact_min_files:
-            summary["compacted_version"] = sink.compact(a.compact_min_files)
-        if a.vacuum_keep:
-            summary["vacuumed_runs"] = len(sink.vacuum(a.vacuum_keep))
+        print(json.dumps({"status": job.FAILED, "message": f"{type(e).__name__}: {e}"}))
+        return FAILED
     print(json.dumps(summary, default=str))
-    return EXIT_OK
+    return DONE
 
 
 if __name__ == "__main__":

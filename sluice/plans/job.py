@@ -1,9 +1,11 @@
-"""Run lifecycle: validate → plan → guard → stage → publish{data, progress} → log.
+"""Run lifecycle: validate → plan → materialise → guard → publish{data, progress} → log.
 
-The sink commits rows and progress together (native manifest or one JDBC
-transaction), so "target committed but progress not saved" cannot happen: a
-failed run leaves both unchanged and simply repeating it is safe. A run whose
-base version was overtaken by another run publishes nothing.
+The rows to send are read from the source once and written to the shared
+folder; the key check and the publish read that copy. The sink commits rows and
+progress together (native manifest or one JDBC transaction), so a failed run
+leaves both unchanged and simply repeating it is safe. What follows the commit
+(the outbox ledger, the purge) is only bookkeeping that the next run completes;
+if it fails, the run says so and does not claim that nothing was published.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fs
 from ..operators.keys import check_keys
 from ..session import work_path
 from ..sinks import staging
+from ..sinks.native import ConcurrentPublish
 from ..spec import SyncSpec
 from ..streaming.consume import consume_to_outbox
 from ..streaming.outbox import OutboxStore
@@ -42,6 +46,18 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("finished_at", T.TimestampNTZType()),
 ])
 
+#: What a run can end as. ``unsaved``: the target is committed, the bookkeeping
+#: after it failed; the next run completes it.
+OK, NO_CHANGES, FAILED, CONFLICT, UNSAVED = "ok", "no_changes", "failed", "conflict", "unsaved"
+
+
+class BookkeepingFailed(RuntimeError):
+    """The target was committed; what should have followed was not done."""
+
+
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+
 
 def _log(spark: SparkSession, path: str | None, row: dict) -> None:
     if path:
@@ -57,84 +73,74 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
     idempotent on the native sink: replaying the same key replaces the rows
     that key appended before instead of adding them again."""
     spec.checked()
-    started = time.time()
-    run_id = uuid.uuid4().hex
+    if replay_key and (spec.mode != "append" or not getattr(sink, "replays", True)):
+        raise ValueError("replay_key: only appends into a native table can be replayed")
+    started, run_id = time.time(), uuid.uuid4().hex
     summary = {"run_id": run_id, "source": spec.source, "target": spec.target,
                "capture": spec.capture, "staging": spec.staging, "mode": spec.mode,
                "rows_written": 0, "rows_deleted": 0, "rows_consumed": 0, "consumes_purged": 0,
-               "version": None,
-               "message": ""}
+               "version": None, "status": FAILED, "message": ""}
+    copy = f"{(spec.stage_path or work_path(spark, 'stage')).rstrip('/')}/{run_id}"
     try:
-        base_version = sink.version()
-        if spec.capture == "none":
-            plan = planner.plan_full(source, spec)
-        elif spec.capture == "hwm":
-            plan = planner.plan_hwm(source, spec, sink.state())
-        else:
-            store = OutboxStore(spark, spec.outbox)
-            new_ids = consume_to_outbox(spark, spec.change_log, change_log_schema or source.schema,
-                                        store)
-            if new_ids:   # row counts of the new partitions come from Parquet footers
-                summary["rows_consumed"] = store.rows().where(F.col("consume_id").isin(new_ids)).count()
-            # Acknowledged with the data (sink) even if the ledger write was lost.
-            window, ids = store.pending_window(spec.target, also_acked=sink.acked())
-            plan = None
-            if window is not None:
-                plan = planner.plan_pending(window, ids, spec, order_cols=_order_cols(window))
+        base = sink.version()
+        store = OutboxStore(spark, spec.outbox) if spec.capture == "stream" else None
+        plan = _plan(spark, spec, source, sink, store, change_log_schema, summary)
         if plan is None:
-            summary.update(status="no_changes", version=base_version)
+            summary.update(status=NO_CHANGES, version=base)
             return summary
-        upserts = plan.upserts
         keys = [k.lower() for k in spec.keys] if spec.lower_cols else list(spec.keys)
+        fmt = "csv" if spec.staging == "csv" else "parquet"
+        upserts, deletes = staging.stage_round_trip(spark, plan.upserts, plan.deletes, fmt, copy, "",
+                                                    keys=keys if spec.staging != "direct" else ())
         if keys and check_key_quality:
             check_keys(upserts, keys)
-        stage_base = None
-        if spec.staging != "direct":
-            root = (spec.stage_path or work_path(spark, "stage")).rstrip("/")
-            stage_base = f"{root}/{run_id}"
-            upserts, plan.deletes = staging.stage_round_trip(
-                spark, upserts, plan.deletes, spec.staging, root, run_id, keys=keys)
         # Consumes below the oldest one still in the outbox can never be pending again.
-        ack_floor = {"ack_floor": min(store.consume_ids())} if spec.capture == "stream" else {}
-        counted, obs = staging.observed(upserts, "written")
-        deletes, del_obs = (staging.observed(plan.deletes, "deleted") if plan.deletes is not None
-                            else (None, None))
-        version = sink.publish(
-            upserts=counted, deletes=deletes,
-            truncate=plan.truncate, append=spec.mode == "append", on_match=spec.on_match,
-            state=plan.new_state, ack=plan.ack, expected_version=base_version,
-            run={"summary": plan.summary}, **ack_floor,
+        floor = {"ack_floor": min(store.consume_ids())} if store else {}
+        summary["version"] = sink.publish(
+            upserts=upserts, deletes=deletes, truncate=plan.empties_target,
+            append=spec.mode == "append", on_match=spec.on_match, state=plan.progress,
+            ack=plan.consumes, expected_version=base, run={"summary": plan.why}, **floor,
             **({"replay_key": replay_key} if replay_key else {}))
-        counts = getattr(sink, "last_counts", None)
-        if counts is not None:   # the sink counted what it staged
-            summary["rows_written"], summary["rows_deleted"] = counts["written"], counts["deleted"]
-        else:
-            summary["rows_written"] = int(staging.observed_value(obs, "n", 0))
-            if del_obs is not None:
-                summary["rows_deleted"] = int(staging.observed_value(del_obs, "n", 0))
-        if stage_base and not spec.keep_files:
-            staging.remove_stage(spark, stage_base)
-        if spec.capture == "stream":
-            store.acknowledge(plan.ack, spec.target)
+        summary.update(status=UNSAVED, message=plan.why)  # until the bookkeeping is done
+        summary["rows_written"] = upserts.count()  # from the copy's footers
+        summary["rows_deleted"] = deletes.count() if deletes is not None else 0
+        if not spec.keep_files:
+            fs.delete(spark, copy)
+        if store:
+            store.acknowledge(plan.consumes, spec.target)
+            summary["consumes_purged"] = len(store.purge(now or _now(), spec.outbox_retention_days))
             store.compact_ledger()
-            purged = store.purge(spec.target,
-                                 now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-                                 spec.outbox_retention_days)
-            summary["consumes_purged"] = len(purged)
-        summary.update(status="ok", version=version, message=plan.summary)
+        summary["status"] = OK
         return summary
+    except ConcurrentPublish as e:
+        summary.update(status=CONFLICT, message=str(e)[:2000])
+        raise
     except Exception as e:
-        summary.update(status="failed", message=f"{type(e).__name__}: {e}"[:2000])
+        summary["message"] = f"{type(e).__name__}: {e}"[:2000]
+        if summary["status"] == UNSAVED:
+            raise BookkeepingFailed(summary["message"]) from e
         raise
     finally:
         summary["seconds"] = round(time.time() - started, 3)
-        summary["finished_at"] = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        summary["finished_at"] = _now()
         _log(spark, run_log, summary)
 
 
-def _order_cols(rows: DataFrame) -> list[str]:
-    """A consume may span several commits of a raw log: order by commit within it."""
-    return [c for c in ("_cdc_commit_seq",) if c in rows.columns]
+def _plan(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink, store: OutboxStore | None,
+          schema: T.StructType | None, summary: dict) -> planner.Delivery | None:
+    if spec.capture == "none":
+        return planner.plan_full(source, spec)
+    if spec.capture == "hwm":
+        return planner.plan_hwm(source, spec, sink.state())
+    store.register(spec.target)
+    # Consumes that the target holds but the ledger lost in a crash are completed first.
+    store.acknowledge(sorted(set(sink.acked()) - store.acked_ids(spec.target)), spec.target)
+    new_ids = consume_to_outbox(spark, spec.change_log, schema or source.schema, store,
+                                commit_col=spec.order_cols[0] if spec.order_cols else None)
+    if new_ids:   # row counts of the new partitions come from Parquet footers
+        summary["rows_consumed"] = store.rows().where(F.col("consume_id").isin(new_ids)).count()
+    window, ids = store.pending_window(spec.target)
+    return None if window is None else planner.plan_pending(window, ids, spec)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -2,15 +2,15 @@
 
 import json
 
-from sluice.__main__ import EXIT_OK, EXIT_USAGE, main
+from sluice.__main__ import DONE, INVALID, main
 from sluice.sinks.native import NativeTable
 
 from conftest import SF001
 
 
 def test_usage_error_exit_code(capsys):
-    assert main(["--source", "s", "--target", "t", "--mode", "upsert"]) == EXIT_USAGE
-    assert "requires keys" in capsys.readouterr().err
+    assert main(["--source", "s", "--target", "t", "--mode", "upsert"]) == INVALID
+    assert "keys: needed" in capsys.readouterr().err
 
 
 def test_hwm_runs_then_nothing_to_send(spark, scratch, capsys):
@@ -19,10 +19,10 @@ def test_hwm_runs_then_nothing_to_send(spark, scratch, capsys):
             "--capture", "hwm", "--mode", "upsert", "--key-cols", "o_orderkey",
             "--hwm-col", "o_orderdate", "--hwm-start", "1998-01-01 00:00:00",
             "--buckets", "4", "--run-log", f"{scratch}/runs"]
-    assert main(args, spark=spark) == EXIT_OK
+    assert main(args, spark=spark) == DONE
     first = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert first["status"] == "ok" and first["rows_written"] > 0
-    assert main(args, spark=spark) == EXIT_OK
+    assert main(args, spark=spark) == DONE
     second = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert second["status"] == "no_changes"
     t = NativeTable(spark, f"{scratch}/orders_t", keys=["o_orderkey"])
@@ -39,23 +39,12 @@ def test_jdbc_source_into_native_target(spark, scratch, capsys):
     args = ["--source", "src", "--source-jdbc-url", url, "--source-partition-col", "id",
             "--source-partitions", "3", "--target", "t", "--target-path", f"{scratch}/t",
             "--mode", "upsert", "--key-cols", "id", "--buckets", "2"]
-    assert main(args, spark=spark) == EXIT_OK
+    assert main(args, spark=spark) == DONE
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows_written"] == 300
 
 
-def test_maintenance_after_append_runs(spark, scratch, capsys):
-    src = f"{scratch}/src"
-    spark.range(50).selectExpr("id", "cast(id AS string) AS v").write.parquet(src)
-    base = ["--source", "m_src", "--source-path", src, "--target", "m", "--target-path",
-            f"{scratch}/m", "--key-cols", "id", "--buckets", "2"]
-    assert main(base + ["--mode", "truncate"], spark=spark) == EXIT_OK
-    for i in range(2):
-        spark.range(100 + 10 * i, 110 + 10 * i).selectExpr("id", "'x' AS v").write.mode("overwrite").parquet(src)
-        assert main(base + ["--mode", "upsert"], spark=spark) == EXIT_OK
-    spark.range(120, 130).selectExpr("id", "'y' AS v").write.mode("overwrite").parquet(src)
-    assert main(base + ["--mode", "upsert", "--compact-min-files", "2", "--vacuum-keep", "1"],
-                spark=spark) == EXIT_OK
-    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["compacted_version"] is not None and out["vacuumed_runs"] >= 1
-    t = NativeTable(spark, f"{scratch}/m", keys=["id"])
-    assert t.read().count() == 80 and all(len(r) == 1 for r in t.manifest()["buckets"].values())
+def test_a_target_place_is_needed_and_replays_need_a_table(capsys):
+    base = ["--source", "s", "--target", "t"]
+    assert main(base) == INVALID and "--target-path" in capsys.readouterr().err
+    assert main(base + ["--jdbc-url", "jdbc:x", "--mode", "append", "--replay-key", "d"]) == INVALID
+    assert "--replay-key" in capsys.readouterr().err
