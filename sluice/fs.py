@@ -1,5 +1,5 @@
-"""File-system helpers through Hadoop's FileSystem (works for local, HDFS and
-object-store paths alike), plus an exclusive create for manifests."""
+"""File-system helpers. Every path is resolved the way Spark resolves it (the
+path's scheme, else the default file system), for data and manifests alike."""
 
 from __future__ import annotations
 
@@ -8,13 +8,19 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from .session import is_local_path, local_os_path
+#: File systems whose rename is atomic and refuses an existing name (fixed list).
+ATOMIC_RENAME = ("file", "hdfs", "viewfs", "abfs", "abfss")
 
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
+def scheme(spark: SparkSession, path: str) -> str:
+    return _fs(spark, path)[0].getUri().getScheme()
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -22,6 +28,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
@@ -29,8 +40,13 @@ def delete(spark: SparkSession, path: str) -> bool:
 
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, p = _fs(spark, src)
-    jvm = spark.sparkContext._jvm
-    return bool(fs.rename(p, jvm.org.apache.hadoop.fs.Path(dst)))
+    return bool(fs.rename(p, _fs(spark, dst)[1]))
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below the path."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
@@ -46,9 +62,6 @@ def partition_values(spark: SparkSession, path: str, col: str) -> list[int]:
 
 
 def read_text(spark: SparkSession, path: str) -> str:
-    if is_local_path(path):
-        with open(local_os_path(path), encoding="utf-8") as f:
-            return f.read()
     fs, p = _fs(spark, path)
     stream = fs.open(p)
     try:
@@ -59,35 +72,45 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
-    """Create ``path`` holding ``text`` only if it does not exist.
+    """Create ``path`` holding ``text`` only if it does not exist; False if it does.
 
-    Local files: write a temp file, then ``os.link`` it to the final name —
-    the link fails if the name exists, and readers never see a partial file.
-    Other file systems: Hadoop ``create(overwrite=False)``, which is atomic on
-    HDFS; object stores need their conditional put.
+    The text is written aside and then given its name, so readers never see
+    half a file and a crash leaves no broken one. On local disk the name is a
+    hard link, elsewhere a rename that does not overwrite. File systems without
+    such a rename are refused, and any other error is raised as it is.
     """
-    if is_local_path(path):
-        final = local_os_path(path)
-        os.makedirs(os.path.dirname(final), exist_ok=True)
-        tmp = f"{final}.{uuid.uuid4().hex}.tmp"
-        with open(tmp, "w", encoding="utf-8") as f:
-            f.write(text)
-            f.flush()
-            os.fsync(f.fileno())
-        try:
-            os.link(tmp, final)
-            return True
-        except FileExistsError:
-            return False
-        finally:
-            os.unlink(tmp)
     fs, p = _fs(spark, path)
-    try:
-        out = fs.create(p, False)
-    except Exception:
-        return False
+    kind = fs.getUri().getScheme()
+    if kind not in ATOMIC_RENAME:
+        raise ValueError(f"{kind}:// has no atomic rename; publish to one of {', '.join(ATOMIC_RENAME)}")
+    jvm = spark.sparkContext._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
+        out.hsync()
     finally:
         out.close()
-    return True
+    try:
+        if kind == "file":
+            try:
+                os.link(aside.toUri().getPath(), p.toUri().getPath())
+                return True
+            except FileExistsError:
+                return False
+        if fs.exists(p):
+            return False
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        rename = jvm.org.apache.hadoop.fs.Options.Rename
+        options = spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.NONE
+        try:
+            context.rename(aside, p, options)
+        except Exception as e:
+            if "FileAlreadyExists" in str(e):
+                return False
+            raise
+        return True
+    finally:
+        fs.delete(aside, False)

@@ -42,14 +42,55 @@ def replace(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
     return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
-def key_projection(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Only the key columns (what a delete needs)."""
-    return df.select(*keys)
-
-
 def check_target_columns(source: DataFrame, target_columns: Sequence[str]) -> None:
     """Columns are matched by name; a source column the target lacks fails the run."""
     have = {c.lower() for c in target_columns}
     missing = [c for c in source.columns if c.lower() not in have]
     if missing:
         raise ValueError(f"target has no columns {missing}")
+
+
+_WIDER = ("tinyint", "smallint", "int", "bigint")
+
+
+def _fits_always(have: T.DataType, want: T.DataType) -> bool:
+    a, b = have.simpleString(), want.simpleString()
+    if a in _WIDER and b in _WIDER:
+        return _WIDER.index(a) <= _WIDER.index(b)
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        return (have.scale <= want.scale
+                and have.precision - have.scale <= want.precision - want.scale)
+    return isinstance(want, T.StringType) or (a, b) == ("float", "double")
+
+
+def cast_exactly(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``df`` in the types ``schema`` declares for their names.
+
+    A value that the declared type cannot hold, or only rounded or cut, fails
+    the job; types that cannot be cast are refused at once. Columns that the
+    schema does not name are refused as well.
+    """
+    declared = {f.name: f.dataType for f in schema.fields}
+    unknown = [c for c in df.columns if c not in declared]
+    if unknown:
+        raise ValueError(f"columns missing in the target: {unknown}")
+    out = []
+    for f in df.schema.fields:
+        c, want = F.col(f.name), declared[f.name]
+        if f.dataType == want:
+            out.append(c)
+            continue
+        cast = c.cast(want)
+        if not _fits_always(f.dataType, want):
+            whole = isinstance(f.dataType, T.StringType)
+            if whole and isinstance(want, T.DecimalType):
+                kept = cast == c.cast(T.DecimalType(38, min(38, want.scale + 10)))
+            elif whole or isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+                kept = F.lit(True)  # text that does not parse already fails the cast
+            else:
+                kept = cast.cast(f.dataType) == c
+            fail = F.raise_error(F.concat(F.lit(f"column {f.name}: a value does not fit {want.simpleString()}: "),
+                                          c.cast("string") if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.lit("")))
+            cast = F.when(c.isNull() | kept, cast).otherwise(fail.cast(want))
+        out.append(cast.alias(f.name))
+    return df.select(*out)

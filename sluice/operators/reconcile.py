@@ -2,7 +2,7 @@
 
 Metrics are one global aggregate (partial per partition, one tiny final
 merge). Money columns held as double are summed as integer cents so the
-result does not depend on summation order.
+result does not depend on summation order; decimals are summed as they are.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def cents(c: str) -> Column:
@@ -28,7 +29,9 @@ def metrics(df: DataFrame, key: str, money: Sequence[str] = (), text: Sequence[s
     counts, empty strings, total text length, NULL count, flag sum, min/max."""
     aggs = [F.count(F.lit(1)).alias("row_count"), F.max(key).cast("long").alias("max_key")]
     for m in money:
-        aggs.append(F.sum(cents(m)).cast("long").alias(f"sum_cents_{m}"))
+        exact = isinstance(df.schema[m].dataType, T.DecimalType)
+        aggs.append((F.sum(m).cast("string").alias(f"sum_{m}") if exact
+                     else F.sum(cents(m)).cast("long").alias(f"sum_cents_{m}")))
         aggs.append(F.count(m).cast("long").alias(f"nonnull_{m}"))
     for t in text:
         aggs.append(F.count_if(F.col(t) == "").cast("long").alias(f"empty_{t}"))
@@ -49,7 +52,9 @@ def group_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def unpivot_metrics(m: DataFrame) -> DataFrame:
-    """One metrics row → (metric, value) rows."""
+    """One metrics row → (metric, value) rows; as text where a metric is."""
+    if any(isinstance(f.dataType, T.StringType) for f in m.schema.fields):
+        m = m.select(*[F.col(c).cast("string").alias(c) for c in m.columns])
     return m.unpivot([], m.columns, "metric", "value")
 
 
@@ -68,12 +73,11 @@ def left_diff(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
     ``null_safe=False`` reproduces ``a.x <> b.x`` (a NULL on either side never
     counts as a difference); ``True`` uses ``NOT (a.x <=> b.x)``."""
-    from ..sources.snapshot import one_per_key
+    from ..sources.snapshot import assert_unique
     keys = list(keys)
     cols = [c for c in a.columns if c not in keys]
-    bb = one_per_key(b.select(*keys, F.struct(*[F.col(c).alias(f"_b_{c}") for c in cols],
-                                              F.lit(True).alias("_b_hit")).alias("_b")),
-                     keys, "_b", "compared table").select(*keys, "_b.*")
+    bb = assert_unique(b, keys, "compared table").select(
+        *keys, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_b_hit"))
     j = a.join(bb, keys, "left")
     differs = F.col("_b_hit").isNull()
     for c in cols:
@@ -85,10 +89,18 @@ def left_diff(a: DataFrame, b: DataFrame, keys: Sequence[str],
 
 
 def row_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows in one side and not the other, as multisets, with a ``side`` column."""
-    only_a = a.exceptAll(b).withColumn("side", F.lit("source_only"))
-    only_b = b.exceptAll(a).withColumn("side", F.lit("target_only"))
-    return only_a.unionByName(only_b)
+    """Rows in one side and not the other, as multisets, with a ``side`` column.
+
+    Counted in one pass (``row_diff_counts``) and expanded after a
+    rebalancing exchange in pieces of at most 10,000 copies, so that the surplus copies of a
+    hot row are made by many tasks."""
+    piece = 10_000
+    found = row_diff_counts(a, b)
+    pieces = F.transform(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_rows") - 1) / piece)),
+                         lambda i: F.least(F.lit(piece).cast("long"), F.col("n_rows") - i * piece))
+    cols = a.columns
+    dealt = found.select(*cols, "side", F.explode(pieces).alias("_n")).hint("rebalance")
+    return dealt.select(*cols, "side", F.explode(F.array_repeat(F.lit(1), F.col("_n").cast("int"))).alias("_i")).drop("_i")
 
 
 def row_diff_counts(a: DataFrame, b: DataFrame) -> DataFrame:

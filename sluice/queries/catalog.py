@@ -19,6 +19,7 @@ from ..operators import reconcile as R
 from ..operators.netchange import CONSUME, net_change, net_delete_keys, split_actions
 from ..operators.order import key_order
 from ..plans.planner import hwm_rows
+from ..sources import scan
 from ..sources.scan import Watermark, define_view, hwm_ceiling
 from ..sources.snapshot import changes_between, snapshot_diff
 from ..sources.tables import read_table
@@ -90,15 +91,13 @@ def hwm_missed_deletes(spark, sf):
 
 
 def row_count_and_latest(spark, sf):
-    o = fx.orders(spark, sf)
-    return o.agg(F.count(F.lit(1)).alias("row_count"), F.max("o_orderdate").alias("latest"))
+    return scan.row_count_and_latest(fx.orders(spark, sf), "o_orderdate")
 
 
 def changed_recently(spark, sf):
     e = read_table(spark, sf, "events")
     since = fx.ts(fx.NOW) - F.expr("INTERVAL 30 MINUTES")
-    return e.agg(F.count_if(F.col("ts") >= since).alias("changed"),
-                 F.count(F.lit(1)).alias("row_count"))
+    return scan.changed_since(e, "ts", since)
 
 
 # ---------------------------------------------------------------- feeds
@@ -109,7 +108,7 @@ def snapshot_diff_q(spark, sf):
 
 def snapshot_diff_bucketed(spark, sf):
     return snapshot_diff(fx.orders_old(spark, sf), fx.orders_new(spark, sf), ORDER_KEY,
-                         prefilter_buckets=64)
+                         partitions=64)
 
 
 def changes_between_q(spark, sf):
@@ -302,10 +301,11 @@ def row_diff(spark, sf):
 
 
 def row_diff_counts(spark, sf):
-    # Every line's (order, return flag) against the same pairs delivered with
-    # duplicates collapsed: each repeated pair is reported with its surplus.
-    a = read_table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
-    return R.row_diff_counts(a, a.dropDuplicates())
+    # Whole lines against a table that lacks the returned ones ('R') and holds
+    # the accepted ones ('A') twice.
+    a = read_table(spark, sf, "lineitem")
+    b = a.where("l_returnflag <> 'R'")
+    return R.row_diff_counts(a, b.unionAll(a.where("l_returnflag = 'A'")))
 
 
 # ---------------------------------------------------------------- normalisation (B1, B2)

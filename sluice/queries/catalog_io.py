@@ -9,6 +9,7 @@ streaming consume and the JDBC transaction.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.netchange import CONSUME, LOADED_AT
 from ..plans import job
@@ -21,7 +22,7 @@ from ..sources.snapshot import snapshot_diff
 from ..sources.tables import read_table
 from ..spec import SyncSpec
 from ..streaming.consume import consume_to_outbox
-from ..streaming.outbox import OutboxStore
+from ..streaming.outbox import COMMITTED_AT, OutboxStore, add_cdc_columns
 from . import fixtures as fx
 
 
@@ -78,7 +79,18 @@ def positional_csv(spark, sf):
     path = work_path(spark, "csv", "positional")
     staging.csv_encode(src).write.options(**{**staging.CSV_OPTIONS, "header": "false"}).csv(path)
     raw = staging.read_positional_csv(spark, path, src.columns, with_file=True)
-    return staging.csv_decode(raw.drop("file_name"), src.schema)
+    named = T.StructType([*src.schema.fields, T.StructField("file_name", T.StringType())])
+    return (staging.csv_decode(raw, named)
+            .withColumn("from_a_csv_file", F.col("file_name").endswith(".csv")).drop("file_name"))
+
+
+def positional_csv_header(spark, sf):
+    """Positional read of files whose header names other columns."""
+    src = read_table(spark, sf, "customer")
+    path = work_path(spark, "csv", "positional-header")
+    renamed = src.toDF(*[f"x{i}" for i in range(len(src.columns))])
+    staging.write_csv(renamed, path)
+    return staging.csv_decode(staging.read_positional_csv(spark, path, src.columns, header=True), src.schema)
 
 
 def parquet_staging(spark, sf):
@@ -103,10 +115,9 @@ def run_log(spark, sf):
 
 
 def table_changes(spark, sf):
-    """Change feed of the native table between its first load and its final
-    version, read from the buckets whose files differ."""
+    """Change feed of the native table between its first load and its final version."""
     table = _hwm_runs(spark, sf)[0]
-    return table.changes(1)
+    return snapshot_diff(table.read(1), table.read(), table.keys)
 
 
 def _hwm_runs(spark, sf):
@@ -156,7 +167,79 @@ def stream_consume(spark, sf):
     _write_change_log(spark, feed, log_path, files=6)
     store = OutboxStore(spark, f"{root}/outbox")
     consume_to_outbox(spark, log_path, feed.schema, store, max_files_per_trigger=2)
-    return store.rows().drop(CONSUME, LOADED_AT)
+    return store.rows().drop(CONSUME, LOADED_AT, COMMITTED_AT)
+
+
+def stream_multi_commit(spark, sf):
+    """Raw event log, many commits of one user within a consume, delivered in
+    one run: the table holds what a replay in order leaves."""
+    root = work_path(spark, "stream", "commits")
+    log = fx.events_log(spark, sf).drop(CONSUME)
+    _write_change_log(spark, log, f"{root}/change_log", files=6)
+    table = NativeTable(spark, f"{root}/user_state", keys=["user_id"])
+    spec = SyncSpec("events", "user_state", capture="stream", mode="upsert", keys=["user_id"],
+                    change_log=f"{root}/change_log", outbox=f"{root}/outbox", order_cols=["event_id"])
+    job.run(spark, spec, log, table, change_log_schema=log.schema)
+    return table.read()
+
+
+def outbox_two_targets(spark, sf):
+    """Two tables fed from one outbox: the second still gets what the first has
+    received and purged with no retention."""
+    root = work_path(spark, "stream", "two")
+    keys, old = ["o_orderkey"], fx.orders_old(spark, sf)
+    feed = snapshot_diff(old, fx.orders_new(spark, sf), keys)
+    tables = [NativeTable(spark, f"{root}/{name}", keys=keys, buckets=4) for name in ("first", "second")]
+
+    def deliver(i):
+        spec = SyncSpec("orders", ("first", "second")[i], capture="stream", mode="upsert", keys=keys,
+                        change_log=f"{root}/change_log", outbox=f"{root}/outbox")
+        job.run(spark, spec, feed, tables[i], change_log_schema=feed.schema)
+    for i in (0, 1):
+        tables[i].publish(upserts=old)
+        deliver(i)  # nothing to deliver yet, but the target is known from here on
+    _write_change_log(spark, feed, f"{root}/change_log", files=4)
+    deliver(0)
+    deliver(1)
+    return tables[1].read()
+
+
+def cdc_columns(spark, sf):
+    """Feed rows with the columns the outbox appends."""
+    return add_cdc_columns(fx.events_feed(spark, sf).drop(CONSUME), 7, fx.NOW)
+
+
+def upsert_typed(spark, sf):
+    """Keys read as int and money read as text, upserted into a table keyed by
+    bigint with decimal money."""
+    root = work_path(spark, "native", "typed")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    typed = lambda o: o.select("o_orderkey", "o_orderstatus", cents.cast("decimal(18,2)").alias("cents"))
+    table = NativeTable(spark, f"{root}/orders_t", keys=["o_orderkey"], buckets=8)
+    job.run(spark, SyncSpec("orders_v1", "orders_t", keys=["o_orderkey"]),
+            typed(fx.orders_stale_target(spark, sf)), table)
+    loose = fx.orders(spark, sf).select(F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_orderstatus",
+                                        F.concat(cents.cast("string"), F.lit(".00")).alias("cents"))
+    job.run(spark, SyncSpec("orders", "orders_t", mode="upsert", keys=["o_orderkey"]), loose, table)
+    return table.read()
+
+
+def truncate_filled(spark, sf):
+    """A filled table emptied and loaded anew in one publish."""
+    root = work_path(spark, "native", "truncate")
+    table = NativeTable(spark, f"{root}/orders_t", keys=["o_orderkey"])
+    for rows in (fx.orders_old(spark, sf), fx.orders_new(spark, sf)):
+        job.run(spark, SyncSpec("orders", "orders_t", keys=["o_orderkey"]), rows, table)
+    return table.read()
+
+
+def append_replayed(spark, sf):
+    """Two appended batches, the second delivered twice under one replay key."""
+    root = work_path(spark, "native", "append")
+    table, spec = NativeTable(spark, f"{root}/t"), SyncSpec("orders", "t", mode="append")
+    for rows, day in ((fx.orders_old(spark, sf), "1"), (fx.orders_new(spark, sf), "2"), (fx.orders_new(spark, sf), "2")):
+        job.run(spark, spec, rows, table, replay_key=day)
+    return table.read()
 
 
 # ---------------------------------------------------------------- JDBC sink (W3 on Derby)
@@ -259,6 +342,13 @@ IO_QUERIES = {
     "parquet_staging": parquet_staging,
     "hwm_job": hwm_job,
     "run_log": run_log,
+    "positional_csv_header": positional_csv_header,
+    "stream_multi_commit": stream_multi_commit,
+    "outbox_two_targets": outbox_two_targets,
+    "cdc_columns": cdc_columns,
+    "upsert_typed": upsert_typed,
+    "truncate_filled": truncate_filled,
+    "append_replayed": append_replayed,
     "table_changes": table_changes,
     "stream_job": stream_job,
     "stream_consume": stream_consume,

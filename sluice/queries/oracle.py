@@ -6,6 +6,7 @@ derivations come from ``fixtures.SQL`` so both sides read the same inputs.
 
 from __future__ import annotations
 
+from ..sources.generator import FILLER
 from . import fixtures as fx
 
 ORDER_COLS = fx.ORDER_COLS
@@ -208,11 +209,11 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL
         SELECT *, 'target_only' AS side FROM (SELECT * FROM nn EXCEPT ALL SELECT * FROM orders_old)""",
     "row_diff_counts": """
-        WITH a AS (SELECT l_orderkey, l_returnflag FROM lineitem),
-             b AS (SELECT DISTINCT l_orderkey, l_returnflag FROM a),
-             d AS (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
-        SELECT l_orderkey, l_returnflag, 'source_only' AS side, CAST(count(*) AS BIGINT) AS n_rows
-        FROM d GROUP BY l_orderkey, l_returnflag""",
+        SELECT *, 'source_only' AS side, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
+        WHERE l_returnflag = 'R' GROUP BY ALL
+        UNION ALL
+        SELECT *, 'target_only' AS side, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem
+        WHERE l_returnflag = 'A' GROUP BY ALL""",
     "lower_cols": "SELECT * FROM orders",
     "nan_to_null": """
         SELECT event_id, ts, user_id, event_type,
@@ -223,8 +224,9 @@ ORACLE_SQL: dict[str, str] = {
 
 def _claims_sql() -> str:
     k = "o_orderkey"
-    status = f"""CASE {k} % 5 WHEN 0 THEN 'SUBMITTED' WHEN 1 THEN 'PAID' WHEN 2 THEN 'DENIED'
-                 WHEN 3 THEN 'PENDING' ELSE 'ADJUSTED' END"""
+    status = f"""CASE {k} % 5 WHEN 0 THEN 'SUBMITTED' WHEN 1 THEN 'PENDING' WHEN 2 THEN 'PAID'
+                 WHEN 3 THEN 'DENIED' ELSE 'ADJUSTED' END"""
+    money = "CAST(({}) / 100 AS DECIMAL(12, 2))".format
     allowed = f"CASE WHEN {k} % 20 < 17 THEN c * 85 // 100 END"
     submitted = f"o_orderdate + to_seconds({k} % 86400)"
     return f"""
@@ -243,19 +245,19 @@ def _claims_sql() -> str:
                   ELSE CASE {k} % 5 WHEN 0 THEN 'M' WHEN 1 THEN 'O' WHEN 2 THEN 'D'
                        WHEN 3 THEN 'B' ELSE 'L' END END AS tooth_surface,
              'K' || lpad(CAST({k} % 100000 AS VARCHAR), 5, '0') AS diagnosis_code,
-             o_orderdate AS service_date,
+             CAST(o_orderdate AS DATE) AS service_date,
              {submitted} AS submitted_at,
              st AS claim_status,
-             c AS billed_cents,
-             al AS allowed_cents,
-             CASE WHEN st = 'PAID' THEN coalesce(al, c) * 80 // 100 ELSE 0 END AS paid_cents,
-             c - coalesce(al, c) AS member_resp_cents,
+             {money('c')} AS billed_amount,
+             {money('al')} AS allowed_amount,
+             {money("CASE WHEN st = 'PAID' THEN coalesce(al, c) * 80 // 100 ELSE 0 END")} AS paid_amount,
+             {money('c - coalesce(al, c)')} AS member_resp_amount,
              CASE WHEN st = 'DENIED' THEN 'denied: code ' || lpad(CAST({k} % 97 AS VARCHAR), 2, '0')
                   END AS denial_reason,
              CASE WHEN {k} % 10 < 3 THEN NULL
                   WHEN {k} % 100 < 33 THEN ''
                   WHEN {k} % 100 < 40 THEN 'note "' || CAST({k} AS VARCHAR) || '", with, commas'
-                  ELSE 'note ' || CAST({k} AS VARCHAR) END AS payer_note,
+                  ELSE rpad('note ' || CAST({k} AS VARCHAR), CAST(1 + {k} * 37 % 400 AS INTEGER), '{FILLER}') END AS payer_note,
              {k} % 20 = 0 AS is_emergency,
              {submitted} AS updated_at
       FROM s"""
@@ -273,7 +275,21 @@ ORACLE_SQL.update({
                strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day,
                user_id + event_id AS ids_sum
         FROM events""",
-    "positional_csv": "SELECT * FROM orders",
+    "positional_csv": "SELECT *, true AS from_a_csv_file FROM orders",
+    "positional_csv_header": "SELECT * FROM customer",
+    "stream_multi_commit": fx.with_ctes("events_log") + f"""
+        SELECT {', '.join(EVENT_COLS)} FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS _rn FROM events_log)
+        WHERE _rn = 1 AND _cdc_action = 'INSERT'""",
+    "outbox_two_targets": SNAP + f"SELECT {NEW_COLS} FROM orders_new",
+    "cdc_columns": fx.with_ctes("events_feed") + f"""
+        SELECT {', '.join(EVENT_COLS)}, _cdc_action, _cdc_is_update, TIMESTAMP '{fx.NOW}' AS _cdc_loaded_at,
+               CAST(7 AS BIGINT) AS consume_id FROM events_feed""",
+    "upsert_typed": """
+        SELECT o_orderkey, o_orderstatus,
+               CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DECIMAL(18, 2)) AS cents FROM orders""",
+    "truncate_filled": SNAP + f"SELECT {NEW_COLS} FROM orders_new",
+    "append_replayed": SNAP + f"SELECT * FROM orders_old UNION ALL SELECT {NEW_COLS} FROM orders_new",
     "parquet_staging": "SELECT * FROM conversations",
     "hwm_job": "SELECT * FROM orders",
     "stream_job": SNAP + f"SELECT {NEW_COLS} FROM orders_new",

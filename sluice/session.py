@@ -8,7 +8,6 @@ registered queries) go under the shared folder the cluster names in
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,22 +44,28 @@ def build_session(master: str = "local[*]", app: str = "sluice",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
+    """Apply the runtime SQL settings to an existing session. Settings that the
+    cluster has locked stay as they are, but without ANSI casts (which fail
+    where a value does not fit, instead of giving NULL) nothing may run."""
     for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
+        except Exception:
+            if k == "spark.sql.ansi.enabled" and spark.conf.get(k, "false") != "true":
+                raise
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared folder from ``spark.checkpoint.dir``. Where it is unset a
+    local session gets a folder of its own; a cluster has to name one, since
+    executors would not see a folder on the driver's disk."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="sluice-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
@@ -69,16 +74,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared folder, unique per call."""
     return "/".join([checkpoint_dir(spark), "sluice", *parts, uuid.uuid4().hex])
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_os_path(path), exist_ok=True)

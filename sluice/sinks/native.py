@@ -2,23 +2,25 @@
 
 Layout under the table folder::
 
-    _manifest/v0000000001.json   {version, schema, keys, buckets: {b: [run ids]},
-                                  state, acked, run}
+    _manifest/v0000000001.json   {version, schema, keys, n_buckets, bytes,
+                                  buckets: {b: [run ids]}, state, acked, run}
     data/<run id>/_bucket=<b>/   Parquet files written by one publish
 
-A publish rewrites only the buckets whose keys the change matches (updates,
-deletes); buckets that only receive new keys get one more file. It then
-creates the next manifest *exclusively*. That create is the compare-and-swap:
-data, watermark and acknowledged consumes become visible together or not at
-all, and of two concurrent runs exactly one wins (the other raises
-``ConcurrentPublish`` and publishes nothing). Readers list the manifest and
-read the files it names. A bucket's entry lists run ids only (its folder is
-``data/<run id>/_bucket=<b>``), so the manifest stays small with many buckets.
-
-Bucket ids are ``pmod(hash(keys), n)`` — the same function Spark's hash
-partitioner applies — and both sides of the merge are repartitioned into
-``n`` partitions by the keys, so the join needs no further exchange and each
-write task holds exactly one bucket (one file per bucket and publish).
+A publish first casts the change to the table's schema and writes it down once;
+everything after reads that copy, so a source that moves meanwhile cannot give
+two passes two answers. It then rewrites the buckets whose keys the change
+matches (updates, deletes); buckets that only receive new keys get one more
+file. The next manifest is created *exclusively*. That create is the
+compare-and-swap: data, watermark and acknowledged consumes become visible
+together or not at all, and of two concurrent runs exactly one wins (the other
+raises ``ConcurrentPublish`` and publishes nothing). Readers list the manifest
+and read the files it names.
+
+Bucket ids are ``pmod(hash(keys), n)`` over the keys in the table's own types —
+the same function Spark's hash partitioner applies — and both sides of the
+merge are repartitioned into ``n`` partitions by the keys, so the join needs no
+further exchange and each write task holds exactly one bucket. ``n`` is sized
+from bytes written and grows with the table.
 """
 
 from __future__ import annotations
@@ -28,11 +30,12 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
+from ..functions.columns import cast_exactly
 from ..operators import merge as M
 
 BUCKET = "_bucket"
@@ -47,30 +50,32 @@ def bucket_of(keys: Sequence[str], n: int):
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(n))
 
 
-def auto_buckets(df: DataFrame, bucket_bytes: int) -> int:
-    """Bucket count for a new table from Spark's size estimate of its first
-    load (a power of two, so later tables can be compared bucket by bucket)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    n = 1
-    while n * bucket_bytes < size and n < (1 << 20):
+def buckets_for(size: int, bucket_bytes: int) -> int:
+    """Bucket count for so many bytes on disk: a power of two, 2 at least."""
+    n = 2
+    while n * bucket_bytes < size:
         n *= 2
-    return max(n, 2)
+    return n
 
 
 class NativeTable:
-    """A keyed table folder. ``buckets`` applies when the table is created
-    (``None``: sized from the first load, ``bucket_bytes`` per bucket); an
-    existing table always uses the keys and bucket count of its manifest."""
+    """A keyed table folder. ``buckets`` fixes the bucket count of a new table;
+    with ``None`` it is sized from the bytes of the first load,
+    ``bucket_bytes`` per bucket, and doubled as the table outgrows it. An
+    existing table always uses the keys of its manifest."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (),
-                 buckets: int | None = 16, bucket_bytes: int = 512 << 20,
+                 buckets: int | None = None, bucket_bytes: int = 512 << 20,
                  max_records_per_file: int = 10_000_000):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.n = int(buckets) if buckets else None
+        self.fixed = buckets is not None
         self.bucket_bytes = bucket_bytes
         self.max_records = max_records_per_file
+        #: Buckets the last merge touched, rewrote and only added to.
+        self.last_merge: dict[str, int] = {}
         m = self.manifest()
         if m is not None:
             self._adopt(m)
@@ -80,6 +85,7 @@ class NativeTable:
             raise ValueError(f"table {self.root} is keyed by {m['keys']}, not {self.keys}")
         self.keys = list(m["keys"])
         self.n = int(m["n_buckets"])
+        self.fixed = bool(m.get("fixed_buckets", True))
 
     # -------------------------------------------------------------- reading
 
@@ -125,47 +131,6 @@ class NativeTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def read_for(self, keys_df: DataFrame, version: int | None = None) -> DataFrame:
-        """Rows for the given keys, reading only the buckets that can hold
-        them (bucket pruning for lookups; the bucket list is bounded by n)."""
-        if not self.keys:
-            return self.read(version).join(keys_df, list(keys_df.columns), "left_semi")
-        b = bucket_of(self.keys, self.n).cast("string").alias("b")
-        wanted = sorted({r["b"] for r in keys_df.select(*self.keys).select(b).distinct().collect()})
-        return self.read(version, wanted).join(keys_df.select(*self.keys), self.keys, "left_semi")
-
-    def history(self) -> DataFrame:
-        """One row per version (version, run id, run summary, buckets, key
-        bound, state as JSON) read from the manifests: the table's delivery log."""
-        v = self.version()
-        rows = []
-        for i in range(1, (v or 0) + 1):
-            try:
-                m = self.manifest(i)
-            except Exception:   # a version whose manifest was vacuumed
-                continue
-            run = m.get("run", {})
-            rows.append((int(m["version"]), run.get("run_id"), run.get("summary"),
-                         len(m["buckets"]), m.get("key_bound"),
-                         json.dumps(m.get("state", {}), sort_keys=True)))
-        return self.spark.createDataFrame(
-            rows, "version long, run_id string, summary string, buckets int, "
-                  "key_bound long, state string")
-
-    def changes(self, from_version: int, to_version: int | None = None) -> DataFrame:
-        """Change feed between two versions of this table (INSERT / DELETE /
-        update pairs, like ``snapshot_diff``). Buckets whose file lists are
-        equal in both manifests cannot differ, so only the others are read."""
-        from ..sources.snapshot import snapshot_diff
-        if not self.keys:
-            raise ValueError("changes between versions need a keyed table")
-        a = self.manifest(from_version)["buckets"]
-        b = self.manifest(to_version)["buckets"]
-        differ = sorted(k for k in set(a) | set(b) if a.get(k) != b.get(k))
-        old = self.read(from_version, differ)
-        new = self.read(to_version, differ)
-        return snapshot_diff(old, new.select(*old.columns), self.keys)
-
     # -------------------------------------------------------------- writing
 
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:
@@ -174,8 +139,7 @@ class NativeTable:
         w_opts = {"maxRecordsPerFile": str(self.max_records)}
         if self.keys:
             # Key order inside each bucket file keeps Parquet min/max statistics
-            # tight, so key lookups skip row groups; the writer sorts by bucket
-            # anyway, so this adds no shuffle.
+            # tight; the writer sorts by bucket anyway, so this adds no shuffle.
             rows = (df.withColumn(BUCKET, bucket_of(self.keys, self.n))
                     .sortWithinPartitions(BUCKET, *self.keys))
             rows.write.mode("overwrite").options(**w_opts).partitionBy(BUCKET).parquet(out)
@@ -185,6 +149,17 @@ class NativeTable:
         df.write.mode("overwrite").options(**w_opts).parquet(out)
         return {KEYLESS: [run_id]}
 
+    def _settle(self, df: DataFrame | None, schema: T.StructType, path: str,
+                only: Sequence[str] = ()) -> tuple[DataFrame | None, int]:
+        """The change in the table's types, written once; also its bytes."""
+        if df is None:
+            return None, 0
+        if only:
+            df = df.select(*only)
+        df = cast_exactly(df, schema)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), fs.size(self.spark, path)
+
     def publish(self, upserts: DataFrame | None = None, deletes: DataFrame | None = None,
                 truncate: bool = False, append: bool = False, on_match: str = "update",
                 state: dict | None = None, ack: Sequence[int] = (), run: dict | None = None,
@@ -193,77 +168,80 @@ class NativeTable:
         """Apply a change and commit it with the progress; returns the new version.
 
         ``expected_version=-1`` means "the version current when publish starts".
+        Columns are matched by name and cast to the table's types; a value that
+        does not fit fails the publish.
         """
         base_v = self.version() if expected_version == -1 else expected_version
         base = self.manifest(base_v) if base_v is not None else None
         if base is not None:
             self._adopt(base)
-        elif self.n is None:
-            self.n = auto_buckets(upserts, self.bucket_bytes) if self.keys else 1
-        run_id = f"r{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-        if base is not None:
             schema = T.StructType.fromJson(base["schema"])
         elif upserts is not None:
             schema = upserts.schema
         else:
             raise ValueError("first publish needs rows")
-        buckets: dict[str, list[str]] = {} if (base is None or truncate) else dict(base["buckets"])
-
-        def conform(df: DataFrame) -> DataFrame:
-            # Columns are matched by name; target-only columns get NULL.
-            return M.truncate_load(self.spark.createDataFrame([], schema), df)
-
-        int_key = (len(self.keys) == 1 and isinstance(
-            schema[self.keys[0]].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)))
-        bound = None if (base is None or truncate) else base.get("key_bound")
-
-        def with_bound(df: DataFrame) -> DataFrame:
-            # The written rows' max key is observed during the write itself.
-            nonlocal key_obs
-            if not int_key:
-                return df
-            key_obs = Observation("key_bound")
-            return df.observe(key_obs, F.max(self.keys[0]).alias("m"))
-
-        key_obs = None
-        if truncate or base is None:
+        run_id = f"r{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        change = f"{self.root}/_change/{run_id}"
+        try:
+            return self._apply(base_v, base, schema, run_id, change, upserts, deletes, truncate, append,
+                               on_match, state, ack, run, ack_floor, replay_key)
+        finally:
+            fs.delete(self.spark, change)
+
+    def _apply(self, base_v, base, schema, run_id, change, upserts, deletes, truncate, append,
+               on_match, state, ack, run, ack_floor, replay_key) -> int:
+        old = base or {}
+        fresh = base is None or truncate
+        buckets: dict[str, list[str]] = {} if fresh else dict(old["buckets"])
+        appends = dict(old.get("appends", {}))
+        if replay_key in appends:
+            # A replayed append takes out what it appended before, file by file.
+            earlier = appends[replay_key]
+            if not any(earlier in runs for runs in buckets.values()):
+                raise ValueError(f"rows appended under {replay_key!r} were rewritten since; "
+                                 f"replaying would add them again")
+            buckets = {b: kept for b, runs in buckets.items() if (kept := [r for r in runs if r != earlier])}
+        upserts, up_bytes = self._settle(upserts, schema, f"{change}/upserts")
+        deletes, _ = self._settle(deletes, schema, f"{change}/deletes", only=self.keys)
+        if base_v != self.version():
+            raise ConcurrentPublish(f"{self.root} moved past version {base_v}")
+        size = up_bytes + (0 if fresh else old.get("bytes", 0))
+        if self.n is None:
+            self.n = buckets_for(size, self.bucket_bytes) if self.keys else 1
+        whole = (lambda df: M.truncate_load(self.spark.createDataFrame([], schema), df))
+        if fresh:
             if upserts is not None:
-                buckets = self._write(self._spread(with_bound(conform(upserts))), run_id)
+                buckets = self._write(self._spread(whole(upserts)), run_id)
         elif append or not self.keys:
-            # An append replayed under the same key first drops the files that
-            # key appended before, so a retried append never duplicates rows.
-            earlier = (base or {}).get("appends", {}).get(replay_key) if replay_key else None
-            if earlier:
-                buckets = {b: [r for r in runs if r != earlier] for b, runs in buckets.items()}
-                buckets = {b: runs for b, runs in buckets.items() if runs}
             if upserts is not None:
-                for b, ps in self._write(with_bound(conform(upserts)), run_id).items():
-                    buckets[b] = buckets.get(b, []) + ps
+                for b, runs in self._write(self._spread(whole(upserts)), run_id).items():
+                    buckets[b] = buckets.get(b, []) + runs
         else:
-            buckets, delta_max = self._merge(base_v, buckets, upserts, deletes, on_match, run_id)
-            if int_key and delta_max is not None:
-                bound = delta_max if bound is None else max(bound, delta_max)
-        if key_obs is not None:
-            from .staging import observed_value
-            m = observed_value(key_obs, "m")
-            if m is not None:
-                bound = m if bound is None else max(bound, m)
-
+            grown = self.n if self.fixed else max(self.n, buckets_for(size // 2, self.bucket_bytes))
+            if grown > self.n:  # the table has doubled: deal all of it out anew
+                current = self.read(base_v)
+                self.n = grown
+                buckets = self._write(self._spread(M.apply_changes(current, upserts, deletes, self.keys, on_match)), run_id)
+                size = fs.size(self.spark, f"{self.root}/data/{run_id}")
+            else:
+                buckets = self._merge(base_v, buckets, upserts, deletes, on_match, run_id, whole)
+        if replay_key and append and upserts is not None:
+            appends[replay_key] = run_id
         manifest = {
             "version": (base_v or 0) + 1,
             "schema": json.loads(schema.json()),
             "keys": self.keys,
             "n_buckets": self.n,
-            # Upper bound of the single integral key: larger keys are new.
-            "key_bound": bound if int_key else None,
+            "fixed_buckets": self.fixed,
+            # Bytes of the table, counted high where updates replace rows.
+            "bytes": size,
             "buckets": buckets,
-            "state": state if state is not None else (base or {}).get("state", {}),
+            "state": state if state is not None else old.get("state", {}),
             # Ids below the floor were purged after being acknowledged: forget them.
-            "acked": sorted(a for a in set((base or {}).get("acked", [])) | {int(a) for a in ack}
+            "acked": sorted(a for a in set(old.get("acked", [])) | {int(a) for a in ack}
                             if ack_floor is None or a >= ack_floor),
             "run": {"run_id": run_id, **(run or {})},
-            "appends": {**(base or {}).get("appends", {}),
-                        **({replay_key: run_id} if replay_key and append else {})},
+            "appends": {} if truncate else appends,
         }
         if not fs.create_exclusive(self.spark, self._manifest_path(manifest["version"]),
                                    json.dumps(manifest, indent=1, default=str)):
@@ -272,8 +250,7 @@ class NativeTable:
         return manifest["version"]
 
     def _merge(self, base_v: int, buckets: dict[str, list[str]], upserts: DataFrame | None,
-               deletes: DataFrame | None, on_match: str, run_id: str
-               ) -> tuple[dict[str, list[str]], int | None]:
+               deletes: DataFrame | None, on_match: str, run_id: str, whole) -> dict[str, list[str]]:
         """Keyed change against the touched buckets only.
 
         A bucket is rewritten only if the change matches a key it already holds
@@ -283,123 +260,35 @@ class NativeTable:
         columns alone (a narrow columnar scan of the touched buckets).
         """
         b_col = bucket_of(self.keys, self.n).cast("string")
-        kcol, bound = self._key_bound_col(base_v)
-        key_val = F.col(kcol) if kcol else F.lit(None).cast("long")
-
-        def tagged(d: DataFrame, is_delete: bool) -> DataFrame:
-            # A row needs an existence check unless its key lies above the
-            # table's key bound (then it cannot exist yet).
-            check = (F.lit(True) if is_delete or bound is None
-                     else F.coalesce(~(key_val > F.lit(bound)), F.lit(True)))
-            return d.select(b_col.alias("b"), check.alias("chk"), key_val.alias("k"))
-
-        parts = [tagged(d, dl) for d, dl in ((upserts, False), (deletes, True)) if d is not None]
-        if not parts:
-            return buckets, None
-        tags = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        changed = [d.select(*self.keys) for d in (upserts, deletes) if d is not None]
+        if not changed:
+            return buckets
+        keys = changed[0] if len(changed) == 1 else changed[0].unionByName(changed[1])
         # One row per touched bucket: bounded by the bucket count, not the data.
-        per = tags.groupBy("b").agg(F.max(F.col("chk").cast("int")).alias("chk"),
-                                    F.max("k").alias("k")).collect()
-        touched = sorted(r["b"] for r in per)
+        touched = sorted(r["b"] for r in keys.select(b_col.alias("b")).distinct().collect())
         if not touched:
-            return buckets, None
-        delta_max = max((r["k"] for r in per if r["k"] is not None), default=None)
-        check = sorted(r["b"] for r in per if r["chk"])
-        rewrite = []
-        if check:
-            existing = self.read(base_v, check).select(*self.keys)
-            hits = []
-            for d, dl in ((upserts, False), (deletes, True)):
-                if d is None:
-                    continue
-                cand = d.select(*self.keys)
-                if not dl and bound is not None:
-                    cand = cand.where(~(F.col(kcol) > F.lit(bound)))
-                hits.append(cand.join(existing, self.keys, "left_semi").select(b_col.alias("b")))
-            hit_df = hits[0] if len(hits) == 1 else hits[0].unionByName(hits[1])
-            rewrite = sorted({r["b"] for r in hit_df.distinct().collect()})
-        append_only = [b for b in touched if b not in rewrite]
-        self.last_merge = {"touched": len(touched), "checked": len(check),
-                           "rewritten": len(rewrite), "appended": len(append_only)}
-
+            return buckets
+        existing = self.read(base_v, touched).select(*self.keys)
+        hits = keys.join(existing, self.keys, "left_semi").select(b_col.alias("b")).distinct()
+        rewrite = sorted(r["b"] for r in hits.collect())
+        add_to = [b for b in touched if b not in set(rewrite)]
+        self.last_merge = {"touched": len(touched), "rewritten": len(rewrite), "appended": len(add_to)}
         in_rewrite = b_col.isin(rewrite) if rewrite else F.lit(False)
         pieces = []
         if rewrite:
-            current = self.read(base_v, rewrite)
-            pieces.append(M.apply_changes(
-                current.repartition(self.n, *self.keys),
-                upserts.where(in_rewrite).repartition(self.n, *self.keys) if upserts is not None else None,
-                deletes.where(in_rewrite).repartition(self.n, *self.keys) if deletes is not None else None,
-                self.keys, on_match))
-        if append_only and upserts is not None:
-            schema = T.StructType.fromJson(self.manifest(base_v)["schema"])
-            new_rows = M.truncate_load(self.spark.createDataFrame([], schema),
-                                       upserts.where(~in_rewrite))
-            pieces.append(new_rows.repartition(self.n, *self.keys))
-        out = dict(buckets)
+            part = lambda d: None if d is None else d.where(in_rewrite).repartition(self.n, *self.keys)
+            pieces.append(M.apply_changes(self.read(base_v, rewrite).repartition(self.n, *self.keys),
+                                          part(upserts), part(deletes), self.keys, on_match))
+        if add_to and upserts is not None:
+            pieces.append(whole(upserts.where(~in_rewrite)).repartition(self.n, *self.keys))
+        out = {b: runs for b, runs in buckets.items() if b not in set(rewrite)}
         if pieces:
             rows = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
-            written = self._write(rows, run_id)
-            for b in rewrite:
-                out.pop(b, None)
-                if b in written:
-                    out[b] = written[b]
-            for b in append_only:
-                if b in written:
-                    out[b] = out.get(b, []) + written[b]
-        else:
-            for b in rewrite:   # only deletes, and they emptied nothing new
-                out.pop(b, None)
-        return out, delta_max
-
-    def compact(self, min_files: int = 4) -> int | None:
-        """Rewrite buckets that gathered ``min_files`` or more files (appended
-        inserts) into one file each; returns the new version, or None."""
-        m = self.manifest()
-        if m is None:
-            return None
-        many = [b for b, ps in m["buckets"].items() if len(ps) >= min_files]
-        if not many:
-            return None
-        run_id = f"c{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-        written = self._write(self.read(m["version"], many).repartition(self.n, *self.keys), run_id)
-        buckets = {b: ps for b, ps in m["buckets"].items() if b not in many}
-        buckets.update({b: written[b] for b in many if b in written})
-        new = {**m, "version": m["version"] + 1, "buckets": buckets,
-               "run": {"run_id": run_id, "summary": f"compacted {len(many)} buckets"}}
-        if not fs.create_exclusive(self.spark, self._manifest_path(new["version"]),
-                                   json.dumps(new, indent=1, default=str)):
-            fs.delete(self.spark, f"{self.root}/data/{run_id}")
-            raise ConcurrentPublish(f"version {new['version']} of {self.root} exists")
-        return new["version"]
-
-    def _key_bound_col(self, version: int | None) -> tuple[str | None, int | None]:
-        """The single integral key column and the table's upper bound on it
-        (None when the key is composite or not integral)."""
-        m = self.manifest(version) if version is not None else None
-        if len(self.keys) != 1 or m is None:
-            return None, None
-        f = T.StructType.fromJson(m["schema"])[self.keys[0]]
-        if not isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-            return None, None
-        return self.keys[0], m.get("key_bound")
+            for b, runs in self._write(rows, run_id).items():
+                if b not in rewrite and b not in add_to:
+                    raise RuntimeError(f"rows were written to bucket {b}, which the change does not touch")
+                out[b] = out.get(b, []) + runs
+        return out
 
     def _spread(self, df: DataFrame) -> DataFrame:
         return df.repartition(self.n, *self.keys) if self.keys else df
-
-    def vacuum(self, keep_versions: int = 5) -> list[str]:
-        """Delete data folders no longer named by the newest ``keep_versions``."""
-        v = self.version()
-        if v is None:
-            return []
-        live = set()
-        for i in range(max(1, v - keep_versions + 1), v + 1):
-            m = self.manifest(i)
-            for runs in m["buckets"].values():
-                live.update(runs)
-        gone = []
-        for name in fs.list_names(self.spark, f"{self.root}/data"):
-            if name not in live:
-                fs.delete(self.spark, f"{self.root}/data/{name}")
-                gone.append(name)
-        return gone

@@ -39,6 +39,8 @@ CSV_OPTIONS = {
 }
 READ_ONLY_OPTIONS = {"multiLine": "true", "enforceSchema": "false", "mode": "FAILFAST"}
 DEFAULT_MAX_RECORDS = 1_000_000
+#: A CSV file with line breaks in its fields is read by one task, so it is kept to about this size.
+FILE_BYTES = 100 << 20
 
 
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -108,13 +110,24 @@ def csv_decode(text: DataFrame, schema: T.StructType) -> DataFrame:
     return text.select(*[_decode(f) for f in schema.fields])
 
 
-def write_csv(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECORDS,
+def rows_per_file(text: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Rows of average width that fill a file (one aggregate over the rows)."""
+    width = F.lit(0)
+    for c in text.columns:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(8)) + 3
+    mean = text.agg(F.avg(width).alias("w")).first()["w"]
+    return max(1, int(file_bytes / mean)) if mean else DEFAULT_MAX_RECORDS
+
+
+def write_csv(df: DataFrame, path: str, max_records: int | None = None,
               compression: str | None = None) -> int:
     """Write staged CSV files in parallel; returns the row count (counted
-    during the write, no extra pass)."""
-    counted, obs = observed(csv_encode(df), "csv_rows")
+    during the write, no extra pass). Files are bounded by ``max_records`` rows
+    or, without it, by about ``FILE_BYTES``."""
+    text = csv_encode(df)
+    counted, obs = observed(text, "csv_rows")
     w = counted.write.mode("overwrite").options(**CSV_OPTIONS)
-    w = w.option("maxRecordsPerFile", str(max_records))
+    w = w.option("maxRecordsPerFile", str(max_records or rows_per_file(text)))
     if compression:
         w = w.option("compression", compression)
     w.csv(path)
@@ -131,10 +144,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_positional_csv(spark: SparkSession, path: str, names: list[str],
                         header: bool = False, with_file: bool = False) -> DataFrame:
-    """Fields by position (``_c0, _c1, …``) renamed to ``names``; optionally the
-    name of the file each row came from."""
-    opts = {**CSV_OPTIONS, "header": "true" if header else "false", "multiLine": "true"}
-    raw = spark.read.options(**opts).csv(path)
+    """Fields by position, named ``names``; a header line is skipped, whatever
+    it says. Optionally the name of the file each row came from. A row with
+    more or fewer fields fails the read."""
+    fields = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    opts = {**CSV_OPTIONS, "header": "true" if header else "false", "multiLine": "true", "mode": "FAILFAST"}
+    raw = spark.read.schema(fields).options(**opts).csv(path)
     cols = [F.col(f"_c{i}").alias(n) for i, n in enumerate(names)]
     if with_file:
         cols.append(F.col("_metadata.file_name").alias("file_name"))

@@ -14,11 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def full_scan(spark: SparkSession, source: str) -> DataFrame:
-    """Every row of a table or registered view (``SELECT *``)."""
-    return spark.table(source)
-
-
 def define_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
     """Register a view that pins the projection (e.g. ``UPPER(v) AS v``)."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {select_sql}")
@@ -87,5 +82,5 @@ def row_count_and_latest(df: DataFrame, col: str) -> DataFrame:
 
 
 def changed_since(df: DataFrame, col: str, since: Column) -> DataFrame:
-    """``COUNT_IF(col >= since)`` with a passed-in reference time."""
-    return df.agg(F.count_if(F.col(col) >= since).alias("changed"))
+    """``COUNT_IF(col >= since)`` with a passed-in reference time, and ``COUNT(*)``."""
+    return df.agg(F.count_if(F.col(col) >= since).alias("changed"), F.count(F.lit(1)).alias("row_count"))

@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
-from .outbox import OutboxStore
+from .outbox import COMMITTED_AT, OutboxStore
+
+
+_FILE, _WRITTEN = "_cdc_file", "_cdc_written_at"
 
 
 class StaleFeed(RuntimeError):
@@ -31,26 +34,38 @@ class StaleFeed(RuntimeError):
 def consume_to_outbox(spark: SparkSession, change_log: str, schema: T.StructType,
                       outbox: OutboxStore, max_files_per_trigger: int | None = None,
                       processing_time: str | None = None, timeout_s: float | None = None,
-                      max_file_age: str = "36500d") -> list[int]:
-    """Move every pending change-log row into the outbox; returns new consume ids."""
+                      max_file_age: str = "30d", commit_col: str | None = None) -> list[int]:
+    """Move every pending change-log row into the outbox; returns new consume ids.
+
+    Each row gets the commit time of its file. With ``commit_col`` (a number or
+    time that grows with the commits) the run first makes sure that the log
+    still reaches back to what was consumed last.
+
+    ``max_file_age`` bounds the list of seen files that the stream keeps: a file
+    is only skipped if it is that much older than the newest file consumed in an
+    earlier run and was not there then. File times are commit times here.
+    """
     if not fs.exists(spark, change_log):
         return []          # nothing has been published to the change log yet
     ckpt = f"{outbox.path}/_checkpoint"
     if not fs.exists(spark, ckpt) and outbox.rows() is not None:
         raise RuntimeError("outbox holds rows but its checkpoint is missing; "
                            "a new checkpoint would reuse consume ids")
-    before = set(fs.partition_values(spark, outbox.rows_path, "consume_id"))
-    # The file source would skip files older than maxFileAge (7 days by default)
-    # relative to the newest file seen; a late-arriving change file must still
-    # be delivered, so the age limit is lifted.
+    if commit_col:
+        kind = schema[commit_col].dataType
+        last = outbox.position(commit_col, kind.simpleString())
+        check_staleness(spark.read.schema(schema).parquet(change_log), commit_col,
+                        None if last is None else F.lit(last).cast(kind))
+    before = set(outbox.consume_ids())
     reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(change_log)
+    stream = reader.parquet(change_log).select(
+        "*", F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.file_modification_time").alias(_WRITTEN))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        outbox.write_consume(batch, int(batch_id), loaded_at=now)
+        outbox.write_consume(with_commit_time(batch), int(batch_id), loaded_at=now)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
     w = w.trigger(processingTime=processing_time) if processing_time else w.trigger(availableNow=True)
@@ -60,16 +75,31 @@ def consume_to_outbox(spark: SparkSession, change_log: str, schema: T.StructType
         q.stop()
     else:
         q.awaitTermination()
-    after = set(fs.partition_values(spark, outbox.rows_path, "consume_id"))
-    return sorted(after - before)
+    new = sorted(set(outbox.consume_ids()) - before)
+    if new and commit_col:
+        outbox.note_position(new[-1], commit_col)
+    return new
+
+
+def with_commit_time(batch: DataFrame) -> DataFrame:
+    """Rows with the time of the commit that brought them, in place of their
+    file. The files of one Spark write share the write's id in their names and
+    were committed together, when the last of them was there; any other file is
+    a commit of its own. One row per commit is joined back."""
+    write_id = F.regexp_extract(_FILE, "^part-[0-9]+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})", 1)
+    rows = batch.withColumn("_cdc_commit", F.when(write_id != "", write_id).otherwise(F.col(_FILE)))
+    commits = rows.groupBy("_cdc_commit").agg(F.max(_WRITTEN).alias(COMMITTED_AT))
+    return rows.join(commits, "_cdc_commit").drop("_cdc_commit", _FILE, _WRITTEN)
 
 
 def check_staleness(change_log: DataFrame, commit_col: str, last_consumed) -> None:
-    """Raise when the oldest retained change is newer than the last consumed
-    position — changes in between were dropped by the log's retention."""
+    """Raise when the log no longer reaches back to the last consumed position:
+    changes in between may have been dropped. Whoever cleans the log keeps the
+    newest consumed change until the next run."""
     if last_consumed is None:
         return
-    oldest = change_log.agg(F.min(commit_col).alias("m")).first()["m"]
-    if oldest is not None and oldest > last_consumed:
-        raise StaleFeed(f"change log starts at {oldest!r}, after the last consumed "
-                        f"position {last_consumed!r}: full reload required")
+    last = last_consumed if isinstance(last_consumed, Column) else F.lit(last_consumed)
+    oldest = change_log.agg(F.min(commit_col).alias("m")).select("m", (F.col("m") > last).alias("late")).first()
+    if oldest["late"]:
+        raise StaleFeed(f"the change log starts at {oldest['m']!r}, after what was consumed last: "
+                        f"full reload required")

@@ -13,15 +13,21 @@ a folder.
 from __future__ import annotations
 
 import datetime as _dt
+import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.netchange import ACTION, CONSUME, LOADED_AT
-from ..session import ensure_dir
 from .. import fs
 
+#: Time of the change-log commit that brought a row.
+COMMITTED_AT = "_cdc_committed_at"
+#: Ledger entry of a target that reads the outbox and may not have received anything yet.
+REGISTERED = -1
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("target", T.StringType(), False),
     T.StructField(CONSUME, T.LongType(), False),
@@ -66,17 +72,21 @@ def ack_rows(window: DataFrame, target: str, acked_at) -> DataFrame:
                     F.lit(acked_at).cast("timestamp_ntz").alias("acked_at")))
 
 
-def purgeable(outbox: DataFrame, ledger: DataFrame, target: str, now,
+def purgeable(outbox: DataFrame, ledger: DataFrame, target: str | Sequence[str], now,
               retention_days: int) -> DataFrame:
-    """Delivered consumes loaded at least ``retention_days`` before ``now``."""
+    """Consumes delivered to ``target`` (all of them, if several) and loaded at
+    least ``retention_days`` before ``now``."""
     if retention_days < 0:
         raise ValueError("retention_days must be 0 or more")
     limit = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(retention_days))
     loaded = outbox.select(CONSUME, LOADED_AT).where(F.col(LOADED_AT) <= limit).distinct()
-    return loaded.join(acked_consumes(ledger, target), CONSUME, "left_semi").select(CONSUME)
+    targets = [target] if isinstance(target, str) else list(target)
+    by_all = (ledger.where(F.col("target").isin(targets)).groupBy(CONSUME)
+              .agg(F.count_distinct("target").alias("n")).where(F.col("n") == len(set(targets))))
+    return loaded.join(by_all, CONSUME, "left_semi").select(CONSUME)
 
 
-def purge(outbox: DataFrame, ledger: DataFrame, target: str, now,
+def purge(outbox: DataFrame, ledger: DataFrame, target: str | Sequence[str], now,
           retention_days: int) -> DataFrame:
     """Outbox contents after the purge; pending rows are never touched."""
     gone = purgeable(outbox, ledger, target, now, retention_days)
@@ -106,7 +116,7 @@ class OutboxStore:
         self.path = path.rstrip("/")
         self.rows_path = f"{self.path}/rows"
         self.ledger_path = f"{self.path}/ledger"
-        ensure_dir(self.path)
+        fs.ensure_dir(spark, self.path)
 
     def rows(self) -> DataFrame | None:
         if not fs.partition_values(self.spark, self.rows_path, CONSUME):
@@ -124,11 +134,21 @@ class OutboxStore:
     def acked_ids(self, target: str) -> set[int]:
         return {r[CONSUME] for r in acked_consumes(self.ledger(), target).collect()}
 
-    def pending_window(self, target: str, also_acked=()) -> tuple[DataFrame | None, list[int]]:
+    def register(self, target: str) -> None:
+        """Note that ``target`` reads this outbox; nothing is purged before it
+        has received it. Later runs find the note and add none."""
+        if self.ledger().where((F.col("target") == target) & (F.col(CONSUME) == REGISTERED)).isEmpty():
+            self._ledger_rows([(target, REGISTERED, None)])
+
+    def targets(self) -> list[str]:
+        """Every target that has registered or received something."""
+        return sorted(r["target"] for r in self.ledger().select("target").distinct().collect())
+
+    def pending_window(self, target: str) -> tuple[DataFrame | None, list[int]]:
         """Rows of the pending consumes (not acknowledged for ``target``), read
         through a partition filter so delivered consumes are never scanned.
         The id lists are bounded by the number of retained consumes."""
-        done = self.acked_ids(target) | {int(a) for a in also_acked}
+        done = self.acked_ids(target)
         ids = [c for c in self.consume_ids() if c not in done]
         if not ids:
             return None, []
@@ -142,18 +162,18 @@ class OutboxStore:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(CONSUME).parquet(self.rows_path))
 
-    def next_consume_id(self) -> int:
-        ids = fs.partition_values(self.spark, self.rows_path, CONSUME)
-        acked = self.ledger().agg(F.max(CONSUME).alias("m")).first()["m"]
-        return max([*ids, acked if acked is not None else -1, -1]) + 1
+    def _ledger_rows(self, rows: list[tuple]) -> None:
+        (self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1)
+         .write.mode("append").parquet(self.ledger_path))
 
-    def acknowledge(self, window_ids: list[int], target: str, acked_at=None) -> None:
+    def acknowledge(self, window_ids: Sequence[int], target: str, acked_at=None) -> None:
         acked_at = acked_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        rows = [(target, int(c), acked_at) for c in window_ids]
-        self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append").parquet(self.ledger_path)
+        if window_ids:
+            self._ledger_rows([(target, int(c), acked_at) for c in window_ids])
 
     def compact_ledger(self, max_files: int = 64) -> bool:
-        """Fold the ledger's per-run files into one once there are many.
+        """Fold the ledger's per-run files into one once there are many, and
+        drop the entries of purged consumes, which can never be pending again.
 
         The folded file is moved in first and the old files removed after, so
         a crash in between leaves duplicate ledger rows (harmless: acknowledged
@@ -162,7 +182,8 @@ class OutboxStore:
         if len(old) < max_files:
             return False
         tmp = f"{self.path}/ledger_compact"
-        self.ledger().coalesce(1).write.mode("overwrite").parquet(tmp)
+        keep = [REGISTERED, *self.consume_ids()]
+        self.ledger().where(F.col(CONSUME).isin(keep)).coalesce(1).write.mode("overwrite").parquet(tmp)
         for n in fs.list_names(self.spark, tmp):
             if n.endswith(".parquet"):
                 fs.rename(self.spark, f"{tmp}/{n}", f"{self.ledger_path}/compact-{n}")
@@ -171,13 +192,39 @@ class OutboxStore:
         fs.delete(self.spark, tmp)
         return True
 
-    def purge(self, target: str, now, retention_days: int) -> list[int]:
-        """Delete delivered partitions older than the retention; returns their ids."""
+    def purge(self, now, retention_days: int) -> list[int]:
+        """Delete partitions older than the retention that every target has
+        received; returns their ids."""
         rows = self.rows()
         if rows is None:
             return []
         gone = [r[CONSUME] for r in
-                purgeable(rows, self.ledger(), target, now, retention_days).collect()]
+                purgeable(rows, self.ledger(), self.targets(), now, retention_days).collect()]
         for c in gone:
             fs.delete(self.spark, f"{self.rows_path}/{CONSUME}={c}")
         return gone
+
+    # ------------------------------------------------------------ log position
+
+    def position(self, column: str, kind: str):
+        """Greatest ``column`` consumed so far, or None."""
+        names = sorted(fs.list_names(self.spark, f"{self.path}/position"))
+        if not names:
+            return None
+        noted = json.loads(fs.read_text(self.spark, f"{self.path}/position/{names[-1]}"))
+        return noted["value"] if (noted["column"], noted["type"]) == (column, kind) else None
+
+    def note_position(self, consume_id: int, column: str) -> None:
+        rows = self.spark.read.parquet(self.rows_path).where(F.col(CONSUME) == consume_id)
+        kind = rows.schema[column].dataType.simpleString()
+        value = rows.agg(F.max(column).cast("string").alias("m")).first()["m"]
+        if value is None:
+            return
+        folder = f"{self.path}/position"
+        fs.ensure_dir(self.spark, folder)
+        old = fs.list_names(self.spark, folder)
+        fs.create_exclusive(self.spark, f"{folder}/p{consume_id:012d}.json",
+                            json.dumps({"column": column, "type": kind, "value": value}))
+        for name in old:
+            if name < f"p{consume_id:012d}":
+                fs.delete(self.spark, f"{folder}/{name}")

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -16,11 +15,6 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from sluice.session import build_session
     s = build_session("local[8]", shuffle_partitions=8)
-    # Tests set their own shared folder only because none is configured here.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="sluice-test-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
     s.stop()
 

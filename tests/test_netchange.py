@@ -140,7 +140,7 @@ def test_plan_stream_over_outbox_dataframes(spark):
     spec = SyncSpec("s", "t", capture="stream", mode="upsert", keys=["id"],
                     change_log="/l", outbox="/o")
     plan = plan_stream(rows, ledger, spec)
-    assert plan.ack == [2, 3]
+    assert plan.consumes == (2, 3)
     assert sorted(map(tuple, plan.upserts.collect())) == [(2, "b"), (3, "c")]
     assert [r.id for r in plan.deletes.collect()] == [1]
     assert plan_stream(rows, spark.createDataFrame(

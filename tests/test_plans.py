@@ -81,20 +81,33 @@ def test_pending_outbox_read_prunes_partitions(spark, scratch):
     assert [r.consume_id for r in window.select("consume_id").collect()] == [2]
 
 
-def test_bucket_prefilter_skips_equal_buckets(spark):
-    from sluice.sources.snapshot import differing_buckets, snapshot_diff
-    old = spark.createDataFrame([(i, "v", None) for i in range(200)], "id long, v string, w string")
-    new = old.where("id != 7").union(spark.createDataFrame([(500, "n", None)], old.schema))
-    new = new.selectExpr("id", "CASE WHEN id = 9 THEN NULL ELSE v END AS v", "w")
-    diff = differing_buckets(old, new, ["id"], 32)
-    assert 1 <= len(diff) <= 3          # only the buckets of ids 7, 9 and 500
-    full = sorted(map(tuple, snapshot_diff(old, new, ["id"]).collect()), key=repr)
-    pre = sorted(map(tuple, snapshot_diff(old, new, ["id"], prefilter_buckets=32).collect()), key=repr)
-    assert full == pre and len(full) == 4
-    # Swapped NULLs between two columns are still seen as a change.
-    a = spark.createDataFrame([(1, None, "x")], "id long, v string, w string")
-    b = spark.createDataFrame([(1, "x", None)], "id long, v string, w string")
-    assert differing_buckets(a, b, ["id"], 4) != []
+def test_partitions_of_a_diff_never_change_it(spark):
+    from sluice.sources.snapshot import snapshot_diff
+    old = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "id long, v string")
+    new = spark.createDataFrame([(1, "b"), (2, "b"), (4, "a")], "id long, v string")
+    plain = sorted(map(tuple, snapshot_diff(old, new, ["id"]).collect()))
+    assert plain == sorted(map(tuple, snapshot_diff(old, new, ["id"], partitions=5).collect())) and len(plain) == 6
+
+
+def test_diffs_sort_no_whole_rows_before_the_join(spark):
+    from sluice.sources.snapshot import snapshot_diff, snapshot_net_change
+    old = spark.range(1000).selectExpr("id", "cast(id AS string) AS v", "id % 7 AS w")
+    new = old.selectExpr("id + 10 AS id", "v", "w + 1 AS w")
+    for df in (snapshot_diff(old, new, ["id"]), snapshot_net_change(old, new, ["id"])):
+        assert "SortAggregate" not in plan(df) and "ObjectHashAggregate" not in plan(df)
+    assert plan(snapshot_net_change(old, new, ["id"])).count("Exchange hashpartitioning") <= 2
+
+
+def test_net_change_of_two_snapshots_equals_the_reduced_feed(spark):
+    from pyspark.sql import functions as F
+    from sluice.operators.netchange import net_change
+    from sluice.sources.snapshot import snapshot_diff, snapshot_net_change
+    old = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, None, 2), (5, "e", 5)], "id long, v string, w long")
+    new = spark.createDataFrame([(1, "a", None), (2, "B", 1), (3, None, None), (4, "d", 4)], "id long, v string, w long")
+    feed = snapshot_diff(old, new, ["id"]).withColumn("consume_id", F.lit(1).cast("long"))
+    want = net_change(feed, ["id"]).select("id", "v", "w", "_cdc_action")
+    got = snapshot_net_change(old, new, ["id"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
 def test_key_order_spreads_a_hot_key(spark):

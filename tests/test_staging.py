@@ -23,15 +23,20 @@ SCHEMA = T.StructType([
     T.StructField("ltz", T.TimestampType()),
 ])
 
-TEXTS = [None, "", "__NULL__x", "Zoë Müller — São Paulo 東京 ✓",
-         "has \"quotes\", commas, and 'apostrophes'", "line one\nline two", "  padded  ",
-         "back\\slash", "x" * 5000]
-AMTS = [None, "0", "1.5", "-1234.5678", "99999999.9999", "0.0001", "-0.0001", "7", "8"]
-TSS = [None, "2026-10-08 16:43:51.247", "2026-06-15 12:00:00", "2026-01-01 00:00:00.001",
-       "2026-12-31 23:59:59.999", "2026-06-15 12:00:00.5", "2000-02-29 00:00:00",
-       "2026-01-01 00:00:00.123456", "0001-01-01 00:00:00"]
-FLOATS = [None, 0.1234567890123456789, 1234567.123456789012, 1.5e-12, 3.141592653589793,
-          float("nan"), -0.0, 1e308, 5e-324]
+#: One row per entry: a text, a decimal(12,4), a timestamp and a double that are easily damaged.
+CASES = [
+    (None, None, None, None),
+    ("", "0.0000", "1970-01-01 00:00:00", 0.0),
+    ("__NULL__ but not quite", "-0.0001", "1969-12-31 23:59:59.999999", -0.0),
+    ("Ærøskøbing / Łódź / ኢትዮጵያ / 🜁", "12345678.9012", "2038-01-19 03:14:08.000001", float("inf")),
+    ("a,b;c\td", "0.1", "1999-12-31 23:59:60".replace(":60", ":59.5"), 0.1),
+    ('""" \'quoted\' "', "-99999999.9999", "0001-01-01 00:00:00", float("nan")),
+    ("first\r\nsecond\n\nlast", "1000", "9999-12-31 23:59:59.999999", 2.0 ** -1074),
+    (" \t leading and trailing \t ", "3.1400", "2024-02-29 12:00:00.100000", 1.7976931348623157e308),
+    ("C:\\dir\\\"x\"\\", "7", "2001-09-09 01:46:40", -2.5e-300),
+    ("long " * 2000, "42.4242", "2020-06-30 23:59:59.000100", 1 / 3),
+]
+TEXTS, AMTS, TSS, FLOATS = zip(*CASES)
 
 
 def rows():
@@ -96,3 +101,23 @@ def test_variant_round_trip(spark, scratch):
         up, _ = staging.stage_round_trip(spark, src, None, fmt, f"{scratch}/{fmt}", fmt)
         got = {r.id: r.j for r in up.selectExpr("id", "to_json(v) AS j").collect()}
         assert got == {1: '{"a":[1,null,"x"],"b":{"c":1.5}}', 2: "null", 3: None}, fmt
+
+
+def test_positional_reads_skip_a_header_and_refuse_ragged_rows(spark, scratch):
+    src = spark.createDataFrame([("1", "a,b"), ("2", None)], "n string, t string")
+    staging.write_csv(src, f"{scratch}/h")
+    got = staging.read_positional_csv(spark, f"{scratch}/h", ["x", "y"], header=True, with_file=True)
+    assert sorted((r.x, r.y) for r in got.collect()) == [("1", "a,b"), ("2", None)]
+    assert all(r.file_name.endswith(".csv") for r in got.collect())
+    spark.createDataFrame([('"1","a"',), ('"2"',)], "value string").coalesce(1).write.text(f"{scratch}/r")
+    with pytest.raises(Exception):
+        staging.read_positional_csv(spark, f"{scratch}/r", ["x", "y"]).collect()
+
+
+def test_files_are_bounded_by_bytes(spark, scratch, monkeypatch):
+    monkeypatch.setattr(staging, "FILE_BYTES", 50_000)
+    wide = spark.range(200, numPartitions=1).selectExpr("id", "repeat('x', 1000) AS t")
+    assert 40 <= staging.rows_per_file(wide, 50_000) <= 50
+    staging.write_csv(wide, scratch, staging.rows_per_file(wide, 50_000))
+    from sluice import fs
+    assert 4 <= len([n for n in fs.list_names(spark, scratch) if n.endswith(".csv")]) <= 6
