@@ -242,8 +242,9 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5
         "nid", "rep", "copies", "comp", "n_blocks",
         F.pmod(F.xxhash64("nid"), F.col("n_blocks")).alias("block")), "members")
 
+    # Members grow with the table, so their texts are fetched by a shuffle at every size.
     texts = (docs.select(row_key(doc, words).alias("row_key"), words.alias("text"))
-             .join(members, F.col("row_key") == F.col("rep"))
+             .join(members.hint("merge"), F.col("row_key") == F.col("rep"))
              .select("nid", "copies", "comp", "block", "n_blocks", gram_set("text").alias("grams")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
     cells = (texts.withColumn("other", other)
