@@ -135,8 +135,8 @@ def train(bags: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, seed:
     shape = {"W": (WIDTH, HIDDEN), "b": (HIDDEN,), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "w": (GATE,), "c": (HIDDEN,), "d": ()}
     start = {k: np.asarray(rng.normal(0, 1 / math.sqrt(max(1, s[0] if s else 1)), s)) * (k not in "bd") for k, s in shape.items()}
     model = Model(start, every.mean(axis=0), every.std(axis=0) + 1e-3)
-    first, second, step = ({k: np.zeros(s) for k, s in shape.items()} for _ in range(2)), None, 0
-    first, second = first
+    first, second = ({k: np.zeros(s) for k, s in shape.items()} for _ in range(2))
+    step = 0
     for epoch in range(epochs):
         order = rng.permutation(len(bags))
         for some in np.array_split(order, max(1, len(order) // batch)):
