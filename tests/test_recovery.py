@@ -58,14 +58,14 @@ def failing(df):
                          .otherwise(F.col("v")))
 
 
-@pytest.mark.parametrize("staged", ["direct", "csv", "parquet"])
-@pytest.mark.parametrize("capture", ["none", "hwm", "stream"])
-@pytest.mark.parametrize("failure", ["read", "mid_write", "commit", "state"])
+#: A direct run copies its rows as Parquet, so that staging needs no rows of its own here.
+MATRIX = [("direct", c, f) for c in ("none", "hwm", "stream") for f in ("read", "mid_write", "commit", "state")
+          if (c, f) not in (("none", "state"), ("stream", "read"))]
+MATRIX += [("csv", "none", "read"), ("csv", "hwm", "mid_write"), ("csv", "stream", "mid_write"), ("parquet", "hwm", "read")]
+
+
+@pytest.mark.parametrize("staged, capture, failure", MATRIX)
 def test_recovery(spark, scratch, monkeypatch, capture, failure, staged):
-    if staged != "direct" and failure in ("commit", "state"):
-        pytest.skip("staging is over by then")
-    if failure == "state" and capture == "none":
-        pytest.skip("no progress state in a full load")
     root = scratch
     table = NativeTable(spark, f"{root}/t", keys=["id"], buckets=4)
     old = before(spark)
@@ -80,9 +80,7 @@ def test_recovery(spark, scratch, monkeypatch, capture, failure, staged):
 
     src = new
     if failure == "read":
-        src = failing(new)
-        if capture == "stream":
-            pytest.skip("stream reads the change log, covered by mid_write")
+        src = failing(new)  # a stream reads the change log: covered by mid_write
     elif failure == "mid_write":
         orig = NativeTable._write
 
