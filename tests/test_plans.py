@@ -137,3 +137,16 @@ def test_jdbc_source_is_partitioned_and_pushes_the_window(spark):
     w = src.where(F.col("v") > 1500)
     assert "PushedFilters: [*IsNotNull(v), *GreaterThan(v,1500)]" in plan(w)
     assert w.count() == 249
+
+
+def test_jdbc_source_ranges_follow_the_rows_not_the_span(spark):
+    from pyspark.sql import functions as F
+    from sluice.sinks.jdbc import derby_memory_url, q
+    from sluice.sources.jdbc_source import read_jdbc_table
+    url = derby_memory_url()
+    df = spark.range(1000).select(F.when(F.col("id") < 900, F.col("id")).otherwise(F.col("id") + 10**12).alias("id"))
+    df.unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)")).write.format("jdbc").option("url", url).option("dbtable", q("gap")).save()
+    src = read_jdbc_table(spark, url, "gap", partition_col="id", num_partitions=5)
+    sizes = src.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 1001 and max(r["count"] for r in sizes) <= 260
+    assert src.distinct().count() == 1001
