@@ -117,3 +117,29 @@ def scan(docs: DataFrame, text: str = "text", notices: tuple[Notice, ...] = NOTI
     added = ("sentence_ids", "line_ids", "licences")
     return rows.select(*unpacked(rows, docs.columns, added), "sentence_ids", "line_ids",
                        F.array_sort(F.array_distinct(F.array_compact(F.array(*found)))).alias("licences"))
+
+
+def _sql(notices: tuple[Notice, ...] = NOTICES) -> str:
+    """DuckDB SQL for ``scan`` on ``documents``, identifiers joined by blanks.
+    Its patterns know no look-ahead, so they take the character after a point
+    along, which the normalising drops or keeps."""
+    ids, rules = sentence_ids(notices)
+    known = "[" + ", ".join(f"'{s}'" for s in ids) + "]"
+    clean = ("trim(regexp_replace(regexp_replace(regexp_replace(lower(s), '[^a-z0-9.]+', ' ', 'g'), "
+             "'\\.+([^0-9]|$)', ' \\1', 'g'), ' +', ' ', 'g'))")
+    end = r"[.;!?]+(?:[^A-Za-z0-9]|$)|\n\s*\n"
+    found = lambda e: (f"list_filter(list_transform(string_split_regex(coalesce(text, ''), '{e}'), "
+                       f"lambda s: list_position({known}, {clean})), lambda i: i > 0)")
+    line = lambda c: f"' ' || array_to_string({c}, '  ') || ' '"
+    cases = []
+    for name, order in rules:
+        pattern = "%" + "%".join(f" {i} " for i in order) + "%"
+        cases.append(f"CASE WHEN {line('a')} LIKE '{pattern}' OR {line('b')} LIKE '{pattern}' THEN '{name}' END")
+    return f"""
+WITH t AS (SELECT doc_id, {found(end)} AS a, {found(end + '|' + chr(92) + 'n')} AS b FROM documents)
+SELECT doc_id, array_to_string(a, ' ') AS sentence_ids, array_to_string(b, ' ') AS line_ids,
+       array_to_string(list_sort(list_distinct(list_filter([{', '.join(cases)}], lambda x: x IS NOT NULL))), ' ') AS licences
+FROM t"""
+
+
+SQL = _sql()

@@ -52,9 +52,11 @@ def op4_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licence_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known licence sentences and recognised licences of every document."""
+    """Known licence sentences and recognised licences of every document, as text."""
     prepare(spark)
-    return licences.scan(table(spark, sf_dir, "documents")).select("doc_id", "sentence_ids", "line_ids", "licences")
+    out = licences.scan(table(spark, sf_dir, "documents"))
+    text = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), " ").alias(c)
+    return out.select("doc_id", text("sentence_ids"), text("line_ids"), text("licences"))
 
 
 def op6_balanced_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 ORACLES: dict[str, str] = {
     "op4_association_url_rules": url_rules.SQL,
+    "op5_licence_sentences": licences.SQL,
     "op8_risk_controlled_rules": quality_rules.SQL,
     "op9_ngram_jaccard_join": ngram_join.SQL,
     "op10_pareto_mix": mixing.SQL,
