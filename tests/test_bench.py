@@ -10,7 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 def test_bench_prints_one_json_line(tmp_path):
     env = {**os.environ, "BENCH_SF_DIR": "/root/testdata/sf0.001", "BENCH_CPUS": "4",
-           "BENCH_CLAIMS_ROWS": "20000", "BENCH_JDBC_ROWS": "2000"}
+           "BENCH_CLAIMS_ROWS": "20000", "BENCH_JDBC_ROWS": "2000", "BENCH_OPS": "0"}
     out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env,
                          capture_output=True, text=True, timeout=900, cwd=tmp_path)
     assert out.returncode == 0, out.stderr[-2000:]
