@@ -12,7 +12,7 @@ from ..sources.tables import read_table
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows in one Arrow batch; texts can be long, so batches are kept short.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -36,7 +36,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]*")
 #: Chunks remembered by a task.
-_MEMORY = 200_000
+_MEMORY = 60_000
 
 
 class Model:
