@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +19,16 @@ BATCH_ROWS = 200
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of this package: UTC, ANSI, AQE, short Arrow batches."""
+    """Session settings of this package: UTC, ANSI, AQE, short Arrow batches.
+
+    Python workers look for this package where the driver found it. A cluster
+    whose machines do not see that folder gets it by ``--py-files``.
+    """
     configure(spark)
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 
