@@ -7,7 +7,8 @@ and different values never meet. Kinds:
 
 ``card``   13 to 19 digits with a valid Luhn digit (which is recomputed)
 ``iban``   valid mod-97 check (recomputed); country and shape stay
-``phone``  +1 numbers, area and exchange from 200 on
+``phone``  every +1 number, others of that form with area and exchange from 200
+           on, and +cc numbers of 9 to 15 digits (the country code stays)
 ``ssn``    ddd-dd-dddd with valid parts
 ``ip``     four octets
 ``date``   year-month-day with any of ``-/.``, or day and month first, on the calendar
@@ -123,6 +124,37 @@ def _phone(found: str, key: bytes) -> str | None:
     return _refill(found, f"1{area + 200}{exchange + 200}{line:04d}")
 
 
+def _phone_1(found: str, key: bytes) -> str:
+    """A number written with +1: valid ones among each other, all others likewise."""
+    if new := _phone(found, key):
+        return new
+    value = int("".join(c for c in found if c in _DIGITS)[1:])
+    while True:  # cycle walking keeps it a permutation of the numbers that are not valid
+        value = permute(value, 10 ** 10, key, "phone other")
+        if value // 10 ** 7 < 200 or value // 10_000 % 1000 < 200:
+            return _refill(found, f"1{value:010d}")
+
+
+#: Two-digit country codes, and the digits after the code at most where that is below E.164's 15 in all.
+_TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 "
+                             "64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+_NATIONAL_DIGITS = {"7": 10, "27": 9, "30": 10, "31": 9, "32": 9, "33": 9, "34": 9, "39": 11, "41": 9, "44": 10, "45": 8,
+                    "46": 9, "47": 8, "48": 9, "52": 10, "55": 11, "61": 9, "65": 8, "81": 10, "82": 10, "86": 11,
+                    "90": 10, "91": 10, "351": 9, "353": 9, "358": 10, "420": 9, "852": 8, "971": 9}
+
+
+def _phone_abroad(found: str, key: bytes) -> str | None:
+    """A number written with another country code; the code and a (0) stay."""
+    body = found.replace("(0)", "")
+    digits = "".join(c for c in body if c in _DIGITS)
+    code = digits[:1] if digits[0] == "7" else digits[:2] if digits[:2] in _TWO_DIGIT_CODES else digits[:3]
+    rest = digits[len(code):]
+    if not 9 <= len(digits) <= 15 or len(rest) > _NATIONAL_DIGITS.get(code, 15):
+        return None
+    new = iter(code + str(permute(int(rest), 10 ** len(rest), key, f"phone{code}")).zfill(len(rest)))
+    return "(0)".join("".join(next(new) if c in _DIGITS else c for c in part) for part in found.split("(0)"))
+
+
 def _ssn(found: str, key: bytes) -> str | None:
     valid = lambda v: (v // 1_000_000) not in (0, 666) and v // 1_000_000 < 900 and v // 10_000 % 100 and v % 10_000
     value = int(found.replace("-", ""))
@@ -185,10 +217,12 @@ _FINDERS: tuple[tuple[str, str, re.Pattern, Callable[[str, bytes], str | None]],
     ("email", "@", re.compile(r"(?<![\w.+%-])([\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email),
     ("secret", "", re.compile(r"(?:token|api[_-]?key|secret|passwor[dt]|passwd)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_-]{8,200})", re.I), _secret),
     ("iban", "", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])"), _iban),
-    ("phone", "+1", re.compile(r"(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"), _phone),
+    ("phone", "+1", re.compile(r"(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"), _phone_1),
     ("phone", "", re.compile(r"(?<![0-9])(?<![0-9][ .-])(\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),
      lambda s, k: (r := _phone("1" + s, k)) and r[1:]),
     ("card", "", re.compile(r"(?<![0-9])([0-9](?:[ -]?[0-9]){12,18})(?![0-9])"), _card),
+    ("phone", "+", re.compile(r"(?<![0-9])(\+(?![0-9]{4}([-/.])[0-9]{1,2}\2[0-9])[2-9][0-9]{0,14}(?:[ ./-]?\([0-9]{1,5}\)[ ./-]?[0-9]{1,14}|[ ./-][0-9]{1,14}){0,8})(?![0-9])"),
+     _phone_abroad),
     ("ssn", "-", re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"), _ssn),
     ("ip", "", re.compile(r"(?<![0-9.])([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9]|\.[0-9])"), _ip),
     ("date", "", re.compile(r"(?<![0-9/.-])([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\3[0-9]{4})(?![0-9]|[/.-][0-9])"), _date),
@@ -210,12 +244,19 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[tuple[i
             continue
         for m in pattern.finditer(text):
             start, end = m.span(1)
-            # A card hides in a longer run of digit groups: take the last groups off until it is valid.
+            # A card or a foreign number hides in a longer run of digit groups: take the last groups off until it is valid.
             found = m[1]
             new = change(found, key)
             while new is None and kind == "card" and (cut := max(found.rfind(" "), found.rfind("-"))) > 12:
                 found, end = found[:cut], start + cut
                 new = change(found, key)
+            if change is _phone_abroad:
+                while (new is None or any(end > s and start < e for s, e in taken)) and (
+                        cut := max(found.rfind(c) for c in " ./-(")) > 0:
+                    found, end = found[:cut], start + cut
+                    new = change(found, key)
+            if kind == "card" and text[start - 1:start] == "+" and _phone_abroad("+" + found, key):
+                continue
             if new is not None and all(end <= s or start >= e for s, e in taken):
                 taken.append((start, end))
                 spots.append((start, end, kind, new))

@@ -100,3 +100,16 @@ def test_table(spark, odd, docs):
     assert [(s["start"], s["kind"]) for s in got["pii"]] == [(2, "ip")]
     with pytest.raises(ValueError):
         P.with_pseudonyms(odd, b"short")
+
+
+def test_every_number_with_a_country_code():
+    for value in ("+1 (043) 555-3824", "+1 (743) 055-3824", "+10000000000", "+44 20 7946 0958", "+49 (0)30 1234567",
+                  "+353-1-234-5678", "+4915112345678", "+33 1 23 45 67 89"):
+        new, spans = P.pseudonymise(f"call {value}, or {value}.", KEY)
+        first, second = (new[a:b] for a, b, _ in spans)
+        assert first == second != value and re.sub("[0-9]", "9", first) == re.sub("[0-9]", "9", value)
+        assert new == f"call {first}, or {first}."
+    assert change("+44 20 7946 0958 12 May") == change("+44 20 7946 0958") + " 12 May"
+    assert len({change(f"+1 (0{n:02d}) 155-{n:04d}") for n in range(100)}) == 100
+    assert "(0)" in change("+49 (0)30 1234567")
+    assert change("a+2021 b +50 c") == "a+2021 b +50 c"
