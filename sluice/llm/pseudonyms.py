@@ -37,6 +37,7 @@ ROUNDS = 10
 
 _DIGITS = "0123456789"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
+_LETTERS_AND_DIGITS = frozenset(_DIGITS + _LOWER + _LOWER.upper())
 _FIRST_DAY = datetime.date(1800, 1, 1).toordinal()
 _DAYS = datetime.date(2199, 12, 31).toordinal() - _FIRST_DAY + 1
 
@@ -103,6 +104,68 @@ def _card(found: str, key: bytes) -> str | None:
     return _refill(found, body + str(luhn_digit(body)))
 
 
+_DIGIT_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,}")
+_GROUP = re.compile(r"[0-9]+")
+
+
+def _cards(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """Cards from any group of a digit run to any other. Where several overlap,
+    those written like a card go first, then by the first digit, place and length."""
+    for run in _DIGIT_RUN.finditer(text):
+        groups = [g.span() for g in _GROUP.finditer(text, *run.span())]
+        after_plus, tries = text[run.start() - 1:run.start()] == "+", []
+        for i, (start, _) in enumerate(groups):
+            digits = 0
+            for j in range(i, len(groups)):
+                end = groups[j][1]
+                digits += end - groups[j][0]
+                if digits > 19:
+                    break
+                if digits < 13 or any(end > s and start < e for s, e in taken):
+                    continue
+                found = text[start:end]
+                if not _card(found, key) or after_plus and i == 0 and _phone_abroad("+" + found, key):
+                    continue
+                sizes = [e - s for s, e in groups[i:j + 1]]
+                written = len(sizes) == 1 or sizes[:2] == [4, 6] and len(sizes) == 3 or (
+                    set(sizes[:-1]) == {4} and sizes[-1] <= 4 and len({*found} - {*_DIGITS}) == 1)
+                if written or not after_plus:
+                    tries.append((not written, found[0] not in "23456", start, -end))
+        free: list[tuple[int, int]] = []
+        for _, _, start, end in sorted(tries):
+            if all(-end <= s or start >= e for s, e in free):
+                free.append((start, -end))
+                yield start, -end, _card(text[start:-end], key)
+
+
+#: Length of an IBAN by country.
+_IBAN_LENGTHS = {c: int(n) for n, cs in (
+    (15, "NO"), (16, "BE"), (18, "DK FI FO GL NL SD FK"), (19, "MK SI"), (20, "AT BA EE KZ LT LU XK MN"),
+    (21, "CH CR HR LI LV"), (22, "BG BH DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"),
+    (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "BI DJ FR GR IT MC MR SM"),
+    (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"),
+    (32, "LC"), (33, "RU")) for c in cs.split()}
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_IBAN_RUN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){0,30}")
+_IBAN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
+
+
+def _ibans(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """IBANs in a run of groups: of the country's length, or else the longest
+    with a valid check; after a failed try the search goes on behind its first four."""
+    at = 0
+    while m := _IBAN_START.search(text, at):
+        start, at = m.start(), m.end()
+        run = _IBAN_RUN.match(text, start)[0]
+        ends = [e.start() for e in _IBAN_END.finditer(run)]
+        length = _IBAN_LENGTHS.get(run[:2])
+        for end in sorted(ends, key=lambda e: (len(run[:e].replace(" ", "")) != length, -e)):
+            if (new := _iban(run[:end], key)) and text[start + end:start + end + 1] not in _LETTERS_AND_DIGITS:
+                yield start, start + end, new
+                at = start + end
+                break
+
+
 def _iban(found: str, key: bytes) -> str | None:
     plain = found.replace(" ", "")
     as_number = lambda s: int("".join(str(int(c, 36)) for c in s))
@@ -211,21 +274,45 @@ def _secret(found: str, key: bytes) -> str | None:
     return _permute_symbols(found, key, "secret") if re.search(r"[0-9]", found) else None
 
 
-#: Kind, what must stand in a text for the pattern to be tried, pattern (the
-#: group is the find) and permutation. Earlier kinds win where finds overlap.
-_FINDERS: tuple[tuple[str, str, re.Pattern, Callable[[str, bytes], str | None]], ...] = (
-    ("email", "@", re.compile(r"(?<![\w.+%-])([\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email),
-    ("secret", "", re.compile(r"(?:token|api[_-]?key|secret|passwor[dt]|passwd)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_-]{8,200})", re.I), _secret),
-    ("iban", "", re.compile(r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])"), _iban),
-    ("phone", "+1", re.compile(r"(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"), _phone_1),
-    ("phone", "", re.compile(r"(?<![0-9])(?<![0-9][ .-])(\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),
-     lambda s, k: (r := _phone("1" + s, k)) and r[1:]),
-    ("card", "", re.compile(r"(?<![0-9])([0-9](?:[ -]?[0-9]){12,18})(?![0-9])"), _card),
-    ("phone", "+", re.compile(r"(?<![0-9])(\+(?![0-9]{4}([-/.])[0-9]{1,2}\2[0-9])[2-9][0-9]{0,14}(?:[ ./-]?\([0-9]{1,5}\)[ ./-]?[0-9]{1,14}|[ ./-][0-9]{1,14}){0,8})(?![0-9])"),
-     _phone_abroad),
-    ("ssn", "-", re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"), _ssn),
-    ("ip", "", re.compile(r"(?<![0-9.])([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9]|\.[0-9])"), _ip),
-    ("date", "", re.compile(r"(?<![0-9/.-])([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\3[0-9]{4})(?![0-9]|[/.-][0-9])"), _date),
+def _by(pattern: re.Pattern, change: Callable[[str, bytes], str | None]):
+    """Finds of a pattern (its group is the find) that ``change`` takes."""
+    def find(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+        for m in pattern.finditer(text):
+            if (new := change(m[1], key)) is not None:
+                yield *m.span(1), new
+    return find
+
+
+_ABROAD = re.compile(r"(?<![0-9])(\+(?![0-9]{4}([-/.])[0-9]{1,2}\2[0-9])[2-9][0-9]{0,14}(?:[ ./-]?\([0-9]{1,5}\)[ ./-]?[0-9]{1,14}|[ ./-][0-9]{1,14}){0,8})(?![0-9])")
+
+
+def _phones_abroad(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """The last groups of a longer digit run come off until the number is valid and free."""
+    for m in _ABROAD.finditer(text):
+        start, found = m.start(1), m[1]
+        new = _phone_abroad(found, key)
+        while (new is None or any(start + len(found) > s and start < e for s, e in taken)) and (
+                cut := max(found.rfind(c) for c in " ./-(")) > 0:
+            found = found[:cut]
+            new = _phone_abroad(found, key)
+        if new is not None:
+            yield start, start + len(found), new
+
+
+#: Kind, what must stand in a text for the finder to be tried, and finder: it gives
+#: (start, end, new), knowing what is taken. Earlier kinds win where finds overlap.
+_FINDERS: tuple[tuple[str, str, Callable[[str, bytes, list], Iterator[tuple[int, int, str]]]], ...] = (
+    ("email", "@", _by(re.compile(r"(?<![\w.+%-])([\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email)),
+    ("secret", "", _by(re.compile(r"(?:token|api[_-]?key|secret|passwor[dt]|passwd)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_-]{8,200})", re.I), _secret)),
+    ("iban", "", _ibans),
+    ("phone", "+1", _by(re.compile(r"(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"), _phone_1)),
+    ("phone", "", _by(re.compile(r"(?<![0-9])(?<![0-9][ .-])(\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),
+     lambda s, k: (r := _phone("1" + s, k)) and r[1:])),
+    ("card", "", _cards),
+    ("phone", "+", _phones_abroad),
+    ("ssn", "-", _by(re.compile(r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])"), _ssn)),
+    ("ip", "", _by(re.compile(r"(?<![0-9.])([0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9]|\.[0-9])"), _ip)),
+    ("date", "", _by(re.compile(r"(?<![0-9/.-])([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\3[0-9]{4})(?![0-9]|[/.-][0-9])"), _date)),
 )
 _DIGIT = re.compile(r"[0-9]")
 _HINT = re.compile(r"token|key|secret|passw", re.I)
@@ -238,26 +325,12 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[tuple[i
         return text, []
     has_digit, spots = _DIGIT.search(text) is not None, []
     taken: list[tuple[int, int]] = []
-    for kind, sign, pattern, change in _FINDERS:
+    for kind, sign, find in _FINDERS:
         if (sign and sign not in text or kind not in ("email", "secret") and not has_digit
                 or kind == "secret" and not _HINT.search(text)):
             continue
-        for m in pattern.finditer(text):
-            start, end = m.span(1)
-            # A card or a foreign number hides in a longer run of digit groups: take the last groups off until it is valid.
-            found = m[1]
-            new = change(found, key)
-            while new is None and kind == "card" and (cut := max(found.rfind(" "), found.rfind("-"))) > 12:
-                found, end = found[:cut], start + cut
-                new = change(found, key)
-            if change is _phone_abroad:
-                while (new is None or any(end > s and start < e for s, e in taken)) and (
-                        cut := max(found.rfind(c) for c in " ./-(")) > 0:
-                    found, end = found[:cut], start + cut
-                    new = change(found, key)
-            if kind == "card" and text[start - 1:start] == "+" and _phone_abroad("+" + found, key):
-                continue
-            if new is not None and all(end <= s or start >= e for s, e in taken):
+        for start, end, new in find(text, key, taken):
+            if all(end <= s or start >= e for s, e in taken):
                 taken.append((start, end))
                 spots.append((start, end, kind, new))
     out, spans, at, shift = [], [], 0, 0

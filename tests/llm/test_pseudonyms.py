@@ -112,4 +112,21 @@ def test_every_number_with_a_country_code():
     assert change("+44 20 7946 0958 12 May") == change("+44 20 7946 0958") + " 12 May"
     assert len({change(f"+1 (0{n:02d}) 155-{n:04d}") for n in range(100)}) == 100
     assert "(0)" in change("+49 (0)30 1234567")
+    new, spans = P.pseudonymise("+44 20 7946 0958 4111 1111 1111 1111", KEY)
+    assert [k for _, _, k in spans] == ["phone", "card"]
     assert change("a+2021 b +50 c") == "a+2021 b +50 c"
+
+
+IBAN, CARD = "DE89 3704 0044 0532 0130 00", "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize("value, text", [(v, t.format(v)) for v, t in [
+    (IBAN, "{} BIC COBADEFF"), (IBAN, "{} 12 May"), (IBAN, "AB12 {}"), (IBAN, "IBAN {}, x"), (IBAN.replace(" ", ""), "{} IBAN"),
+    (CARD, "order 12 {}"), (CARD, "14-03-2024 {}"), (CARD, "{} 14-03-2024"), (CARD, "12 34 {} 123"),
+    (CARD.replace(" ", ""), "qty 3 {}"), ("3714 496353 98431", "7 {} 12")]])
+def test_values_between_other_groups(value, text):
+    new, spans = P.pseudonymise(text, KEY)
+    kind = "iban" if value[0] == "D" else "card"
+    start = text.index(value)
+    assert (start, start + len(value), kind) in spans
+    assert value not in new and new[start:start + len(value)] == change(value)
