@@ -13,7 +13,8 @@ and different values never meet. Kinds:
 ``ip``     four octets
 ``date``   year-month-day with any of ``-/.``, or day and month first, on the calendar
 ``email``  letters and digits of the local part and of the domain but its last label
-``secret`` the value after token, key, secret or password: letters and digits
+``secret`` the whole value after a name with token, api key, secret or password:
+           letters and digits, of any length
 
 Separators, letter case and everything else stay as they are.
 """
@@ -34,6 +35,8 @@ from .common import packed, unpacked
 
 KINDS = ("card", "iban", "phone", "ssn", "ip", "date", "email", "secret")
 ROUNDS = 10
+#: Symbols of a secret that are permuted as one number.
+SECRET_BLOCK = 200
 
 _DIGITS = "0123456789"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -49,12 +52,15 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
         return value
     a = isqrt(size - 1) + 1
     b = -(-size // a)
+    # Digests together must be wider than either half, or its upper digits would stay.
+    tails = [b"", *(f"|{j}".encode() for j in range(1, -(-(a.bit_length() + 64) // 256)))]
     while True:
         left, right = divmod(value, b)
         for i in range(ROUNDS):
             other = right if i % 2 == 0 else left
             data = f"{tweak}|{size}|{i}|{other}".encode()
-            add = int.from_bytes(hashlib.blake2b(data, key=key, digest_size=32).digest(), "big")
+            digest = b"".join(hashlib.blake2b(data + tail, key=key, digest_size=32).digest() for tail in tails)
+            add = int.from_bytes(digest, "big")
             if i % 2 == 0:
                 left = (left + add) % a
             else:
@@ -269,9 +275,19 @@ def _email(found: str, key: bytes) -> str | None:
 
 def _secret(found: str, key: bytes) -> str | None:
     only_hex = re.fullmatch(r"[0-9a-f]+", found)
-    if only_hex:
-        return f"{permute(int(found, 16), 16 ** len(found), key, f'hex{len(found)}'):0{len(found)}x}"
-    return _permute_symbols(found, key, "secret") if re.search(r"[0-9]", found) else None
+    if not only_hex and not re.search(r"[0-9]", found):
+        return None
+    # Long values go in blocks, each with its place as a tweak, as the cost grows faster than the size of a number.
+    blocks = -(-len(found) // SECRET_BLOCK)
+    out = []
+    for i in range(blocks):
+        part = found[len(found) * i // blocks:len(found) * (i + 1) // blocks]
+        place = f"|{i} of {blocks}" if blocks > 1 else ""
+        if only_hex:
+            out.append(f"{permute(int(part, 16), 16 ** len(part), key, f'hex{len(part)}{place}'):0{len(part)}x}")
+        else:
+            out.append(_permute_symbols(part, key, f"secret{place}"))
+    return "".join(out)
 
 
 def _by(pattern: re.Pattern, change: Callable[[str, bytes], str | None]):
@@ -303,7 +319,7 @@ def _phones_abroad(text: str, key: bytes, taken: list[tuple[int, int]]) -> Itera
 #: (start, end, new), knowing what is taken. Earlier kinds win where finds overlap.
 _FINDERS: tuple[tuple[str, str, Callable[[str, bytes, list], Iterator[tuple[int, int, str]]]], ...] = (
     ("email", "@", _by(re.compile(r"(?<![\w.+%-])([\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email)),
-    ("secret", "", _by(re.compile(r"(?:token|api[_-]?key|secret|passwor[dt]|passwd)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_-]{8,200})", re.I), _secret)),
+    ("secret", "", _by(re.compile(r"(?:token|api[_-]?key|secret|passwor[dt]|passwd)[A-Za-z_]{0,64}[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_.=~-]{7,}[A-Za-z0-9+/_=~-])", re.I), _secret)),
     ("iban", "", _ibans),
     ("phone", "+1", _by(re.compile(r"(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"), _phone_1)),
     ("phone", "", _by(re.compile(r"(?<![0-9])(?<![0-9][ .-])(\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),

@@ -130,3 +130,22 @@ def test_values_between_other_groups(value, text):
     start = text.index(value)
     assert (start, start + len(value), kind) in spans
     assert value not in new and new[start:start + len(value)] == change(value)
+
+
+@pytest.mark.parametrize("text, value", [
+    ("token = {} end", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"),
+    ("api_key: {}.", "xy1" * 1000), ("secret='{}'", "0f" * 150), ("AWS_SECRET_ACCESS_KEY={}\n", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY1=")])
+def test_whole_secrets(text, value):
+    new, spans = P.pseudonymise(text.format(value), KEY)
+    start = text.index("{}")
+    assert spans == [(start, start + len(value), "secret")]
+    got = new[start:start + len(value)]
+    shape = lambda v: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", v)))
+    assert new == text.format(got) and (set(value) == set("0f") or shape(got) == shape(value))
+    parts = lambda v: [v[i:i + 12] for i in range(0, len(v) - 11, 12)]
+    assert all(a != b for a, b in zip(parts(got), parts(value)))
+
+
+def test_blocks_of_a_secret_are_permuted_one_to_one(monkeypatch):
+    monkeypatch.setattr(P, "SECRET_BLOCK", 3)
+    assert len({P._secret(f"{n:04d}", KEY) for n in range(10000)}) == 10000
