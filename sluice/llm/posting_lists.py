@@ -5,10 +5,11 @@ Vectors are lifted by one component to a common norm, where the largest inner
 product is the smallest distance. Centroids are fitted to a bounded sample by
 k-means with a penalty on large clusters. Every vector is filed under its
 nearest centroid and, if it lies on a boundary, under up to ``replicas`` in
-all. A query walks an in-memory neighbour graph of the centroids and reads the
-lists whose distance is within a ratio of the nearest one's. That ratio is
-measured, not guessed: sample queries are compared with all rows, and the ratio
-is the one at which the lists read hold ``recall`` of their true neighbours.
+all. A query is compared with all centroids, which are bounded in number, and
+reads the lists whose distance is within a ratio of the nearest one's, and
+further ones until they hold ``k`` rows. That ratio is measured, not guessed:
+sample queries are compared with all rows, and the ratio is the one at which the
+lists read hold ``recall`` of their true neighbours.
 
 Lists and their queries meet by list; a list that is still large, or asked by
 very many queries, is split into cells that are searched side by side.
@@ -16,7 +17,6 @@ very many queries, is split into cells that are searched side by side.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,13 +31,14 @@ from .common import settle
 LIST_ROWS, SAMPLE_ROWS, MOST_LISTS, MEASURED = 256, 50_000, 16_384, 64
 #: A cell of a list holds about this many vectors or queries at most.
 CELL_ROWS = 20_000
+#: Hits a task holds at most before it merges those of one query or hands them on.
+HELD_HITS = 500_000
 
 
 @dataclass(frozen=True)
 class Centroids:
     """What the tasks get: bounded by the parameters, not by the table."""
     points: np.ndarray
-    graph: np.ndarray
     norm: float
 
     def lift(self, x: np.ndarray) -> np.ndarray:
@@ -49,8 +50,10 @@ class Centroids:
         return np.hstack([q * (self.norm / size), np.zeros((len(q), 1))])
 
     def distances(self, x: np.ndarray) -> np.ndarray:
+        """Distances to all centroids, with a floor below which rounding decides."""
         c = self.points
-        return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * x @ c.T, 0))
+        return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * x @ c.T,
+                                  (1e-6 * self.norm) ** 2))
 
     def file(self, x: np.ndarray, replicas: int, ratio: float) -> np.ndarray:
         """Lists of each (lifted) vector, -1 where it needs no further replica."""
@@ -61,36 +64,27 @@ class Centroids:
         gap = np.take_along_axis(d, near, 1)
         return np.where(gap <= ratio * gap[:, :1] + 1e-12, near, -1)
 
+    def near(self, q: np.ndarray, ratio: float, rows: np.ndarray | None = None, least: int = 0) -> list[np.ndarray]:
+        """Lists of each lifted query within ``ratio`` of the nearest one's distance,
+        and as many more as hold ``least`` of the ``rows`` filed there first."""
+        d = self.distances(q)
+        reach = ratio * d.min(axis=1, keepdims=True)
+        if least and rows is not None:
+            order = np.argsort(d, axis=1, kind="stable")
+            at = np.minimum((np.cumsum(rows[order], axis=1) < least).sum(axis=1), d.shape[1] - 1)
+            enough = np.take_along_axis(d, np.take_along_axis(order, at[:, None], 1), 1)
+            reach = np.maximum(reach, enough)
+        return [np.flatnonzero(r) for r in d <= reach * (1 + 1e-9)]
+
     def search(self, q: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
         """Lists within ``ratio`` of the nearest one's distance to one lifted
-        query, by best-first search in the graph; with their distances."""
-        found: dict[int, float] = {}
-        heap: list[tuple[float, int]] = []
-        best = np.inf
-
-        def visit(nodes: np.ndarray) -> None:
-            nonlocal best
-            gaps = self.points[nodes] - q
-            for node, d in zip(nodes.tolist(), np.sqrt((gaps * gaps).sum(axis=1)).tolist()):
-                found[node] = d
-                heapq.heappush(heap, (d, node))
-                best = min(best, d)
-
-        count = len(self.points)
-        visit(np.unique(np.linspace(0, count - 1, min(count, 16)).astype(int)))
-        while heap:
-            d, node = heapq.heappop(heap)
-            if d > ratio * best * (1 + 1e-9) + 1e-12:
-                break
-            new = [x for x in self.graph[node].tolist() if x not in found]
-            if new:
-                visit(np.array(new))
-        lists = np.array([n for n, d in found.items() if d <= ratio * best + 1e-12])
-        return lists, np.array([found[n] for n in lists.tolist()])
+        query, with their distances."""
+        lists = self.near(q[None], ratio)[0]
+        return lists, self.distances(q[None])[0, lists]
 
 
 def fit(sample: np.ndarray, lists: int, norm: float, seed: int, rounds: int = 10) -> Centroids:
-    """Balanced k-means on a lifted sample, and the graph of its centroids."""
+    """Balanced k-means on a lifted sample; centroids that coincide are merged."""
     rng = np.random.default_rng(seed)
     lists = max(1, min(lists, len(sample)))
     points = sample[np.sort(rng.choice(len(sample), lists, replace=False))].copy()
@@ -104,12 +98,8 @@ def fit(sample: np.ndarray, lists: int, norm: float, seed: int, rounds: int = 10
         total = np.zeros_like(points)
         np.add.at(total, own, sample)
         points = np.where(load[:, None] > 0, total / np.maximum(load, 1)[:, None], points)
-    graph = np.empty((lists, min(24, max(1, lists - 1))), dtype=np.int32)
-    for rows in np.array_split(np.arange(lists), max(1, lists * lists // 4_000_000)):
-        d = (points * points).sum(axis=1) - 2 * points[rows] @ points.T
-        d[np.arange(len(rows)), rows] = np.inf if lists > 1 else 0
-        graph[rows] = np.argsort(d, axis=1, kind="stable")[:, :graph.shape[1]]
-    return Centroids(points, graph, norm)
+    _, first = np.unique(np.round(points / max(norm * 1e-6, 1e-300)), axis=0, return_index=True)
+    return Centroids(points[np.sort(first)], norm)
 
 
 def usable(vector: Column) -> Column:
@@ -161,6 +151,18 @@ def _hits(q_ids: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.R
         [pa.array(q_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), hits)], ["query_id", "hits"])
 
 
+def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, distance and id of the k nearest different hits of each query, in order."""
+    q, away, ids = (np.concatenate(c) for c in zip(*held))
+    order = np.lexsort((ids, away, q))
+    q, away, ids = q[order], away[order], ids[order]
+    new = np.concatenate([[True], (q[1:] != q[:-1]) | (away[1:] != away[:-1]) | (ids[1:] != ids[:-1])])[:len(q)]
+    q, away, ids = q[new], away[new], ids[new]
+    starts = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])[:len(q)])
+    rank = np.arange(len(q)) - np.repeat(starts, np.diff([*starts, len(q)]))
+    return q[rank < k], away[rank < k], ids[rank < k]
+
+
 def _best(hits: DataFrame, k: int) -> DataFrame:
     """``query_id, hits``: the k nearest of all partial lists of a query."""
     merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits"))))
@@ -215,7 +217,7 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
     lists = min(MOST_LISTS, -(-most["rows"] // list_rows))
     picked = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(min(SAMPLE_ROWS, 256 * lists)).toArrow()
     sample = _matrix(picked.column("vector").combine_chunks())
-    lifted = Centroids(np.empty((0, 0)), np.empty((0, 0)), norm).lift(sample)
+    lifted = Centroids(np.empty((0, 0)), norm).lift(sample)
     index = spark.sparkContext.broadcast(fit(lifted, lists, norm, seed))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,11 +227,14 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
                 row, column = np.nonzero(at >= 0)
                 take = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(at[row, column].astype(np.int32)), take.column("vec_id"), take.column("vector")],
-                    ["list", "vec_id", "vector"])
+                    [pa.array(at[row, column].astype(np.int32)), take.column("vec_id"), take.column("vector"),
+                     pa.array(column == 0)], ["list", "vec_id", "vector", "first"])
 
     kind = rows.schema["vector"].dataType.simpleString()
-    postings = settle(rows.mapInArrow(post, f"list int, vec_id long, vector {kind}"), "postings")
+    postings = settle(rows.mapInArrow(post, f"list int, vec_id long, vector {kind}, first boolean"), "postings")
+    held = np.zeros(len(index.value.points), dtype=np.int64)
+    for r in postings.filter("first").select("list", "vec_id").distinct().groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
 
     asked = rows.filter(F.col("vec_id") % every == 0)
     measured = asked.orderBy(F.xxhash64(F.lit(seed + 1), "vec_id"), "vec_id").limit(MEASURED).toArrow()
@@ -245,7 +250,7 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
         for batch in batches:
             if batch.num_rows:
                 lifted = index.value.lift_queries(_matrix(batch.column("vector")))
-                found = [index.value.search(v, ratio)[0] for v in lifted]
+                found = index.value.near(lifted, ratio, held, k + 1)
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 take = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -280,7 +285,7 @@ def _ratio(index: Centroids, q: np.ndarray, q_ids: np.ndarray, where: list, reca
     """The distance ratio up to which lists must be read, so that ``recall`` of
     the measured queries' true neighbours stand in one of them."""
     d = index.distances(index.lift_queries(q))
-    d = d / np.maximum(d.min(axis=1, keepdims=True), 1e-12)
+    d = d / d.min(axis=1, keepdims=True)
     row = {int(i): n for n, i in enumerate(q_ids)}
     need = [d[row[r["query_id"]], r["lists"]].min() for r in where if r["query_id"] in row]
     return float(np.quantile(need, recall, method="higher")) * (1 + 1e-6) if need else 1.0
@@ -290,9 +295,10 @@ def _search_cells(k: int):
     """A task body over rows sorted by cell; a cell may span batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         key = None
 
-        def close() -> Iterator[pa.RecordBatch]:
+        def close() -> None:
             cell = pa.Table.from_batches(held).combine_chunks()
             asks = cell.column("is_query").to_numpy()
             ids, x = cell.column("vec_id").to_numpy(), _matrix(cell.column("vector").combine_chunks())
@@ -302,7 +308,20 @@ def _search_cells(k: int):
                     _, first = np.unique(np.column_stack([x_ids.view(np.float64), rows]).view(
                         np.dtype((np.void, 8 * (1 + rows.shape[1])))).ravel(), return_index=True)
                     x_ids, rows = x_ids[first], rows[first]
-                yield _hits(ids[asks], nearest(x[asks], ids[asks], rows, x_ids, k))
+                found = nearest(x[asks], ids[asks], rows, x_ids, k)
+                hits.append((np.repeat(ids[asks], [len(i) for i, _ in found]),
+                             -np.concatenate([s for _, s in found]), np.concatenate([i for i, _ in found])))
+
+        def hand_on(most: int) -> Iterator[pa.RecordBatch]:
+            """Merges the hits of all lists so far; more than ``most`` leave the task."""
+            if sum(len(q) for q, _, _ in hits) <= most * 2:
+                return
+            hits[:] = [_merged(hits, k)]
+            if len(hits[0][0]) > most:
+                q, away, ids = hits.pop()
+                q_ids, first = np.unique(q, return_index=True)
+                found = [(i, -a) for i, a in zip(np.split(ids, first[1:]), np.split(away, first[1:]))]
+                yield _hits(q_ids, found)
 
         for batch in batches:
             if not batch.num_rows:
@@ -312,10 +331,12 @@ def _search_cells(k: int):
             for a, b in zip(ends[:-1], ends[1:]):
                 this = tuple(keys[:, a].tolist())
                 if this != key and held:
-                    yield from close()
+                    close()
                     held = []
+                    yield from hand_on(HELD_HITS // 2)
                 key = this
                 held.append(batch.slice(a, b - a))
         if held:
-            yield from close()
+            close()
+            yield from hand_on(0)
     return run

@@ -91,3 +91,24 @@ def test_graph_search_finds_the_near_lists():
         want = set(np.flatnonzero(d <= 1.2 * d.min()))
         missed, total = missed + len(want - set(lists.tolist())), total + len(want)
     assert missed <= 0.01 * total
+
+
+def test_tight_clusters(spark):
+    """More lists than a walk from a few entries could reach."""
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(200, 16)), 30, axis=0) + 0.001 * rng.normal(size=(6000, 16))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True))[rng.permutation(6000)]
+    got = found(A.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), list_rows=2))
+    want = brute(np.arange(6000), x)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert recall(got, want) >= 0.95
+
+
+def test_a_third_of_equal_rows(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 8))
+    x[::3] = x[0]
+    got = found(A.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), list_rows=16))
+    want = brute(np.arange(1500), x)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert recall(got, want) >= 0.9
