@@ -58,10 +58,29 @@ NOTICES = (
                             "provided with the distribution",
                             "may be used to endorse or promote products derived from this software without specific prior "
                             "written permission")),
+    # The sentences of the notices as they are published, with the usual names in them.
+    Notice("GPL-3.0-or-later", ("This program is free software: you can redistribute it and/or modify it under the terms of "
+                                "the GNU General Public License as published by the Free Software Foundation, either "
+                                "version 3 of the License, or (at your option) any later version",
+                                "You should have received a copy of the GNU General Public License along with this program")),
+    *(Notice("BSD-3-Clause", (first, "Redistributions in binary form must reproduce the above copyright notice, this list of "
+                              "conditions and the following disclaimer in the documentation and/or other materials "
+                              "provided with the distribution", f"{name}nor the names of {whose} contributors may be used to "
+                              "endorse or promote products derived from this software without specific prior written "
+                              "permission"))
+      for lead in ("", "Redistribution and use in source and binary forms, with or without modification, are permitted "
+                       "provided that the following conditions are met: ")
+      for first in (f"{lead}Redistributions of source code must retain the above copyright notice, this list of "
+                    "conditions and the following disclaimer",)
+      # The last one follows a name that ends with a point, such as Google Inc.
+      for name, whose in (("Neither the name of the copyright holder ", "its"), ("Neither the name of the copyright holder ", "the"),
+                          ("Neither the name of the copyright holders ", "its"), ("Neither the name of the <organization> ", "its"),
+                          ("Neither the name of the University ", "its"), ("Neither the name of the author ", "its"),
+                          ("Neither the name of Google LLC ", "its"), ("", "its"))),
 )
 
-#: Sentences end at . ; ! ? before anything but a letter or digit, and at an empty line.
-SENTENCE_END = r"[.;!?]+(?![A-Za-z0-9])|\n\s*\n"
+#: Sentences end at . ; ! ? before anything but a letter or digit, and at a line that is empty but for comment marks.
+SENTENCE_END = r"[.;!?]+(?![A-Za-z0-9])|\n[\s*#/%-]*\n"
 LINE_END = SENTENCE_END + r"|\n"
 #: Everything but words; a point stays within numbers such as 2.0.
 _NOT_WORD = r"[^a-z0-9.]+|\.(?![0-9])"

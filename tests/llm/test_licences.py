@@ -69,3 +69,58 @@ def test_every_notice_is_found_by_its_own_sentences(docs):
     rows = [(i, ".\n".join(n.sentences) + ".") for i, n in enumerate(L.NOTICES)]
     got = {r["doc_id"]: r["licences"] for r in L.scan(docs(rows)).collect()}
     assert all(n.licence in got[i] for i, n in enumerate(L.NOTICES))
+
+
+PUBLISHED = {
+    "GPL-3.0-or-later": """Copyright (C) 2020  A. Person
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "BSD-3-Clause": """Copyright (c) 2020, A. Person
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS "AS IS".""",
+    "MIT": """Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""",
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// "])
+def test_published_headers(docs, mark):
+    """Plain and commented, where an empty line is a comment mark alone."""
+    texts = ["\n".join((mark + line).rstrip() for line in t.split("\n")) for t in PUBLISHED.values()]
+    texts.append(texts[1].replace("met:\n" + mark.rstrip() + "\n", "met:\n").replace("1. ", "* ").replace("the copyright holder ", "Google Inc. "))
+    got = {r["doc_id"]: r["licences"] for r in L.scan(docs(list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(4)] == [[n] for n in (*PUBLISHED, "BSD-3-Clause")]
