@@ -178,11 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for label in (0, 1):
         chosen = chosen.union(marks.filter(F.col("label") == label).orderBy(by_hash, "k").limit(train_docs // 2))
     chosen = settle(chosen, "train-sample")
-    # Texts of the chosen keys; of rows that repeat a key the smallest text counts.
+    # Texts of the chosen keys; of rows that repeat a key the one with the smallest hash counts, before encoding.
     rows = (docs.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t"))
             .join(F.broadcast(chosen), F.col("doc") == F.col("k"))  # at most train_docs rows
-            .select("k", "label", bags_of("t").alias("bag"), F.xxhash64("t").alias("h")))
-    got = rows.orderBy("k", "h").toPandas().drop_duplicates("k")
+            .groupBy("k", "label").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+            .select("k", "label", bags_of("t").alias("bag")))
+    got = rows.orderBy("k").toPandas()
     if got["label"].nunique() < 2:
         return float(got["label"].iloc[0]) if len(got) else 0.5
     bags = [np.frombuffer(b, dtype=np.float16).astype(np.float32).reshape(-1, WIDTH) for b in got["bag"]]

@@ -1,6 +1,8 @@
 """The classifier: gradient, attention, held-out accuracy, odd tables."""
 
 from llm_tables import docs, odd  # noqa: F401
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -86,3 +88,14 @@ def test_odd_rows(spark, odd, docs):
     rows = out.collect()
     assert len(rows) == 10 and all(0 <= r["score"] <= 1 for r in rows) and out.columns.count("score") == 1
     assert M.score(docs([]), 0.5).collect() == []
+
+
+def test_repeats_of_a_key_are_reduced_before_the_driver(spark, docs, monkeypatch):
+    rows = [(i, f"text {i}") for i in range(60)]
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1)
+    frame = docs(rows + [(hot, f"repeat {n}") for n in range(300)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    sizes, collect = [], type(frame).toPandas
+    monkeypatch.setattr(type(frame), "toPandas", lambda df: (sizes.append(len(out := collect(df))), out)[1])
+    M.fit(frame, labels)
+    assert len(sizes) == 1 and 20 < sizes[0] <= 60
