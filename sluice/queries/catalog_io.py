@@ -406,3 +406,19 @@ IO_QUERIES.update({
     "zoned_timestamp": zoned_timestamp,
     "staged_delete": staged_delete,
 })
+
+
+# ---------------------------------------------------------------- row numbers
+
+#: Orders the lines without ties.
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def dense_ids_q(spark, sf):
+    """Every line with its dense number in key order."""
+    from ..operators.rownumbers import dense_ids
+    lines = read_table(spark, sf, "lineitem").select(*LINE_ORDER, "l_shipdate")
+    return dense_ids(lines, LINE_ORDER, "line_id")
+
+
+IO_QUERIES["dense_ids"] = dense_ids_q

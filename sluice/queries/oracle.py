@@ -324,3 +324,8 @@ ORACLE_SQL.update({
         UNION ALL
         SELECT 'hwm', 'upsert', 'no_changes', CAST(0 AS BIGINT), CAST(0 AS BIGINT)""",
 })
+
+LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+ORACLE_SQL["dense_ids"] = f"""
+    SELECT {LINE_ORDER}, l_shipdate, CAST(row_number() OVER (ORDER BY {LINE_ORDER}) AS BIGINT) AS line_id
+    FROM lineitem"""
