@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
-from .common import prepare, table
+from . import importance, licences, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
+from .common import prepare, settle, table
 
 #: Where the tokenizer's file lies; every operator takes its path as a parameter.
 SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -94,10 +94,18 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, towards the texts of ``benchmark``."""
+    prepare(spark)
+    weighed = importance.weigh(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    narrow = settle(weighed.select("doc_id", "n_words", "n_features", "weight"), "weights")
+    return importance.draw(narrow).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_attention_mil, op2_feistel_pseudonyms, op3_hypergeometric_shards, op4_association_url_rules,
     op5_licence_sentences, op6_balanced_posting_lists, op7_sentencepiece, op8_risk_controlled_rules,
-    op9_ngram_jaccard_join, op10_pareto_mix)}
+    op9_ngram_jaccard_join, op10_pareto_mix, op12_importance_resampling)}
 
 ORACLES: dict[str, str] = {
     "op4_association_url_rules": url_rules.SQL,
@@ -105,4 +113,5 @@ ORACLES: dict[str, str] = {
     "op8_risk_controlled_rules": quality_rules.SQL,
     "op9_ngram_jaccard_join": ngram_join.SQL,
     "op10_pareto_mix": mixing.SQL,
+    "op12_importance_resampling": importance.SQL,
 }

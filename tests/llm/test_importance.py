@@ -1,0 +1,131 @@
+"""Span checksums against zlib, and importance resampling against a plain version and its SQL."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_tables import SF01, docs, odd  # noqa: F401
+from oracle_check import compare, duck
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from sluice.llm import importance as I
+from sluice.llm.crc import BLOCK, crc32_spans
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.mark.parametrize("length", [0, 1, 2, 3, 4, BLOCK - 1, BLOCK, BLOCK + 1, 2 * BLOCK, 2 * BLOCK + 1, 9999])
+def test_checksums_of_one_length(length):
+    data = random.Random(length).randbytes(length + 50)
+    at = np.array([0, 7, 49])
+    got = crc32_spans(np.frombuffer(data, np.uint8), at, at + length)
+    assert got.tolist() == [zlib.crc32(data[a:a + length]) for a in at]
+
+
+def test_checksums_of_mixed_overlapping_spans():
+    r = random.Random(3)
+    data = r.randbytes(30_000)
+    spans = [(a, min(len(data), a + r.choice([0, 3, 17, 64, 65, 200, 5000]))) for a in r.choices(range(len(data)), k=2000)]
+    got = crc32_spans(np.frombuffer(data, np.uint8), *np.array(spans).T)
+    assert got.tolist() == [zlib.crc32(data[a:b]) for a, b in spans]
+
+
+def plain_words(text):
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+
+
+def plain_features(text, max_n=2):
+    w = plain_words(text)
+    return [" ".join(w[i:i + n]) for n in range(1, max_n + 1) for i in range(len(w) - n + 1)]
+
+
+@pytest.mark.parametrize("max_n", [1, 2, 3])
+def test_features_of_a_batch(max_n):
+    r = random.Random(max_n)
+    texts = ["".join(r.choices("aB9 \n-éИ字😀\x7f\x1c{@", k=r.randrange(60))) for _ in range(300)]
+    texts += [None, "", " ", "ab", "cd", "", "x" * 5000 + " y", "a " * 20_000, None]
+    array = pa.array(texts)[1:]        # an array with an offset
+    words = I.Words(array)
+    assert words.n_words.tolist() == [len(plain_words(t)) for t in texts[1:]]
+    got = [Counter() for _ in texts[1:]]
+    for text, used in words.buckets(max_n, 997):
+        for t, b in zip(text.tolist(), used.tolist()):
+            got[t][b] += 1
+    assert got == [Counter(zlib.crc32(f.encode()) % 997 for f in plain_features(t, max_n)) for t in texts[1:]]
+
+
+def plain(rows, target, percent=25, min_words=20):
+    """(doc_id, n_features, weight, score, rank) by the definition."""
+    bucket = lambda f: zlib.crc32(f.encode()) % 10_000
+    s = Counter(bucket(f) for _, t in rows for f in plain_features(t))
+    t = Counter(bucket(f) for x in target for f in plain_features(x))
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (big_s + 10_000) / ((s[b] + 1) * (big_t + 10_000)))) for b in s}
+    out = []
+    for i, text in rows:
+        f = plain_features(text)
+        weight = sum(gain[bucket(x)] for x in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((-o[3], o[0] is None, o[0] or 0, k) for k, o in enumerate(out) if len(plain_words(rows[k][1])) >= min_words)
+    drawn = {k: r + 1 for r, (*_, k) in enumerate(able[:percent * len(able) // 100])}
+    return sorted((*o, drawn.get(k)) for k, o in enumerate(out))
+
+
+def digest(df):
+    return sorted(map(tuple, df.select("doc_id", "n_features", "weight", "score", "rank").collect()))
+
+
+def test_equals_the_plain_version(docs):
+    r = random.Random(5)
+    rows = [(i, " ".join(r.choices(["to", "be", "Or", "not", "字", "naïve", "x1"], k=r.randrange(60)))) for i in range(120)]
+    target = docs([(1, "to be or not to be 字"), (2, None), (3, "")])
+    assert digest(I.draw(I.weigh(docs(rows), target))) == plain(rows, ["to be or not to be 字"])
+
+
+def test_odd_rows(odd, docs):
+    target = docs([(1, "a text twice the same row")])
+    out = I.draw(I.weigh(odd, target), percent=60, min_words=2)
+    rows = out.collect()
+    assert len(rows) == 10 and out.columns.count("score") == 1 and "row" in out.columns
+    by = {(r["doc_id"], r["text"]): r for r in rows}
+    assert by[(1, None)]["n_features"] == by[(2, "")]["weight"] == by[(3, " \t\n")]["n_words"] == 0
+    assert by[(4, "a " * 60_000)]["n_features"] == 119_999
+    same = [r for r in rows if r["doc_id"] == 6]
+    assert same[0]["score"] == same[1]["score"]
+    ranks = sorted(r["rank"] for r in rows if r["rank"])
+    assert ranks == list(range(1, 1 + 60 * 6 // 100))
+    empty = docs([])
+    assert I.draw(I.weigh(empty, target)).collect() == []
+    assert [r["weight"] for r in I.weigh(docs([(1, "a")]), empty).collect()] == [
+        math.floor(1000 * math.log(10_001 / (2 * 10_000)))]
+
+
+def test_repeated_rows_and_ties_keep_their_number(docs):
+    df = docs([(7, "one two three four five")] * 4000 + [(i, "one two") for i in range(100)])
+    out = I.draw(I.weigh(df, df), percent=50, min_words=2)
+    ranks = sorted(r["rank"] for r in out.collect() if r["rank"])
+    assert ranks == list(range(1, 2051))
+
+
+def test_draws_what_looks_like_the_target(docs):
+    r = random.Random(9)
+    word = lambda kind: f"{kind}{r.randrange(40)}"
+    rows = [(i, " ".join(word("good" if i % 5 == 0 else "other") for _ in range(40))) for i in range(1000)]
+    out = I.resample(docs(rows), docs([(0, " ".join(word("good") for _ in range(3000)))]), percent=20)
+    drawn = out.select(F.avg((F.col("doc_id") % 5 == 0).cast("int"))).first()[0]
+    assert out.count() == 200 and drawn > 0.75
+    assert out.columns[:5] == docs(rows).columns
+
+
+def test_query_equals_sql(spark):
+    name = "op12_importance_resampling"
+    n, problems = compare(spark, duck(SF01), name, E.queries()[name], E.oracle_sql()[name], SF01)
+    assert n == 1000 and not problems, problems
