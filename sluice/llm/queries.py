@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, licences, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
+from . import importance, licences, merkle, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
 from .common import prepare, settle, table
 
 #: Where the tokenizer's file lies; every operator takes its path as a parameter.
@@ -102,10 +102,25 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.draw(narrow).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document. Where 7 divides the
+    checksum of doc_id the leaf is checked with one character more than it has."""
+    prepare(spark)
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    checked = merkle.leaf_digest([F.when(hit, n_chars + 1).otherwise(n_chars) if c == "n_chars" else F.col(c)
+                                  for c in merkle.FIELDS])
+    out = merkle.manifest(table(spark, sf_dir, "documents"), carry={"checked": checked})
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                     merkle.folded(F.col("checked"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_attention_mil, op2_feistel_pseudonyms, op3_hypergeometric_shards, op4_association_url_rules,
     op5_licence_sentences, op6_balanced_posting_lists, op7_sentencepiece, op8_risk_controlled_rules,
-    op9_ngram_jaccard_join, op10_pareto_mix, op12_importance_resampling)}
+    op9_ngram_jaccard_join, op10_pareto_mix, op12_importance_resampling,
+    op13_merkle_manifest)}
 
 ORACLES: dict[str, str] = {
     "op4_association_url_rules": url_rules.SQL,
@@ -114,4 +129,5 @@ ORACLES: dict[str, str] = {
     "op9_ngram_jaccard_join": ngram_join.SQL,
     "op10_pareto_mix": mixing.SQL,
     "op12_importance_resampling": importance.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }

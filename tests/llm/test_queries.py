@@ -23,7 +23,7 @@ def named(n):
 
 
 def test_all_are_registered():
-    assert [k.split("_")[0] for k in Q.QUERIES] == [f"op{n}" for n in [*range(1, 11), 12]]
+    assert [k.split("_")[0] for k in Q.QUERIES] == [f"op{n}" for n in [*range(1, 11), 12, 13]]
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
