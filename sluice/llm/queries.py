@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, licences, merkle, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
+from . import importance, licences, line_dedup, merkle, mil, mixing, ngram_join, pieces, posting_lists, pseudonyms, quality_rules, sharding, url_rules
 from .common import prepare, settle, table
 
 #: Where the tokenizer's file lies; every operator takes its path as a parameter.
@@ -94,6 +94,14 @@ def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_cuckoo_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten documents or more share."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    out = line_dedup.LineIndex.empty(spark, threshold=10, min_chars=1).insert(docs).clean(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and rank of every document, towards the texts of ``benchmark``."""
     prepare(spark)
@@ -119,8 +127,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_attention_mil, op2_feistel_pseudonyms, op3_hypergeometric_shards, op4_association_url_rules,
     op5_licence_sentences, op6_balanced_posting_lists, op7_sentencepiece, op8_risk_controlled_rules,
-    op9_ngram_jaccard_join, op10_pareto_mix, op12_importance_resampling,
-    op13_merkle_manifest)}
+    op9_ngram_jaccard_join, op10_pareto_mix, op11_cuckoo_line_dedup,
+    op12_importance_resampling, op13_merkle_manifest)}
 
 ORACLES: dict[str, str] = {
     "op4_association_url_rules": url_rules.SQL,
@@ -128,6 +136,7 @@ ORACLES: dict[str, str] = {
     "op8_risk_controlled_rules": quality_rules.SQL,
     "op9_ngram_jaccard_join": ngram_join.SQL,
     "op10_pareto_mix": mixing.SQL,
+    "op11_cuckoo_line_dedup": line_dedup.SQL,
     "op12_importance_resampling": importance.SQL,
     "op13_merkle_manifest": merkle.SQL,
 }

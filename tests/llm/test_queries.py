@@ -15,6 +15,9 @@ COLUMNS = {
     8: "doc_id:bigint n_words:bigint word_chars:bigint n_symbols:bigint n_dup_lines:bigint n_repeat_words:bigint "
        "base_failed:boolean kept:boolean",
     10: "doc_id:bigint size:bigint source_size:bigint target:double taken:bigint",
+    11: "doc_id:bigint n_lines:bigint n_dropped:bigint kept_sha256:string",
+    12: "doc_id:bigint n_features:bigint weight:bigint score:bigint rank:bigint",
+    13: "doc_id:bigint leaf:string subroot:string root:string proof_sha256:string folded_root:string verified:boolean",
 }
 
 
@@ -23,7 +26,7 @@ def named(n):
 
 
 def test_all_are_registered():
-    assert [k.split("_")[0] for k in Q.QUERIES] == [f"op{n}" for n in [*range(1, 11), 12, 13]]
+    assert [k.split("_")[0] for k in Q.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(Q.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
