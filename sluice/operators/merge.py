@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .netchange import ACTION
 
@@ -88,6 +89,45 @@ def apply_changes(target: DataFrame, upserts: DataFrame | None, deletes: DataFra
     return j.select(*out)
 
 
+def apply_in_place(layers: Sequence[DataFrame], upserts: DataFrame | None, deletes: DataFrame | None,
+                   keys: Sequence[str], on_match: str, schema: T.StructType) -> list[DataFrame]:
+    """``apply_changes`` over a table stored in ``layers`` that are bucketed by
+    the keys, each key in one of them; the change is dealt by the keys already.
+    Returns parts that add up to the new contents.
+
+    Every join streams a layer past the hashed keys of the change, so stored
+    rows are neither exchanged nor sorted. Only new keys of an update in place
+    are found the other way round, against the key columns alone.
+    """
+    keys, cols = list(keys), schema.names
+    extra = [] if upserts is None else [c for c in cols if c not in upserts.columns]
+    hashed = lambda d: d.hint("shuffle_hash")
+    in_place = bool(extra) and on_match != "replace"
+    gone = [d.select(*keys) for d in ([deletes] if in_place else [deletes, upserts]) if d is not None]
+    kept = list(layers)
+    for d in gone:
+        kept = [layer.join(hashed(d), keys, "left_anti") for layer in kept]
+    if upserts is None:
+        return kept
+    if not in_place:
+        return [*kept, truncate_load_as(schema, upserts)]
+    vals = [c for c in upserts.columns if c not in keys]
+    change = upserts.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in vals], F.lit(True).alias(_HIT))
+    updated = [layer.join(hashed(change), keys, "left").select(*[
+        F.when(F.col(_HIT), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in vals else F.col(c) for c in cols])
+        for layer in kept]
+    new = upserts
+    for layer in kept:
+        new = new.join(layer.select(*keys), keys, "left_anti")
+    return [*updated, truncate_load_as(schema, new)]
+
+
+def truncate_load_as(schema: T.StructType, rows: DataFrame) -> DataFrame:
+    """``rows`` with all columns of ``schema``; those it lacks are NULL."""
+    return rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in schema.fields])
+
+
 def apply_net_change(target: DataFrame, net: DataFrame, keys: Sequence[str],
                      on_match: str = "update", action_col: str = ACTION,
                      materialize: bool = True) -> DataFrame:

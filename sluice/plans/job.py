@@ -22,7 +22,7 @@ from .. import fs
 from ..operators.keys import check_keys
 from ..session import work_path
 from ..sinks import staging
-from ..sinks.native import ConcurrentPublish
+from ..sinks.native import ConcurrentPublish, NativeTable
 from ..spec import SyncSpec
 from ..streaming.consume import consume_to_outbox
 from ..streaming.outbox import OutboxStore
@@ -92,6 +92,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
         fmt = "csv" if spec.staging == "csv" else "parquet"
         upserts, deletes = staging.stage_round_trip(spark, plan.upserts, plan.deletes, fmt, copy, "",
                                                     keys=keys if spec.staging != "direct" else ())
+        if fmt == "csv":   # parsed once; all that follows reads typed files
+            upserts, deletes = staging.typed_copy(spark, upserts, deletes, f"{copy}/typed")
         if keys and check_key_quality:
             check_keys(upserts, keys)
         # Consumes below the oldest one still in the outbox can never be pending again.
@@ -100,7 +102,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             upserts=upserts, deletes=deletes, truncate=plan.empties_target,
             append=spec.mode == "append", on_match=spec.on_match, state=plan.progress,
             ack=plan.consumes, expected_version=base, run={"summary": plan.why}, **floor,
-            **({"replay_key": replay_key} if replay_key else {}))
+            **({"replay_key": replay_key} if replay_key else {}),
+            **({"stored_bytes": fs.size(spark, f"{copy}/typed" if fmt == "csv" else copy)} if isinstance(sink, NativeTable) else {}))
         summary.update(status=UNSAVED, message=plan.why)  # until the bookkeeping is done
         summary["rows_written"] = upserts.count()  # from the copy's footers
         summary["rows_deleted"] = deletes.count() if deletes is not None else 0

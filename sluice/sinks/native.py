@@ -17,10 +17,12 @@ raises ``ConcurrentPublish`` and publishes nothing). Readers list the manifest
 and read the files it names.
 
 Bucket ids are ``pmod(hash(keys), n)`` over the keys in the table's own types —
-the same function Spark's hash partitioner applies — and both sides of the
-merge are repartitioned into ``n`` partitions by the keys, so the join needs no
-further exchange and each write task holds exactly one bucket. ``n`` is sized
-from bytes written and grows with the table.
+the same function Spark's hash partitioner and its bucketed writer apply. A merge
+reads the stored buckets as bucketed tables (registered in the session's catalog
+for the length of the publish, one per layer of runs), so only the change is
+exchanged; stored rows are joined where they lie. ``n`` is sized from bytes
+written and grows with the table, and a bucket that has come to hold
+``MAX_RUNS`` runs is rewritten with the next change that touches it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +43,8 @@ from ..operators import merge as M
 
 BUCKET = "_bucket"
 KEYLESS = "all"
+#: Runs that a bucket holds at most; a further change to it rewrites it.
+MAX_RUNS = 8
 
 
 class ConcurrentPublish(RuntimeError):
@@ -50,6 +55,10 @@ def bucket_of(keys: Sequence[str], n: int):
     return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(n))
 
 
+def _table_name() -> str:
+    return f"sluice_{uuid.uuid4().hex}"
+
+
 def buckets_for(size: int, bucket_bytes: int) -> int:
     """Bucket count for so many bytes on disk: a power of two, 2 at least."""
     n = 2
@@ -134,28 +143,62 @@ class NativeTable:
     # -------------------------------------------------------------- writing
 
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:
-        """Write rows bucketed; returns {bucket: [run id]} of what was written."""
+        """Write rows bucketed; returns {bucket: [run id]} of what was written.
+
+        The files carry Spark's bucket numbers, so that a later merge can read
+        them as a bucketed table; key order inside each keeps Parquet min/max
+        statistics tight."""
         out = f"{self.root}/data/{run_id}"
         w_opts = {"maxRecordsPerFile": str(self.max_records)}
         if self.keys:
-            # Key order inside each bucket file keeps Parquet min/max statistics
-            # tight; the writer sorts by bucket anyway, so this adds no shuffle.
-            rows = (df.withColumn(BUCKET, bucket_of(self.keys, self.n))
-                    .sortWithinPartitions(BUCKET, *self.keys))
-            rows.write.mode("overwrite").options(**w_opts).partitionBy(BUCKET).parquet(out)
+            rows = df.withColumn(BUCKET, bucket_of(self.keys, self.n).cast("int"))
+            name = _table_name()
+            try:
+                (rows.write.format("parquet").options(path=out, **w_opts).partitionBy(BUCKET)
+                 .bucketBy(self.n, *self.keys).sortBy(*self.keys).saveAsTable(name))
+            finally:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")   # the files stay
             pre = f"{BUCKET}="
             return {n[len(pre):]: [run_id]
                     for n in fs.list_names(self.spark, out) if n.startswith(pre)}
         df.write.mode("overwrite").options(**w_opts).parquet(out)
         return {KEYLESS: [run_id]}
 
+    @contextmanager
+    def _layers(self, buckets: Mapping[str, Sequence[str]], schema: T.StructType) -> Iterator[list[DataFrame]]:
+        """The stored buckets as bucketed tables: the first runs of all buckets,
+        the second ones, and so on. A key lies in one layer only."""
+        names, out = [], []
+        by = ", ".join(f"`{k}`" for k in self.keys)
+        columns = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        try:
+            for depth in range(max((len(r) for r in buckets.values()), default=0)):
+                name = _table_name()
+                names.append(name)
+                self.spark.sql(f"CREATE TABLE {name} ({columns.toDDL()}) USING parquet PARTITIONED BY ({BUCKET}) "
+                               f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {self.n} BUCKETS "
+                               f"LOCATION '{self.root}/_layers/{name}'")
+                parts = [f"PARTITION ({BUCKET}={b}) LOCATION '{self._path(runs[depth], b)}'"
+                         for b, runs in buckets.items() if len(runs) > depth]
+                for i in range(0, len(parts), 1000):
+                    self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts[i:i + 1000])}")
+                out.append(self.spark.table(name))
+            yield out
+        finally:
+            for name in names:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
     def _settle(self, df: DataFrame | None, schema: T.StructType, path: str,
-                only: Sequence[str] = ()) -> tuple[DataFrame | None, int]:
-        """The change in the table's types, written once; also its bytes."""
+                only: Sequence[str] = (), stored_bytes: int | None = None) -> tuple[DataFrame | None, int]:
+        """The change in the table's types, written once; also its bytes. What
+        is stored already (``stored_bytes``) and has these types is not copied."""
         if df is None:
             return None, 0
         if only:
             df = df.select(*only)
+        types = {f.name: f.dataType for f in schema.fields}
+        if stored_bytes is not None and all(types.get(f.name) == f.dataType for f in df.schema.fields):
+            return df, stored_bytes
         df = cast_exactly(df, schema)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), fs.size(self.spark, path)
@@ -164,12 +207,14 @@ class NativeTable:
                 truncate: bool = False, append: bool = False, on_match: str = "update",
                 state: dict | None = None, ack: Sequence[int] = (), run: dict | None = None,
                 expected_version: int | None = -1, ack_floor: int | None = None,
-                replay_key: str | None = None) -> int:
+                replay_key: str | None = None, stored_bytes: int | None = None) -> int:
         """Apply a change and commit it with the progress; returns the new version.
 
         ``expected_version=-1`` means "the version current when publish starts".
         Columns are matched by name and cast to the table's types; a value that
-        does not fit fails the publish.
+        does not fit fails the publish. ``stored_bytes`` says that the change is
+        read from files of its own of this size, which nobody else changes; it
+        is then not copied again where its types are the table's.
         """
         base_v = self.version() if expected_version == -1 else expected_version
         base = self.manifest(base_v) if base_v is not None else None
@@ -184,12 +229,12 @@ class NativeTable:
         change = f"{self.root}/_change/{run_id}"
         try:
             return self._apply(base_v, base, schema, run_id, change, upserts, deletes, truncate, append,
-                               on_match, state, ack, run, ack_floor, replay_key)
+                               on_match, state, ack, run, ack_floor, replay_key, stored_bytes)
         finally:
             fs.delete(self.spark, change)
 
     def _apply(self, base_v, base, schema, run_id, change, upserts, deletes, truncate, append,
-               on_match, state, ack, run, ack_floor, replay_key) -> int:
+               on_match, state, ack, run, ack_floor, replay_key, stored_bytes) -> int:
         old = base or {}
         fresh = base is None or truncate
         buckets: dict[str, list[str]] = {} if fresh else dict(old["buckets"])
@@ -201,8 +246,8 @@ class NativeTable:
                 raise ValueError(f"rows appended under {replay_key!r} were rewritten since; "
                                  f"replaying would add them again")
             buckets = {b: kept for b, runs in buckets.items() if (kept := [r for r in runs if r != earlier])}
-        upserts, up_bytes = self._settle(upserts, schema, f"{change}/upserts")
-        deletes, _ = self._settle(deletes, schema, f"{change}/deletes", only=self.keys)
+        upserts, up_bytes = self._settle(upserts, schema, f"{change}/upserts", stored_bytes=stored_bytes)
+        deletes, _ = self._settle(deletes, schema, f"{change}/deletes", only=self.keys, stored_bytes=stored_bytes)
         if base_v != self.version():
             raise ConcurrentPublish(f"{self.root} moved past version {base_v}")
         size = up_bytes + (0 if fresh else old.get("bytes", 0))
@@ -224,7 +269,7 @@ class NativeTable:
                 buckets = self._write(self._spread(M.apply_changes(current, upserts, deletes, self.keys, on_match)), run_id)
                 size = fs.size(self.spark, f"{self.root}/data/{run_id}")
             else:
-                buckets = self._merge(base_v, buckets, upserts, deletes, on_match, run_id, whole)
+                buckets = self._merge(schema, buckets, upserts, deletes, on_match, run_id, whole)
         if replay_key and append and upserts is not None:
             appends[replay_key] = run_id
         manifest = {
@@ -249,15 +294,16 @@ class NativeTable:
             raise ConcurrentPublish(f"version {manifest['version']} of {self.root} exists")
         return manifest["version"]
 
-    def _merge(self, base_v: int, buckets: dict[str, list[str]], upserts: DataFrame | None,
+    def _merge(self, schema: T.StructType, buckets: dict[str, list[str]], upserts: DataFrame | None,
                deletes: DataFrame | None, on_match: str, run_id: str, whole) -> dict[str, list[str]]:
         """Keyed change against the touched buckets only.
 
         A bucket is rewritten only if the change matches a key it already holds
-        (update or delete). A bucket that only receives new keys keeps its
-        files and gets the new rows as one more file — inserts never rewrite
-        old data. Which keys already exist is found with a semi-join on the key
-        columns alone (a narrow columnar scan of the touched buckets).
+        (update or delete) or it has grown to ``MAX_RUNS`` runs. A bucket that
+        only receives new keys keeps its files and gets the new rows as one more
+        file — inserts never rewrite old data. Which keys already exist is found
+        with a semi-join on the key columns alone. In either join the stored
+        side is read bucket by bucket and never exchanged or sorted.
         """
         b_col = bucket_of(self.keys, self.n).cast("string")
         changed = [d.select(*self.keys) for d in (upserts, deletes) if d is not None]
@@ -265,29 +311,34 @@ class NativeTable:
             return buckets
         keys = changed[0] if len(changed) == 1 else changed[0].unionByName(changed[1])
         # One row per touched bucket: bounded by the bucket count, not the data.
-        touched = sorted(r["b"] for r in keys.select(b_col.alias("b")).distinct().collect())
+        touched = {r["b"] for r in keys.select(b_col.alias("b")).distinct().collect()}
         if not touched:
             return buckets
-        existing = self.read(base_v, touched).select(*self.keys)
-        hits = keys.join(existing, self.keys, "left_semi").select(b_col.alias("b")).distinct()
-        rewrite = sorted(r["b"] for r in hits.collect())
-        add_to = [b for b in touched if b not in set(rewrite)]
+        dealt = keys.repartition(self.n, *self.keys).hint("shuffle_hash")
+        rewrite = {b for b in touched if len(buckets.get(b, ())) >= MAX_RUNS}
+        with self._layers({b: r for b, r in buckets.items() if b in touched - rewrite}, schema) as layers:
+            hit = [r[BUCKET] for layer in layers for r in
+                   layer.select(*self.keys, BUCKET).join(dealt, self.keys, "left_semi").select(BUCKET).distinct().collect()]
+        rewrite |= {str(b) for b in hit}
+        add_to = touched - rewrite
         self.last_merge = {"touched": len(touched), "rewritten": len(rewrite), "appended": len(add_to)}
-        in_rewrite = b_col.isin(rewrite) if rewrite else F.lit(False)
-        pieces = []
-        if rewrite:
-            part = lambda d: None if d is None else d.where(in_rewrite).repartition(self.n, *self.keys)
-            pieces.append(M.apply_changes(self.read(base_v, rewrite).repartition(self.n, *self.keys),
-                                          part(upserts), part(deletes), self.keys, on_match))
-        if add_to and upserts is not None:
-            pieces.append(whole(upserts.where(~in_rewrite)).repartition(self.n, *self.keys))
-        out = {b: runs for b, runs in buckets.items() if b not in set(rewrite)}
-        if pieces:
-            rows = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
-            for b, runs in self._write(rows, run_id).items():
-                if b not in rewrite and b not in add_to:
-                    raise RuntimeError(f"rows were written to bucket {b}, which the change does not touch")
-                out[b] = out.get(b, []) + runs
+        out = {b: runs for b, runs in buckets.items() if b not in rewrite}
+        ids = self.spark.createDataFrame([(b,) for b in rewrite], "b string")
+        of = lambda d, how: None if d is None else (d.join(F.broadcast(ids), b_col == F.col("b"), how)
+                                                    .repartition(self.n, *self.keys))
+        with self._layers({b: r for b, r in buckets.items() if b in rewrite}, schema) as layers:
+            pieces = M.apply_in_place([layer.drop(BUCKET) for layer in layers], of(upserts, "left_semi"),
+                                      of(deletes, "left_semi"), self.keys, on_match, schema) if rewrite else []
+            if add_to and upserts is not None:
+                pieces.append(whole(of(upserts, "left_anti")))
+            if pieces:
+                rows = pieces[0]
+                for p in pieces[1:]:
+                    rows = rows.unionByName(p)
+                for b, runs in self._write(rows, run_id).items():
+                    if b not in touched:
+                        raise RuntimeError(f"rows were written to bucket {b}, which the change does not touch")
+                    out[b] = out.get(b, []) + runs
         return out
 
     def _spread(self, df: DataFrame) -> DataFrame:

@@ -191,5 +191,17 @@ def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: Da
     return out[0], out[1]
 
 
+def typed_copy(spark: SparkSession, upserts: DataFrame | None, deletes: DataFrame | None,
+               path: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Staged rows written once more as Parquet, so that text is parsed once."""
+    out = []
+    for part, df in (("upsert", upserts), ("delete", deletes)):
+        if df is not None:
+            write_parquet(df, f"{path}/{part}")
+            df = spark.read.schema(df.schema).parquet(f"{path}/{part}")
+        out.append(df)
+    return out[0], out[1]
+
+
 def remove_stage(spark: SparkSession, path: str) -> None:
     fs.delete(spark, path)

@@ -1,0 +1,110 @@
+"""Merges into the native table: stored rows are not exchanged, whatever the mode; layers; copies of the change."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from plan_text import ancestors
+from sluice import SyncSpec
+from sluice.operators import merge as M
+from sluice.plans import job
+from sluice.sinks import native
+from sluice.sinks.native import NativeTable
+
+
+def rows(spark, lo, hi, tag):
+    return spark.range(lo, hi).select(F.col("id").alias("k"), F.concat(F.lit(tag), F.col("id").cast("string")).alias("v"))
+
+
+def content(table):
+    return sorted(tuple(r) for r in table.read().select("k", "v").collect())
+
+
+@pytest.fixture()
+def written(monkeypatch):
+    """The plans of all rows that a table writes."""
+    plans, original = [], NativeTable._write
+
+    def spy(self, df, run_id):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(self, df, run_id)
+    monkeypatch.setattr(NativeTable, "_write", spy)
+    return plans
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_stored_rows_are_not_exchanged(spark, scratch, written, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        table = NativeTable(spark, scratch, keys=["k"], buckets=4)
+        table.publish(upserts=rows(spark, 0, 1000, "a"))
+        table.publish(upserts=rows(spark, 500, 1500, "b"), deletes=spark.range(0, 50).select(F.col("id").alias("k")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scans = ancestors(written[-1], "FileScan parquet spark_catalog")
+    assert scans and "Bucketed: true" in written[-1]
+    for above in scans:
+        assert not any("Exchange" in op or op.startswith("Sort ") for op in above), above
+        assert any("ShuffledHashJoin" in op for op in above)
+    assert content(table) == sorted([(i, f"a{i}") for i in range(50, 500)] + [(i, f"b{i}") for i in range(500, 1500)])
+
+
+def test_update_in_place_over_several_layers(spark, scratch, written):
+    table = NativeTable(spark, scratch, keys=["k"], buckets=2)
+    table.publish(upserts=rows(spark, 0, 100, "a").withColumn("note", F.lit("n")))
+    for lo in (100, 200):     # only new keys: one more layer each
+        table.publish(upserts=rows(spark, lo, lo + 100, "a"))
+        assert table.last_merge["rewritten"] == 0
+    assert max(len(r) for r in table.manifest()["buckets"].values()) == 3
+    table.publish(upserts=rows(spark, 50, 350, "b"), deletes=spark.range(0, 10).select(F.col("id").alias("k")))
+    assert content(table) == sorted([(i, f"a{i}") for i in range(10, 50)] + [(i, f"b{i}") for i in range(50, 350)])
+    notes = {r["k"]: r["note"] for r in table.read().collect()}
+    assert notes[60] == "n" and notes[120] is None and notes[20] == "n" and notes[340] is None
+    assert all(len(r) == 1 for r in table.manifest()["buckets"].values())
+
+
+def test_buckets_with_many_runs_are_rewritten(spark, scratch, monkeypatch):
+    monkeypatch.setattr(native, "MAX_RUNS", 3)
+    table = NativeTable(spark, scratch, keys=["k"], buckets=2)
+    for i in range(6):
+        table.publish(upserts=rows(spark, i * 50, i * 50 + 50, "a"))
+        assert max(len(r) for r in table.manifest()["buckets"].values()) <= 3
+    assert content(table) == sorted((i, f"a{i}") for i in range(300))
+
+
+def test_no_table_stays_in_the_catalog(spark, scratch):
+    table = NativeTable(spark, scratch, keys=["k"], buckets=2)
+    table.publish(upserts=rows(spark, 0, 10, "a"))
+    table.publish(upserts=rows(spark, 5, 15, "b"))
+    with pytest.raises(Exception):
+        table.publish(upserts=rows(spark, 0, 10, "c").withColumn("unknown", F.lit(1)))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("sluice_")]
+
+
+def test_the_change_is_stored_once(spark, scratch, monkeypatch):
+    """A run copies its rows when it reads them; publishing writes them to their
+    buckets and nowhere else. Other types need the one cast copy."""
+    cast, original = [], native.cast_exactly
+    monkeypatch.setattr(native, "cast_exactly", lambda df, schema: cast.append(df.columns) or original(df, schema))
+    table = NativeTable(spark, f"{scratch}/t", keys=["k"], buckets=2)
+    for lo, tag in ((0, "a"), (50, "b")):
+        for staging in ("direct", "parquet", "csv"):
+            job.run(spark, SyncSpec("s", "t", mode="upsert", keys=["k"], staging=staging),
+                    rows(spark, lo, lo + 100, tag), table)
+    assert cast == []
+    loose = rows(spark, 0, 10, "c").withColumn("k", F.col("k").cast("int"))
+    job.run(spark, SyncSpec("s", "t", mode="upsert", keys=["k"]), loose, table)
+    assert cast == [["k", "v"]]
+    assert content(table) == sorted([(i, f"c{i}") for i in range(10)] + [(i, f"a{i}") for i in range(10, 50)]
+                                    + [(i, f"b{i}") for i in range(50, 150)])
+
+
+def test_layers_equal_the_plain_merge(spark, scratch):
+    target = rows(spark, 0, 60, "a").withColumn("x", F.col("k") % 3)
+    up, gone = rows(spark, 40, 80, "b"), spark.range(30, 45).select(F.col("id").alias("k"))
+    gone = gone.where("k < 40")
+    for on_match in ("update", "replace"):
+        parts = M.apply_in_place([target.where("k < 20"), target.where("k >= 20")], up, gone, ["k"], on_match, target.schema)
+        whole = M.apply_changes(target, up, gone, ["k"], on_match)
+        got = sorted(map(tuple, (r for p in parts for r in p.collect())), key=repr)
+        assert got == sorted(map(tuple, whole.collect()), key=repr)
