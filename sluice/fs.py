@@ -43,6 +43,12 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(p, _fs(spark, dst)[1]))
 
 
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set the modification time of a file."""
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below the path."""
     fs, p = _fs(spark, path)

@@ -73,10 +73,20 @@ def split_actions(net: DataFrame, keys: Sequence[str],
 
 
 def check_ties(feed: DataFrame, keys: Sequence[str], consume_col: str = CONSUME,
-               action_col: str = ACTION, order_cols: Sequence[str] = ()) -> None:
+               action_col: str = ACTION, order_cols: Sequence[str] = (), commit_col: str | None = None) -> None:
     """Raise when two changes of a key share consume, order and action: the
-    net change would then pick one arbitrarily. One partial aggregation."""
+    net change would then pick one arbitrarily. With ``commit_col`` also when
+    two commits changed a key at the same place in the order, whatever they did
+    to it: an INSERT and a DELETE are halves of an update only within a commit.
+    One partial aggregation each."""
     grp = [*keys, consume_col, *order_cols, action_col]
+    if commit_col:
+        at = [*keys, consume_col, *order_cols]
+        two = (feed.select(*at, commit_col).groupBy(*at).agg(F.min(commit_col).alias("a"), F.max(commit_col).alias("b"))
+               .where("a <> b").first())
+        if two is not None:
+            raise ValueError(f"ambiguous change order for key {[two[k] for k in keys]}: commits {two['a']} and "
+                             f"{two['b']} share their time; number the commits or add an order column")
     tie = (feed.select(*grp).groupBy(*grp).agg(F.count(F.lit(1)).alias("n"))
            .where(F.col("n") > 1).first())
     if tie is not None:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.netchange import CONSUME, LOADED_AT
+from .. import fs
+from ..operators.netchange import CONSUME
 from ..plans import job
 from ..session import work_path
 from ..sinks import staging
@@ -22,7 +23,8 @@ from ..sources.snapshot import snapshot_diff
 from ..sources.tables import read_table
 from ..spec import SyncSpec
 from ..streaming.consume import consume_to_outbox
-from ..streaming.outbox import COMMITTED_AT, OutboxStore, add_cdc_columns
+from ..streaming.feed import append_commit, feed_pending
+from ..streaming.outbox import OutboxStore, add_cdc_columns
 from . import fixtures as fx
 
 
@@ -167,7 +169,7 @@ def stream_consume(spark, sf):
     _write_change_log(spark, feed, log_path, files=6)
     store = OutboxStore(spark, f"{root}/outbox")
     consume_to_outbox(spark, log_path, feed.schema, store, max_files_per_trigger=2)
-    return store.rows().drop(CONSUME, LOADED_AT, COMMITTED_AT)
+    return store.rows().select(*feed.columns)   # without what the outbox adds
 
 
 def stream_multi_commit(spark, sf):
@@ -422,3 +424,71 @@ def dense_ids_q(spark, sf):
 
 
 IO_QUERIES["dense_ids"] = dense_ids_q
+
+
+# ---------------------------------------------------------------- commits and what is pending
+
+def _log_in_two_commits(spark, sf, path, numbered=False):
+    """The raw event log written by two commits, events up to NOW and later ones."""
+    log = fx.events_log(spark, sf).drop(CONSUME)
+    parts = log.where(F.col("ts") < fx.ts(fx.NOW)), log.where(~(F.col("ts") < fx.ts(fx.NOW)))
+    for part in parts:
+        if numbered:
+            append_commit(spark, path, part.repartition(3))
+        else:
+            _write_change_log(spark, part, path, files=3)
+    return log
+
+
+def stream_equal_times(spark, sf):
+    """Two commits whose files carry the same time. A run that would have to
+    order them by it refuses and leaves the table alone; with an order column
+    the same outbox is delivered. The later commit's deletes are not lost."""
+    root = work_path(spark, "stream", "equal-times")
+    log_path = f"{root}/change_log"
+    log = _log_in_two_commits(spark, sf, log_path)
+    for name in fs.list_names(spark, log_path):
+        if name.endswith(".parquet"):
+            fs.set_time(spark, f"{log_path}/{name}", 1_700_000_000_000)
+    table = NativeTable(spark, f"{root}/user_state", keys=["user_id"])
+    table.publish(upserts=log.where("_cdc_action = 'INSERT'").drop("_cdc_action").limit(0))
+    spec = dict(capture="stream", mode="upsert", keys=["user_id"], change_log=log_path, outbox=f"{root}/outbox")
+    try:
+        job.run(spark, SyncSpec("events", "user_state", **spec), log, table, change_log_schema=log.schema)
+    except ValueError as refused:
+        if table.version() != 1:
+            raise RuntimeError("a refused run changed the table") from refused
+    else:
+        raise RuntimeError("commits of equal time were delivered in any order")
+    job.run(spark, SyncSpec("events", "user_state", order_cols=["event_id"], **spec), log, table,
+            change_log_schema=log.schema)
+    return table.read()
+
+
+def feed_pending_q(spark, sf):
+    """What a change log holds beyond the checkpoint: all of it before the first
+    consume, the second commit after that, nothing at the end."""
+    root = work_path(spark, "stream", "pending")
+    log_path = f"{root}/change_log"
+    log = fx.events_log(spark, sf).drop(CONSUME)
+    store = OutboxStore(spark, f"{root}/outbox")
+    early = F.col("ts") < fx.ts(fx.NOW)
+    looks = []
+
+    def look(when):
+        seen = feed_pending(spark, log_path, log.schema, store.checkpoint).withColumn("looked", F.lit(when))
+        path = f"{root}/look-{len(looks)}"
+        seen.write.parquet(path)
+        looks.append(path)
+    append_commit(spark, log_path, log.where(early).repartition(3))
+    look("before the first consume")
+    consume_to_outbox(spark, log_path, log.schema, store)
+    append_commit(spark, log_path, log.where(~early).repartition(3))
+    look("after the second commit")
+    consume_to_outbox(spark, log_path, log.schema, store)
+    look("after all")
+    schema = T.StructType([*log.schema.fields, T.StructField("looked", T.StringType())])
+    return spark.read.schema(schema).parquet(*looks)
+
+
+IO_QUERIES.update({"stream_equal_times": stream_equal_times, "feed_pending": feed_pending_q})

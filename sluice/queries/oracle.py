@@ -329,3 +329,9 @@ LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 ORACLE_SQL["dense_ids"] = f"""
     SELECT {LINE_ORDER}, l_shipdate, CAST(row_number() OVER (ORDER BY {LINE_ORDER}) AS BIGINT) AS line_id
     FROM lineitem"""
+
+ORACLE_SQL["stream_equal_times"] = ORACLE_SQL["stream_multi_commit"]
+ORACLE_SQL["feed_pending"] = fx.with_ctes("events_log") + f"""
+    SELECT * EXCLUDE (consume_id), 'before the first consume' AS looked FROM events_log WHERE ts < TIMESTAMP '{fx.NOW}'
+    UNION ALL
+    SELECT * EXCLUDE (consume_id), 'after the second commit' FROM events_log WHERE NOT (ts < TIMESTAMP '{fx.NOW}')"""

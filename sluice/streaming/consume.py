@@ -21,33 +21,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
-from .outbox import COMMITTED_AT, OutboxStore
+from .feed import COMMIT_NO, StaleFeed, check_log, commit_number
+from .outbox import COMMIT_ID, COMMITTED_AT, OutboxStore
 
 
 _FILE, _WRITTEN = "_cdc_file", "_cdc_written_at"
 
 
-class StaleFeed(RuntimeError):
-    """Changes were removed from the log before being consumed: reload fully."""
-
-
 def consume_to_outbox(spark: SparkSession, change_log: str, schema: T.StructType,
                       outbox: OutboxStore, max_files_per_trigger: int | None = None,
                       processing_time: str | None = None, timeout_s: float | None = None,
                       max_file_age: str = "30d", commit_col: str | None = None) -> list[int]:
     """Move every pending change-log row into the outbox; returns new consume ids.
 
-    Each row gets the commit time of its file. With ``commit_col`` (a number or
-    time that grows with the commits) the run first makes sure that the log
-    still reaches back to what was consumed last.
+    Each row gets the commit of its file: its time, identity and, in numbered
+    logs, number. The run first makes sure that no commit left the log before it
+    was consumed (``check_log``); with ``commit_col`` (a number or time that
+    grows with the commits) also that the log still reaches back to what was
+    consumed last.
 
     ``max_file_age`` bounds the list of seen files that the stream keeps: a file
     is only skipped if it is that much older than the newest file consumed in an
     earlier run and was not there then. File times are commit times here.
     """
+    ckpt = outbox.checkpoint
+    check_log(spark, change_log, ckpt)
     if not fs.exists(spark, change_log):
         return []          # nothing has been published to the change log yet
-    ckpt = f"{outbox.path}/_checkpoint"
     if not fs.exists(spark, ckpt) and outbox.rows() is not None:
         raise RuntimeError("outbox holds rows but its checkpoint is missing; "
                            "a new checkpoint would reuse consume ids")
@@ -83,13 +83,16 @@ def consume_to_outbox(spark: SparkSession, change_log: str, schema: T.StructType
 
 def with_commit_time(batch: DataFrame) -> DataFrame:
     """Rows with the time of the commit that brought them, in place of their
-    file. The files of one Spark write share the write's id in their names and
-    were committed together, when the last of them was there; any other file is
-    a commit of its own. One row per commit is joined back."""
+    file. The files of one numbered commit carry its number; those of one Spark
+    write share the write's id in their names. They were committed together,
+    when the last of them was there; any other file is a commit of its own. One
+    row per commit is joined back."""
     write_id = F.regexp_extract(_FILE, "^part-[0-9]+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})", 1)
-    rows = batch.withColumn("_cdc_commit", F.when(write_id != "", write_id).otherwise(F.col(_FILE)))
-    commits = rows.groupBy("_cdc_commit").agg(F.max(_WRITTEN).alias(COMMITTED_AT))
-    return rows.join(commits, "_cdc_commit").drop("_cdc_commit", _FILE, _WRITTEN)
+    number = commit_number(F.col(_FILE))
+    rows = batch.withColumns({COMMIT_NO: number, COMMIT_ID: F.coalesce(
+        number.cast("string"), F.when(write_id != "", write_id), F.col(_FILE))})
+    commits = rows.groupBy(COMMIT_ID).agg(F.max(_WRITTEN).alias(COMMITTED_AT))
+    return rows.join(commits, COMMIT_ID).drop(_FILE, _WRITTEN)
 
 
 def check_staleness(change_log: DataFrame, commit_col: str, last_consumed) -> None:

@@ -25,6 +25,8 @@ from .. import fs
 
 #: Time of the change-log commit that brought a row.
 COMMITTED_AT = "_cdc_committed_at"
+#: Identity of that commit: its number, the id of the write, or its file.
+COMMIT_ID = "_cdc_commit_id"
 #: Ledger entry of a target that reads the outbox and may not have received anything yet.
 REGISTERED = -1
 
@@ -116,6 +118,8 @@ class OutboxStore:
         self.path = path.rstrip("/")
         self.rows_path = f"{self.path}/rows"
         self.ledger_path = f"{self.path}/ledger"
+        #: Checkpoint of the stream that fills the outbox.
+        self.checkpoint = f"{self.path}/_checkpoint"
         fs.ensure_dir(spark, self.path)
 
     def rows(self) -> DataFrame | None:
