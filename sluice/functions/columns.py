@@ -94,3 +94,74 @@ def cast_exactly(df: DataFrame, schema: T.StructType) -> DataFrame:
             cast = F.when(c.isNull() | kept, cast).otherwise(fail.cast(want))
         out.append(cast.alias(f.name))
     return df.select(*out)
+
+
+#: Column with the reasons why a row was set aside.
+REASONS = "reasons"
+
+
+def try_decode(text: DataFrame, schema: T.StructType, formats: Mapping[str, str] | None = None) -> DataFrame:
+    """All-text rows as ``row`` (a struct of the declared types) and ``reasons``,
+    one sentence per value that does not fit, empty for good rows.
+
+    A value does not fit when ``try_cast`` refuses it, when a decimal would be
+    rounded, or when NULL stands in a column declared NOT NULL. ``formats``
+    gives the pattern of dates and times that are not in ISO form. Columns that
+    the schema does not name fail at once; missing ones are NULL.
+    """
+    unknown = [c for c in text.columns if c not in schema.names]
+    if unknown:
+        raise ValueError(f"columns missing in the target: {unknown}")
+    values, reasons = [], []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`").cast("string") if f.name in text.columns else F.lit(None).cast("string")
+        value = _try_value(c, f.dataType, (formats or {}).get(f.name))
+        bad = c.isNotNull() & value.isNull()
+        if isinstance(f.dataType, T.DecimalType):
+            wide = c.try_cast(T.DecimalType(38, min(38, f.dataType.scale + 10)))
+            bad = bad | (wide.isNotNull() & value.isNotNull() & (wide != value))
+            value = F.when(wide == value, value)
+        told = F.concat(F.lit(f"{f.name}: "), c, F.lit(f" is no {f.dataType.simpleString()}"))
+        reasons.append(F.when(bad, told))
+        if not f.nullable:
+            reasons.append(F.when(c.isNull(), F.lit(f"{f.name}: NULL is not allowed")))
+        values.append(value.alias(f.name))
+    return text.select(F.struct(*values).alias("row"), F.array_compact(F.array(*reasons)).alias(REASONS),
+                       F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in text.columns]).alias("text"))
+
+
+def _try_value(c: Column, dt: T.DataType, fmt: str | None) -> Column:
+    if isinstance(dt, T.StringType):
+        return c
+    if isinstance(dt, T.BinaryType):
+        return F.when(c.rlike("^([0-9A-Fa-f]{2})*$"), F.unhex(c))
+    if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
+        return F.from_json(c, dt, {"mode": "PERMISSIVE"})
+    if isinstance(dt, T.VariantType):
+        return F.try_parse_json(c)
+    if fmt and isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.try_to_timestamp(c, F.lit(fmt)).cast(dt)
+    return c.try_cast(dt)
+
+
+def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Good rows in their types, and rejected ones as the text they came as with
+    their reasons. ``decoded`` is read twice; give it as stored files."""
+    good = decoded.where(F.size(REASONS) == 0).select("row.*")
+    return good, decoded.where(F.size(REASONS) > 0).select("text.*", REASONS)
+
+
+class TooManyRejects(ValueError):
+    """More rows do not fit the declared types than the run allows."""
+
+
+def check_rejects(decoded: DataFrame, limit: int) -> int:
+    """Number of rejected rows; raises beyond ``limit``, naming the most common reasons."""
+    bad = decoded.where(F.size(REASONS) > 0)
+    n = bad.count()
+    if n > limit:
+        why = (bad.select(F.explode(REASONS).alias("r")).groupBy(F.substring_index("r", ":", 1).alias("column"))
+               .count().orderBy(F.desc("count"), "column").limit(5).collect())
+        raise TooManyRejects(f"{n} rows do not fit, {limit} are allowed; by column: "
+                             + ", ".join(f"{r['column']} {r['count']}" for r in why))
+    return n

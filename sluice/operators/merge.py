@@ -15,15 +15,32 @@ Join shapes (all equi-joins on the key list):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .netchange import ACTION
 
 _HIT = "_sluice_hit"
+#: Key of a field's metadata under which its default stands, as a SQL expression.
+DEFAULT = "sluice.default"
+
+
+def absent(field: T.StructField) -> Column:
+    """What a row gets in a column that it does not bring: the declared default, or NULL."""
+    given = (field.metadata or {}).get(DEFAULT)
+    return (F.expr(given) if given else F.lit(None)).cast(field.dataType).alias(field.name)
+
+
+def with_defaults(schema: T.StructType, defaults: Mapping[str, str]) -> T.StructType:
+    """``schema`` with declared defaults (SQL expressions) for some of its columns."""
+    unknown = [c for c in defaults if c not in schema.names]
+    if unknown:
+        raise ValueError(f"defaults for unknown columns: {unknown}")
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable, {**(f.metadata or {}), DEFAULT: defaults[f.name]})
+                         if f.name in defaults else f for f in schema.fields])
 
 
 def _check_columns(target: DataFrame, changes: DataFrame) -> list[str]:
@@ -38,7 +55,8 @@ def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str],
     """Insert new keys, overwrite matched ones.
 
     ``on_match='update'`` keeps target-only columns (identity, defaults) of
-    matched rows; ``'replace'`` deletes and re-inserts, so they become NULL.
+    matched rows; ``'replace'`` deletes and re-inserts, so they return to their
+    defaults (NULL where none is declared).
     When every column is a key there is nothing to update: matched rows stay.
     """
     return apply_changes(target, changes, None, keys, on_match)
@@ -51,9 +69,10 @@ def delete_by_key(target: DataFrame, deleted_keys: DataFrame, keys: Sequence[str
 
 
 def apply_changes(target: DataFrame, upserts: DataFrame | None, deletes: DataFrame | None,
-                  keys: Sequence[str], on_match: str = "update") -> DataFrame:
-    """Upserts and deletes applied together (one publish)."""
-    keys = list(keys)
+                  keys: Sequence[str], on_match: str = "update", schema: T.StructType | None = None) -> DataFrame:
+    """Upserts and deletes applied together (one publish). New and replaced rows
+    get the defaults that ``schema`` declares for target-only columns."""
+    keys, fields = list(keys), {f.name: f for f in (schema or target.schema).fields}
     extra = _check_columns(target, upserts) if upserts is not None else []
     touched = None
     if upserts is not None:
@@ -67,15 +86,15 @@ def apply_changes(target: DataFrame, upserts: DataFrame | None, deletes: DataFra
         return target.join(touched, keys, "left_anti")
     if not extra or on_match == "replace":
         kept = target.join(touched, keys, "left_anti")
-        new_rows = upserts.select(*[F.col(c) if c in upserts.columns
-                                    else F.lit(None).cast(target.schema[c].dataType).alias(c)
+        new_rows = upserts.select(*[F.col(c) if c in upserts.columns else absent(fields[c])
                                     for c in target.columns])
         return kept.unionByName(new_rows)
     # Update in place: one full outer join keeps target-only values on matches.
-    t = target.alias("t")
+    t = target.withColumn(_HIT, F.lit(True))
     u = upserts.withColumn(_HIT, F.lit(True)).alias("u")
     if deletes is not None:
-        t = target.join(deletes.select(*keys), keys, "left_anti").alias("t")
+        t = t.join(deletes.select(*keys), keys, "left_anti")
+    t = t.alias("t")
     j = t.join(u, keys, "full_outer")
     hit = F.col(f"u.{_HIT}").isNotNull()
     out = []
@@ -83,7 +102,7 @@ def apply_changes(target: DataFrame, upserts: DataFrame | None, deletes: DataFra
         if c in keys:
             out.append(F.col(c))
         elif c in extra:
-            out.append(F.col(f"t.{c}").alias(c))
+            out.append(F.when(F.col(f"t.{_HIT}"), F.col(f"t.{c}")).otherwise(absent(fields[c])).alias(c))
         else:
             out.append(F.when(hit, F.col(f"u.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
     return j.select(*out)
@@ -123,9 +142,8 @@ def apply_in_place(layers: Sequence[DataFrame], upserts: DataFrame | None, delet
 
 
 def truncate_load_as(schema: T.StructType, rows: DataFrame) -> DataFrame:
-    """``rows`` with all columns of ``schema``; those it lacks are NULL."""
-    return rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
-                         for f in schema.fields])
+    """``rows`` with all columns of ``schema``; those it lacks get their defaults."""
+    return rows.select(*[F.col(f.name) if f.name in rows.columns else absent(f) for f in schema.fields])
 
 
 def apply_net_change(target: DataFrame, net: DataFrame, keys: Sequence[str],

@@ -51,6 +51,23 @@ def group_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+_EXACT = T.DecimalType(38, 10)
+
+
+def _as_number(c: Column) -> Column:
+    """A number in text as a number of one scale, so that 1.5 equals 1.500000;
+    null where the text is none, has leading zeros or would be rounded."""
+    exact = c.try_cast(_EXACT)
+    written = c.rlike(r"^-?(0|[1-9][0-9]*)([.][0-9]{1,10}0*)?$") | c.rlike(r"^-?[0-9]([.][0-9]+)?E-?[0-9]+$")
+    return F.when(written & (exact.cast("double") == c.try_cast("double")), exact)
+
+
+def same_value(a: Column, b: Column) -> Column:
+    """NULL-safe equality of two texts, of numbers by value and not by spelling."""
+    x, y = _as_number(a), _as_number(b)
+    return a.eqNullSafe(b) | F.coalesce(x == y, F.lit(False))
+
+
 def unpivot_metrics(m: DataFrame) -> DataFrame:
     """One metrics row → (metric, value) rows; as text where a metric is."""
     if any(isinstance(f.dataType, T.StringType) for f in m.schema.fields):
@@ -60,11 +77,51 @@ def unpivot_metrics(m: DataFrame) -> DataFrame:
 
 def compare_metrics(source: DataFrame, target: DataFrame) -> DataFrame:
     """Metric by metric, NULL-safe; names present on one side only are reported
-    with the other side NULL and ``matches`` false."""
-    s = unpivot_metrics(source).withColumnRenamed("value", "source_value")
-    t = unpivot_metrics(target).withColumnRenamed("value", "target_value")
-    return (s.join(t, "metric", "full_outer")
-            .withColumn("matches", F.col("source_value").eqNullSafe(F.col("target_value"))))
+    with the other side NULL and ``matches`` false. Numbers held in different
+    types or scales (``decimal(12,2)`` and ``decimal(18,6)``, bigint and text)
+    are compared by value; other text as text."""
+    s = unpivot_metrics(source).withColumnRenamed("value", "source_value").withColumn("_s", F.lit(True))
+    t = unpivot_metrics(target).withColumnRenamed("value", "target_value").withColumn("_t", F.lit(True))
+    both = s.join(t, "metric", "full_outer")
+    here = F.col("_s").isNotNull() & F.col("_t").isNotNull()
+    value = lambda c: F.col(c).cast("string")
+    return (both.withColumn("matches", here & same_value(value("source_value"), value("target_value")))
+            .drop("_s", "_t"))
+
+
+def column_diff(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What differs, value by value (J4): the keys, ``column``, ``source_value``
+    and ``target_value`` as text, ``status``.
+
+    ``changed`` rows name one differing column each, NULL-safe. A row that one
+    side lacks gives one line with ``column`` NULL and ``source_only`` or
+    ``target_only``. Numbers are compared by value whatever their types; columns
+    that one side lacks are refused. Keys have to be unique and not NULL (a
+    duplicate fails the job before the join). One full outer join; only
+    differing values are expanded.
+    """
+    from ..sources.snapshot import assert_unique
+    keys = list(keys)
+    if sorted(source.columns) != sorted(target.columns):
+        raise ValueError(f"columns differ: {sorted(set(source.columns) ^ set(target.columns))}")
+    vals = [c for c in source.columns if c not in keys]
+    side = lambda df, tag, what: assert_unique(df, keys, what).select(
+        *keys, *[F.col(f"`{c}`").alias(f"{tag}{c}") for c in vals], F.lit(True).alias(f"{tag}_here"))
+    j = side(source, "_s_", "source").join(side(target, "_t_", "target"), keys, "full_outer")
+    only_s, only_t = F.col("_t__here").isNull(), F.col("_s__here").isNull()
+
+    def line(column, s, t, status):
+        return F.struct(F.lit(column).cast("string").alias("column"), s.alias("source_value"), t.alias("target_value"),
+                        F.lit(status).alias("status"))
+    none = F.lit(None).cast("string")
+    lines = [F.when(only_s, line(None, none, none, "source_only")), F.when(only_t, line(None, none, none, "target_only"))]
+    for c in vals:
+        a, b = F.col(f"`_s_{c}`"), F.col(f"`_t_{c}`")
+        s, t = a.cast("string"), b.cast("string")
+        same = a.eqNullSafe(b) if source.schema[c].dataType == target.schema[c].dataType else same_value(s, t)
+        lines.append(F.when(~only_s & ~only_t & ~same, line(c, s, t, "changed")))
+    found = F.array_compact(F.array(*lines))
+    return j.select(*keys, F.inline(found))
 
 
 def left_diff(a: DataFrame, b: DataFrame, keys: Sequence[str],

@@ -296,6 +296,10 @@ def left_diff_null_safe(spark, sf):
     return R.left_diff(a, fx.orders(spark, sf), ORDER_KEY, null_safe=True)
 
 
+def column_diff(spark, sf):
+    return R.column_diff(fx.orders_old(spark, sf), fx.orders_new(spark, sf), ORDER_KEY)
+
+
 def row_diff(spark, sf):
     return R.row_diff(fx.orders_old(spark, sf), fx.orders_new(spark, sf))
 
@@ -368,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_compare": reconcile_compare,
     "left_diff": left_diff,
     "left_diff_null_safe": left_diff_null_safe,
+    "column_diff": column_diff,
     "row_diff": row_diff,
     "row_diff_counts": row_diff_counts,
     "lower_cols": lower_cols_q,

@@ -492,3 +492,56 @@ def feed_pending_q(spark, sf):
 
 
 IO_QUERIES.update({"stream_equal_times": stream_equal_times, "feed_pending": feed_pending_q})
+
+
+# ---------------------------------------------------------------- rejects, defaults, footers
+
+def _event_text(spark, sf):
+    """Events as text, as another system might hand them over: money with three
+    digits behind the point, times in words, numbers missing or not numbers."""
+    e = read_table(spark, sf, "events")
+    kind, milli = F.col("event_type"), F.round(F.col("value") * 1000).cast("long")
+    amount = F.concat(F.floor(milli / 1000).cast("string"), F.lit("."), F.lpad((milli % 1000).cast("string"), 3, "0"))
+    return e.select(F.col("event_id").cast("string").alias("event_id"),
+                    F.when(kind == "error", "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("ts"),
+                    F.when(F.col("user_id") % 10 != 3, F.col("user_id").cast("string")).alias("user_id"),
+                    amount.alias("amount"), F.when(kind == "view", "n/a").otherwise("7").alias("count"))
+
+
+def typed_rejects(spark, sf):
+    """Text rows cast to declared types; what does not fit stands aside with reasons."""
+    schema = T.StructType.fromDDL("event_id bigint not null, ts timestamp_ntz, user_id bigint not null, "
+                                  "amount decimal(12,2), count int")
+    root = work_path(spark, "csv", "rejects")
+    staging.write_csv(_event_text(spark, sf), f"{root}/files", max_records=5000)
+    good, bad = staging.read_csv_rejects(spark, f"{root}/files", schema, f"{root}/stored", max_rejects=1 << 60)
+    text = good.select(F.col("event_id").cast("string").alias("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+                       F.col("user_id").cast("string").alias("user_id"), F.col("amount").cast("string").alias("amount"),
+                       F.col("count").cast("string").alias("count"))
+    return (text.withColumn("reasons", F.lit(""))
+            .unionByName(bad.withColumn("reasons", F.array_join("reasons", "; "))))
+
+
+def upsert_defaults(spark, sf):
+    """Replacing upsert into a native table whose target-only column has a
+    default: replaced and new rows get it, rows left alone keep what they had."""
+    root = work_path(spark, "native", "defaults")
+    table = NativeTable(spark, f"{root}/orders_t", keys=["o_orderkey"], buckets=8,
+                        defaults={"o_note": "concat('none', ' given')"})
+    job.run(spark, SyncSpec("orders_v1", "orders_t", keys=["o_orderkey"]), fx.orders_stale_target(spark, sf, note=True), table)
+    fx.orders(spark, sf).createOrReplaceTempView("orders_now")
+    job.run(spark, SyncSpec("orders_now", "orders_t", capture="hwm", mode="upsert", keys=["o_orderkey"], hwm_col="o_orderdate",
+                            hwm_start=fx.HWM_START, on_match="replace"), spark.table("orders_now"), table)
+    return table.read()
+
+
+def ceiling_footers(spark, sf):
+    """Ceilings of a number column (from footers) and of a time column (by a scan)."""
+    from ..sources.scan import footer_ceiling
+    from ..sources.tables import table_path
+    path = table_path(sf, "orders")
+    tops = [(c, footer_ceiling(spark, path, c).value) for c in ("o_orderkey", "o_custkey", "o_orderdate")]
+    return spark.createDataFrame(tops, "column string, ceiling string")
+
+
+IO_QUERIES.update({"typed_rejects": typed_rejects, "upsert_defaults": upsert_defaults, "ceiling_footers": ceiling_footers})

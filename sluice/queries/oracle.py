@@ -335,3 +335,40 @@ ORACLE_SQL["feed_pending"] = fx.with_ctes("events_log") + f"""
     SELECT * EXCLUDE (consume_id), 'before the first consume' AS looked FROM events_log WHERE ts < TIMESTAMP '{fx.NOW}'
     UNION ALL
     SELECT * EXCLUDE (consume_id), 'after the second commit' FROM events_log WHERE NOT (ts < TIMESTAMP '{fx.NOW}')"""
+
+ORACLE_SQL.update({
+    "column_diff": SNAP + """, j AS (
+        SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, o.o_orderkey IS NULL AS no_o, n.o_orderkey IS NULL AS no_n,
+               o.o_orderstatus AS os, n.o_orderstatus AS ns
+        FROM orders_old o FULL JOIN orders_new n ON o.o_orderkey = n.o_orderkey)
+        SELECT o_orderkey, CASE WHEN NOT no_o AND NOT no_n THEN 'o_orderstatus' END AS column,
+               CASE WHEN NOT no_o AND NOT no_n THEN os END AS source_value,
+               CASE WHEN NOT no_o AND NOT no_n THEN ns END AS target_value,
+               CASE WHEN no_n THEN 'source_only' WHEN no_o THEN 'target_only' ELSE 'changed' END AS status
+        FROM j WHERE no_o OR no_n OR os IS DISTINCT FROM ns""",
+    "typed_rejects": """
+        WITH e AS (SELECT *, CAST(round(value * 1000) AS BIGINT) AS milli FROM events),
+        t AS (
+          SELECT CAST(event_id AS VARCHAR) AS event_id,
+                 CASE WHEN event_type = 'error' THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
+                 CASE WHEN user_id % 10 <> 3 THEN CAST(user_id AS VARCHAR) END AS user_id,
+                 CAST(milli // 1000 AS VARCHAR) || '.' || lpad(CAST(milli % 1000 AS VARCHAR), 3, '0') AS amount,
+                 CASE WHEN event_type = 'view' THEN 'n/a' ELSE '7' END AS count, milli % 10 = 0 AS fits
+          FROM e),
+        r AS (
+          SELECT *, concat_ws('; ', CASE WHEN ts = 'yesterday' THEN 'ts: yesterday is no timestamp_ntz' END,
+                 CASE WHEN user_id IS NULL THEN 'user_id: NULL is not allowed' END,
+                 CASE WHEN NOT fits THEN 'amount: ' || amount || ' is no decimal(12,2)' END,
+                 CASE WHEN count = 'n/a' THEN 'count: n/a is no int' END) AS reasons FROM t)
+        SELECT event_id, ts, user_id, CASE WHEN reasons = '' THEN left(amount, length(amount) - 1) ELSE amount END AS amount,
+               count, reasons FROM r""",
+    "upsert_defaults": f"""
+        {STALE}
+        SELECT t.* FROM orders_stale t
+          WHERE NOT EXISTS (SELECT 1 FROM {WINDOW} w WHERE w.o_orderkey = t.o_orderkey)
+        UNION ALL SELECT w.*, 'none given' AS o_note FROM {WINDOW} w""",
+    "ceiling_footers": """
+        SELECT 'o_orderkey' AS column, CAST(max(o_orderkey) AS VARCHAR) AS ceiling FROM orders
+        UNION ALL SELECT 'o_custkey', CAST(max(o_custkey) AS VARCHAR) FROM orders
+        UNION ALL SELECT 'o_orderdate', strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM orders""",
+})

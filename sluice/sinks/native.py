@@ -70,13 +70,17 @@ def buckets_for(size: int, bucket_bytes: int) -> int:
 class NativeTable:
     """A keyed table folder. ``buckets`` fixes the bucket count of a new table;
     with ``None`` it is sized from the bytes of the first load,
-    ``bucket_bytes`` per bucket, and doubled as the table outgrows it. An
-    existing table always uses the keys of its manifest."""
+    ``bucket_bytes`` per bucket, and doubled as the table outgrows it.
+    ``defaults`` (SQL expressions by column) are declared with the first load
+    and kept in the manifest's schema; new and replaced rows get them in columns
+    that a change does not bring. An existing table always uses the keys and
+    defaults of its manifest."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (),
                  buckets: int | None = None, bucket_bytes: int = 512 << 20,
-                 max_records_per_file: int = 10_000_000):
+                 max_records_per_file: int = 10_000_000, defaults: Mapping[str, str] | None = None):
         self.spark = spark
+        self.defaults = dict(defaults or {})
         self.root = root.rstrip("/")
         self.keys = list(keys)
         self.n = int(buckets) if buckets else None
@@ -222,7 +226,7 @@ class NativeTable:
             self._adopt(base)
             schema = T.StructType.fromJson(base["schema"])
         elif upserts is not None:
-            schema = upserts.schema
+            schema = M.with_defaults(upserts.schema, self.defaults)
         else:
             raise ValueError("first publish needs rows")
         run_id = f"r{_dt.datetime.now(_dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -253,7 +257,7 @@ class NativeTable:
         size = up_bytes + (0 if fresh else old.get("bytes", 0))
         if self.n is None:
             self.n = buckets_for(size, self.bucket_bytes) if self.keys else 1
-        whole = (lambda df: M.truncate_load(self.spark.createDataFrame([], schema), df))
+        whole = (lambda df: M.truncate_load_as(schema, df))
         if fresh:
             if upserts is not None:
                 buckets = self._write(self._spread(whole(upserts)), run_id)
@@ -266,7 +270,7 @@ class NativeTable:
             if grown > self.n:  # the table has doubled: deal all of it out anew
                 current = self.read(base_v)
                 self.n = grown
-                buckets = self._write(self._spread(M.apply_changes(current, upserts, deletes, self.keys, on_match)), run_id)
+                buckets = self._write(self._spread(M.apply_changes(current, upserts, deletes, self.keys, on_match, schema)), run_id)
                 size = fs.size(self.spark, f"{self.root}/data/{run_id}")
             else:
                 buckets = self._merge(schema, buckets, upserts, deletes, on_match, run_id, whole)

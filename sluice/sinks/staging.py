@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
+from ..functions.columns import check_rejects, split_rejects, try_decode
 from ..spec import NULL_SENTINEL
 
 # CSV dialect of the staged files.
@@ -142,6 +143,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return csv_decode(text, schema)
 
 
+def read_csv_rejects(spark: SparkSession, path: str, schema: T.StructType, stored: str,
+                     max_rejects: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Staged CSV files as good rows of the declared types and rejected rows as
+    text with reasons (C8). The files are parsed once, into ``stored``; more
+    than ``max_rejects`` rejected rows fail the run before anything is delivered."""
+    text_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    text = (spark.read.schema(text_schema).options(**CSV_OPTIONS).options(**READ_ONLY_OPTIONS).csv(path))
+    formats = {f.name: CSV_OPTIONS["timestampFormat"] for f in schema.fields if isinstance(f.dataType, T.TimestampType)}
+    decoded = try_decode(text, schema, formats)
+    decoded.write.parquet(stored)
+    decoded = spark.read.schema(decoded.schema).parquet(stored)
+    check_rejects(decoded, max_rejects)
+    return split_rejects(decoded)
+
+
 def read_positional_csv(spark: SparkSession, path: str, names: list[str],
                         header: bool = False, with_file: bool = False) -> DataFrame:
     """Fields by position, named ``names``; a header line is skipped, whatever

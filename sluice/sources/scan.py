@@ -59,6 +59,45 @@ def hwm_ceiling(df: DataFrame, col: str, watermark: Watermark | None = None,
     return None if value is None else Watermark(dtype.simpleString(), value)
 
 
+def footer_ceiling(spark: SparkSession, path: str, col: str) -> Watermark | None:
+    """``MAX(col)`` of a Parquet folder from the files' footers (D1): the
+    aggregate is pushed into the V2 reader, so no row group is read.
+
+    That holds for whole numbers and dates; Spark pushes no other type down (or,
+    for floats, a maximum that knows no NaN), so those are aggregated by a scan
+    of the one column, as are files whose footers tell no maximum (a file that
+    holds only NULL there). None means that there is nothing, or only NULL.
+    """
+    source = spark.read.parquet(path)
+    if not isinstance(source.schema[col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DateType)):
+        return hwm_ceiling(source, col)
+    before = {k: spark.conf.get(k) for k in _PUSHED}
+    try:
+        for k, v in _PUSHED.items():
+            spark.conf.set(k, v)
+        top = footer_max(spark, path, col)
+        value = top.first()["ceiling"]
+    except Exception as e:
+        if "No min/max found" not in str(e):
+            raise
+        top = None
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    if top is None:
+        return hwm_ceiling(source, col)
+    return None if value is None else Watermark(top.schema["ceiling"].dataType.simpleString(), str(value))
+
+
+def footer_max(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """One row ``ceiling``; answered from footers while ``_PUSHED`` is set."""
+    return spark.read.parquet(path).agg(F.max(col).alias("ceiling"))
+
+
+#: Settings under which Spark answers MAX from Parquet footers.
+_PUSHED = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
 def hwm_window(df: DataFrame, col: str, watermark: Watermark | None,
                ceiling: Watermark, lookback: str | None = None) -> DataFrame:
     """Rows with ``watermark < col <= ceiling``; no lower bound on a first run.
