@@ -38,6 +38,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--key-cols", nargs="*", default=[])
     p.add_argument("--lower-cols", action="store_true")
     p.add_argument("--nan-to-null", action="store_true", help="store float NaN as NULL")
+    p.add_argument("--case-insensitive-keys", action="store_true", help="text keys match whatever their case")
     p.add_argument("--hwm-col")
     p.add_argument("--hwm-start")
     p.add_argument("--lookback", help="interval literal, e.g. 'INTERVAL 1 DAY'")
@@ -64,7 +65,8 @@ def spec_from(a: argparse.Namespace) -> SyncSpec:
                     hwm_start=a.hwm_start, lookback=a.lookback, change_log=a.change_log,
                     outbox=a.outbox, order_cols=list(a.order_cols), outbox_retention_days=a.outbox_retention_days,
                     staging=a.staging, stage_path=a.stage_path, keep_files=a.keep_files,
-                    batch_rows=a.batch_rows, on_match=a.on_match, nan_to_null=a.nan_to_null)
+                    batch_rows=a.batch_rows, on_match=a.on_match, nan_to_null=a.nan_to_null,
+                    case_insensitive_keys=a.case_insensitive_keys)
 
 
 def main(argv=None, spark=None) -> int:
@@ -100,7 +102,7 @@ def main(argv=None, spark=None) -> int:
                         batch_rows=a.batch_rows or 10_000)
     else:
         sink = NativeTable(spark, a.target_path, keys=[k.lower() for k in spec.keys] if spec.lower_cols
-                           else spec.keys, buckets=a.buckets)
+                           else spec.keys, buckets=a.buckets, case_insensitive=a.case_insensitive_keys)
     try:
         summary = job.run(spark, spec, source, sink, run_log=a.run_log, replay_key=a.replay_key)
     except ConcurrentPublish as e:

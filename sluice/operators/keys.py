@@ -27,6 +27,21 @@ def case_colliding_keys(df: DataFrame, key: str) -> DataFrame:
             .where(F.col("n_spellings") > 1))
 
 
+def folded_name(df_types: dict[str, str], key: str) -> str:
+    """Name of the column that holds a key without regard to case; the key
+    itself where it is no text."""
+    return f"_lc_{key}" if df_types[key] == "string" else key
+
+
+def with_folded_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with its text keys in lower case beside them, and the columns to
+    match by. A case-insensitive target holds one row per folded key; the folded
+    columns are plain text, so they can be hashed into buckets."""
+    types = dict(df.dtypes)
+    match = [folded_name(types, k) for k in keys]
+    return df.withColumns({m: F.lower(k) for k, m in zip(keys, match) if m != k}), match
+
+
 def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with a NULL in any key column (NULL never matches in merge/delete)."""
     cond = F.lit(False)

@@ -109,17 +109,19 @@ def apply_changes(target: DataFrame, upserts: DataFrame | None, deletes: DataFra
 
 
 def apply_in_place(layers: Sequence[DataFrame], upserts: DataFrame | None, deletes: DataFrame | None,
-                   keys: Sequence[str], on_match: str, schema: T.StructType) -> list[DataFrame]:
+                   keys: Sequence[str], on_match: str, schema: T.StructType,
+                   spelled: Sequence[str] = ()) -> list[DataFrame]:
     """``apply_changes`` over a table stored in ``layers`` that are bucketed by
     the keys, each key in one of them; the change is dealt by the keys already.
-    Returns parts that add up to the new contents.
+    Returns parts that add up to the new contents. An update in place leaves the
+    columns ``spelled`` (how a case-insensitive key is written) as they are.
 
     Every join streams a layer past the hashed keys of the change, so stored
     rows are neither exchanged nor sorted. Only new keys of an update in place
     are found the other way round, against the key columns alone.
     """
     keys, cols = list(keys), schema.names
-    extra = [] if upserts is None else [c for c in cols if c not in upserts.columns]
+    extra = [] if upserts is None else [c for c in cols if c not in upserts.columns or c in spelled]
     hashed = lambda d: d.hint("shuffle_hash")
     in_place = bool(extra) and on_match != "replace"
     gone = [d.select(*keys) for d in ([deletes] if in_place else [deletes, upserts]) if d is not None]
@@ -130,7 +132,7 @@ def apply_in_place(layers: Sequence[DataFrame], upserts: DataFrame | None, delet
         return kept
     if not in_place:
         return [*kept, truncate_load_as(schema, upserts)]
-    vals = [c for c in upserts.columns if c not in keys]
+    vals = [c for c in upserts.columns if c not in keys and c not in spelled]
     change = upserts.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in vals], F.lit(True).alias(_HIT))
     updated = [layer.join(hashed(change), keys, "left").select(*[
         F.when(F.col(_HIT), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in vals else F.col(c) for c in cols])

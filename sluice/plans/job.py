@@ -75,6 +75,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
     spec.checked()
     if replay_key and (spec.mode != "append" or not getattr(sink, "replays", True)):
         raise ValueError("replay_key: only appends into a native table can be replayed")
+    if spec.case_insensitive_keys and isinstance(sink, NativeTable) and not sink.case_insensitive:
+        raise ValueError("case_insensitive_keys: the target table tells keys apart by case")
     started, run_id = time.time(), uuid.uuid4().hex
     summary = {"run_id": run_id, "source": spec.source, "target": spec.target,
                "capture": spec.capture, "staging": spec.staging, "mode": spec.mode,
@@ -95,7 +97,7 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
         if fmt == "csv":   # parsed once; all that follows reads typed files
             upserts, deletes = staging.typed_copy(spark, upserts, deletes, f"{copy}/typed")
         if keys and check_key_quality:
-            check_keys(upserts, keys)
+            check_keys(upserts, keys, case_insensitive=spec.case_insensitive_keys)
         # Consumes below the oldest one still in the outbox can never be pending again.
         floor = {"ack_floor": min(store.consume_ids())} if store else {}
         summary["version"] = sink.publish(

@@ -545,3 +545,33 @@ def ceiling_footers(spark, sf):
 
 
 IO_QUERIES.update({"typed_rejects": typed_rejects, "upsert_defaults": upsert_defaults, "ceiling_footers": ceiling_footers})
+
+
+# ---------------------------------------------------------------- keys of a case-insensitive target
+
+def upsert_collated(spark, sf):
+    """Customers by name in a table that ignores case. A second system writes
+    names in capitals: known ones are updated and keep their spelling, a log of
+    it that deletes and writes names in either case is reduced per folded name."""
+    root = work_path(spark, "native", "collated")
+    keys = ["c_name"]
+    customers = read_table(spark, sf, "customer").select("c_name", "c_mktsegment", "c_nationkey")
+    first = customers.where(F.col("c_mktsegment") != "MACHINERY")
+    loud = customers.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+        F.upper("c_name").alias("c_name"), F.lit("LOUD").alias("c_mktsegment"), "c_nationkey")
+    table = NativeTable(spark, f"{root}/customers", keys=keys, buckets=8, case_insensitive=True)
+    fold = dict(keys=keys, case_insensitive_keys=True)
+    job.run(spark, SyncSpec("crm", "customers", **fold), first, table)
+    job.run(spark, SyncSpec("erp", "customers", mode="upsert", **fold), loud, table)
+    change = customers.where(F.col("c_mktsegment") == "FURNITURE")
+    row = lambda name, action: change.select(name.alias("c_name"), F.lit("GONE").alias("c_mktsegment"), "c_nationkey",
+                                             F.lit(action).alias("_cdc_action"))
+    append_commit(spark, f"{root}/log", row(F.lower("c_name"), "INSERT"))
+    append_commit(spark, f"{root}/log", row(F.upper("c_name"), "DELETE"))
+    feed = row(F.col("c_name"), "INSERT")
+    job.run(spark, SyncSpec("log", "customers", capture="stream", mode="upsert", change_log=f"{root}/log",
+                            outbox=f"{root}/outbox", **fold), feed, table, change_log_schema=feed.schema)
+    return table.read()
+
+
+IO_QUERIES["upsert_collated"] = upsert_collated

@@ -372,3 +372,9 @@ ORACLE_SQL.update({
         UNION ALL SELECT 'o_custkey', CAST(max(o_custkey) AS VARCHAR) FROM orders
         UNION ALL SELECT 'o_orderdate', strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') FROM orders""",
 })
+
+ORACLE_SQL["upsert_collated"] = """
+    SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN upper(c_name) ELSE c_name END AS c_name,
+           CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'LOUD' ELSE c_mktsegment END AS c_mktsegment,
+           c_nationkey
+    FROM customer WHERE c_mktsegment <> 'FURNITURE'"""

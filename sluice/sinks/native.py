@@ -32,6 +32,7 @@ import json
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,7 @@ from pyspark.sql import types as T
 
 from .. import fs
 from ..functions.columns import cast_exactly
+from ..operators.keys import folded_name, with_folded_keys
 from ..operators import merge as M
 
 BUCKET = "_bucket"
@@ -73,13 +75,17 @@ class NativeTable:
     ``bucket_bytes`` per bucket, and doubled as the table outgrows it.
     ``defaults`` (SQL expressions by column) are declared with the first load
     and kept in the manifest's schema; new and replaced rows get them in columns
-    that a change does not bring. An existing table always uses the keys and
-    defaults of its manifest."""
+    that a change does not bring. With ``case_insensitive``
+    text keys match whatever their case: they are stored in lower case beside
+    the spelling that came first. An existing table always uses the keys and
+    the settings of its manifest."""
 
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str] = (),
                  buckets: int | None = None, bucket_bytes: int = 512 << 20,
-                 max_records_per_file: int = 10_000_000, defaults: Mapping[str, str] | None = None):
+                 max_records_per_file: int = 10_000_000, defaults: Mapping[str, str] | None = None,
+                 case_insensitive: bool = False):
         self.spark = spark
+        self.case_insensitive = case_insensitive
         self.defaults = dict(defaults or {})
         self.root = root.rstrip("/")
         self.keys = list(keys)
@@ -99,6 +105,7 @@ class NativeTable:
         self.keys = list(m["keys"])
         self.n = int(m["n_buckets"])
         self.fixed = bool(m.get("fixed_buckets", True))
+        self.case_insensitive = bool(m.get("case_insensitive", False))
 
     # -------------------------------------------------------------- reading
 
@@ -146,6 +153,19 @@ class NativeTable:
 
     # -------------------------------------------------------------- writing
 
+    def _match(self, schema: T.StructType) -> list[str]:
+        """The columns that keys are matched, hashed and sorted by."""
+        types = {f.name: f.dataType.simpleString() for f in schema.fields}
+        return [folded_name(types, k) for k in self.keys] if self.case_insensitive else self.keys
+
+    def _stored(self, schema: T.StructType) -> T.StructType:
+        """The schema of the files: the table's and the folded keys."""
+        return T.StructType([*schema.fields, *[T.StructField(m, T.StringType()) for m in self._match(schema)
+                                               if m not in schema.names]])
+
+    def _folded(self, df: DataFrame | None) -> DataFrame | None:
+        return with_folded_keys(df, self.keys)[0] if df is not None and self.case_insensitive else df
+
     def _write(self, df: DataFrame, run_id: str) -> dict[str, list[str]]:
         """Write rows bucketed; returns {bucket: [run id]} of what was written.
 
@@ -155,11 +175,12 @@ class NativeTable:
         out = f"{self.root}/data/{run_id}"
         w_opts = {"maxRecordsPerFile": str(self.max_records)}
         if self.keys:
-            rows = df.withColumn(BUCKET, bucket_of(self.keys, self.n).cast("int"))
+            match = self._match(df.schema)
+            rows = df.withColumn(BUCKET, bucket_of(match, self.n).cast("int"))
             name = _table_name()
             try:
                 (rows.write.format("parquet").options(path=out, **w_opts).partitionBy(BUCKET)
-                 .bucketBy(self.n, *self.keys).sortBy(*self.keys).saveAsTable(name))
+                 .bucketBy(self.n, *match).sortBy(*match).saveAsTable(name))
             finally:
                 self.spark.sql(f"DROP TABLE IF EXISTS {name}")   # the files stay
             pre = f"{BUCKET}="
@@ -173,7 +194,7 @@ class NativeTable:
         """The stored buckets as bucketed tables: the first runs of all buckets,
         the second ones, and so on. A key lies in one layer only."""
         names, out = [], []
-        by = ", ".join(f"`{k}`" for k in self.keys)
+        by = ", ".join(f"`{k}`" for k in self._match(schema))
         columns = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
         try:
             for depth in range(max((len(r) for r in buckets.values()), default=0)):
@@ -252,12 +273,13 @@ class NativeTable:
             buckets = {b: kept for b, runs in buckets.items() if (kept := [r for r in runs if r != earlier])}
         upserts, up_bytes = self._settle(upserts, schema, f"{change}/upserts", stored_bytes=stored_bytes)
         deletes, _ = self._settle(deletes, schema, f"{change}/deletes", only=self.keys, stored_bytes=stored_bytes)
+        upserts, deletes, stored = self._folded(upserts), self._folded(deletes), self._stored(schema)
         if base_v != self.version():
             raise ConcurrentPublish(f"{self.root} moved past version {base_v}")
         size = up_bytes + (0 if fresh else old.get("bytes", 0))
         if self.n is None:
             self.n = buckets_for(size, self.bucket_bytes) if self.keys else 1
-        whole = (lambda df: M.truncate_load_as(schema, df))
+        whole = (lambda df: M.truncate_load_as(stored, df))
         if fresh:
             if upserts is not None:
                 buckets = self._write(self._spread(whole(upserts)), run_id)
@@ -268,12 +290,17 @@ class NativeTable:
         else:
             grown = self.n if self.fixed else max(self.n, buckets_for(size // 2, self.bucket_bytes))
             if grown > self.n:  # the table has doubled: deal all of it out anew
-                current = self.read(base_v)
+                current = self._folded(self.read(base_v))
                 self.n = grown
-                buckets = self._write(self._spread(M.apply_changes(current, upserts, deletes, self.keys, on_match, schema)), run_id)
+                if self.case_insensitive:
+                    parts = M.apply_in_place([current], upserts, deletes, self._match(schema), on_match, stored, self.keys)
+                    rows = reduce(DataFrame.unionByName, parts)
+                else:
+                    rows = M.apply_changes(current, upserts, deletes, self.keys, on_match, schema)
+                buckets = self._write(self._spread(rows), run_id)
                 size = fs.size(self.spark, f"{self.root}/data/{run_id}")
             else:
-                buckets = self._merge(schema, buckets, upserts, deletes, on_match, run_id, whole)
+                buckets = self._merge(stored, buckets, upserts, deletes, on_match, run_id, whole)
         if replay_key and append and upserts is not None:
             appends[replay_key] = run_id
         manifest = {
@@ -282,6 +309,7 @@ class NativeTable:
             "keys": self.keys,
             "n_buckets": self.n,
             "fixed_buckets": self.fixed,
+            "case_insensitive": self.case_insensitive,
             # Bytes of the table, counted high where updates replace rows.
             "bytes": size,
             "buckets": buckets,
@@ -309,8 +337,9 @@ class NativeTable:
         with a semi-join on the key columns alone. In either join the stored
         side is read bucket by bucket and never exchanged or sorted.
         """
-        b_col = bucket_of(self.keys, self.n).cast("string")
-        changed = [d.select(*self.keys) for d in (upserts, deletes) if d is not None]
+        match = self._match(schema)
+        b_col = bucket_of(match, self.n).cast("string")
+        changed = [d.select(*match) for d in (upserts, deletes) if d is not None]
         if not changed:
             return buckets
         keys = changed[0] if len(changed) == 1 else changed[0].unionByName(changed[1])
@@ -318,21 +347,22 @@ class NativeTable:
         touched = {r["b"] for r in keys.select(b_col.alias("b")).distinct().collect()}
         if not touched:
             return buckets
-        dealt = keys.repartition(self.n, *self.keys).hint("shuffle_hash")
+        dealt = keys.repartition(self.n, *match).hint("shuffle_hash")
         rewrite = {b for b in touched if len(buckets.get(b, ())) >= MAX_RUNS}
         with self._layers({b: r for b, r in buckets.items() if b in touched - rewrite}, schema) as layers:
             hit = [r[BUCKET] for layer in layers for r in
-                   layer.select(*self.keys, BUCKET).join(dealt, self.keys, "left_semi").select(BUCKET).distinct().collect()]
+                   layer.select(*match, BUCKET).join(dealt, match, "left_semi").select(BUCKET).distinct().collect()]
         rewrite |= {str(b) for b in hit}
         add_to = touched - rewrite
         self.last_merge = {"touched": len(touched), "rewritten": len(rewrite), "appended": len(add_to)}
         out = {b: runs for b, runs in buckets.items() if b not in rewrite}
         ids = self.spark.createDataFrame([(b,) for b in rewrite], "b string")
         of = lambda d, how: None if d is None else (d.join(F.broadcast(ids), b_col == F.col("b"), how)
-                                                    .repartition(self.n, *self.keys))
+                                                    .repartition(self.n, *match))
         with self._layers({b: r for b, r in buckets.items() if b in rewrite}, schema) as layers:
             pieces = M.apply_in_place([layer.drop(BUCKET) for layer in layers], of(upserts, "left_semi"),
-                                      of(deletes, "left_semi"), self.keys, on_match, schema) if rewrite else []
+                                      of(deletes, "left_semi"), match, on_match, schema,
+                                      self.keys if self.case_insensitive else ()) if rewrite else []
             if add_to and upserts is not None:
                 pieces.append(whole(of(upserts, "left_anti")))
             if pieces:
@@ -346,4 +376,4 @@ class NativeTable:
         return out
 
     def _spread(self, df: DataFrame) -> DataFrame:
-        return df.repartition(self.n, *self.keys) if self.keys else df
+        return df.repartition(self.n, *self._match(df.schema)) if self.keys else df

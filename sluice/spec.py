@@ -108,6 +108,7 @@ class SyncSpec:
     keep_files: bool = False
     batch_rows: int | None = None
     on_match: str = "update"             # update (keep target-only columns) | replace
+    case_insensitive_keys: bool = False  # text keys match whatever their case (what many databases do)
     nan_to_null: bool = False            # store float NaN as NULL (what a database keeps)
 
     def problems(self) -> list[str]:
@@ -130,6 +131,8 @@ class SyncSpec:
         if self.staging in STAGINGS:
             foreign = {o for options in STAGINGS.values() for o in options} - set(STAGINGS[self.staging])
             out += [f"{o}: staging {self.staging} has no use for it" for o in sorted(foreign) if getattr(self, o)]
+        if self.case_insensitive_keys and not self.keys:
+            out.append("case_insensitive_keys: there are no keys")
         if self.outbox_retention_days < 0:
             out.append("outbox_retention_days: cannot be negative")
         return out

@@ -1,0 +1,55 @@
+"""A target that ignores the case of text keys: merges, growth, key check, reversal to plain keys."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from plan_text import ancestors
+from sluice import SyncSpec
+from sluice.plans import job
+from sluice.sinks.native import NativeTable
+
+DDL = "name string, no int, v string"
+
+
+def content(table):
+    return sorted(tuple(r) for r in table.read().collect())
+
+
+@pytest.mark.parametrize("options", [{"buckets": 2}, {"bucket_bytes": 200}])   # the second grows with every publish
+def test_update_replace_and_delete(spark, scratch, options):
+    df = lambda rows: spark.createDataFrame(rows, DDL)
+    NativeTable(spark, scratch, keys=["name", "no"], case_insensitive=True, **options).publish(
+        upserts=df([("Ann", 1, "a"), ("ANN", 2, "b"), ("Élan", 1, "c"), ("bob", 1, "d")]))
+    table = NativeTable(spark, scratch)
+    table.publish(upserts=df([("aNN", 1, "A"), ("éLAN", 1, "C"), ("new", 1, "n")]),
+                  deletes=df([("BOB", 1, None), ("ann", 3, None)]))
+    assert content(table) == [("ANN", 2, "b"), ("Ann", 1, "A"), ("new", 1, "n"), ("Élan", 1, "C")]
+    table.publish(upserts=df([("NEW", 1, "x")]), on_match="replace")
+    assert content(table) == [("ANN", 2, "b"), ("Ann", 1, "A"), ("NEW", 1, "x"), ("Élan", 1, "C")]
+    assert table.read().columns == ["name", "no", "v"] == table.schema().names
+
+
+def test_stored_rows_are_not_exchanged(spark, scratch, monkeypatch):
+    plans, original = [], NativeTable._write
+    monkeypatch.setattr(NativeTable, "_write", lambda self, df, run_id: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or original(self, df, run_id))
+    table = NativeTable(spark, scratch, keys=["k"], buckets=4, case_insensitive=True)
+    rows = lambda f: spark.range(300).select(f(F.concat(F.lit("Key"), F.col("id").cast("string"))).alias("k"), F.col("id").alias("v"))
+    table.publish(upserts=rows(F.lower))
+    table.publish(upserts=rows(F.upper))
+    above = ancestors(plans[-1], "FileScan parquet spark_catalog")[0]
+    assert any("ShuffledHashJoin" in op for op in above) and not any("Exchange" in op for op in above)
+    assert table.read().count() == 300 and table.read().where("k <> lower(k)").isEmpty()
+
+
+def test_runs_check_folded_keys(spark, scratch):
+    df = spark.createDataFrame([("a", 1, "x"), ("A", 1, "y")], DDL)
+    fold = SyncSpec("s", "t", mode="upsert", keys=["name"], case_insensitive_keys=True)
+    with pytest.raises(ValueError, match="collide when case is ignored"):
+        job.run(spark, fold, df, NativeTable(spark, f"{scratch}/t", keys=["name"], case_insensitive=True))
+    with pytest.raises(ValueError, match="tells keys apart"):
+        job.run(spark, fold, df, NativeTable(spark, f"{scratch}/u", keys=["name"]))
+    table = NativeTable(spark, f"{scratch}/v", keys=["name"], buckets=2)
+    job.run(spark, SyncSpec("s", "t", mode="upsert", keys=["name"]), df, table)
+    assert len(content(table)) == 2
+    assert SyncSpec("s", "t", case_insensitive_keys=True).problems() == ["case_insensitive_keys: there are no keys"]
