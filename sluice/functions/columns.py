@@ -96,6 +96,46 @@ def cast_exactly(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
+# ---------------------------------------------------------------- times of day and offsets
+
+def time_text(c: Column) -> Column:
+    """A TIME as ``HH:mm:ss.SSSSSS``; ``cast("time(6)")`` reads it back."""
+    two = lambda part: F.lpad(part.cast("string"), 2, "0")
+    return F.concat(two(F.hour(c)), F.lit(":"), two(F.minute(c)), F.lit(":"),
+                    F.lpad(F.extract(F.lit("SECOND"), c).cast("string"), 9, "0"))
+
+
+def time_micros(c: Column) -> Column:
+    """A TIME as microseconds since midnight."""
+    return F.time_diff(F.lit("MICROSECOND"), F.lit("00:00:00").cast("time(6)"), c)
+
+
+def micros_time(c: Column) -> Column:
+    """Microseconds since midnight as a TIME; fails outside of a day."""
+    seconds = F.floor(c / 1_000_000)
+    return F.make_time(F.floor(seconds / 3600).cast("int"), F.floor(seconds % 3600 / 60).cast("int"),
+                       (seconds % 60 + (c % 1_000_000).cast("decimal(16,6)") / F.lit(1_000_000).cast("decimal(7,0)"))
+                       .cast("decimal(16,6)"))
+
+
+def offset_of(text: Column) -> Column:
+    """The offset behind a time in text (``Z`` or ``+hh:mm``), NULL without one.
+    Kept in a column beside the instant, as a timestamp holds the instant alone."""
+    found = F.regexp_extract(text, "(Z|[+-][0-9]{2}:[0-9]{2})$", 1)
+    return F.when(found != "", found)
+
+
+def in_offset(instant: Column, offset: Column) -> Column:
+    """The wall clock of an instant at an offset, with the offset behind it, to
+    the microsecond (session zone UTC)."""
+    sign = F.when(offset.startswith("-"), -1).otherwise(1)
+    part = lambda at: F.when(offset == "Z", 0).otherwise(sign * F.substring(offset, at, 2).try_cast("int"))
+    wall = instant.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), part(2), part(5))
+    return F.concat(F.date_format(wall, "yyyy-MM-dd HH:mm:ss.SSSSSS"), offset)
+
+
+# ---------------------------------------------------------------- rejected rows
+
 #: Column with the reasons why a row was set aside.
 REASONS = "reasons"
 

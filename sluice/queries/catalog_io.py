@@ -575,3 +575,28 @@ def upsert_collated(spark, sf):
 
 
 IO_QUERIES["upsert_collated"] = upsert_collated
+
+
+# ---------------------------------------------------------------- times of day and offsets
+
+def time_codecs(spark, sf):
+    """Times of day through CSV and Parquet files, and zoned times in text kept
+    as instant and offset and written out again in their offset."""
+    from ..functions.columns import in_offset, micros_time, offset_of, time_micros, time_text
+    e = read_table(spark, sf, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) % 86_400_000_000
+    offset = F.when(F.col("user_id") % 3 == 0, "Z").when(F.col("user_id") % 3 == 1, "+05:30").otherwise("-03:00")
+    src = e.select("event_id", micros_time(micros).alias("time"),
+                   F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), offset).alias("zoned"))
+    root = work_path(spark, "csv", "times")
+    staging.write_csv(src, f"{root}/csv", max_records=5000)
+    staging.write_parquet(staging.read_csv(spark, f"{root}/csv", src.schema), f"{root}/parquet")
+    back = spark.read.schema(src.schema).parquet(f"{root}/parquet")
+    back = back.withColumns({"instant": F.to_timestamp("zoned", staging.CSV_OPTIONS["timestampFormat"]),
+                             "offset": offset_of(F.col("zoned"))})
+    return back.select("event_id", time_text(F.col("time")).alias("time_text"), time_micros(F.col("time")).alias("time_micros"),
+                       F.col("instant").cast("timestamp_ntz").alias("instant_utc"), "offset",
+                       in_offset(F.col("instant"), F.col("offset")).alias("zoned"))
+
+
+IO_QUERIES["time_codecs"] = time_codecs

@@ -378,3 +378,10 @@ ORACLE_SQL["upsert_collated"] = """
            CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'LOUD' ELSE c_mktsegment END AS c_mktsegment,
            c_nationkey
     FROM customer WHERE c_mktsegment <> 'FURNITURE'"""
+
+ORACLE_SQL["time_codecs"] = """
+    SELECT event_id, strftime(ts, '%H:%M:%S.%f') AS time_text, epoch_us(ts) % 86400000000 AS time_micros,
+           CASE user_id % 3 WHEN 0 THEN ts WHEN 1 THEN ts - INTERVAL 330 MINUTE ELSE ts + INTERVAL 3 HOUR END AS instant_utc,
+           CASE user_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' ELSE '-03:00' END AS offset,
+           strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || CASE user_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' ELSE '-03:00' END AS zoned
+    FROM events"""

@@ -22,6 +22,8 @@ SESSION_CONF = {
     # Dynamic overwrite lets a replayed consume rewrite only its own partition.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # TIME columns: Parquet keeps them, CSV staging writes them as text.
+    "spark.sql.timeType.enabled": "true",
 }
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fs
-from ..functions.columns import check_rejects, split_rejects, try_decode
+from ..functions.columns import check_rejects, split_rejects, time_text, try_decode
 from ..spec import NULL_SENTINEL
 
 # CSV dialect of the staged files.
@@ -77,6 +77,8 @@ def _encode(f: T.StructField) -> Column:
         return F.to_json(c).alias(f.name)
     if isinstance(f.dataType, T.VariantType):
         return F.to_json(c).alias(f.name)
+    if isinstance(f.dataType, T.TimeType):
+        return time_text(c).alias(f.name)
     if isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
         # Shortest text that casts back to the same value.
         return c.cast("string").alias(f.name)
