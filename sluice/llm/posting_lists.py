@@ -5,11 +5,15 @@ Vectors are lifted by one component to a common norm, where the largest inner
 product is the smallest distance. Centroids are fitted to a bounded sample by
 k-means with a penalty on large clusters. Every vector is filed under its
 nearest centroid and, if it lies on a boundary, under up to ``replicas`` in
-all. A query is compared with all centroids, which are bounded in number, and
-reads the lists whose distance is within a ratio of the nearest one's, and
-further ones until they hold ``k`` rows. That ratio is measured, not guessed:
-sample queries are compared with all rows, and the ratio is the one at which the
-lists read hold ``recall`` of their true neighbours.
+all. Centroids are found by an in-memory graph of them: a beam of the nearest
+ones seen so far is widened node by node. Its components are linked, and what
+could not be reached from the entries is an entry itself, so every centroid can
+be found. A query reads the lists whose distance is within a ratio of the
+nearest one's, and further ones until they hold ``k`` rows. Ratio and beam are
+measured, not guessed: sample queries are compared with all rows, and walk the
+graph as all others do; the beam is doubled until it finds the lists of their
+true neighbours, and the ratio is the one at which the lists read hold
+``recall`` of them.
 
 Lists and their queries meet by list; a list that is still large, or asked by
 very many queries, is split into cells that are searched side by side.
@@ -29,6 +33,9 @@ from .common import settle
 
 #: Rows per list aimed at, bounds of the fitted sample, of the lists and of the measured queries.
 LIST_ROWS, SAMPLE_ROWS, MOST_LISTS, MEASURED = 256, 50_000, 16_384, 64
+#: Neighbours of a centroid in the graph (as many again may lead to it), entries
+#: of a walk beside those that keep all centroids reachable, and the beam of a walk.
+DEGREE, ENTRIES, BEAM = 16, 64, 32
 #: A cell of a list holds about this many vectors or queries at most.
 CELL_ROWS = 20_000
 #: Hits a task holds at most before it merges those of one query or hands them on.
@@ -40,6 +47,8 @@ class Centroids:
     """What the tasks get: bounded by the parameters, not by the table."""
     points: np.ndarray
     norm: float
+    graph: np.ndarray | None = None      # neighbours of each centroid, -1 where it has fewer
+    entries: np.ndarray | None = None
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         rest = np.maximum(self.norm ** 2 - (x * x).sum(axis=1), 0)
@@ -55,34 +64,169 @@ class Centroids:
         return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * x @ c.T,
                                   (1e-6 * self.norm) ** 2))
 
+    def walk(self, q: np.ndarray, beam: int) -> np.ndarray:
+        """Distances of each (lifted) row to the centroids that a walk through
+        the graph meets, infinite for all others. A walk ends when the ``beam``
+        nearest centroids it has met are all expanded."""
+        n, floor = len(self.points), (1e-6 * self.norm) ** 2
+        met = np.full((len(q), n), np.inf)
+        start = self.points[self.entries]
+        square = (q * q).sum(axis=1)[:, None] + (start * start).sum(axis=1) - 2 * q @ start.T
+        met[:, self.entries] = np.sqrt(np.maximum(square, floor))
+        keep = min(max(beam, 1), n)
+        ids = np.full((len(q), keep + self.graph.shape[1]), -1)
+        away = np.full(ids.shape, np.inf)
+        for part in np.array_split(np.arange(len(self.entries)), -(-len(self.entries) // self.graph.shape[1])):
+            ids[:, keep:], away[:, keep:] = -1, np.inf
+            ids[:, keep:keep + len(part)] = self.entries[part]
+            away[:, keep:keep + len(part)] = met[:, self.entries[part]]
+            ids, away = _nearest_first(ids, away, keep)
+        open_ = np.isfinite(away)
+        rows = np.arange(len(q))
+        while True:
+            gaps = np.where(open_[:, :keep], away[:, :keep], np.inf)
+            best = gaps.argmin(axis=1)
+            live = np.isfinite(gaps[np.arange(len(rows)), best])
+            if not live.all():
+                ids, away, open_, rows, best = ids[live], away[live], open_[live], rows[live], best[live]
+            if not len(rows):
+                return met
+            at = np.arange(len(rows))
+            open_[at, best] = False
+            next_ = self.graph[ids[at, best]]
+            new = (next_ >= 0) & ~np.isfinite(met[rows[:, None], next_])
+            gap = self.points[next_] - q[rows][:, None]
+            d = np.where(new, np.sqrt(np.maximum(np.einsum("bmd,bmd->bm", gap, gap), floor)), np.inf)
+            r, c = np.nonzero(new)
+            met[rows[r], next_[r, c]] = d[r, c]
+            ids[:, keep:], away[:, keep:], open_[:, keep:] = next_, d, new
+            order = np.argsort(away, axis=1, kind="stable")
+            ids, away, open_ = (np.take_along_axis(v, order, 1) for v in (ids, away, open_))
+
     def file(self, x: np.ndarray, replicas: int, ratio: float) -> np.ndarray:
         """Lists of each (lifted) vector, -1 where it needs no further replica."""
-        d = self.distances(x)
+        d = self.walk(x, BEAM)
         k = min(replicas, d.shape[1])
         near = np.argpartition(d, k - 1, axis=1)[:, :k]
         near = np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
         gap = np.take_along_axis(d, near, 1)
-        return np.where(gap <= ratio * gap[:, :1] + 1e-12, near, -1)
-
-    def near(self, q: np.ndarray, ratio: float, rows: np.ndarray | None = None, least: int = 0) -> list[np.ndarray]:
-        """Lists of each lifted query within ``ratio`` of the nearest one's distance,
-        and as many more as hold ``least`` of the ``rows`` filed there first."""
-        d = self.distances(q)
+        return np.where(np.isfinite(gap) & (gap <= ratio * gap[:, :1] + 1e-12), near, -1)
+
+    def near(self, q: np.ndarray, ratio: float, rows: np.ndarray | None = None, least: int = 0,
+             beam: int = BEAM) -> list[np.ndarray]:
+        """Lists of each lifted query that a walk meets within ``ratio`` of the
+        nearest one's distance, and as many more as hold ``least`` of the
+        ``rows`` filed there first; the beam is doubled for queries that lack them."""
+        d = self.walk(q, beam)
         reach = ratio * d.min(axis=1, keepdims=True)
         if least and rows is not None:
+            wider = beam
+            while True:
+                held = np.where(np.isfinite(d), rows, 0).sum(axis=1)
+                few = np.flatnonzero(held < least)
+                if not len(few) or wider >= d.shape[1]:
+                    break
+                wider *= 2
+                d[few] = self.walk(q[few], wider)
             order = np.argsort(d, axis=1, kind="stable")
-            at = np.minimum((np.cumsum(rows[order], axis=1) < least).sum(axis=1), d.shape[1] - 1)
+            at = np.minimum((np.cumsum(rows[order], axis=1) < least).sum(axis=1), np.isfinite(d).sum(axis=1) - 1)
             enough = np.take_along_axis(d, np.take_along_axis(order, at[:, None], 1), 1)
             reach = np.maximum(reach, enough)
-        return [np.flatnonzero(r) for r in d <= reach * (1 + 1e-9)]
+        return [np.flatnonzero(r) for r in np.isfinite(d) & (d <= reach * (1 + 1e-9))]
 
     def search(self, q: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
         """Lists within ``ratio`` of the nearest one's distance to one lifted
         query, with their distances."""
-        lists = self.near(q[None], ratio)[0]
+        lists = self.near(q[None], ratio, beam=len(self.points))[0]
         return lists, self.distances(q[None])[0, lists]
 
 
+def _nearest_first(ids: np.ndarray, away: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(away, axis=1, kind="stable")
+    return np.take_along_axis(ids, order, 1), np.take_along_axis(away, order, 1)
+
+
+def _parts(graph: np.ndarray) -> np.ndarray:
+    """Number of the connected part of each node, edges taken both ways."""
+    part = np.arange(len(graph))
+    a, c = np.nonzero(graph >= 0)
+    b = graph[a, c]
+    while True:
+        low = np.minimum(part[a], part[b])
+        new = part.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == part).all():
+            return part
+        part = new
+
+
+def _blocks(n: int) -> list[np.ndarray]:
+    return np.array_split(np.arange(n), max(1, n * n // 4_000_000))
+
+
+def linked(points: np.ndarray, norm: float, seed: int) -> Centroids:
+    """The centroids with their graph: the nearest neighbours of each and the
+    nearest of those it is a neighbour of; the nearest nodes of two separate
+    parts are joined until there is one part. Works on centroids only."""
+    n, rng = len(points), np.random.default_rng(seed)
+    size = (points * points).sum(axis=1)
+    degree = max(1, min(DEGREE, n - 1))
+    out = np.full((n, degree), -1)
+    for rows in _blocks(n) if n > 1 else []:
+        d = size - 2 * points[rows] @ points.T
+        d[np.arange(len(rows)), rows] = np.inf
+        near = np.argpartition(d, degree - 1, axis=1)[:, :degree]
+        out[rows] = np.take_along_axis(near, np.argsort(np.take_along_axis(d, near, 1), axis=1, kind="stable"), 1)
+    edges = {(int(a), int(b)) for a in range(n) for b in out[a] if b >= 0}
+    back = [[] for _ in range(n)]
+    for a, b in edges:
+        if (b, a) not in edges:
+            back[b].append(a)
+    for b, from_ in enumerate(back):
+        if len(from_) > degree:   # hubs keep the nearest of many
+            from_ = np.array(from_)[np.argsort(((points[from_] - points[b]) ** 2).sum(axis=1), kind="stable")[:degree]]
+        edges.update((b, int(a)) for a in from_)
+    while True:
+        graph = _padded(edges, n)
+        part = _parts(graph)
+        if (part == part[0]).all():
+            break
+        best = {}
+        for rows in _blocks(n):
+            d = size - 2 * points[rows] @ points.T + size[rows][:, None]
+            d[part[rows][:, None] == part[None, :]] = np.inf
+            for i, j in zip(rows, d.argmin(axis=1)):
+                gap = d[i - rows[0], j]
+                if gap < best.get(part[i], (np.inf,))[0]:
+                    best[part[i]] = (gap, int(i), int(j))
+        for _, i, j in best.values():
+            edges |= {(i, j), (j, i)}
+    entries = np.sort(rng.choice(n, min(n, ENTRIES), replace=False))
+    reached = np.zeros(n, bool)
+    while True:
+        front = entries[~reached[entries]]
+        while len(front):
+            reached[front] = True
+            front = np.unique(graph[front])
+            front = front[front >= 0]
+            front = front[~reached[front]]
+        if reached.all():
+            return Centroids(points, norm, graph, entries)
+        entries = np.append(entries, np.flatnonzero(~reached)[0])
+
+
+def _padded(edges: set[tuple[int, int]], n: int) -> np.ndarray:
+    lists = [[] for _ in range(n)]
+    for a, b in sorted(edges):
+        lists[a].append(b)
+    graph = np.full((n, max(1, max(map(len, lists)))), -1)
+    for a, to in enumerate(lists):
+        graph[a, :len(to)] = to
+    return graph
+
+
 def fit(sample: np.ndarray, lists: int, norm: float, seed: int, rounds: int = 10) -> Centroids:
     """Balanced k-means on a lifted sample; centroids that coincide are merged."""
     rng = np.random.default_rng(seed)
@@ -99,7 +243,7 @@ def fit(sample: np.ndarray, lists: int, norm: float, seed: int, rounds: int = 10
         np.add.at(total, own, sample)
         points = np.where(load[:, None] > 0, total / np.maximum(load, 1)[:, None], points)
     _, first = np.unique(np.round(points / max(norm * 1e-6, 1e-300)), axis=0, return_index=True)
-    return Centroids(points[np.sort(first)], norm)
+    return linked(points[np.sort(first)], norm, seed)
 
 
 def usable(vector: Column) -> Column:
@@ -244,13 +388,13 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
     truth = brute_force(rows, q, q_ids, k).select("query_id", F.explode("hits.vec_id").alias("true_id"))
     where = (postings.select("list", "vec_id").join(truth, F.col("vec_id") == F.col("true_id"))
              .groupBy("query_id", "vec_id").agg(F.collect_set("list").alias("lists")).collect())
-    ratio = _ratio(index.value, q, q_ids, where, recall)
+    ratio, beam = _ratio(index.value, q, q_ids, where, recall)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 lifted = index.value.lift_queries(_matrix(batch.column("vector")))
-                found = index.value.near(lifted, ratio, held, k + 1)
+                found = index.value.near(lifted, ratio, held, k + 1, beam)
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 take = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -281,14 +425,20 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
                        (-F.col("hit.away")).alias("score"))
 
 
-def _ratio(index: Centroids, q: np.ndarray, q_ids: np.ndarray, where: list, recall: float) -> float:
+def _ratio(index: Centroids, q: np.ndarray, q_ids: np.ndarray, where: list, recall: float) -> tuple[float, int]:
     """The distance ratio up to which lists must be read, so that ``recall`` of
-    the measured queries' true neighbours stand in one of them."""
-    d = index.distances(index.lift_queries(q))
-    d = d / d.min(axis=1, keepdims=True)
+    the measured queries' true neighbours stand in one of them, and the beam
+    with which a walk meets these lists."""
     row = {int(i): n for n, i in enumerate(q_ids)}
-    need = [d[row[r["query_id"]], r["lists"]].min() for r in where if r["query_id"] in row]
-    return float(np.quantile(need, recall, method="higher")) * (1 + 1e-6) if need else 1.0
+    lifted, beam = index.lift_queries(q), BEAM
+    while True:
+        d = index.walk(lifted, beam)
+        d = d / d.min(axis=1, keepdims=True)
+        need = [d[row[r["query_id"]], r["lists"]].min() for r in where if r["query_id"] in row]
+        ratio = float(np.quantile(need, recall, method="higher")) * (1 + 1e-6) if need else 1.0
+        if np.isfinite(ratio) or beam >= len(index.points):
+            return ratio, beam
+        beam *= 2
 
 
 def _search_cells(k: int):

@@ -112,3 +112,63 @@ def test_a_third_of_equal_rows(spark):
     want = brute(np.arange(1500), x)
     assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
     assert recall(got, want) >= 0.9
+
+
+def clustered(n, clusters, spread, seed, dim=16):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(clusters, dim))[rng.integers(0, clusters, n)] + spread * rng.normal(size=(n, dim))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def index_of(x, lists):
+    return A.fit(np.hstack([x, np.zeros((len(x), 1))]), lists, 1.0, 1)
+
+
+def test_every_centroid_can_be_reached():
+    """Tight clusters far apart: neighbours alone would leave them separate."""
+    index = index_of(clustered(6000, 150, 0.01, 6), 1200)
+    assert len(np.unique(A._parts(index.graph))) == 1
+    full = index.walk(index.points[:50], len(index.points))
+    assert np.isfinite(full).all()
+    assert np.allclose(full, index.distances(index.points[:50]))
+    assert len(index.entries) < len(index.points) / 10
+
+
+def test_walks_use_the_graph_and_meet_few_centroids(monkeypatch):
+    x = clustered(8000, 60, 0.3, 7)
+    index = index_of(x, 800)
+    q = index.lift_queries(x[:200])
+    exact = index.distances(q)
+
+    def all_centroids(*_):
+        raise AssertionError("a row was compared with all centroids")
+    monkeypatch.setattr(A.Centroids, "distances", all_centroids)
+    met = index.walk(q, A.BEAM)
+    assert (met.argmin(axis=1) == exact.argmin(axis=1)).mean() > 0.99
+    assert np.isfinite(met).mean() < 0.5
+    near = index.near(q, 1.1)
+    want = [np.flatnonzero(d <= 1.1 * d.min()) for d in exact]
+    assert sum(len(np.intersect1d(a, b)) for a, b in zip(near, want)) >= 0.97 * sum(map(len, want))
+    assert (index.file(q, 4, 1.15)[:, 0] == exact.argmin(axis=1)).mean() > 0.99
+    cut = A.Centroids(index.points, index.norm, np.full((len(index.points), 1), -1), index.entries)
+    assert np.isfinite(cut.walk(q, A.BEAM)).sum(axis=1).max() == len(index.entries)
+    assert (cut.file(q, 4, 1.15)[:, 0] == exact.argmin(axis=1)).mean() < 0.5
+
+
+def test_clustered_vectors_read_few_rows(spark):
+    x = clustered(12_000, 100, 0.05, 8)
+    index = index_of(x, 12_000 // 32)
+    at = index.file(index.lift(x), 4, 1.15)
+    rows = np.bincount(at[at >= 0], minlength=len(index.points))
+    read = [rows[f].sum() for f in index.near(index.lift_queries(x[::60]), 1.3, rows, 21)]
+    assert np.mean(read) < len(x) / 5
+    got = found(A.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), every=60, list_rows=32))
+    assert recall(got, brute(np.arange(len(x)), x, every=60)) >= 0.9
+
+
+def test_registered_query_against_brute_force(spark):
+    from sluice.llm.queries import op6_balanced_posting_lists
+    rows = table(spark, SF01, "embeddings").collect()
+    want = brute(np.array([r["vec_id"] for r in rows]), [r["embedding"] for r in rows])
+    got = found(op6_balanced_posting_lists(spark, SF01))
+    assert set(got) == set(want) and recall(got, want) >= 0.9
