@@ -92,8 +92,9 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             return summary
         keys = [k.lower() for k in spec.keys] if spec.lower_cols else list(spec.keys)
         fmt = "csv" if spec.staging == "csv" else "parquet"
+        counts: dict[str, int] = {}
         upserts, deletes = staging.stage_round_trip(spark, plan.upserts, plan.deletes, fmt, copy, "",
-                                                    keys=keys if spec.staging != "direct" else ())
+                                                    keys=keys if spec.staging != "direct" else (), counts=counts)
         if fmt == "csv":   # parsed once; all that follows reads typed files
             upserts, deletes = staging.typed_copy(spark, upserts, deletes, f"{copy}/typed")
         if keys and check_key_quality:
@@ -107,8 +108,8 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
             **({"replay_key": replay_key} if replay_key else {}),
             **({"stored_bytes": fs.size(spark, f"{copy}/typed" if fmt == "csv" else copy)} if isinstance(sink, NativeTable) else {}))
         summary.update(status=UNSAVED, message=plan.why)  # until the bookkeeping is done
-        summary["rows_written"] = upserts.count()  # from the copy's footers
-        summary["rows_deleted"] = deletes.count() if deletes is not None else 0
+        # Counted while the rows were written; no further pass.
+        summary["rows_written"], summary["rows_deleted"] = counts["upsert"], counts.get("delete", 0)
         if not spec.keep_files:
             fs.delete(spark, copy)
         if store:

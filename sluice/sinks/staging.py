@@ -181,9 +181,10 @@ def write_parquet(df: DataFrame, path: str, max_records: int = DEFAULT_MAX_RECOR
 
 
 def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: DataFrame | None,
-                     fmt: str, stage_root: str | None, run_id: str, keys=()
-                     ) -> tuple[DataFrame | None, DataFrame | None]:
+                     fmt: str, stage_root: str | None, run_id: str, keys=(),
+                     counts: dict[str, int] | None = None) -> tuple[DataFrame | None, DataFrame | None]:
     """Write ``<stage>/<run>/{upsert,delete}`` and return typed readers of them.
+    ``counts`` receives the rows of each part, as counted by the write (D12).
 
     With ``keys`` the staged files are key-clustered (range partitions, sorted
     inside), so whoever loads them reads key ranges in order. The folder is
@@ -201,11 +202,13 @@ def stage_round_trip(spark: SparkSession, upserts: DataFrame | None, deletes: Da
             df = key_order(df, keys)
         path = f"{base}/{part}"
         if fmt == "csv":
-            write_csv(df, path)
+            n = write_csv(df, path)
             out.append(read_csv(spark, path, df.schema))
         else:
-            write_parquet(df, path)
+            n = write_parquet(df, path)
             out.append(spark.read.schema(df.schema).parquet(path))
+        if counts is not None:
+            counts[part] = n
     return out[0], out[1]
 
 
