@@ -5,18 +5,24 @@ permuted there under a key and written back in the same format. The map is a
 bijection of the format, so equal values get equal pseudonyms in all documents
 and different values never meet. Kinds:
 
-``card``   13 to 19 digits with a valid Luhn digit (which is recomputed)
-``iban``   valid mod-97 check (recomputed); country and shape stay
+``card``   13 to 19 digits with a valid Luhn digit (which is recomputed); with points
+           between only in the groups of a card
+``iban``   valid mod-97 check (recomputed); country and shape stay; in lower case or
+           with hyphens only at the length of its country
 ``phone``  every +1 number, others of that form with area and exchange from 200
            on, and +cc numbers of 9 to 15 digits (the country code stays)
 ``ssn``    ddd-dd-dddd with valid parts
 ``ip``     four octets
 ``date``   year-month-day with any of ``-/.``, or day and month first, on the calendar
-``email``  letters and digits of the local part and of the domain but its last label
-``secret`` the whole value after a name with token, api key, secret or password:
-           letters and digits, of any length
-
-Separators, letter case and everything else stay as they are.
+``email``  letters and digits of the local part and of the domain but its last label;
+           spellings in other letter case link
+``secret`` the value after a name with password, token, api key or secret, up to white
+           space or a quote: letters and digits, of any length. Behind the last
+           three a single word or a number below 8 digits stays, as it is
+           rather prose or a count. After "Bearer" values of 8 and more with a digit
+
+Separators, letter case and everything else stay as they are. Not looked for: names of
+persons, postal addresses, keys without such a name before them, values spelt in words.
 """
 
 from __future__ import annotations
@@ -70,8 +76,9 @@ def permute(value: int, size: int, key: bytes, tweak: str) -> int:
             return value
 
 
-def _permute_symbols(text: str, key: bytes, tweak: str) -> str:
-    """Permutes letters (by case) and digits in place; the rest stays."""
+def _permute_symbols(text: str, key: bytes, tweak: str, fold: bool = False) -> str:
+    """Permutes letters (by case) and digits in place; the rest stays. With
+    ``fold`` texts that differ in letter case alone get pseudonyms that do so too."""
     places, value, size = [], 0, 1
     for i, c in enumerate(text):
         alphabet = _DIGITS if c in _DIGITS else _LOWER if c.lower() in _LOWER and c.isascii() else ""
@@ -79,7 +86,7 @@ def _permute_symbols(text: str, key: bytes, tweak: str) -> str:
             places.append((i, alphabet, c.isupper()))
             value, size = value * len(alphabet) + alphabet.index(c.lower()), size * len(alphabet)
     # The shape is part of the tweak, so each shape has a permutation of its own.
-    shape = "".join("9" if a is _DIGITS else "A" if up else "a" for _, a, up in places)
+    shape = "".join("9" if a is _DIGITS else "A" if up and not fold else "a" for _, a, up in places)
     value, out = permute(value, size, key, f"{tweak}|{shape}"), list(text)
     for i, alphabet, upper in reversed(places):
         value, k = divmod(value, len(alphabet))
@@ -110,7 +117,7 @@ def _card(found: str, key: bytes) -> str | None:
     return _refill(found, body + str(luhn_digit(body)))
 
 
-_DIGIT_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,}")
+_DIGIT_RUN = re.compile(r"[0-9](?:[ .-]?[0-9]){12,}")
 _GROUP = re.compile(r"[0-9]+")
 
 
@@ -135,7 +142,7 @@ def _cards(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tupl
                 sizes = [e - s for s, e in groups[i:j + 1]]
                 written = len(sizes) == 1 or sizes[:2] == [4, 6] and len(sizes) == 3 or (
                     set(sizes[:-1]) == {4} and sizes[-1] <= 4 and len({*found} - {*_DIGITS}) == 1)
-                if written or not after_plus:
+                if written or not after_plus and "." not in found:
                     tries.append((not written, found[0] not in "23456", start, -end))
         free: list[tuple[int, int]] = []
         for _, _, start, end in sorted(tries):
@@ -151,9 +158,10 @@ _IBAN_LENGTHS = {c: int(n) for n, cs in (
     (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "BI DJ FR GR IT MC MR SM"),
     (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"),
     (32, "LC"), (33, "RU")) for c in cs.split()}
-_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
-_IBAN_RUN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){0,30}")
-_IBAN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?=[ -]?[A-Za-z0-9])")
+_IBAN_RUN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[ -]?[A-Za-z0-9]){0,30}")
+_IBAN_END = re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])")
+_IBAN_SPACES = re.compile(r"[ -]")
 
 
 def _ibans(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
@@ -164,22 +172,24 @@ def _ibans(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tupl
         start, at = m.start(), m.end()
         run = _IBAN_RUN.match(text, start)[0]
         ends = [e.start() for e in _IBAN_END.finditer(run)]
-        length = _IBAN_LENGTHS.get(run[:2])
-        for end in sorted(ends, key=lambda e: (len(run[:e].replace(" ", "")) != length, -e)):
-            if (new := _iban(run[:end], key)) and text[start + end:start + end + 1] not in _LETTERS_AND_DIGITS:
+        length = _IBAN_LENGTHS.get(run[:2].upper())
+        sizes = {e: len(_IBAN_SPACES.sub("", run[:e])) for e in ends}
+        for end in sorted(ends, key=lambda e: (sizes[e] != length, -e)):
+            usual = run[:end].isupper() and "-" not in run[:end]
+            if (usual or sizes[end] == length) and (new := _iban(run[:end], key)) and text[start + end:start + end + 1] not in _LETTERS_AND_DIGITS:
                 yield start, start + end, new
                 at = start + end
                 break
 
 
 def _iban(found: str, key: bytes) -> str | None:
-    plain = found.replace(" ", "")
+    plain = _IBAN_SPACES.sub("", found).upper()
     as_number = lambda s: int("".join(str(int(c, 36)) for c in s))
     if not 15 <= len(plain) <= 34 or as_number(plain[4:] + plain[:4]) % 97 != 1:
         return None
     body = _permute_symbols(plain[4:], key, f"iban{plain[:2]}")
     new = iter(plain[:2] + f"{98 - as_number(body + plain[:2] + '00') % 97:02d}" + body)
-    return "".join(c if c == " " else next(new) for c in found)
+    return "".join(c if c in " -" else next(new).lower() if c.islower() else next(new) for c in found)
 
 
 def _phone(found: str, key: bytes) -> str | None:
@@ -270,13 +280,11 @@ def _date(found: str, key: bytes) -> str | None:
 def _email(found: str, key: bytes) -> str | None:
     local, _, domain = found.rpartition("@")
     host, _, top = domain.rpartition(".")
-    return f"{_permute_symbols(local, key, 'local')}@{_permute_symbols(host, key, 'host')}.{top}"
+    return f"{_permute_symbols(local, key, 'local', True)}@{_permute_symbols(host, key, 'host', True)}.{top}"
 
 
 def _secret(found: str, key: bytes) -> str | None:
     only_hex = re.fullmatch(r"[0-9a-f]+", found)
-    if not only_hex and not re.search(r"[0-9]", found):
-        return None
     # Long values go in blocks, each with its place as a tweak, as the cost grows faster than the size of a number.
     blocks = -(-len(found) // SECRET_BLOCK)
     out = []
@@ -290,6 +298,25 @@ def _secret(found: str, key: bytes) -> str | None:
     return "".join(out)
 
 
+_NAMED = re.compile(r"""(?:(passwor[dt]|passwd)|token|api[_-]?key|secret)[A-Za-z_]{0,64}["']?\s{0,4}[:=]\s{0,4}["'`]?"""
+                    r"""((?:(?!&[A-Za-z_]+=)[^\s"'`<>])+)""", re.I)
+_BEARER = re.compile(r"\bbearer\s{1,4}(?=[A-Za-z+/_.=~-]*[0-9])([A-Za-z0-9+/_.=~-]{8,})", re.I)
+_WORD_OR_COUNT = re.compile(r"[A-Za-z]?[a-z]*|[0-9]{1,7}")
+
+
+def _secrets(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
+    """Values behind a name, without punctuation around them."""
+    for m in _NAMED.finditer(text):
+        found = m[2].rstrip(".,;:!?)]}*")
+        start = m.start(2) + len(found) - len(found := found.lstrip("([{*"))
+        word = _WORD_OR_COUNT.fullmatch(found) and not (len(found) >= 8 and re.fullmatch("[0-9a-f]+", found))
+        if found and (m[1] or not word):
+            yield start, start + len(found), _secret(found, key)
+    for m in _BEARER.finditer(text):
+        found = m[1].rstrip(".")
+        yield m.start(1), m.start(1) + len(found), _secret(found, key)
+
+
 def _by(pattern: re.Pattern, change: Callable[[str, bytes], str | None]):
     """Finds of a pattern (its group is the find) that ``change`` takes."""
     def find(text: str, key: bytes, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, str]]:
@@ -319,7 +346,7 @@ def _phones_abroad(text: str, key: bytes, taken: list[tuple[int, int]]) -> Itera
 #: (start, end, new), knowing what is taken. Earlier kinds win where finds overlap.
 _FINDERS: tuple[tuple[str, str, Callable[[str, bytes, list], Iterator[tuple[int, int, str]]]], ...] = (
     ("email", "@", _by(re.compile(r"(?<![\w.+%-])([\w.+%-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24})"), _email)),
-    ("secret", "", _by(re.compile(r"(?:token|api[_-]?key|secret|passwor[dt]|passwd)[A-Za-z_]{0,64}[\"']?\s{0,4}[:=]\s{0,4}[\"']?([A-Za-z0-9+/_.=~-]{7,}[A-Za-z0-9+/_=~-])", re.I), _secret)),
+    ("secret", "", _secrets),
     ("iban", "", _ibans),
     ("phone", "+1", _by(re.compile(r"(\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4})(?![0-9])"), _phone_1)),
     ("phone", "", _by(re.compile(r"(?<![0-9])(?<![0-9][ .-])(\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),
@@ -331,7 +358,7 @@ _FINDERS: tuple[tuple[str, str, Callable[[str, bytes, list], Iterator[tuple[int,
     ("date", "", _by(re.compile(r"(?<![0-9/.-])([0-9]{4}([-/.])[0-9]{1,2}\2[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\3[0-9]{4})(?![0-9]|[/.-][0-9])"), _date)),
 )
 _DIGIT = re.compile(r"[0-9]")
-_HINT = re.compile(r"token|key|secret|passw", re.I)
+_HINT = re.compile(r"token|key|secret|passw|bearer", re.I)
 
 
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[tuple[int, int, str]]]:
