@@ -2,26 +2,28 @@
 
 Fixed base rules reject short and repetitive texts. Further rules compare one
 measure of a text with a cutoff per stratum (the language). The cutoffs are
-learned: labelled documents serve as a holdout, and a cutoff is admissible if
-an exact binomial test shows that it rejects at most ``alpha`` of the stratum's
-good documents.
-
-Within a stratum and rule the cutoffs are tested from the loosest on and the
-last one before the first failure is taken (a fixed-sequence test, which needs
-no correction). Across the rules and strata the error level ``delta`` is split
-evenly (Bonferroni), and ``alpha`` is split over the rules, so that with
-probability 1 - ``delta`` every stratum loses at most ``alpha`` of its good
-documents to all rules together.
+learned: labelled documents serve as a holdout, and cutoffs are admissible if an
+exact binomial test shows that the rules together reject at most ``alpha`` of the
+stratum's good documents.
+
+The rules tighten one after another along one nested sequence of joint cutoffs,
+from the loosest to the strictest; the last before the first failure is taken (a
+fixed-sequence test, which needs no correction within the stratum and spends
+all of ``alpha`` on one test). Across strata the error level ``delta`` is split
+by their numbers of labelled good documents (weighted Bonferroni), so with
+probability 1 - ``delta`` every stratum loses at most ``alpha`` of its good ones.
+With one stratum 149 good texts are enough at the defaults.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +110,18 @@ RULES = (
 )
 
 
+def joint_steps(rules: tuple[Rule, ...] = RULES) -> list[dict[str, int]]:
+    """The nested sequence of joint cutoffs by rule name: the rules tighten one
+    after another in their order, each from its loosest to its strictest cutoff,
+    where it stays. So the rule that tells most should stand first."""
+    out, held = [], {}
+    for r in rules:
+        for c in r.cutoffs:
+            held = {**held, r.name: c}
+            out.append(held)
+    return out
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
@@ -135,9 +149,27 @@ def profile(docs: DataFrame, stratum: str = "lang", text: str = "text") -> DataF
     return rows.select("row", "stratum", "digest", "m.*")
 
 
+def passed_steps(rules: tuple[Rule, ...] = RULES) -> Column:
+    """How many of the joint steps let the document pass: those before the first
+    cutoff it fails, as what fails at a step fails at all later ones."""
+    total = len(joint_steps(rules))
+    first, fails = 0, []
+    for r in rules:
+        fails.append(F.when(r.level() < len(r.cutoffs), r.level() + first).otherwise(total))
+        first += len(r.cutoffs)
+    return F.least(*fails, F.lit(total))
+
+
 def calibrate(profiles: DataFrame, key: str, labels: DataFrame, rules: tuple[Rule, ...] = RULES,
               alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
-    """One row per stratum with a column of cutoffs per rule (null: none).
+    """One row per stratum with a column of cutoffs per rule; strata without are left out.
+
+    With probability ``1 - delta`` no stratum's rules together reject more than
+    ``alpha`` of its good documents. The rules tighten along one nested sequence of
+    joint cutoffs (``joint_steps``), tested from the loosest on until the first
+    failure, so all of ``alpha`` serves one test. ``delta`` is shared among
+    the strata by their numbers of labelled good documents (a weighted
+    Bonferroni correction; these numbers say nothing about rejections).
 
     ``profiles`` holds ``key``, ``stratum``, ``digest`` and the measures;
     ``labels`` holds ``key`` and ``quality``. A document with several labels is
@@ -150,35 +182,27 @@ def calibrate(profiles: DataFrame, key: str, labels: DataFrame, rules: tuple[Rul
     good = (profiles.join(marks, F.col(key) == F.col("marked"))
             .filter((F.col("quality") == 1) & ~base_failed())
             .groupBy("stratum", "digest").agg(*[F.min(m).alias(m) for m in MEASURES]))
-    levels = F.array(*[F.struct(F.lit(r.name).alias("rule"), r.level().alias("level")) for r in rules])
-    counts = (good.select("stratum", F.explode(levels).alias("x"))
-              .groupBy("stratum", "x.rule", "x.level").count())
-    every = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(i).alias("level"),
-                               F.lit(c).cast("long").alias("cutoff"))
-                      for r in rules for i, c in enumerate(r.cutoffs)])
-    strata = settle(counts.groupBy("stratum").agg(
-        (F.sum("count") / len(rules)).cast("long").alias("n")), "strata")
-    grid = strata.select(F.col("stratum").alias("s"), "n", F.explode(every).alias("g")).select(
-        "s", "n", "g.*")
-    up_to = (Window.partitionBy("s", "rule").orderBy("level")
-             .rowsBetween(Window.unboundedPreceding, 0))
-    counts = counts.select(F.col("stratum").alias("cs"), F.col("rule").alias("cr"),
-                           F.col("level").alias("cl"), F.col("count"))
-    tested = (grid.join(counts, F.col("s").eqNullSafe(F.col("cs")) & (F.col("rule") == F.col("cr"))
-                        & (F.col("level") == F.col("cl")), "left")
-              .withColumn("rejected", F.sum(F.coalesce(F.col("count"), F.lit(0))).over(up_to)))
-    share, level = alpha / len(rules), delta / (len(rules) * max(1, strata.count()))
+    counts = settle(good.select("stratum", passed_steps(rules).alias("passed"))
+                    .groupBy("stratum", "passed").count(), "steps")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    sizes = counts.groupBy("stratum").agg(F.sum("count").alias("n"),
+                                          F.collect_list(F.struct("passed", "count")).alias("counts"))
+    path = joint_steps(rules)
+    step = F.explode(F.sequence(F.lit(0), F.lit(len(path) - 1))).alias("step")
+    beyond = F.aggregate(F.filter("counts", lambda x: x["passed"] <= F.col("step")), F.lit(0).cast("long"),
+                         lambda a, x: a + x["count"])
+    tested = sizes.select("stratum", "n", "counts", step).select("stratum", "n", "step", beyond.alias("rejected"))
 
     @F.pandas_udf("double")
     def tail(k: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([binomial_tail(int(a), int(b), share) for a, b in zip(k, n)], dtype="float64")
+        return pd.Series([binomial_tail(int(a), int(b), alpha) for a, b in zip(k, n)], dtype="float64")
 
     # The tail grows with the rejections, so all that pass stand before the first failure.
-    passed = tested.filter(tail("rejected", "n") <= level)
-    names = {r.name: F.max_by(F.when(F.col("rule") == r.name, F.col("cutoff")),
-                              F.when(F.col("rule") == r.name, F.col("level"))).alias(f"cut_{r.name}")
-             for r in rules}
-    return settle(passed.groupBy(F.col("s").alias("cut_stratum")).agg(*names.values()), "cutoffs")
+    last = (tested.filter(tail("rejected", "n") <= F.lit(delta) * F.col("n") / F.lit(total))
+            .groupBy(F.col("stratum").alias("cut_stratum")).agg(F.max("step").alias("step")))
+    return settle(last.select("cut_stratum", *[
+        F.element_at(F.array(*[F.lit(x.get(r.name)).cast("long") for x in path]), F.col("step") + 1).alias(f"cut_{r.name}")
+        for r in rules]), "cutoffs")
 
 
 def judge(profiles: DataFrame, cutoffs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -206,9 +230,8 @@ def report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) -
 
 def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns. Same cases as ``report``."""
-    rows = profile(docs)
-    narrow = settle(rows.select(F.col(f"row.`{key}`").alias(key), "stratum", "digest", *MEASURES),
-                    "profiles")
+    rows = settle(profile(docs), "measured")  # texts are measured once; the calibration reads the narrow columns
+    narrow = rows.select(F.col(f"row.`{key}`").alias(key), "stratum", "digest", *MEASURES)
     kept = judge(rows, calibrate(narrow, key, labels, **options)).filter("kept")
     return kept.select(*unpacked(kept, docs.columns))
 
@@ -216,11 +239,12 @@ def keep(docs: DataFrame, labels: DataFrame, key: str = "doc_id", **options) ->
 def _sql(alpha: float = 0.02, delta: float = 0.05) -> str:
     """DuckDB SQL for ``report`` with the default rules."""
     value = {r.name: r.value.replace(" div ", " // ") for r in RULES}
+    steps = joint_steps()
     cases = " UNION ALL ".join(
         f"SELECT doc_id, stratum, text, '{r.name}' AS rule, {value[r.name]} AS v FROM good" for r in RULES)
     grid = " UNION ALL ".join(
-        f"SELECT '{r.name}' AS rule, {str(r.above).lower()} AS above, "
-        f"unnest({list(r.cutoffs)})::BIGINT AS cutoff, unnest(range({len(r.cutoffs)})) AS level" for r in RULES)
+        f"SELECT '{r.name}' AS rule, {str(r.above).lower()} AS above, unnest({[x[r.name] for x in steps if r.name in x]})::BIGINT "
+        f"AS cutoff, unnest(range({sum(r.name not in x for x in steps)}, {len(steps)})) AS step" for r in RULES)
     rejected = " OR ".join(
         f"coalesce({value[r.name]} {'>' if r.above else '<'} (SELECT cutoff FROM cut WHERE cut.rule = '{r.name}' "
         f"AND cut.stratum IS NOT DISTINCT FROM m.stratum), false)" for r in RULES)
@@ -246,15 +270,16 @@ good AS (SELECT min(m.doc_id) AS doc_id, stratum, text, any_value(n_words) AS n_
          WHERE quality = 1 AND NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) GROUP BY stratum, text),
 val AS ({cases}), grid AS ({grid}),
 size AS (SELECT stratum, count(*) AS n FROM good GROUP BY stratum),
-test AS (SELECT size.stratum, grid.rule, level, cutoff, n,
-                count(v) FILTER (WHERE CASE WHEN above THEN v > cutoff ELSE v < cutoff END) AS k
-         FROM size CROSS JOIN grid JOIN val ON val.rule = grid.rule AND val.stratum IS NOT DISTINCT FROM size.stratum
-         GROUP BY ALL),
-ok AS (SELECT * FROM test WHERE k < n * {alpha / len(RULES)!r}::DOUBLE AND list_sum(list_transform(range(k + 1),
-         lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({alpha / len(RULES)!r}::DOUBLE)
-                  + (n - j) * ln(1 - {alpha / len(RULES)!r}::DOUBLE))))
-         <= {delta!r}::DOUBLE / ({len(RULES)} * (SELECT count(*) FROM size))),
-cut AS (SELECT stratum, rule, arg_max(cutoff, level) AS cutoff FROM ok GROUP BY stratum, rule)
+hit AS (SELECT stratum, step, count(DISTINCT doc_id) AS k FROM val JOIN grid USING (rule)
+        WHERE CASE WHEN above THEN v > cutoff ELSE v < cutoff END GROUP BY stratum, step),
+test AS (SELECT size.stratum, s.step, n, coalesce(k, 0) AS k FROM size CROSS JOIN (SELECT DISTINCT step FROM grid) s
+         LEFT JOIN hit ON hit.step = s.step AND hit.stratum IS NOT DISTINCT FROM size.stratum),
+ok AS (SELECT * FROM test WHERE k < n * {alpha!r}::DOUBLE AND list_sum(list_transform(range(k + 1),
+         lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({alpha!r}::DOUBLE)
+                  + (n - j) * ln(1 - {alpha!r}::DOUBLE))))
+         <= {delta!r}::DOUBLE * n / (SELECT sum(n) FROM size)),
+last AS (SELECT stratum, max(step) AS step FROM ok GROUP BY stratum),
+cut AS (SELECT stratum, rule, cutoff FROM last JOIN grid USING (step))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT ({rejected}) AS kept

@@ -77,3 +77,41 @@ def test_odd_rows(odd, docs, spark):
     kept = Q.keep(odd, labels)
     assert kept.columns == odd.columns and kept.count() == 0
     assert Q.report(docs([]), labels).collect() == []
+
+
+def test_cutoffs_are_learned_from_the_given_labels(spark):
+    """At sf0.01 English has labels enough: learned cutoffs reject what the base rules let pass."""
+    rows = E.queries()["op8_risk_controlled_rules"](spark, SF01).collect()
+    learned = {r["doc_id"] for r in rows if not r["kept"] and not r["base_failed"]}
+    good = {r["doc_id"] for r in spark.read.parquet(f"{SF01}/labels.parquet").filter("quality = 1").collect()}
+    passed = {r["doc_id"] for r in rows if not r["base_failed"]} & good
+    assert learned and len(learned & good) <= 0.02 * len(passed)
+
+
+def test_steps_equal_a_plain_reading(spark):
+    """Joint steps, counts and the last admissible one, by loops over the documents."""
+    n, rules = 400, Q.RULES
+    rows = [(i, "en" if i % 4 else None, i, 100, 500, i % 23 if i % 3 == 0 else 0, 0, i % 7, i % 19) for i in range(n)]
+    profiles = spark.createDataFrame(rows, "doc_id long, stratum string, digest long, n_words long, word_chars long, "
+                                           "n_symbols long, n_dup_lines long, n_repeat_words long, n_upper long")
+    labels = spark.createDataFrame([(i, 1) for i in range(n)], "doc_id long, quality int")
+
+    def values(r):
+        _, _, _, words, chars, symbols, dup, repeat, upper = r
+        return {"symbols": symbols * 1000 // chars, "upper_case": upper * 1000 // chars, "repeated_words": repeat * 1000 // words,
+                "repeated_lines": dup * 1000 // words, "long_words": chars * 100 // words, "short_words": chars * 100 // words}
+
+    want = {}
+    for stratum in ("en", None):
+        docs_ = [values(r) for r in rows if r[1] == stratum]
+        for cut in Q.joint_steps():
+            k = sum(any(v[r.name] > cut[r.name] if r.above else v[r.name] < cut[r.name] for r in rules if r.name in cut)
+                    for v in docs_)
+            p = sum(math.comb(len(docs_), j) * 0.1**j * 0.9**(len(docs_) - j) for j in range(k + 1))
+            if k >= 0.1 * len(docs_) or p > 0.05 * len(docs_) / n:
+                break
+            want[stratum] = cut
+    got = {r["cut_stratum"]: {x.name: r[f"cut_{x.name}"] for x in rules if r[f"cut_{x.name}"] is not None}
+           for r in Q.calibrate(profiles, "doc_id", labels, alpha=0.1).collect()}
+    assert got == want and len(want) == 2
+    assert all(c["symbols"] < Q.RULES[0].cutoffs[0] for c in got.values())
