@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import packed, settle, unpacked
+from .common import WORD, packed, settle, unpacked
 from .components import components
 
 #: A block holds about this many n-grams and nodes at most.
@@ -243,9 +243,11 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5
         F.pmod(F.xxhash64("nid"), F.col("n_blocks")).alias("block")), "members")
 
     # Members grow with the table, so their texts are fetched by a shuffle at every size.
-    texts = (docs.select(row_key(doc, words).alias("row_key"), words.alias("text"))
-             .join(members.hint("merge"), F.col("row_key") == F.col("rep"))
-             .select("nid", "copies", "comp", "block", "n_blocks", gram_set("text").alias("grams")))
+    # A repeated row is reduced to one before that shuffle, however often it stands there.
+    once = (docs.select(row_key(doc, words).alias("row_key"), words.alias("text"))
+            .groupBy("row_key").agg(F.first("text").alias("text")))
+    texts = (once.join(members.hint("merge"), F.col("row_key") == F.col("rep"))
+                 .select("nid", "copies", "comp", "block", "n_blocks", gram_set("text").alias("grams")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
     cells = (texts.withColumn("other", other)
              .select("comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
@@ -278,13 +280,15 @@ def one_per_class(docs: DataFrame, key: str = "doc_id", text: str = "text", **op
     doc = F.col(f"`{key}`")
     first = found.filter("root is not null").groupBy("root").agg(
         F.min(F.struct(doc.isNull(), doc.alias("k"), "row_key")).alias("m"))
-    stay = settle(first.select(F.col("m.row_key").alias("stay"), F.lit(True).alias("once"))
-                  .union(found.filter("root is null").select("row_key", F.lit(False)).distinct()), "stay")
-    nth = F.row_number().over(Window.partitionBy("stay").orderBy(F.lit(1)))
-    rows = (docs.select(packed(docs), row_key(doc, F.col(f"`{text}`")).alias("row_key"))
-            .join(stay, F.col("row_key") == F.col("stay"))
-            .withColumn("nth", nth).filter("nth = 1 or not once"))
-    return rows.select(*unpacked(rows, docs.columns))
+    stay = settle(first.select(F.col("m.row_key").alias("stay")), "stay")
+    worded = F.coalesce(F.regexp_like(F.col(f"`{text}`"), F.lit(WORD)), F.lit(False))
+    rows = docs.select(packed(docs), row_key(doc, F.col(f"`{text}`")).alias("row_key"), worded.alias("worded"))
+    # Of repeated rows one is left in each task before the shuffle, by Spark's group limit.
+    nth = F.row_number().over(Window.partitionBy("row_key").orderBy(F.lit(1)))
+    kept = (rows.filter("worded").withColumn("nth", nth).filter("nth = 1")
+            .join(stay, F.col("row_key") == F.col("stay"), "left_semi"))
+    return kept.select(*unpacked(kept, docs.columns)).unionByName(
+        rows.filter("not worded").select(*unpacked(rows, docs.columns)))
 
 
 #: DuckDB SQL for ``classes`` on ``documents``: all pairs that share a gram, compared exactly.

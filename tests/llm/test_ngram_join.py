@@ -118,3 +118,30 @@ def test_banding_meets_its_recall():
         a, b = np.sort(pool[:85]), np.sort(np.concatenate([pool[:80], pool[85:]]))
         hits += bool(set(J.band_hashes(a, bands, rows, 9)) & set(J.band_hashes(b, bands, rows, 9)))
     assert hits == 200
+
+
+def test_a_row_repeated_often_is_held_once(docs, monkeypatch):
+    """Thousands of equal rows beside near copies: links count them all, cells hold one, the shuffle sees one a task."""
+    near = near_copies(5, 80, 6, 2)
+    df = docs([(1, near[0])] * 3000 + [(i, t) for i, t in enumerate(near[1:], 2)] + [(90, None)] * 5)
+    rows = J.classes(df).collect()
+    assert len(rows) == 3010
+    want, near_1 = brute(dict(enumerate(near, 1))), brute({**dict(enumerate(near, 1)), 0: near[0]})
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows if r["doc_id"] != 90}
+    assert got[1] == (1, want[1][1] + 2999) and want[1][1] > 0
+    for i, (c, n) in want.items():  # each link with the repeated row counts for all its repeats
+        assert i == 1 or got[i] == (c, n + 2999 * (near_1[i][1] - n))
+    kept = J.one_per_class(df)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for c, _ in want.values()}) + [90] * 5
+
+
+def test_texts_are_fetched_once_per_row_key(docs, monkeypatch):
+    """What a cell gets holds each node once, before the n-gram sets are made."""
+    seen = []
+    real = J.settle
+    monkeypatch.setattr(J, "settle", lambda df, name: (seen.append((name, df._jdf.queryExecution().executedPlan().toString())), real(df, name))[1])
+    J.classes(docs([(1, "a b c d e f g")] * 50 + [(2, "a b c d e f g h i j k l m n o p"), (3, "a b c d e f g h i j k l m n o p q")]))
+    plan = dict(seen)["links"]
+    assert "partial_first(text" in plan
