@@ -56,6 +56,8 @@ def parse_args(argv=None) -> argparse.Namespace:
                    help="buckets of a new native table (default: sized from the first load)")
     p.add_argument("--run-log", help="folder of the run log (one row per run)")
     p.add_argument("--replay-key", help="append mode: replaying this key replaces its earlier rows")
+    p.add_argument("--replay-col", help="column of a database target that holds the replay key of appended rows")
+    p.add_argument("--max-connections", type=int, default=16, help="connections to a database target at most")
     return p.parse_args(argv)
 
 
@@ -75,8 +77,10 @@ def main(argv=None, spark=None) -> int:
     found = spec.problems()
     if bool(a.target_path) == bool(a.jdbc_url):
         found.append("give either --target-path or --jdbc-url")
-    if a.replay_key and (a.jdbc_url or a.mode != "append"):
-        found.append("--replay-key: only appends into a native table can be replayed")
+    if a.replay_key and (a.mode != "append" or a.jdbc_url and not a.replay_col):
+        found.append("--replay-key: only appends into a native table, or into a database with --replay-col, can be replayed")
+    if a.max_connections < 1:
+        found.append("--max-connections: at least 1")
     if found:
         print("invalid options: " + "; ".join(found), file=sys.stderr)
         return INVALID
@@ -99,7 +103,7 @@ def main(argv=None, spark=None) -> int:
         source = spark.table(a.source)
     if a.jdbc_url:
         sink = JdbcSink(spark, a.jdbc_url, a.target, keys=spec.keys,
-                        batch_rows=a.batch_rows or 10_000)
+                        batch_rows=a.batch_rows or 10_000, max_connections=a.max_connections, replay_col=a.replay_col)
     else:
         sink = NativeTable(spark, a.target_path, keys=[k.lower() for k in spec.keys] if spec.lower_cols
                            else spec.keys, buckets=a.buckets, case_insensitive=a.case_insensitive_keys)

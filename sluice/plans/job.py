@@ -70,11 +70,11 @@ def run(spark: SparkSession, spec: SyncSpec, source: DataFrame, sink,
     """One delivery run; returns its summary row (also appended to ``run_log``).
 
     ``replay_key`` (e.g. a scheduler's logical date) makes an append run
-    idempotent on the native sink: replaying the same key replaces the rows
-    that key appended before instead of adding them again."""
+    idempotent: replaying the same key replaces the rows that key appended
+    before instead of adding them again. A database target needs a column for it."""
     spec.checked()
     if replay_key and (spec.mode != "append" or not getattr(sink, "replays", True)):
-        raise ValueError("replay_key: only appends into a native table can be replayed")
+        raise ValueError("replay_key: only appends into a native table, or with a replay_col, can be replayed")
     if spec.case_insensitive_keys and isinstance(sink, NativeTable) and not sink.case_insensitive:
         raise ValueError("case_insensitive_keys: the target table tells keys apart by case")
     started, run_id = time.time(), uuid.uuid4().hex

@@ -18,7 +18,7 @@ from ..session import work_path
 from ..sinks import staging
 from ..sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url, q
 from ..sinks.native import NativeTable
-from ..sources.generator import claims_from_orders
+from ..sources.generator import claims_from_orders, claims_updates
 from ..sources.snapshot import snapshot_diff
 from ..sources.tables import read_table
 from ..spec import SyncSpec
@@ -335,6 +335,26 @@ def claims_generator(spark, sf):
     return claims_from_orders(read_table(spark, sf, "orders"))
 
 
+def claims_settled(spark, sf):
+    """The update half of an increment: every 10th claim paid or denied."""
+    return claims_updates(claims_from_orders(read_table(spark, sf, "orders")))
+
+
+def stage_layout(spark, sf):
+    """What lies under ``<stage>/<run>/{upsert,delete}`` after a run was staged
+    again under its own name: rows, keys and key range of each folder (W8)."""
+    root, key = work_path(spark, "stage"), ["o_orderkey"]
+    old, new = fx.orders_old(spark, sf), fx.orders_new(spark, sf)
+    gone = old.join(new, key, "left_anti").select(*key)
+    for up in (old, new):  # the second staging clears the folders first
+        staging.stage_round_trip(spark, up, gone, "parquet", root, "run", keys=key)
+    files = spark.read.schema("o_orderkey long").option("recursiveFileLookup", "true").parquet(f"{root}/run")
+    part = F.regexp_extract("_metadata.file_path", "/run/([a-z]+)/[^/]+$", 1).alias("part")
+    return files.select(part, "o_orderkey").groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys"),
+        F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+
+
 IO_QUERIES = {
     "csv_round_trip": csv_round_trip,
     "csv_round_trip_pages": csv_round_trip_pages,
@@ -359,6 +379,8 @@ IO_QUERIES = {
     "jdbc_source_hwm": jdbc_source_hwm,
     "composite_key_upsert": composite_key_upsert,
     "claims_generator": claims_generator,
+    "claims_settled": claims_settled,
+    "stage_layout": stage_layout,
 }
 
 

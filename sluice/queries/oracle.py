@@ -385,3 +385,23 @@ ORACLE_SQL["time_codecs"] = """
            CASE user_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' ELSE '-03:00' END AS offset,
            strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || CASE user_id % 3 WHEN 0 THEN 'Z' WHEN 1 THEN '+05:30' ELSE '-03:00' END AS zoned
     FROM events"""
+
+_ALLOWED = "coalesce(allowed_amount, billed_amount)"
+_PAID = f"CASE WHEN claim_id % 20 = 0 THEN 0 ELSE CAST({_ALLOWED} * 0.8 AS DECIMAL(12,2)) END"
+ORACLE_SQL.update({
+    "claims_settled": f"""
+        SELECT * REPLACE (
+            CASE WHEN claim_id % 20 = 0 THEN 'DENIED' ELSE 'PAID' END AS claim_status,
+            CAST({_PAID} AS DECIMAL(12,2)) AS paid_amount,
+            CAST(CASE WHEN claim_id % 20 = 0 THEN 0 ELSE {_ALLOWED} - {_PAID} END AS DECIMAL(12,2)) AS member_resp_amount,
+            CASE WHEN claim_id % 20 = 0 THEN 'denied: on review' END AS denial_reason,
+            coalesce(payer_note, '') || ' / settled' AS payer_note,
+            updated_at + INTERVAL 1 DAY AS updated_at)
+        FROM ({ORACLE_SQL["claims_generator"]}) WHERE claim_id % 10 = 0""",
+    "stage_layout": SNAP + """, parts AS (
+        SELECT 'upsert' AS part, o_orderkey FROM orders_new
+        UNION ALL
+        SELECT 'delete', o_orderkey FROM orders_old o WHERE NOT EXISTS (SELECT 1 FROM orders_new n WHERE n.o_orderkey = o.o_orderkey))
+        SELECT part, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, min(o_orderkey) AS first_key,
+               max(o_orderkey) AS last_key FROM parts GROUP BY part""",
+})

@@ -20,6 +20,16 @@ def define_view(spark: SparkSession, name: str, select_sql: str) -> DataFrame:
     return spark.table(name)
 
 
+def sample_rows(df: DataFrame, key: str, up_to) -> DataFrame:
+    """The rows with keys up to a value, in key order, to look at (E4). The bound reaches the scan."""
+    return df.where(F.col(key) <= F.lit(up_to)).orderBy(key)
+
+
+def empty_copy(df: DataFrame) -> DataFrame:
+    """No rows, all columns with their types (E4); nothing is read."""
+    return df.sparkSession.createDataFrame([], df.schema)
+
+
 @dataclass(frozen=True)
 class Watermark:
     """A typed watermark value kept as exact text (round-trips via ``cast``)."""

@@ -48,3 +48,12 @@ def test_a_target_place_is_needed_and_replays_need_a_table(capsys):
     assert main(base) == INVALID and "--target-path" in capsys.readouterr().err
     assert main(base + ["--jdbc-url", "jdbc:x", "--mode", "append", "--replay-key", "d"]) == INVALID
     assert "--replay-key" in capsys.readouterr().err
+
+
+def test_a_database_can_replay_with_a_column_for_the_key(capsys):
+    base = ["--source", "s", "--target", "t", "--jdbc-url", "jdbc:x", "--mode", "append", "--replay-key", "d"]
+    from sluice.__main__ import parse_args
+    assert parse_args([*base, "--replay-col", "day"]).replay_col == "day"
+    assert main([*base, "--replay-col", "day", "--max-connections", "0"]) == INVALID
+    err = capsys.readouterr().err
+    assert "--max-connections" in err and "--replay-key" not in err

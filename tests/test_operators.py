@@ -102,3 +102,13 @@ def test_column_functions(spark):
         lower_cols(spark.createDataFrame([(1, 2)], "A long, a2 long").toDF("A", "a"))
     with pytest.raises(ValueError, match="no columns"):
         check_target_columns(low, ["id", "val"])
+
+
+def test_sample_rows_and_empty_copy(spark):
+    from sluice.sources.scan import empty_copy, sample_rows
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    few = sample_rows(orders, "o_orderkey", 10)
+    keys = sorted(r["o_orderkey"] for r in orders.select("o_orderkey").collect())
+    assert [r["o_orderkey"] for r in few.collect()] == [k for k in keys if k <= 10]
+    assert "LessThanOrEqual(o_orderkey,10)" in few._jdf.queryExecution().executedPlan().toString()
+    assert empty_copy(orders).schema == orders.schema and empty_copy(orders).count() == 0
