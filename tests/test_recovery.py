@@ -11,6 +11,7 @@ from sluice import fs
 from sluice.plans import job
 from sluice.plans.state import resume_at
 from sluice.session import checkpoint_dir
+from sluice.sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url
 from sluice.sinks.native import ConcurrentPublish, NativeTable
 from sluice.sources.snapshot import snapshot_diff
 from sluice.spec import SyncSpec
@@ -58,16 +59,38 @@ def failing(df):
                          .otherwise(F.col("v")))
 
 
-#: A direct run copies its rows as Parquet, so that staging needs no rows of its own here.
-MATRIX = [("direct", c, f) for c in ("none", "hwm", "stream") for f in ("read", "mid_write", "commit", "state")
-          if (c, f) not in (("none", "state"), ("stream", "read"))]
-MATRIX += [("csv", "none", "read"), ("csv", "hwm", "mid_write"), ("csv", "stream", "mid_write"), ("parquet", "hwm", "read")]
+#: A full load has no state; a stream reads the change log, which mid_write covers; staging is over at the commit.
+CASES = [(c, f) for c in ("none", "hwm", "stream") for f in ("read", "mid_write", "commit", "state")
+         if (c, f) not in (("none", "state"), ("stream", "read"))]
+MATRIX = [("direct", c, f) for c, f in CASES] + [("jdbc", c, f) for c, f in CASES]
+MATRIX += [(s, c, f) for s in ("csv", "parquet") for c, f in CASES if f in ("read", "mid_write")]
+
+
+def derby_table(spark):
+    """A keyed table of a database inside this process, for the rows of these tests."""
+    sink = JdbcSink(spark, derby_memory_url(), "tgt", keys=["id"])
+    sink.execute(create_table_sql("tgt", spark.createDataFrame([], COLS).schema, ["id"]))
+    return sink
+
+
+def break_sink(monkeypatch, failure):
+    """Failures inside a database target: while staging, and at the last statement of the transaction."""
+    if failure == "mid_write":
+        orig = JdbcSink._stage
+
+        def bad_stage(self, df, *a):
+            orig(self, df.limit(1), *a)
+            raise Boom("injected mid-write")
+        monkeypatch.setattr(JdbcSink, "_stage", bad_stage)
+    elif failure == "commit":
+        orig = JdbcSink.statements
+        monkeypatch.setattr(JdbcSink, "statements", lambda *a, **k: [*orig(*a, **k), "DELETE FROM no_such_table"])
 
 
 @pytest.mark.parametrize("staged, capture, failure", MATRIX)
 def test_recovery(spark, scratch, monkeypatch, capture, failure, staged):
-    root = scratch
-    table = NativeTable(spark, f"{root}/t", keys=["id"], buckets=4)
+    root, staging = scratch, "direct" if staged == "jdbc" else staged
+    table = derby_table(spark) if staged == "jdbc" else NativeTable(spark, f"{root}/t", keys=["id"], buckets=4)
     old = before(spark)
     job.run(spark, SyncSpec("src", "tgt", keys=["id"]), old, table)
     new = after(spark, capture)
@@ -80,7 +103,9 @@ def test_recovery(spark, scratch, monkeypatch, capture, failure, staged):
 
     src = new
     if failure == "read":
-        src = failing(new)  # a stream reads the change log: covered by mid_write
+        src = failing(new)
+    elif staged == "jdbc" and failure != "state":
+        break_sink(monkeypatch, failure)
     elif failure == "mid_write":
         orig = NativeTable._write
 
@@ -95,16 +120,17 @@ def test_recovery(spark, scratch, monkeypatch, capture, failure, staged):
 
     if failure == "state" and capture == "hwm":
         # hwm progress commits inside the manifest: nothing can fail in between.
-        run_once(spark, capture, root, table, src, feed_schema, staged)
+        run_once(spark, capture, root, table, src, feed_schema, staging)
     else:
         with pytest.raises(Exception):
-            run_once(spark, capture, root, table, src, feed_schema, staged)
+            run_once(spark, capture, root, table, src, feed_schema, staging)
         if failure != "state":
             assert table.version() == v0, "a failed run must publish nothing"
+            assert sorted(map(tuple, table.read().collect())) == sorted(map(tuple, old.collect()))
     monkeypatch.undo()
 
     for _ in range(2):
-        run_once(spark, capture, root, table, new, feed_schema, staged)
+        run_once(spark, capture, root, table, new, feed_schema, staging)
     got = sorted(map(tuple, table.read().collect()))
     want = sorted(map(tuple, new.collect()))
     assert got == want
