@@ -186,3 +186,20 @@ def test_a_log_cleaned_too_early_stops_the_run(spark, scratch):
     with pytest.raises(StaleFeed, match="full reload"):
         deliver(spark, scratch, table, schema=schema, order_cols=["_cdc_seq"])
     assert table.read().count() == 4
+
+
+def test_the_rows_of_a_commit_are_not_joined_in_one_task(spark):
+    """Whatever the size of the batch: one commit's rows stay where they were read."""
+    from sluice.streaming.consume import with_commit_time
+    name = "part-00000-01234567-89ab-cdef-0123-456789abcdef-c000.snappy.parquet"
+    batch = spark.range(0, 400, 1, 4).select("id", F.lit(name).alias("_cdc_file"),
+                                             F.timestamp_seconds(F.col("id")).alias("_cdc_written_at"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = with_commit_time(batch).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r["id"] for r in rows) == list(range(400))
+    assert len({r["part"] for r in rows}) == 4
+    assert {r["_cdc_committed_at"].minute * 60 + r["_cdc_committed_at"].second for r in rows} == {399}
