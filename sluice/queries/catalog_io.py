@@ -20,7 +20,7 @@ from ..sinks.jdbc import JdbcSink, create_table_sql, derby_memory_url, q
 from ..sinks.native import NativeTable
 from ..sources.generator import claims_from_orders, claims_updates
 from ..sources.snapshot import snapshot_diff
-from ..sources.tables import read_table
+from ..sources.tables import read_table, table_path
 from ..spec import SyncSpec
 from ..streaming.consume import consume_to_outbox
 from ..streaming.feed import append_commit, feed_pending
@@ -136,6 +136,15 @@ def _hwm_runs(spark, sf):
     return table, root
 
 
+#: Bytes of a source table that go into one file of a change log made from it.
+LOG_FILE_BYTES = 16 << 20
+
+
+def _log_files(spark, sf, table, least: int) -> int:
+    """Files of a change log made from ``table``: ``least``, more as it grows."""
+    return max(least, fs.size(spark, table_path(sf, table)) // LOG_FILE_BYTES)
+
+
 def _write_change_log(spark, feed, path, files: int):
     feed.repartition(files).write.mode("append").parquet(path)
 
@@ -151,7 +160,7 @@ def stream_job(spark, sf):
     job.run(spark, SyncSpec("orders_old", "orders_t", keys=keys), old, table)
     log_path = f"{root}/change_log"
     feed = snapshot_diff(old, fx.orders_new(spark, sf), keys)
-    _write_change_log(spark, feed, log_path, files=4)
+    _write_change_log(spark, feed, log_path, _log_files(spark, sf, "orders", 4))
     spec = SyncSpec("orders", "orders_t", capture="stream", mode="upsert", keys=keys,
                     change_log=log_path, outbox=f"{root}/outbox")
     for _ in range(2):
@@ -166,9 +175,10 @@ def stream_consume(spark, sf):
     root = work_path(spark, "stream", "events")
     feed = fx.events_feed(spark, sf).withColumnRenamed(CONSUME, "_cdc_commit_day")
     log_path = f"{root}/change_log"
-    _write_change_log(spark, feed, log_path, files=6)
+    files = _log_files(spark, sf, "events", 6)
+    _write_change_log(spark, feed, log_path, files)
     store = OutboxStore(spark, f"{root}/outbox")
-    consume_to_outbox(spark, log_path, feed.schema, store, max_files_per_trigger=2)
+    consume_to_outbox(spark, log_path, feed.schema, store, max_files_per_trigger=-(-files // 3))   # three consumes
     return store.rows().select(*feed.columns)   # without what the outbox adds
 
 
@@ -177,7 +187,7 @@ def stream_multi_commit(spark, sf):
     one run: the table holds what a replay in order leaves."""
     root = work_path(spark, "stream", "commits")
     log = fx.events_log(spark, sf).drop(CONSUME)
-    _write_change_log(spark, log, f"{root}/change_log", files=6)
+    _write_change_log(spark, log, f"{root}/change_log", _log_files(spark, sf, "events", 6))
     table = NativeTable(spark, f"{root}/user_state", keys=["user_id"])
     spec = SyncSpec("events", "user_state", capture="stream", mode="upsert", keys=["user_id"],
                     change_log=f"{root}/change_log", outbox=f"{root}/outbox", order_cols=["event_id"])
@@ -200,7 +210,7 @@ def outbox_two_targets(spark, sf):
     for i in (0, 1):
         tables[i].publish(upserts=old)
         deliver(i)  # nothing to deliver yet, but the target is known from here on
-    _write_change_log(spark, feed, f"{root}/change_log", files=4)
+    _write_change_log(spark, feed, f"{root}/change_log", _log_files(spark, sf, "orders", 4))
     deliver(0)
     deliver(1)
     return tables[1].read()
@@ -285,7 +295,7 @@ def jdbc_stream_job(spark, sf):
     old = fx.orders_old(spark, sf)
     job.run(spark, SyncSpec("orders_old", "orders_t", mode="append"), old, sink)
     feed = snapshot_diff(old, fx.orders_new(spark, sf), keys)
-    _write_change_log(spark, feed, f"{root}/change_log", files=4)
+    _write_change_log(spark, feed, f"{root}/change_log", _log_files(spark, sf, "orders", 4))
     spec = SyncSpec("orders", "orders_t", capture="stream", mode="upsert", keys=keys,
                     change_log=f"{root}/change_log", outbox=f"{root}/outbox")
     for _ in range(2):
@@ -454,11 +464,12 @@ def _log_in_two_commits(spark, sf, path, numbered=False):
     """The raw event log written by two commits, events up to NOW and later ones."""
     log = fx.events_log(spark, sf).drop(CONSUME)
     parts = log.where(F.col("ts") < fx.ts(fx.NOW)), log.where(~(F.col("ts") < fx.ts(fx.NOW)))
+    files = _log_files(spark, sf, "events", 3)
     for part in parts:
         if numbered:
-            append_commit(spark, path, part.repartition(3))
+            append_commit(spark, path, part.repartition(files))
         else:
-            _write_change_log(spark, part, path, files=3)
+            _write_change_log(spark, part, path, files)
     return log
 
 
@@ -495,6 +506,7 @@ def feed_pending_q(spark, sf):
     log = fx.events_log(spark, sf).drop(CONSUME)
     store = OutboxStore(spark, f"{root}/outbox")
     early = F.col("ts") < fx.ts(fx.NOW)
+    files = _log_files(spark, sf, "events", 3)
     looks = []
 
     def look(when):
@@ -502,10 +514,10 @@ def feed_pending_q(spark, sf):
         path = f"{root}/look-{len(looks)}"
         seen.write.parquet(path)
         looks.append(path)
-    append_commit(spark, log_path, log.where(early).repartition(3))
+    append_commit(spark, log_path, log.where(early).repartition(files))
     look("before the first consume")
     consume_to_outbox(spark, log_path, log.schema, store)
-    append_commit(spark, log_path, log.where(~early).repartition(3))
+    append_commit(spark, log_path, log.where(~early).repartition(files))
     look("after the second commit")
     consume_to_outbox(spark, log_path, log.schema, store)
     look("after all")

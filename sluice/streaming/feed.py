@@ -96,7 +96,9 @@ def pending_files(spark: SparkSession, change_log: str, checkpoint: str) -> Data
 def feed_pending(spark: SparkSession, change_log: str, schema: T.StructType, checkpoint: str) -> DataFrame:
     """The changes that the next consume would move, as they stand in the log.
 
-    Files older than the oldest pending one are not opened."""
+    Files older than the oldest pending one are not opened. The names of the
+    pending files go to all tasks: a join by file would put each file's rows
+    into one task."""
     pending = pending_files(spark, change_log, checkpoint)
     oldest = pending.agg(F.min("written_at").alias("t")).first()["t"]
     rows = spark.read.schema(schema).parquet(change_log).select("*", F.col("_metadata.file_path").alias("_file"),
@@ -105,7 +107,7 @@ def feed_pending(spark: SparkSession, change_log: str, schema: T.StructType, che
         return rows.where(F.lit(False)).drop("_file", "_at")
     here = rows.where(F.col("_at") >= F.lit(oldest)).withColumn("file", _same_form(F.call_function(
         "url_decode", F.replace("_file", F.lit("+"), F.lit("%2B")))))
-    return here.join(pending.select("file"), "file", "left_semi").drop("file", "_file", "_at")
+    return here.join(F.broadcast(pending.select("file")), "file", "left_semi").drop("file", "_file", "_at")
 
 
 def has_pending(spark: SparkSession, change_log: str, checkpoint: str) -> bool:

@@ -1,6 +1,7 @@
 """The change log as files: equal commit times, numbered commits, gaps, emptied logs, what is pending."""
 
 import pytest
+from plan_text import ancestors, executed_plan
 from pyspark.sql import functions as F
 
 from sluice import fs
@@ -138,6 +139,39 @@ def test_pending_changes_and_nothing_moved(spark, scratch):
     assert table.read().count() == 1
 
 
+def test_pending_rows_are_not_joined_by_file(spark, scratch):
+    log, schema = f"{scratch}/log", spark.createDataFrame([], SCHEMA).schema
+    write_log(spark, log, [(i, "x", "INSERT", False) for i in range(50)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pending = fd.feed_pending(spark, log, schema, f"{scratch}/outbox/_checkpoint")
+        plan = executed_plan(pending)
+        assert sorted(r["id"] for r in pending.collect()) == list(range(50))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan
+    for above in ancestors(plan, "FileScan parquet"):
+        assert not any(op.startswith(("Exchange", "Sort")) for op in above), above
+
+
+@pytest.mark.parametrize("query, commits, least", [("feed_pending", 2, 3), ("stream_equal_times", 2, 3),
+                                                   ("stream_multi_commit", 1, 6)])
+def test_logs_are_written_by_more_tasks_as_tables_grow(spark, scratch, monkeypatch, query, commits, least):
+    from sluice.queries import catalog_io as io
+    events = spark.sql("""SELECT id AS event_id, timestamp_ntz'2024-01-20 00:00:00' + make_dt_interval(id % 9) AS ts, id % 40 AS user_id,
+                          if(id % 10 = 0, 'error', 'view') AS event_type, id / 4 AS value, '{"k": 1}' AS props FROM range(2000)""")
+    events.coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    size, results = fs.size(spark, f"{scratch}/events.parquet"), []
+    for parts in (1, 12):
+        monkeypatch.setattr(io, "LOG_FILE_BYTES", size // parts)
+        monkeypatch.setattr(io, "work_path", lambda spark, *p, n=parts: f"{scratch}/{query}-{n}")
+        results.append(sorted(map(tuple, io.IO_QUERIES[query](spark, scratch).collect())))
+        log = parquet_files(spark, f"{scratch}/{query}-{parts}/change_log")
+        assert len(log) == commits * max(least, parts)
+    assert results[0] == results[1] and results[0]
+
+
 def test_two_writers_never_share_a_number(spark, scratch):
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(4) as pool:
