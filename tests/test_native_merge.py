@@ -99,6 +99,23 @@ def test_the_change_is_stored_once(spark, scratch, monkeypatch):
                                     + [(i, f"b{i}") for i in range(50, 150)])
 
 
+def test_a_load_into_known_buckets_is_not_copied_first(spark, scratch, monkeypatch):
+    """It reads its rows once, whatever their types; a merge, or a load whose
+    bucket count hangs on its bytes, still works on a copy."""
+    copies, size = [], native.fs.size
+    monkeypatch.setattr(native.fs, "size", lambda spark, path: copies.append(path) or size(spark, path))
+    table = NativeTable(spark, f"{scratch}/t", keys=["k"], buckets=2)
+    table.publish(upserts=rows(spark, 0, 100, "a"))
+    table.publish(upserts=rows(spark, 0, 50, "b").withColumn("k", F.col("k").cast("int")), truncate=True)
+    assert not [p for p in copies if "/_change/" in p]
+    assert content(table) == sorted((i, f"b{i}") for i in range(50))
+    assert table.manifest()["bytes"] > 0 and table.manifest(1)["bytes"] > 0
+    table.publish(upserts=rows(spark, 40, 60, "c"))
+    NativeTable(spark, f"{scratch}/sized", keys=["k"]).publish(upserts=rows(spark, 0, 9, "a"))
+    assert len([p for p in copies if "/_change/" in p]) == 2
+    assert content(table) == sorted([(i, f"b{i}") for i in range(40)] + [(i, f"c{i}") for i in range(40, 60)])
+
+
 def test_layers_equal_the_plain_merge(spark, scratch):
     target = rows(spark, 0, 60, "a").withColumn("x", F.col("k") % 3)
     up, gone = rows(spark, 40, 80, "b"), spark.range(30, 45).select(F.col("id").alias("k"))
