@@ -15,8 +15,9 @@ graph as all others do; the beam is doubled until it finds the lists of their
 true neighbours, and the ratio is the one at which the lists read hold
 ``recall`` of them.
 
-Lists and their queries meet by list; a list that is still large, or asked by
-very many queries, is split into cells that are searched side by side.
+Neighbouring lists form groups, and a query goes to a group once, with the lists
+it reads there; groups that are still large, or asked by very many queries, are
+split into cells that are searched side by side.
 """
 
 from __future__ import annotations
@@ -36,10 +37,12 @@ LIST_ROWS, SAMPLE_ROWS, MOST_LISTS, MEASURED = 256, 50_000, 16_384, 64
 #: Neighbours of a centroid in the graph (as many again may lead to it), entries
 #: of a walk beside those that keep all centroids reachable, and the beam of a walk.
 DEGREE, ENTRIES, BEAM = 16, 64, 32
-#: A cell of a list holds about this many vectors or queries at most.
-CELL_ROWS = 20_000
-#: Hits a task holds at most before it merges those of one query or hands them on.
-HELD_HITS = 500_000
+#: A cell of a group of lists holds about this many vectors or queries at most, and
+#: bytes of vectors; the lists make about so many groups, if these have rows enough.
+CELL_ROWS, CELL_BYTES, GROUPS, GROUP_ROWS = 50_000, 64_000_000, 48, 1024
+#: Hits a task holds before it merges those of one query, queries that it searches
+#: together, and how many of their scores it has at a time.
+HELD_HITS, ASKED_ROWS, SCORES = 500_000, 2048, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -73,35 +76,55 @@ class Centroids:
         start = self.points[self.entries]
         square = (q * q).sum(axis=1)[:, None] + (start * start).sum(axis=1) - 2 * q @ start.T
         met[:, self.entries] = np.sqrt(np.maximum(square, floor))
-        keep = min(max(beam, 1), n)
-        ids = np.full((len(q), keep + self.graph.shape[1]), -1)
-        away = np.full(ids.shape, np.inf)
-        for part in np.array_split(np.arange(len(self.entries)), -(-len(self.entries) // self.graph.shape[1])):
-            ids[:, keep:], away[:, keep:] = -1, np.inf
-            ids[:, keep:keep + len(part)] = self.entries[part]
-            away[:, keep:keep + len(part)] = met[:, self.entries[part]]
-            ids, away = _nearest_first(ids, away, keep)
-        open_ = np.isfinite(away)
-        rows = np.arange(len(q))
+        keep, degree = min(max(beam, 1), n), self.graph.shape[1]
+        # The open nodes of each row, unsorted. Those behind ``keep`` others are never expanded.
+        ids = np.zeros((len(q), keep + max(8 * degree, keep)), dtype=np.int64)
+        gaps, used = np.full(ids.shape, np.inf), 0
+
+        def room(columns: int) -> int:
+            if used + columns <= ids.shape[1]:
+                return used
+            near = np.argpartition(gaps, keep - 1, axis=1)[:, :keep]
+            ids[:, :keep], gaps[:, :keep] = np.take_along_axis(ids, near, 1), np.take_along_axis(gaps, near, 1)
+            gaps[:, keep:] = np.inf
+            return keep
+
+        for part in np.array_split(self.entries, -(-len(self.entries) // degree)):
+            used = room(len(part))
+            ids[:, used:used + len(part)], gaps[:, used:used + len(part)] = part, met[:, part]
+            used += len(part)
+        rows, spent, steps = np.arange(len(q)), np.empty((len(q), keep + degree)), 0
         while True:
-            gaps = np.where(open_[:, :keep], away[:, :keep], np.inf)
-            best = gaps.argmin(axis=1)
-            live = np.isfinite(gaps[np.arange(len(rows)), best])
+            at = np.arange(len(rows))
+            best = gaps[:, :used].argmin(axis=1)
+            gap = gaps[at, best]
+            live = np.isfinite(gap)
+            if steps >= keep:   # all that is nearer than the nearest open node has been expanded
+                live &= (spent[:, :steps] < gap[:, None]).sum(axis=1) < keep
             if not live.all():
-                ids, away, open_, rows, best = ids[live], away[live], open_[live], rows[live], best[live]
+                ids, gaps, spent, rows, best, gap = (v[live] for v in (ids, gaps, spent, rows, best, gap))
+                at = np.arange(len(rows))
             if not len(rows):
                 return met
-            at = np.arange(len(rows))
-            open_[at, best] = False
+            if steps == spent.shape[1]:
+                spent = np.hstack([spent, np.empty_like(spent)])
+            spent[:, steps], steps = gap, steps + 1
             next_ = self.graph[ids[at, best]]
-            new = (next_ >= 0) & ~np.isfinite(met[rows[:, None], next_])
-            gap = self.points[next_] - q[rows][:, None]
-            d = np.where(new, np.sqrt(np.maximum(np.einsum("bmd,bmd->bm", gap, gap), floor)), np.inf)
+            gaps[at, best] = np.inf
+            new = (next_ >= 0) & np.isinf(met[rows[:, None], next_])
             r, c = np.nonzero(new)
-            met[rows[r], next_[r, c]] = d[r, c]
-            ids[:, keep:], away[:, keep:], open_[:, keep:] = next_, d, new
-            order = np.argsort(away, axis=1, kind="stable")
-            ids, away, open_ = (np.take_along_axis(v, order, 1) for v in (ids, away, open_))
+            if not len(r):
+                continue
+            node = next_[r, c]
+            away = self.points[node] - q[rows[r]]
+            d = np.sqrt(np.maximum(np.einsum("md,md->m", away, away), floor))
+            met[rows[r], node] = d
+            place = new.cumsum(axis=1)
+            most = int(place[:, -1].max())
+            used = room(most)
+            column = used + place[r, c] - 1
+            ids[r, column], gaps[r, column] = node, d
+            used += most
 
     def file(self, x: np.ndarray, replicas: int, ratio: float) -> np.ndarray:
         """Lists of each (lifted) vector, -1 where it needs no further replica."""
@@ -128,10 +151,11 @@ class Centroids:
                     break
                 wider *= 2
                 d[few] = self.walk(q[few], wider)
-            order = np.argsort(d, axis=1, kind="stable")
-            at = np.minimum((np.cumsum(rows[order], axis=1) < least).sum(axis=1), np.isfinite(d).sum(axis=1) - 1)
-            enough = np.take_along_axis(d, np.take_along_axis(order, at[:, None], 1), 1)
-            reach = np.maximum(reach, enough)
+            few = np.flatnonzero(np.where(d <= reach, rows, 0).sum(axis=1) < least)
+            order = np.argsort(d[few], axis=1, kind="stable")
+            at = np.minimum((np.cumsum(rows[order], axis=1) < least).sum(axis=1), np.isfinite(d[few]).sum(axis=1) - 1)
+            enough = np.take_along_axis(d[few], np.take_along_axis(order, at[:, None], 1), 1)
+            reach[few] = np.maximum(reach[few], enough)
         return [np.flatnonzero(r) for r in np.isfinite(d) & (d <= reach * (1 + 1e-9))]
 
     def search(self, q: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
@@ -141,11 +165,6 @@ class Centroids:
         return lists, self.distances(q[None])[0, lists]
 
 
-def _nearest_first(ids: np.ndarray, away: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(away, axis=1, kind="stable")
-    return np.take_along_axis(ids, order, 1), np.take_along_axis(away, order, 1)
-
-
 def _parts(graph: np.ndarray) -> np.ndarray:
     """Number of the connected part of each node, edges taken both ways."""
     part = np.arange(len(graph))
@@ -286,13 +305,13 @@ def _merge(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], k
 _HITS = "query_id long, hits array<struct<away: double, vec_id: long>>"
 
 
-def _hits(q_ids: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    ends = np.cumsum([0, *[len(ids) for ids, _ in found]])
-    ids = np.concatenate([ids for ids, _ in found]) if found else np.empty(0, np.int64)
-    away = -np.concatenate([s for _, s in found]) if found else np.empty(0)
+def _hits(q: np.ndarray, away: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """One row for each query, whose hits stand together."""
+    starts = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])[:len(q)])
     hits = pa.StructArray.from_arrays([pa.array(away, pa.float64()), pa.array(ids, pa.int64())], ["away", "vec_id"])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(q_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), hits)], ["query_id", "hits"])
+    ends = pa.array(np.append(starts, len(q)), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(q[starts], pa.int64()), pa.ListArray.from_arrays(ends, hits)],
+                                      ["query_id", "hits"])
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -309,8 +328,21 @@ def _merged(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tu
 
 def _best(hits: DataFrame, k: int) -> DataFrame:
     """``query_id, hits``: the k nearest of all partial lists of a query."""
-    merged = F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits"))))
-    return hits.groupBy("query_id").agg(F.slice(merged, 1, k).alias("hits"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n, most = [], 0, HELD_HITS
+        for batch in batches:
+            hits, counts = batch.column("hits").flatten(), batch.column("hits").value_lengths().to_numpy()
+            held.append((np.repeat(batch.column("query_id").to_numpy(), counts),
+                         hits.field("away").to_numpy(), hits.field("vec_id").to_numpy()))
+            n += len(held[-1][0])
+            if n > most:
+                held = [_merged(held, k)]
+                n = len(held[0][0])
+                most = max(HELD_HITS, 2 * n)
+        if n:
+            yield _hits(*_merged(held, k))
+
+    return hits.repartition("query_id").mapInArrow(run, _HITS)
 
 
 def brute_force(rows: DataFrame, q: np.ndarray, q_ids: np.ndarray, k: int) -> DataFrame:
@@ -324,7 +356,8 @@ def brute_force(rows: DataFrame, q: np.ndarray, q_ids: np.ndarray, k: int) -> Da
                 found = [_merge(a, b, k) for a, b in zip(top, found)]
             top = found
         if top is not None:
-            yield _hits(q_ids, top)
+            yield _hits(np.repeat(q_ids, [len(ids) for ids, _ in top]), -np.concatenate([s for _, s in top]),
+                        np.concatenate([ids for ids, _ in top]))
 
     return _best(rows.select("vec_id", "vector").mapInArrow(run, _HITS), k)
 
@@ -351,6 +384,7 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     lengths = rows.groupBy(F.size("vector").alias("n")).agg(
         F.count("*").alias("rows"),
+        F.count_if(F.col("vec_id") % every == 0).alias("asked"),
         F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("norm2"))
     most = lengths.orderBy(F.desc("rows"), "n").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -359,7 +393,7 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
     rows = rows.filter(F.size("vector") == most["n"])
     norm = float(np.sqrt(most["norm2"]))
     lists = min(MOST_LISTS, -(-most["rows"] // list_rows))
-    picked = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(min(SAMPLE_ROWS, 256 * lists)).toArrow()
+    picked = _picked(rows, most["rows"], min(SAMPLE_ROWS, 256 * lists), seed)
     sample = _matrix(picked.column("vector").combine_chunks())
     lifted = Centroids(np.empty((0, 0)), norm).lift(sample)
     index = spark.sparkContext.broadcast(fit(lifted, lists, norm, seed))
@@ -376,9 +410,10 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
 
     kind = rows.schema["vector"].dataType.simpleString()
     postings = settle(rows.mapInArrow(post, f"list int, vec_id long, vector {kind}, first boolean"), "postings")
-    held = np.zeros(len(index.value.points), dtype=np.int64)
-    for r in postings.filter("first").select("list", "vec_id").distinct().groupBy("list").count().collect():
-        held[r["list"]] = r["count"]
+    held, filed = np.zeros((2, len(index.value.points)), dtype=np.int64)
+    each = postings.groupBy("list", "vec_id").agg(F.count("*").alias("rows"), F.max("first").alias("first"))
+    for r in each.groupBy("list").agg(F.count_if("first").alias("held"), F.sum("rows").alias("rows")).collect():
+        held[r["list"]], filed[r["list"]] = r["held"], r["rows"]
 
     asked = rows.filter(F.col("vec_id") % every == 0)
     measured = asked.orderBy(F.xxhash64(F.lit(seed + 1), "vec_id"), "vec_id").limit(MEASURED).toArrow()
@@ -386,45 +421,100 @@ def search(embeddings: DataFrame, every: int = 20, k: int = 20, key: str = "vec_
         return empty
     q, q_ids = _matrix(measured.column("vector").combine_chunks()), measured.column("vec_id").to_numpy()
     truth = brute_force(rows, q, q_ids, k).select("query_id", F.explode("hits.vec_id").alias("true_id"))
-    where = (postings.select("list", "vec_id").join(truth, F.col("vec_id") == F.col("true_id"))
+    where = (postings.select("list", "vec_id").join(F.broadcast(truth), F.col("vec_id") == F.col("true_id"))
              .groupBy("query_id", "vec_id").agg(F.collect_set("list").alias("lists")).collect())
     ratio, beam = _ratio(index.value, q, q_ids, where, recall)
 
+    # A group of lists goes to a task at once; each query goes there with a bit for each of its lists.
+    most_rows = max(1, min(CELL_ROWS, CELL_BYTES // (8 * most["n"]), max(GROUP_ROWS, int(filed.sum()) // GROUPS)))
+    group, place = grouped(index.value.points, filed, most_rows)
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 lifted = index.value.lift_queries(_matrix(batch.column("vector")))
                 found = index.value.near(lifted, ratio, held, k + 1, beam)
-                row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                take = batch.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).astype(np.int32)), take.column("vec_id"), take.column("vector")],
-                    ["list", "vec_id", "vector"])
-
-    asked = asked.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    asks = settle(asked.mapInArrow(ask, f"list int, vec_id long, vector {kind}"), "asks")
-
-    # Cells: a list's vectors in n_v parts, its queries in n_q parts, and each pair of parts together.
-    parts = lambda df, name: df.groupBy(F.col("list").alias(f"l{name}")).agg(
-        F.ceil(F.count("*") / CELL_ROWS).cast("int").alias(f"n_{name}"))
-    plan = settle(parts(postings, "v").join(parts(asks, "q"), F.col("lv") == F.col("lq")).select(
-        F.col("lv").alias("at"), "n_v", "n_q"), "cells")
-
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
-        part = F.pmod(F.xxhash64("vec_id"), F.col(f"n_{own}")).cast("int").alias(f"c_{own}")
-        every_other = F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)).alias(f"c_{other}")
-        return (df.join(plan, F.col("list") == F.col("at"))
-                .select("list", part, "vec_id", "vector", every_other, F.lit(own == "q").alias("is_query")))
-
-    columns = ["list", "c_v", "c_q", "is_query", "vec_id", "vector"]
-    cells = dealt(postings, "v", "q").select(columns).union(dealt(asks, "q", "v").select(columns))
-    hits = (cells.repartition("list", "c_v", "c_q").sortWithinPartitions("list", "c_v", "c_q")
-            .mapInArrow(_search_cells(k), _HITS))
+                    [batch.column("vec_id"), batch.column("vector"), _bits(found, group, place)],
+                    ["vec_id", "vector", "asks"])
+
+    asked = (asked.repartition(-(-most["asked"] // 256), "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector")))
+    asks = settle(asked.mapInArrow(ask, f"vec_id long, vector {kind}, asks {_ASKS}"), "asks")
+
+    # Cells: a group's vectors in n_v parts, its queries in n_q parts, and each pair of parts together.
+    n_q = np.zeros(group.max() + 1, dtype=np.int64)
+    for r in asks.select(F.explode("asks.at").alias("at")).groupBy("at").count().collect():
+        n_q[r["at"]] = -(-r["count"] // CELL_ROWS)
+    n_v = -(-np.bincount(group, weights=filed).astype(np.int64) // most_rows)
+    columns = {"n_v": n_v.astype(np.int32), "n_q": n_q.astype(np.int32)}
+    groups = spark.createDataFrame(pa.table({"group": np.arange(len(n_v), dtype=np.int32), **columns}))
+    spots = spark.createDataFrame(pa.table({"spot": np.arange(len(group), dtype=np.int32), "group": group, "place": place,
+                                            **{name: column[group] for name, column in columns.items()}}))
+    part = lambda own: F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int")
+    every_other = lambda other: F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+    vectors = (postings.join(F.broadcast(spots.filter("n_q > 0")), F.col("list") == F.col("spot"))
+               .select("group", part("n_v").alias("c_v"), every_other("n_q").alias("c_q"), F.lit(False).alias("is_query"),
+                       "place", "vec_id", "vector", F.lit(None).cast("binary").alias("bits")))
+    queries = (asks.select("vec_id", "vector", F.inline("asks")).join(F.broadcast(groups.filter("n_v > 0")), F.col("at") == F.col("group"))
+               .select("group", every_other("n_v").alias("c_v"), part("n_q").alias("c_q"), F.lit(True).alias("is_query"),
+                       F.lit(0).alias("place"), "vec_id", "vector", "bits"))
+    cell = ["group", "c_v", "c_q"]
+    hits = (vectors.union(queries).repartition(max(1, 4 * int((n_v * n_q).sum())), *cell)
+            .sortWithinPartitions(*cell, "is_query", "place").mapInArrow(_search_cells(k), _HITS))
     best = _best(hits, k).select("query_id", F.posexplode("hits").alias("pos", "hit"))
     return best.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"),
                        (-F.col("hit.away")).alias("score"))
 
 
+def _picked(rows: DataFrame, n: int, most: int, seed: int) -> pa.Table:
+    """The ``most`` of ``n`` rows whose keys come first by a hash. What is far
+    behind them is left out before they are sorted, unless too few remain."""
+    by = F.xxhash64(F.lit(seed), "vec_id")
+    share = (most + 10 * most ** 0.5 + 100) / n
+    if share < 0.9:
+        near = rows.filter(by < int(-2 ** 63 + share * 2 ** 64)).orderBy(by, "vec_id").limit(most).toArrow()
+        if near.num_rows == most:
+            return near
+    return rows.orderBy(by, "vec_id").limit(most).toArrow()
+
+
+def grouped(points: np.ndarray, rows: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Group of each list and its place there: halves of neighbours are halved
+    until a group holds at most ``most`` of the ``rows``, or one list."""
+    group, place = np.zeros((2, len(points)), dtype=np.int32)
+    todo, n = [np.arange(len(points))], 0
+    while todo:
+        some = todo.pop()
+        if len(some) == 1 or rows[some].sum() <= most:
+            group[some], place[some] = n, np.arange(len(some))
+            n += 1
+            continue
+        x = points[some] - points[some].mean(axis=0)
+        some = some[np.argsort(x @ x[(x * x).sum(axis=1).argmax()], kind="stable")]
+        total = np.cumsum(rows[some])
+        half = min(max(int(np.searchsorted(total, total[-1] / 2)), 1), len(some) - 1)
+        todo += [some[:half], some[half:]]
+    return group, place
+
+
+_ASKS = "array<struct<at: int, bits: binary>>"
+
+
+def _bits(found: list[np.ndarray], group: np.ndarray, place: np.ndarray) -> pa.Array:
+    """For each query its groups, and in each a bit for every list it reads there."""
+    groups = int(group.max()) + 1
+    width = np.bincount(group, minlength=groups) // 8 + 1
+    row, lists = np.repeat(np.arange(len(found)), [len(f) for f in found]), np.concatenate(found)
+    pairs, own = np.unique(row * groups + group[lists], return_inverse=True)
+    ends = np.concatenate([[0], np.cumsum(width[pairs % groups])])
+    bits = np.zeros(ends[-1], dtype=np.uint8)
+    np.bitwise_or.at(bits, ends[own] + place[lists] // 8, (1 << place[lists] % 8).astype(np.uint8))
+    asks = pa.StructArray.from_arrays(
+        [pa.array((pairs % groups).astype(np.int32)), pa.Array.from_buffers(
+            pa.binary(), len(pairs), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(bits)])], ["at", "bits"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs // groups, np.arange(len(found) + 1)), pa.int32()), asks)
+
+
 def _ratio(index: Centroids, q: np.ndarray, q_ids: np.ndarray, where: list, recall: float) -> tuple[float, int]:
     """The distance ratio up to which lists must be read, so that ``recall`` of
     the measured queries' true neighbours stand in one of them, and the beam
@@ -441,52 +531,105 @@ def _ratio(index: Centroids, q: np.ndarray, q_ids: np.ndarray, where: list, reca
         beam *= 2
 
 
+class _Cell:
+    """The vectors of a cell, list by list; a row that repeats in a list is one candidate."""
+
+    def __init__(self, held: list[pa.RecordBatch]):
+        cell = pa.Table.from_batches(held).combine_chunks()
+        place, self.ids = cell.column("place").to_numpy(), cell.column("vec_id").to_numpy()
+        self.x = _matrix(cell.column("vector").combine_chunks())
+        order = np.lexsort((self.ids, place))
+        if ((np.diff(place[order]) == 0) & (np.diff(self.ids[order]) == 0)).any():
+            rows = np.column_stack([place.astype(np.float64), self.ids.view(np.float64), self.x])
+            first = np.sort(np.unique(rows.view(np.dtype((np.void, 8 * rows.shape[1]))).ravel(), return_index=True)[1])
+            place, self.ids, self.x = place[first], self.ids[first], self.x[first]
+        self.starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        self.ends, self.places = np.append(self.starts[1:], len(place)), place[self.starts]
+        self.by_id = np.argsort(self.ids, kind="stable")
+        self.size = np.sqrt((self.x * self.x).sum(axis=1).max())
+
+    def own(self, q_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of a query and of a vector for all pairs of one key, by vector."""
+        ids = self.ids[self.by_id]
+        low, high = np.searchsorted(ids, q_ids, "left"), np.searchsorted(ids, q_ids, "right")
+        n = high - low
+        row = np.repeat(np.arange(len(q_ids)), n)
+        at = self.by_id[np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
+        order = np.argsort(at, kind="stable")
+        return row[order], at[order]
+
+    def nearest(self, q_ids: np.ndarray, q: np.ndarray, bits: np.ndarray, k: int) -> pa.RecordBatch:
+        """The k best rows of each query but its own, of the lists that it reads.
+
+        List by list, a query takes what is not behind the k best it has; the
+        best are merged after 1, 2, 4, 8 ... lists."""
+        last, held, n = np.full(len(q), -np.inf), [], 0   # last: score of the k-th best so far
+        slack = 1e-12 * self.size * np.sqrt((q * q).sum(axis=1))
+        own_row, own_at = self.own(q_ids)
+        for step, (place, a, z) in enumerate(zip(self.places, self.starts, self.ends), 1):
+            asked = np.flatnonzero(bits[:, place])
+            mine = slice(*np.searchsorted(own_at, [a, z]))
+            for rows in np.array_split(asked, min(len(asked), -(-len(asked) * int(z - a) // SCORES))) if len(asked) else []:
+                rough = q[rows] @ self.x[a:z].T
+                at = np.minimum(np.searchsorted(rows, own_row[mine]), len(rows) - 1)
+                here = rows[at] == own_row[mine]
+                rough[at[here], own_at[mine][here] - a] = -np.inf
+                cut, first = last[rows], np.flatnonzero(np.isinf(last[rows]))
+                if len(first) and z - a > k:
+                    cut[first] = np.partition(rough[first], z - a - k, axis=1)[:, z - a - k]
+                cut = np.where(np.isfinite(cut), cut - 1e-9 * (1 + np.abs(cut)) - slack[rows], np.finfo(float).min)
+                row, column = np.divmod(np.flatnonzero(rough >= cut[:, None]), z - a)
+                row, column = rows[row], column + a
+                # Row by row sums are the same wherever a vector stands, unlike those of a matrix product.
+                parts = max(1, -(-len(row) // 20_000))
+                exact = [(self.x[c] * q[r]).sum(axis=1)
+                         for r, c in zip(np.array_split(row, parts), np.array_split(column, parts))]
+                held.append((row, -np.concatenate(exact), self.ids[column]))
+                n += len(row)
+                if n > HELD_HITS or rows[-1] == asked[-1] and step & (step - 1) == 0:
+                    held[:], n = [_merged(held, k)], 0
+                    ends = np.cumsum(np.bincount(held[0][0], minlength=len(q)))
+                    full = np.flatnonzero(np.diff(ends, prepend=0) == k)
+                    last[full] = -held[0][1][ends[full] - 1]
+        row, away, ids = _merged(held, k) if held else (np.empty(0, dtype=np.int64), np.empty(0), np.empty(0, dtype=np.int64))
+        return _hits(row, away, ids).set_column(0, "query_id", pa.array(q_ids[np.unique(row)], pa.int64()))
+
+
 def _search_cells(k: int):
-    """A task body over rows sorted by cell; a cell may span batches."""
+    """A task body over rows sorted by cell, its vectors by list and then its
+    queries; a cell may span batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, cell = None, None
         held: list[pa.RecordBatch] = []
-        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        key = None
-
-        def close() -> None:
-            cell = pa.Table.from_batches(held).combine_chunks()
-            asks = cell.column("is_query").to_numpy()
-            ids, x = cell.column("vec_id").to_numpy(), _matrix(cell.column("vector").combine_chunks())
-            if asks.any() and not asks.all():
-                x_ids, rows = ids[~asks], x[~asks]
-                if len(np.unique(x_ids)) < len(x_ids):  # repeated rows are one candidate
-                    _, first = np.unique(np.column_stack([x_ids.view(np.float64), rows]).view(
-                        np.dtype((np.void, 8 * (1 + rows.shape[1])))).ravel(), return_index=True)
-                    x_ids, rows = x_ids[first], rows[first]
-                found = nearest(x[asks], ids[asks], rows, x_ids, k)
-                hits.append((np.repeat(ids[asks], [len(i) for i, _ in found]),
-                             -np.concatenate([s for _, s in found]), np.concatenate([i for i, _ in found])))
-
-        def hand_on(most: int) -> Iterator[pa.RecordBatch]:
-            """Merges the hits of all lists so far; more than ``most`` leave the task."""
-            if sum(len(q) for q, _, _ in hits) <= most * 2:
-                return
-            hits[:] = [_merged(hits, k)]
-            if len(hits[0][0]) > most:
-                q, away, ids = hits.pop()
-                q_ids, first = np.unique(q, return_index=True)
-                found = [(i, -a) for i, a in zip(np.split(ids, first[1:]), np.split(away, first[1:]))]
-                yield _hits(q_ids, found)
+        asks: list[pa.RecordBatch] = []
+
+        def answer() -> Iterator[pa.RecordBatch]:
+            if asks and cell is not None:
+                rows = pa.Table.from_batches(asks).combine_chunks()
+                bits = b"".join(rows.column("bits").to_pylist())
+                bits = np.unpackbits(np.frombuffer(bits, dtype=np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+                yield cell.nearest(rows.column("vec_id").to_numpy(), _matrix(rows.column("vector").combine_chunks()), bits, k)
+            asks.clear()
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("list", "c_v", "c_q")])
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "c_v", "c_q", "is_query")])
             ends = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(ends[:-1], ends[1:]):
-                this = tuple(keys[:, a].tolist())
-                if this != key and held:
-                    close()
-                    held = []
-                    yield from hand_on(HELD_HITS // 2)
-                key = this
-                held.append(batch.slice(a, b - a))
-        if held:
-            close()
-            yield from hand_on(0)
+                *this, is_query = keys[:, a].tolist()
+                if this != key:
+                    yield from answer()
+                    key, cell = this, None
+                    held.clear()
+                if not is_query:
+                    held.append(batch.slice(a, b - a))
+                    continue
+                if held:
+                    cell = _Cell(held)
+                    held.clear()
+                asks.append(batch.slice(a, b - a))
+                if sum(map(len, asks)) >= ASKED_ROWS:
+                    yield from answer()
+        yield from answer()
     return run

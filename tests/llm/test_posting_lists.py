@@ -172,3 +172,51 @@ def test_registered_query_against_brute_force(spark):
     want = brute(np.array([r["vec_id"] for r in rows]), [r["embedding"] for r in rows])
     got = found(op6_balanced_posting_lists(spark, SF01))
     assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
+def test_a_query_is_handed_on_once_and_by_several_tasks(spark, monkeypatch):
+    """Not once for each list it reads: most queries read many lists here."""
+    kept = {}
+    monkeypatch.setattr(A, "settle", lambda df, name, settle=A.settle: kept.setdefault(name, settle(df, name)))
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(4000, 24))
+    got = found(A.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), every=4, list_rows=64))
+    assert recall(got, brute(np.arange(4000), x, every=4)) >= 0.9
+    assert kept["asks"].count() == 1000
+    assert len(kept["asks"].inputFiles()) > 2
+
+
+def test_groups_hold_neighbours_and_few_rows():
+    points, rows = clustered(700, 20, 0.05, 10), np.random.default_rng(11).integers(0, 90, 700)
+    group, place = A.grouped(points, rows, 1000)
+    assert all(sorted(place[group == g]) == list(range((group == g).sum())) for g in range(group.max() + 1))
+    assert np.bincount(group, weights=rows).max() <= 1000 and group.max() + 1 < 4 * rows.sum() / 1000
+    assert A.grouped(points[:1], rows[:1], 0)[0].tolist() == [0]
+
+
+def test_hits_of_a_cell_are_those_of_its_lists(spark, monkeypatch):
+    """Repeated rows, rows of several lists and equal scores, in blocks of few scores."""
+    monkeypatch.setattr(A, "SCORES", 500)
+    monkeypatch.setattr(A, "HELD_HITS", 300)
+    rng = np.random.default_rng(12)
+    x, ids = np.round(rng.normal(size=(400, 3)), 1), rng.permutation(400)
+    at = np.concatenate([np.arange(400), np.repeat(rng.integers(0, 400, 9), 30), rng.integers(0, 400, 300)])
+    place = np.sort(rng.integers(0, 12, len(at))).astype(np.int32)
+    cell = A._Cell([A.pa.RecordBatch.from_pydict({"place": A.pa.array(place), "vec_id": A.pa.array(ids[at]),
+                                                  "vector": A.pa.array(x[at].tolist())})])
+    bits = (rng.random((60, 12)) < 0.5).astype(np.uint8)
+    got = cell.nearest(ids[:60], x[:60], bits, 20).to_pylist()
+    assert [r["query_id"] for r in got] == ids[:60].tolist()
+    for r in got:
+        i = int(np.flatnonzero(ids[:60] == r["query_id"])[0])
+        rows = {(-(x[j] * x[i]).sum(), int(ids[j])) for j, p in zip(at, place) if bits[i, p] and j != i}
+        assert [(h["away"], h["vec_id"]) for h in r["hits"]] == sorted(rows)[:20]
+
+
+def test_the_sample_is_that_of_the_whole_order(spark):
+    rows = frame(spark, [(i % 4500, [float(i), 1.0]) for i in range(5000)]).selectExpr("vec_id", "embedding as vector")
+    ids = lambda t: sorted(t.column("vec_id").to_pylist())
+    by = A.F.xxhash64(A.F.lit(6), "vec_id")
+    assert ids(A._picked(rows, 5000, 100, 6)) == ids(rows.orderBy(by, "vec_id").limit(100).toArrow())
+    one = rows.select(A.F.lit(7).cast("long").alias("vec_id"), "vector")
+    assert A._picked(one, 5000, 100, 6).num_rows == 100
