@@ -531,6 +531,11 @@ def _ratio(index: Centroids, q: np.ndarray, q_ids: np.ndarray, where: list, reca
         beam *= 2
 
 
+def _below(cut: np.ndarray, slack: np.ndarray) -> np.ndarray:
+    """What rough scores must reach, so that no exact score of ``cut`` or more is left out."""
+    return np.where(np.isfinite(cut), cut - 1e-9 * (1 + np.abs(cut)) - slack, np.finfo(float).min)
+
+
 class _Cell:
     """The vectors of a cell, list by list; a row that repeats in a list is one candidate."""
 
@@ -577,8 +582,14 @@ class _Cell:
                 cut, first = last[rows], np.flatnonzero(np.isinf(last[rows]))
                 if len(first) and z - a > k:
                     cut[first] = np.partition(rough[first], z - a - k, axis=1)[:, z - a - k]
-                cut = np.where(np.isfinite(cut), cut - 1e-9 * (1 + np.abs(cut)) - slack[rows], np.finfo(float).min)
+                cut = _below(cut, slack[rows])
                 row, column = np.divmod(np.flatnonzero(rough >= cut[:, None]), z - a)
+                many = np.flatnonzero(np.bincount(row, minlength=len(rows)) > 4 * k)
+                if len(many):   # the lists so far were far from these queries
+                    cut[many] = np.maximum(cut[many], _below(np.partition(rough[many], z - a - k, axis=1)[:, z - a - k],
+                                                             slack[rows[many]]))
+                    few = rough[row, column] >= cut[row]
+                    row, column = row[few], column[few]
                 row, column = rows[row], column + a
                 # Row by row sums are the same wherever a vector stands, unlike those of a matrix product.
                 parts = max(1, -(-len(row) // 20_000))

@@ -205,12 +205,29 @@ def test_hits_of_a_cell_are_those_of_its_lists(spark, monkeypatch):
     cell = A._Cell([A.pa.RecordBatch.from_pydict({"place": A.pa.array(place), "vec_id": A.pa.array(ids[at]),
                                                   "vector": A.pa.array(x[at].tolist())})])
     bits = (rng.random((60, 12)) < 0.5).astype(np.uint8)
-    got = cell.nearest(ids[:60], x[:60], bits, 20).to_pylist()
-    assert [r["query_id"] for r in got] == ids[:60].tolist()
-    for r in got:
-        i = int(np.flatnonzero(ids[:60] == r["query_id"])[0])
-        rows = {(-(x[j] * x[i]).sum(), int(ids[j])) for j, p in zip(at, place) if bits[i, p] and j != i}
-        assert [(h["away"], h["vec_id"]) for h in r["hits"]] == sorted(rows)[:20]
+    for k in (3, 20):
+        got = cell.nearest(ids[:60], x[:60], bits, k).to_pylist()
+        assert [r["query_id"] for r in got] == ids[:60].tolist()
+        for r in got:
+            i = int(np.flatnonzero(ids[:60] == r["query_id"])[0])
+            rows = {(-(x[j] * x[i]).sum(), int(ids[j])) for j, p in zip(at, place) if bits[i, p] and j != i}
+            assert [(h["away"], h["vec_id"]) for h in r["hits"]] == sorted(rows)[:k]
+
+
+def test_a_near_list_after_a_far_one_gives_few_hits(monkeypatch):
+    """All rows of the second list are nearer than the best of the first."""
+    merged, sizes = A._merged, []
+    monkeypatch.setattr(A, "_merged", lambda held, k: sizes.append(sum(len(h[0]) for h in held)) or merged(held, k))
+    rng = np.random.default_rng(13)
+    x = np.vstack([rng.uniform(0, 1, (500, 4)), rng.uniform(2, 3, (3000, 4))])
+    place = np.repeat([0, 1], [500, 3000]).astype(np.int32)
+    cell = A._Cell([A.pa.RecordBatch.from_pydict({"place": A.pa.array(place), "vec_id": A.pa.array(np.arange(3500)),
+                                                  "vector": A.pa.array(x.tolist())})])
+    q = rng.uniform(1, 2, (50, 4))
+    got = cell.nearest(np.arange(50) + 9000, q, np.ones((50, 2), np.uint8), 20).to_pylist()
+    want = np.argsort(-q @ x.T, axis=1, kind="stable")[:, :20]
+    assert [[h["vec_id"] for h in r["hits"]] for r in got] == want.tolist()
+    assert max(sizes) <= 50 * 20 * 6
 
 
 def test_the_sample_is_that_of_the_whole_order(spark):
